@@ -19,3 +19,165 @@ SQL: dict[str, str] = {
     "kpis_by_state": base(scope(HISTORY)) + KPI_SELECT.replace("SELECT", "SELECT state,", 1)
     + " FROM scope_orders GROUP BY state",
 }
+
+
+# ---- dashboard ---------------------------------------------------------------------------------------------------
+from datetime import timedelta as _td  # noqa: E402
+
+from retailq.plans.catalog import MONTH  # noqa: E402
+from retailq.sources.testdata import TEST_PROFILE  # noqa: E402
+
+from .base_sql import coverage, lit_date  # noqa: E402
+
+COV = coverage(TEST_PROFILE.coverage.core_start, TEST_PROFILE.coverage.core_end)
+
+
+def _comparison_sql(p):
+    ps, pe, label = p.comparison()
+    wide = p.with_dates(min(ps, p.start), p.end)
+    kpi = KPI_SELECT.replace("SELECT", "SELECT period,", 1)
+    return base(scope(wide), COV, f"""
+periods AS (SELECT * FROM (VALUES ('current', {lit_date(p.start)}, {lit_date(p.end)}),
+                                  ('previous', {lit_date(ps)}, {lit_date(pe)})) AS t(period, "start", "end")),
+tagged AS (
+  SELECT *, CASE WHEN purchase_date >= {lit_date(p.start)} THEN 'current' ELSE 'previous' END AS period
+  FROM scope_orders
+  WHERE purchase_date BETWEEN {lit_date(ps)} AND {lit_date(pe)}
+     OR purchase_date BETWEEN {lit_date(p.start)} AND {lit_date(p.end)}),
+agg AS ({kpi} FROM tagged GROUP BY period),
+cmp AS (
+  SELECT coalesce(cov_start IS NOT NULL AND {lit_date(ps)} >= cov_start AND {lit_date(ps)} <= {lit_date(p.start)}
+                  AND {lit_date(p.end)} <= cov_end AND {lit_date(pe)} <= cov_end
+                  AND {lit_date(p.start)} >= cov_start, FALSE) AS comparable FROM coverage),
+rows_ AS (
+  SELECT pr.period, pr."start", pr."end", coalesce(a.order_count, 0) AS order_count,
+         coalesce(a.revenue_cents, 0) AS revenue_cents, coalesce(a.item_count, 0) AS item_count,
+         coalesce(a.customer_count, 0) AS customer_count,
+         CASE WHEN coalesce(a.order_count, 0) = 0 THEN NULL
+              ELSE coalesce(a.revenue_cents, 0) / a.order_count END AS average_order_value_cents,
+         cmp.comparable, '{label}' AS comparison_label
+  FROM periods pr LEFT JOIN agg a ON a.period = pr.period CROSS JOIN cmp)
+"""), "SELECT * FROM rows_ WHERE period = 'current' OR comparable"
+
+
+def _kpi_comparison_sql(p):
+    head, sel = _comparison_sql(p)
+    return head + sel
+
+
+def _kpi_change_rate_sql(p):
+    head, sel = _comparison_sql(p)
+    cols = ("order_count", "revenue_cents", "item_count", "customer_count", "average_order_value_cents")
+    rates = ", ".join(f"CASE WHEN pv.{c} IS NULL OR pv.{c} = 0 THEN NULL ELSE "
+                      f"CAST(cu.{c} - pv.{c} AS DOUBLE) / pv.{c} END AS {c}_change_rate" for c in cols)
+    return head.rstrip() + f""",
+kept AS ({sel})
+SELECT {rates} FROM (SELECT * FROM kept WHERE period = 'current') cu
+LEFT JOIN (SELECT * FROM kept WHERE period = 'previous') pv ON TRUE"""
+
+
+def _period_sql(col, grain):
+    if grain == "day":
+        return col
+    return f"CAST(date_trunc('{grain}', {col}) AS DATE)"
+
+
+def _period_end_sql(col, grain):
+    return {"day": col, "week": f"CAST({col} + INTERVAL 6 DAY AS DATE)", "month": f"last_day({col})"}[grain]
+
+
+def _trend_sql(p, grain, by=()):
+    first = {"day": p.start, "week": p.start - _td(days=p.start.weekday()), "month": p.start.replace(day=1)}[grain]
+    step = {"day": "1 DAY", "week": "7 DAY", "month": "1 MONTH"}[grain]
+    byc = "".join(f", {b}" for b in by)
+    groups = f" CROSS JOIN (SELECT DISTINCT {', '.join(by)} FROM scope_orders) g" if by else ""
+    using = "".join(f" AND f.{b} = c.{b}" for b in by)
+    byc_c = "".join(f", c.{b}" for b in by)
+    return base(scope(p), COV, f"""
+cal0 AS (SELECT CAST(g AS DATE) AS period FROM generate_series(CAST({lit_date(first)} AS TIMESTAMP),
+         CAST({lit_date(p.end)} AS TIMESTAMP), INTERVAL {step}) AS t(g)),
+cal AS (
+  SELECT period, {_period_end_sql('period', grain)} AS period_end, cov_start, cov_end FROM cal0 CROSS JOIN coverage),
+flags AS (
+  SELECT period, period_end,
+         coalesce(cov_start IS NOT NULL AND period >= {lit_date(p.start)} AND period_end <= {lit_date(p.end)}
+                  AND period >= cov_start AND period_end <= cov_end, FALSE) AS complete,
+         coalesce(cov_start IS NOT NULL AND greatest(period, {lit_date(p.start)}) >= cov_start
+                  AND least(period_end, {lit_date(p.end)}) <= cov_end, FALSE) AS covered
+  FROM cal),
+facts AS (
+  SELECT {_period_sql('purchase_date', grain)} AS period{byc}, CAST(sum(scoped_revenue_cents) AS BIGINT) AS revenue_cents,
+         CAST(count(*) AS BIGINT) AS order_count
+  FROM scope_orders GROUP BY ALL),
+c AS (SELECT * FROM flags{groups})
+""") + f"""SELECT c.period{byc_c}, c.complete,
+       CASE WHEN f.revenue_cents IS NOT NULL THEN f.revenue_cents WHEN c.covered THEN 0 END AS revenue_cents,
+       CASE WHEN f.order_count IS NOT NULL THEN f.order_count WHEN c.covered THEN 0 END AS order_count
+FROM c LEFT JOIN facts f ON f.period = c.period{using}"""
+
+
+_PRODUCTS = """SELECT product_id, category, category_label AS label, CAST(sum(price_cents) AS BIGINT) AS revenue_cents,
+       CAST(count(DISTINCT order_id) AS BIGINT) AS order_count, CAST(count(*) AS BIGINT) AS item_count
+FROM scope_items GROUP BY product_id, category, category_label"""
+
+_RANK_CATEGORIES = """SELECT category AS name, category_label AS label, CAST(sum(price_cents) AS BIGINT) AS revenue_cents,
+       CAST(count(DISTINCT order_id) AS BIGINT) AS order_count, CAST(count(*) AS BIGINT) AS item_count
+FROM scope_items GROUP BY category, category_label"""
+
+_FULFILMENT = """SELECT CAST(count(is_late) AS BIGINT) AS eligible_orders,
+       CAST(count(*) FILTER (WHERE is_late = 1) AS BIGINT) AS late_orders,
+       CAST(count(delivery_seconds) AS BIGINT) AS delivery_sample_count,
+       avg(delivery_seconds) / 86400 AS average_delivery_days,
+       median(delivery_seconds) / 86400 AS median_delivery_days,
+       CAST(count(review_score) AS BIGINT) AS reviewed_orders, avg(review_score) AS average_review_score,
+       CASE WHEN count(is_late) = 0 THEN NULL
+            ELSE CAST(count(*) FILTER (WHERE is_late = 1) AS DOUBLE) / count(is_late) END AS late_rate
+FROM scope_orders"""
+
+SQL.update({
+    "kpi_comparison": _kpi_comparison_sql(MONTH),
+    "kpi_change_rate": _kpi_change_rate_sql(MONTH),
+    "trend_day": _trend_sql(HISTORY, "day"),
+    "trend_week": _trend_sql(HISTORY, "week"),
+    "trend_month": _trend_sql(HISTORY, "month"),
+    "trend_month_by_state": _trend_sql(HISTORY, "month", ("state",)),
+    "trend_week_filtered": _trend_sql(FILTERED, "week"),
+    "rank_categories": base(scope(HISTORY)) + _RANK_CATEGORIES,
+    "category_share": base(scope(HISTORY), f"cats AS ({_RANK_CATEGORIES})") + """
+SELECT name, label, revenue_cents,
+       CASE WHEN t.total = 0 THEN 0.0 ELSE CAST(revenue_cents AS DOUBLE) / t.total END AS revenue_share
+FROM cats CROSS JOIN (SELECT coalesce(sum(price_cents), 0) AS total FROM scope_items) t""",
+    "rank_regions": base(scope(HISTORY)) + """
+SELECT state AS name, CAST(sum(scoped_revenue_cents) AS BIGINT) AS revenue_cents, CAST(count(*) AS BIGINT) AS order_count,
+       CAST(sum(scoped_item_count) AS BIGINT) AS item_count
+FROM scope_orders GROUP BY state""",
+    "top_products": base(scope(HISTORY)) + _PRODUCTS + " ORDER BY revenue_cents DESC, product_id LIMIT 20",
+    "low_volume_products": base(scope(HISTORY)) + _PRODUCTS + " ORDER BY item_count, revenue_cents, product_id LIMIT 20",
+    "fulfilment_summary": base(scope(HISTORY)) + _FULFILMENT,
+    "fulfilment_summary_filtered": base(scope(FILTERED)) + _FULFILMENT,
+    "fulfilment_groups": base(scope(HISTORY)) + """
+SELECT l.label, CAST(coalesce(g.order_count, 0) AS BIGINT) AS order_count,
+       CAST(coalesce(g.reviewed_orders, 0) AS BIGINT) AS reviewed_orders, g.average_review_score
+FROM (VALUES (0, 'on_time'), (1, 'late'), (NULL, 'unknown')) AS l(is_late, label)
+LEFT JOIN (SELECT is_late, count(*) AS order_count, count(review_score) AS reviewed_orders,
+                  avg(review_score) AS average_review_score FROM scope_orders GROUP BY is_late) g
+  ON g.is_late IS NOT DISTINCT FROM l.is_late""",
+    "score_histogram": base(scope(HISTORY)) + """
+SELECT CAST(s.score AS INTEGER) AS score, CAST(coalesce(c.n, 0) AS BIGINT) AS order_count
+FROM range(1, 6) AS s(score)
+LEFT JOIN (SELECT review_score, count(*) AS n FROM scope_orders WHERE review_score IS NOT NULL
+           GROUP BY review_score) c ON c.review_score = s.score""",
+    "order_list": base(scope(HISTORY)) + """
+SELECT order_id, purchase_date, state, scoped_item_count AS item_count, scoped_revenue_cents AS revenue_cents,
+       payment_cents, review_score, is_late, array_to_string(quality_flags, ',') AS quality_flags,
+       (SELECT count(*) FROM scope_orders) AS total
+FROM scope_orders ORDER BY purchase_date DESC, order_id LIMIT 20 OFFSET 40""",
+    "order_detail_items": base(scope(FILTERED)) + """
+SELECT o.order_id, o.scoped_revenue_cents AS revenue_cents, o.revenue_cents AS total_order_revenue_cents,
+       o.payment_cents, o.review_score, o.is_late, i.item_id, i.product_id, i.seller_id, i.category,
+       i.price_cents, i.freight_cents
+FROM scope_orders o JOIN scope_items i ON i.order_id = o.order_id""",
+    "category_values": base() + """
+SELECT DISTINCT category AS value, coalesce(category_english, category) AS label FROM dim_product""",
+    "state_values": base() + "SELECT DISTINCT state FROM dim_customer",
+})

@@ -42,7 +42,7 @@ def kpi_comparison(star: dict[str, DataFrame], params: ScopeParams, coverage_row
     period = F.when(F.col("purchase_date") >= F.lit(params.start), F.lit("current")).otherwise(F.lit("previous"))
     orders = wide.orders.filter(F.col("purchase_date").between(F.lit(ps), F.lit(pe))
                                 | F.col("purchase_date").between(F.lit(params.start), F.lit(params.end)))
-    periods = orders.getSparkSession().createDataFrame(
+    periods = orders.sparkSession.createDataFrame(
         [("current", params.start, params.end), ("previous", ps, pe)], "period string, start date, end date")
     agg = orders.withColumn("period", period).groupBy("period").agg(*_kpi_aggs())
     rows = (F.broadcast(periods).join(agg, "period", "left")
@@ -72,7 +72,7 @@ def kpi_change_rate(comparison: DataFrame) -> DataFrame:
 
 def trend(scope: Scope, grain: str, coverage_row: DataFrame, by: list[str] | tuple = ()) -> DataFrame:
     """Dense calendar of buckets; observed 0 inside coverage, NULL outside; ``complete`` per bucket."""
-    spark: SparkSession = scope.orders.getSparkSession()
+    spark: SparkSession = scope.orders.sparkSession
     p = scope.params
     facts = (scope.orders.groupBy(period_start("purchase_date", grain).alias("period"), *by)
              .agg(F.sum("scoped_revenue_cents").alias("revenue_cents"), F.count(F.lit(1)).alias("order_count")))
@@ -143,7 +143,7 @@ FULFILMENT_GROUPS = [(0, "on_time"), (1, "late"), (None, "unknown")]
 
 def fulfilment_groups(scope: Scope) -> DataFrame:
     """Always three rows (on time / late / unknown), joined null-safe on ``is_late``."""
-    spark = scope.orders.getSparkSession()
+    spark = scope.orders.sparkSession
     labels = spark.createDataFrame(FULFILMENT_GROUPS, "is_late int, label string")
     g = scope.orders.groupBy("is_late").agg(F.count(F.lit(1)).alias("order_count"),
                                             F.count("review_score").alias("reviewed_orders"),
@@ -154,7 +154,7 @@ def fulfilment_groups(scope: Scope) -> DataFrame:
 
 
 def score_histogram(scope: Scope) -> DataFrame:
-    spark = scope.orders.getSparkSession()
+    spark = scope.orders.sparkSession
     scores = spark.range(1, 6).select(F.col("id").cast("int").alias("score"))
     counts = scope.orders.filter(F.col("review_score").isNotNull()) \
         .groupBy(F.col("review_score").alias("score")).agg(F.count(F.lit(1)).alias("order_count"))

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import dashboard as dash
-from ..operators.scope import build_scope, coverage_window
+from ..operators.scope import build_scope, coverage_window, scope_dimension_values
 from ..operators.warehouse import build_star
 from ..params import ScopeParams
 from ..sources.testdata import TEST_PROFILE, raw_model
@@ -47,8 +47,73 @@ def q_kpis_by_state(spark, sf_dir):
     return dash.kpis(_scope(spark, sf_dir), by=["state"])
 
 
+def q_kpi_comparison(spark, sf_dir):
+    st = star(spark, sf_dir)
+    return dash.kpi_comparison(st, MONTH, _cov(st))
+
+
+def q_kpi_change_rate(spark, sf_dir):
+    st = star(spark, sf_dir)
+    return dash.kpi_change_rate(dash.kpi_comparison(st, MONTH, _cov(st)))
+
+
+def _trend(grain, params=HISTORY, by=()):
+    def run(spark, sf_dir):
+        st = star(spark, sf_dir)
+        return dash.trend(build_scope(st, params), grain, _cov(st), by=by)
+    return run
+
+
+def _on_scope(fn, params=HISTORY, **kw):
+    def run(spark, sf_dir):
+        return fn(_scope(spark, sf_dir, params), **kw)
+    return run
+
+
+def q_order_detail_items(spark, sf_dir):
+    """Order documents flattened to item rows (header fields repeated) for an order-insensitive check."""
+    docs = dash.order_documents(_scope(spark, sf_dir, FILTERED))
+    return docs.select("order_id", "revenue_cents", "total_order_revenue_cents", "payment_cents", "review_score",
+                       "is_late", F.inline("items")).drop("label")
+
+
+def q_category_values(spark, sf_dir):
+    cats, _ = scope_dimension_values(star(spark, sf_dir))
+    return cats
+
+
+def q_state_values(spark, sf_dir):
+    _, states = scope_dimension_values(star(spark, sf_dir))
+    return states
+
+
+def q_order_list(spark, sf_dir):
+    return dash.order_list(_scope(spark, sf_dir), page=3, page_size=20) \
+        .withColumn("quality_flags", F.array_join("quality_flags", ","))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "kpis": q_kpis,
     "kpis_filtered": q_kpis_filtered,
     "kpis_by_state": q_kpis_by_state,
+    "kpi_comparison": q_kpi_comparison,
+    "kpi_change_rate": q_kpi_change_rate,
+    "trend_day": _trend("day"),
+    "trend_week": _trend("week"),
+    "trend_month": _trend("month"),
+    "trend_month_by_state": _trend("month", by=("state",)),
+    "trend_week_filtered": _trend("week", FILTERED),
+    "rank_categories": _on_scope(dash.rank_categories),
+    "category_share": _on_scope(dash.category_share),
+    "rank_regions": _on_scope(dash.rank_regions),
+    "top_products": _on_scope(dash.top_products),
+    "low_volume_products": _on_scope(dash.low_volume_products),
+    "fulfilment_summary": _on_scope(dash.fulfilment_summary),
+    "fulfilment_groups": _on_scope(dash.fulfilment_groups),
+    "score_histogram": _on_scope(dash.score_histogram),
+    "fulfilment_summary_filtered": _on_scope(dash.fulfilment_summary, FILTERED),
+    "order_list": q_order_list,
+    "order_detail_items": q_order_detail_items,
+    "category_values": q_category_values,
+    "state_values": q_state_values,
 }
