@@ -181,3 +181,119 @@ FROM scope_orders o JOIN scope_items i ON i.order_id = o.order_id""",
 SELECT DISTINCT category AS value, coalesce(category_english, category) AS label FROM dim_product""",
     "state_values": base() + "SELECT DISTINCT state FROM dim_customer",
 })
+
+
+# ---- warehouse ---------------------------------------------------------------------------------------------------
+from retailq.params import QUALITY_FLAGS as _QF  # noqa: E402
+
+SQL.update({
+    "fold_items_per_order": base() + "SELECT * FROM f_items",
+    "fold_payments_per_order": base() + "SELECT * FROM f_pay",
+    "latest_review_per_order": base() + "SELECT * FROM f_rev",
+    "dim_customer": base() + "SELECT * FROM dim_customer",
+    "dim_product": base() + "SELECT * FROM dim_product",
+    "dim_seller": base() + "SELECT * FROM dim_seller",
+    "fact_order": base() + """
+SELECT order_id, customer_id, purchase_at, purchase_date, status, carrier_at, delivered_at, estimated_at,
+       revenue_cents, freight_cents, item_count, payment_cents, payment_count, review_score, review_count,
+       delivery_seconds, is_late, array_to_string(quality_flags, ',') AS quality_flags
+FROM fact_order""",
+    "fact_item": base() + "SELECT * FROM fact_item",
+    "agg_day": base() + """
+SELECT purchase_date AS "day", CAST(sum(revenue_cents) AS BIGINT) AS revenue_cents,
+       CAST(count(*) AS INTEGER) AS order_count, CAST(sum(item_count) AS INTEGER) AS item_count
+FROM fact_order WHERE status = 'delivered' GROUP BY purchase_date""",
+    "load_profile": base() + "SELECT CAST(count(*) AS BIGINT) AS raw_order_count, "
+    "CAST(count(*) FILTER (WHERE status = 'delivered') AS BIGINT) AS delivered_order_count, "
+    "CAST(coalesce(sum(revenue_cents) FILTER (WHERE status = 'delivered'), 0) AS BIGINT) AS delivered_revenue_cents, "
+    "min(purchase_date) FILTER (WHERE status = 'delivered') AS observed_start, "
+    "max(purchase_date) FILTER (WHERE status = 'delivered') AS observed_end, "
+    "CAST(sum(review_count) - count(*) FILTER (WHERE review_count > 0) AS BIGINT) AS review_rows_collapsed, "
+    + ", ".join(f"CAST(sum(CAST(list_contains(quality_flags, '{f}') AS INTEGER)) AS BIGINT) AS flag_{f}" for f in _QF)
+    + ", (SELECT count(*) FILTER (WHERE category = 'unknown') FROM dim_product) AS products_missing_category"
+    ", (SELECT count(*) FILTER (WHERE category <> 'unknown' AND category_english IS NULL) FROM dim_product)"
+    " AS products_missing_translation FROM fact_order",
+})
+
+
+# ---- customers ---------------------------------------------------------------------------------------------------
+from retailq.plans.catalog import CUSTOMER_YEAR, CUSTOMER_YEAR_STATE  # noqa: E402
+
+_RFM = TEST_PROFILE.rfm
+
+
+def _customer_base(p, *extra):
+    return base(scope(p), f"""
+first_purchase AS (
+  SELECT c.customer_unique_id, min(o.purchase_date) AS first_day
+  FROM fact_order o JOIN dim_customer c ON c.customer_id = o.customer_id
+  WHERE o.status = 'delivered' AND o.purchase_date <= {lit_date(p.end)}
+  GROUP BY c.customer_unique_id),
+cw AS (
+  SELECT s.customer_unique_id, min(f.first_day) AS first_day, max(s.purchase_date) AS last_day,
+         CAST(count(*) AS BIGINT) AS frequency, CAST(sum(s.scoped_revenue_cents) AS BIGINT) AS monetary_cents,
+         CAST(date_diff('day', max(s.purchase_date), {lit_date(p.end)}) AS INTEGER) AS recency_days
+  FROM scope_orders s JOIN first_purchase f ON f.customer_unique_id = s.customer_unique_id
+  GROUP BY s.customer_unique_id),
+seg AS (
+  SELECT (CASE WHEN recency_days <= {_RFM.recent_days} THEN '1' ELSE '0' END) ||
+         (CASE WHEN frequency >= {_RFM.repeat_orders} THEN '1' ELSE '0' END) ||
+         (CASE WHEN monetary_cents >= {_RFM.amount_cents} THEN '1' ELSE '0' END) AS "key",
+         CAST(count(*) AS BIGINT) AS customer_count, CAST(sum(frequency) AS BIGINT) AS order_count,
+         CAST(sum(monetary_cents) AS BIGINT) AS revenue_cents
+  FROM cw GROUP BY 1),
+segments AS (
+  SELECT k."key", coalesce(s.customer_count, 0) AS customer_count, coalesce(s.order_count, 0) AS order_count,
+         coalesce(s.revenue_cents, 0) AS revenue_cents
+  FROM (VALUES ('111'), ('110'), ('101'), ('100'), ('011'), ('010'), ('001'), ('000')) AS k("key")
+  LEFT JOIN seg s ON s."key" = k."key")""", *extra)
+
+
+def _summary_sql(p):
+    return _customer_base(p) + f"""
+SELECT CAST(count(*) AS BIGINT) AS customer_count,
+       CAST(count(*) FILTER (WHERE first_day >= {lit_date(p.start)}) AS BIGINT) AS new_customers,
+       CAST(count(*) - count(*) FILTER (WHERE first_day >= {lit_date(p.start)}) AS BIGINT) AS returning_customers,
+       CAST(count(*) FILTER (WHERE frequency >= 2) AS BIGINT) AS repeat_customers,
+       CASE WHEN count(*) = 0 THEN NULL ELSE CAST(count(*) FILTER (WHERE frequency >= 2) AS DOUBLE) / count(*) END
+         AS repeat_rate,
+       CAST(coalesce(sum(frequency), 0) AS BIGINT) AS order_count,
+       CAST(coalesce(sum(monetary_cents), 0) AS BIGINT) AS revenue_cents,
+       CASE WHEN count(*) = 0 THEN NULL
+            ELSE CAST(count(*) - count(*) FILTER (WHERE frequency >= 2) AS DOUBLE) / count(*) END
+         AS single_purchase_share
+FROM cw"""
+
+
+def _distribution_sql(p):
+    return _customer_base(p) + """
+, long AS (
+  SELECT 'recency_days' AS metric, CAST(recency_days AS BIGINT) AS value FROM cw
+  UNION ALL SELECT 'frequency', frequency FROM cw
+  UNION ALL SELECT 'monetary_cents', monetary_cents FROM cw),
+st AS (
+  SELECT metric, min(value) AS "min", CAST(median(value) AS DOUBLE) AS "median",
+         CAST(quantile_disc(value, 0.75) AS BIGINT) AS p75, max(value) AS "max"
+  FROM long GROUP BY metric)
+SELECT m.metric, st."min", st."median", st.p75, st."max"
+FROM (VALUES ('recency_days'), ('frequency'), ('monetary_cents')) AS m(metric) LEFT JOIN st ON st.metric = m.metric"""
+
+
+SQL.update({
+    "first_purchase": base() + f"""
+SELECT c.customer_unique_id, min(o.purchase_date) AS first_day
+FROM fact_order o JOIN dim_customer c ON c.customer_id = o.customer_id
+WHERE o.status = 'delivered' AND o.purchase_date <= {lit_date(CUSTOMER_YEAR.end)}
+GROUP BY c.customer_unique_id""",
+    "customer_window": _customer_base(CUSTOMER_YEAR) + "SELECT * FROM cw",
+    "customer_summary": _summary_sql(CUSTOMER_YEAR),
+    "customer_summary_state": _summary_sql(CUSTOMER_YEAR_STATE),
+    "rfm_segments": _customer_base(CUSTOMER_YEAR) + "SELECT * FROM segments",
+    "frequency_histogram": _customer_base(CUSTOMER_YEAR)
+    + "SELECT frequency, CAST(count(*) AS BIGINT) AS customer_count FROM cw GROUP BY frequency",
+    "rfm_distribution": _distribution_sql(CUSTOMER_YEAR),
+    "rfm_distribution_state": _distribution_sql(CUSTOMER_YEAR_STATE),
+    "customers_beyond_recency": _customer_base(CUSTOMER_YEAR) + """
+SELECT CAST(coalesce(sum(customer_count) FILTER (WHERE "key" LIKE '0%'), 0) AS BIGINT) AS customers_beyond_recency
+FROM segments""",
+})

@@ -117,3 +117,74 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "category_values": q_category_values,
     "state_values": q_state_values,
 }
+
+
+# ---- warehouse --------------------------------------------------------------------------------------------------
+from ..operators import warehouse as wh  # noqa: E402
+
+
+def _flags_text(df: DataFrame) -> DataFrame:
+    return df.withColumn("quality_flags", F.array_join("quality_flags", ","))
+
+
+def _raw_op(fn, table):
+    def run(spark, sf_dir):
+        return fn(raw_model(spark, sf_dir)[table])
+    return run
+
+
+def _star_table(name, post=None):
+    def run(spark, sf_dir):
+        df = star(spark, sf_dir)[name]
+        return post(df) if post else df
+    return run
+
+
+def q_load_profile(spark, sf_dir):
+    raw = raw_model(spark, sf_dir)
+    return wh.load_profile(raw, build_star(raw))
+
+
+QUERIES.update({
+    "fold_items_per_order": _raw_op(wh.fold_items_per_order, "items"),
+    "fold_payments_per_order": _raw_op(wh.fold_payments_per_order, "payments"),
+    "latest_review_per_order": _raw_op(wh.latest_review_per_order, "reviews"),
+    "dim_customer": _star_table("dim_customer"),
+    "dim_product": _star_table("dim_product"),
+    "dim_seller": _star_table("dim_seller"),
+    "fact_order": _star_table("fact_order", _flags_text),
+    "fact_item": _star_table("fact_item"),
+    "agg_day": _star_table("agg_day"),
+    "load_profile": q_load_profile,
+})
+
+
+# ---- customers --------------------------------------------------------------------------------------------------
+from ..operators import customers as cu  # noqa: E402
+
+CUSTOMER_YEAR = ScopeParams(date(1998, 1, 1), date(1998, 12, 31))
+CUSTOMER_YEAR_STATE = ScopeParams(date(1998, 1, 1), date(1998, 12, 31), state="NATION_7")
+
+
+def _customer(section, params=CUSTOMER_YEAR):
+    def run(spark, sf_dir):
+        st = star(spark, sf_dir)
+        return cu.customer_analysis(st, build_scope(st, params), TEST_PROFILE.rfm)[section]
+    return run
+
+
+def q_first_purchase(spark, sf_dir):
+    return cu.first_purchase(star(spark, sf_dir), CUSTOMER_YEAR)
+
+
+QUERIES.update({
+    "first_purchase": q_first_purchase,
+    "customer_window": _customer("window"),
+    "customer_summary": _customer("summary"),
+    "customer_summary_state": _customer("summary", CUSTOMER_YEAR_STATE),
+    "rfm_segments": _customer("segments"),
+    "frequency_histogram": _customer("frequency"),
+    "rfm_distribution": _customer("distribution"),
+    "rfm_distribution_state": _customer("distribution", CUSTOMER_YEAR_STATE),
+    "customers_beyond_recency": _customer("beyond_recency"),
+})
