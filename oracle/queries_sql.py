@@ -297,3 +297,245 @@ GROUP BY c.customer_unique_id""",
 SELECT CAST(coalesce(sum(customer_count) FILTER (WHERE "key" LIKE '0%'), 0) AS BIGINT) AS customers_beyond_recency
 FROM segments""",
 })
+
+
+# ---- diagnostic report -------------------------------------------------------------------------------------------
+from retailq.plans.catalog import DELIVERY, REPORT, REPORT_WEEK  # noqa: E402
+from retailq.sources.testdata import ANOMALY_SCOPE  # noqa: E402
+
+_AN = TEST_PROFILE.anomaly
+
+
+def _tagged(p, lookback=0):
+    ps, pe, _ = p.comparison()
+    lo = min(ps, p.start - _td(days=lookback))
+    tag = (f"CASE WHEN purchase_date BETWEEN {lit_date(p.start)} AND {lit_date(p.end)} THEN 'current' "
+           f"WHEN purchase_date BETWEEN {lit_date(ps)} AND {lit_date(pe)} THEN 'previous' ELSE 'history' END")
+    return [scope(p.with_dates(lo, p.end)), COV, f"""
+tagged_orders AS (SELECT *, {tag} AS period FROM scope_orders),
+tagged_items AS (SELECT *, {tag} AS period FROM scope_items),
+cmp AS (
+  SELECT coalesce(cov_start IS NOT NULL AND cov_start <= {lit_date(ps)} AND {lit_date(ps)} <= {lit_date(p.start)}
+                  AND {lit_date(p.end)} <= cov_end, FALSE) AS comparable FROM coverage)"""]
+
+
+def _headline_cte(p, by=()):
+    ps, pe, label = p.comparison()
+    byc = "".join(f"{b}, " for b in by)
+    grp = f" GROUP BY {', '.join(by)}" if by else ""
+    n1, r1, n0, r0 = "current_orders", "current_revenue_cents", "prev_orders", "prev_revenue_cents"
+    dec = lambda num: (f"CASE WHEN comparable AND {n1} > 0 AND {n0} > 0 THEN CAST({num} AS DOUBLE) / "
+                       f"CAST(2 * CAST({n1} AS HUGEINT) * {n0} AS DOUBLE) END")
+    vol = f"(CAST({n1} AS HUGEINT) - {n0}) * (CAST({r1} AS HUGEINT) * {n0} + CAST({r0} AS HUGEINT) * {n1})"
+    val = f"(CAST({r1} AS HUGEINT) * {n0} - CAST({r0} AS HUGEINT) * {n1}) * (CAST({n1} AS HUGEINT) + {n0})"
+    week = "TRUE" if p.start.weekday() == 0 and p.days == 7 else "FALSE"
+    return f"""
+hagg AS (
+  SELECT {byc}CAST(count(*) FILTER (WHERE period = 'current') AS BIGINT) AS current_orders,
+         CAST(coalesce(sum(scoped_revenue_cents) FILTER (WHERE period = 'current'), 0) AS BIGINT) AS current_revenue_cents,
+         CAST(count(*) FILTER (WHERE period = 'previous') AS BIGINT) AS prev_orders,
+         CAST(coalesce(sum(scoped_revenue_cents) FILTER (WHERE period = 'previous'), 0) AS BIGINT) AS prev_revenue_cents
+  FROM tagged_orders WHERE period <> 'history'{grp}),
+headline AS (
+  SELECT {byc}current_orders, current_revenue_cents,
+         CASE WHEN comparable THEN prev_orders END AS previous_orders,
+         CASE WHEN comparable THEN prev_revenue_cents END AS previous_revenue_cents,
+         CASE WHEN comparable THEN current_revenue_cents - prev_revenue_cents END AS delta_cents,
+         CASE WHEN comparable AND prev_revenue_cents <> 0
+              THEN CAST(current_revenue_cents - prev_revenue_cents AS DOUBLE) / prev_revenue_cents END
+           AS revenue_change_rate,
+         current_revenue_cents / {p.days} AS daily_revenue_cents,
+         CASE WHEN comparable THEN prev_revenue_cents / {(pe - ps).days + 1} END AS previous_daily_revenue_cents,
+         {dec(vol)} AS order_effect_cents, {dec(val)} AS aov_effect_cents,
+         comparable, {week} AS is_calendar_week, '{label}' AS comparison_label
+  FROM hagg CROSS JOIN cmp)"""
+
+
+def _headline_sql(p, by=()):
+    return base(*_tagged(p), _headline_cte(p, by)) + "SELECT * FROM headline"
+
+
+def _contrib_cte(dim, name="contrib"):
+    src = ("SELECT category AS name, price_cents AS money, period FROM tagged_items" if dim == "category"
+           else "SELECT state AS name, scoped_revenue_cents AS money, period FROM tagged_orders")
+    return f"""
+{name}_agg AS (
+  SELECT name, CAST(coalesce(sum(money) FILTER (WHERE period = 'current'), 0) AS BIGINT) AS current_cents,
+         CAST(coalesce(sum(money) FILTER (WHERE period = 'previous'), 0) AS BIGINT) AS previous_cents
+  FROM ({src}) s WHERE period <> 'history' GROUP BY name),
+{name} AS (
+  SELECT '{dim}' AS dimension, name, name AS label, current_cents, previous_cents,
+         current_cents - previous_cents AS delta_cents,
+         CAST(row_number() OVER (ORDER BY abs(current_cents - previous_cents) DESC, name) - 1 AS INTEGER) AS position
+  FROM {name}_agg CROSS JOIN cmp WHERE comparable)"""
+
+
+def _anomaly_sql(p, by=()):
+    byc = "".join(f", {b}" for b in by)
+    using = "".join(f", {b}" for b in by)
+    groups = f" CROSS JOIN (SELECT DISTINCT {', '.join(by)} FROM daily)" if by else ""
+    known = lambda x: f"coalesce(cov_start IS NOT NULL AND {x} >= cov_start AND {x} <= cov_end, FALSE)"
+    mult = f"CAST('{_AN.mad_multiplier * _AN.mad_scale!r}' AS DOUBLE)"
+    return base(scope(p.with_dates(p.start - _td(days=7 * _AN.weeks), p.end)), COV, f"""
+daily AS (SELECT purchase_date AS "day"{byc}, count(*) AS order_count FROM scope_orders GROUP BY ALL),
+cal AS (SELECT CAST(g AS DATE) AS "day"{byc}, cov_start, cov_end
+        FROM generate_series(CAST({lit_date(p.start)} AS TIMESTAMP), CAST({lit_date(p.end)} AS TIMESTAMP),
+                             INTERVAL 1 DAY) AS t(g){groups} CROSS JOIN coverage),
+hv AS (
+  SELECT h."day"{''.join(f', h.{b}' for b in by)}, h.hday, h.cov_start, h.cov_end, coalesce(d.order_count, 0) AS v
+  FROM (SELECT c.*, CAST(c."day" - to_days(CAST(7 * k AS INTEGER)) AS DATE) AS hday
+        FROM cal c CROSS JOIN range(1, {_AN.weeks + 1}) AS r(k)) h
+  LEFT JOIN daily d ON d."day" = h.hday{''.join(f' AND d.{b} = h.{b}' for b in by)}),
+center AS (
+  SELECT "day"{byc}, count(*) FILTER (WHERE {known('hday')}) AS baseline_n, median(v) AS center,
+         max(hday) AS history_end, min(hday) AS history_start
+  FROM hv GROUP BY ALL),
+mad AS (
+  SELECT hv."day"{''.join(f', hv.{b}' for b in by)}, median(abs(hv.v - c.center)) AS mad
+  FROM hv JOIN center c USING ("day"{using}) GROUP BY ALL),
+actual AS (
+  SELECT c."day"{''.join(f', c.{b}' for b in by)},
+         CASE WHEN {known('c."day"')} THEN coalesce(d.order_count, 0) END AS order_count,
+         {known('c."day"')} AS day_known
+  FROM cal c LEFT JOIN daily d ON d."day" = c."day"{''.join(f' AND d.{b} = c.{b}' for b in by)}),
+j AS (
+  SELECT a.*, c.baseline_n, c.center, c.history_start, c.history_end, m.mad,
+         a.day_known AND c.baseline_n = {_AN.weeks} AS "full"
+  FROM actual a JOIN center c USING ("day"{using}) JOIN mad m USING ("day"{using})),
+k AS (
+  SELECT *, CASE WHEN "full" THEN center END AS baseline_median,
+         CASE WHEN "full" THEN greatest({mult} * mad, {_AN.median_share} * center, CAST({float(_AN.floor)} AS DOUBLE)) END
+           AS threshold
+  FROM j)
+""") + f"""SELECT "day"{byc}, CAST(order_count AS BIGINT) AS order_count, CAST(baseline_n AS BIGINT) AS baseline_n,
+       baseline_median, threshold,
+       CASE WHEN NOT "full" THEN 'insufficient' WHEN center < {_AN.min_median} THEN 'insufficient'
+            WHEN abs(order_count - baseline_median) > threshold
+              THEN CASE WHEN order_count - baseline_median > 0 THEN 'high' ELSE 'low' END
+            ELSE 'normal' END AS status,
+       CASE WHEN NOT "full" THEN 'outside_coverage' WHEN center < {_AN.min_median} THEN 'sparse_baseline'
+            WHEN abs(order_count - baseline_median) > threshold THEN 'deviation' ELSE 'within_threshold' END AS reason,
+       history_start, history_end
+FROM k"""
+
+
+_PRIMARY = """
+ca AS (SELECT order_id, category, sum(price_cents) AS cents FROM scope_items GROUP BY order_id, category),
+pc AS (SELECT order_id, category FROM (
+         SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY cents DESC, category) AS rn FROM ca) WHERE rn = 1),
+po AS (SELECT o.*, pc.category FROM scope_orders o JOIN pc ON pc.order_id = o.order_id),
+labels AS (SELECT * FROM (VALUES (0, 'on_time'), (1, 'late'), (NULL, 'unknown')) AS l(is_late, delivery_group))"""
+
+
+def _group_stats(by=""):
+    keys = f"(SELECT DISTINCT {by} AS name FROM po) nm CROSS JOIN labels l" if by else "labels l"
+    gb = f"{by} AS name, " if by else ""
+    on = " AND g.name = nm.name" if by else ""
+    sel = "nm.name, " if by else ""
+    return f"""
+SELECT {sel}l.delivery_group, CAST(coalesce(g.orders, 0) AS BIGINT) AS order_count,
+       CAST(coalesce(g.n, 0) AS BIGINT) AS reviewed_orders,
+       CAST(coalesce(g.orders, 0) - coalesce(g.n, 0) AS BIGINT) AS missing_reviews,
+       CASE WHEN g.n > 0 THEN CAST(g.sk AS DOUBLE) / g.n END AS mean_score,
+       CASE WHEN g.n > 0 THEN g.med END AS median_score,
+       CASE WHEN g.n > 1 THEN sqrt(greatest((g.skk - g.sk * g.sk / g.n) / (g.n - 1), 0.0)) END AS score_sd,
+       CASE WHEN g.n > 0 THEN CAST(g.s1 + g.s2 AS DOUBLE) / g.n END AS low_score_share,
+       {', '.join(f'CAST(coalesce(g.s{s}, 0) AS BIGINT) AS score_{s}' for s in range(1, 6))}
+FROM {keys}
+LEFT JOIN (SELECT {gb}is_late, count(*) AS orders, count(review_score) AS n, sum(review_score) AS sk,
+                  sum(review_score * review_score) AS skk, median(review_score) AS med,
+                  {', '.join(f'count(*) FILTER (WHERE review_score = {s}) AS s{s}' for s in range(1, 6))}
+           FROM po GROUP BY ALL) g ON g.is_late IS NOT DISTINCT FROM l.is_late{on}"""
+
+
+def _strata_cte(dim, name):
+    return f"""
+{name}_stats AS ({_group_stats(dim)}),
+{name}_piv AS (
+  SELECT name,
+         least(max(reviewed_orders) FILTER (WHERE delivery_group = 'late'),
+               max(reviewed_orders) FILTER (WHERE delivery_group = 'on_time')) >= 20 AS comparison_eligible,
+         max(mean_score) FILTER (WHERE delivery_group = 'late') - max(mean_score) FILTER (WHERE delivery_group = 'on_time')
+           AS gap,
+         max(order_count) FILTER (WHERE delivery_group = 'late') AS late_orders
+  FROM {name}_stats GROUP BY name),
+{name}_pos AS (
+  SELECT *, CAST(row_number() OVER (ORDER BY late_orders DESC, name) - 1 AS INTEGER) AS position FROM {name}_piv),
+{name} AS (
+  SELECT '{dim}' AS dimension, s.*, p.comparison_eligible,
+         CASE WHEN p.comparison_eligible THEN p.gap END AS score_gap, p.position
+  FROM {name}_stats s JOIN {name}_pos p ON p.name = s.name)"""
+
+
+def _evidence_sql():
+    return base(*_tagged(REPORT), _headline_cte(REPORT), _contrib_cte("category", "cc"), _contrib_cte("state", "cs"),
+                scope(DELIVERY, "d_").replace("scope_items", "d_scope_items").replace(
+                    "d_d_scope_items", "d_scope_items"),
+                _PRIMARY.replace("FROM scope_items", "FROM d_scope_items").replace("FROM scope_orders",
+                                                                                     "FROM d_scope_orders"),
+                f"grp AS ({_group_stats()})", _strata_cte("category", "sc"), _strata_cte("state", "ss"), """
+h AS (
+  SELECT * FROM headline
+  WHERE comparable AND (delta_cents <> 0 OR current_orders <> previous_orders
+                        OR daily_revenue_cents <> previous_daily_revenue_cents)
+        AND (current_orders > 0 OR previous_orders > 0)),
+contrib AS (SELECT * FROM cc UNION ALL SELECT * FROM cs),
+first_nz AS (SELECT dimension, arg_min(name, position) AS name, arg_min(delta_cents, position) AS delta_cents,
+                    min(position) AS position
+             FROM contrib WHERE delta_cents <> 0 GROUP BY dimension),
+g AS (
+  SELECT max(reviewed_orders) FILTER (WHERE delivery_group = 'late') AS late_n,
+         max(reviewed_orders) FILTER (WHERE delivery_group = 'on_time') AS on_n,
+         max(mean_score) FILTER (WHERE delivery_group = 'late') AS late_mean,
+         max(mean_score) FILTER (WHERE delivery_group = 'on_time') AS on_mean
+  FROM grp),
+g_ok AS (SELECT * FROM g WHERE least(late_n, on_n) >= 20),
+strata AS (SELECT DISTINCT dimension, name, position, score_gap FROM sc WHERE comparison_eligible
+           UNION SELECT DISTINCT dimension, name, position, score_gap FROM ss WHERE comparison_eligible),
+first_ok AS (SELECT dimension, arg_min(name, position) AS name, arg_min(score_gap, position) AS score_gap,
+                    min(position) AS position FROM strata GROUP BY dimension)""") + """
+SELECT 'sales-change' AS task, 'delta_cents' AS label, '/delta_cents' AS pointer, CAST(delta_cents AS DOUBLE) AS value,
+       'cents' AS unit FROM h
+UNION ALL SELECT 'sales-change', 'daily_revenue_cents', '/daily_revenue_cents', daily_revenue_cents, 'cents' FROM h
+UNION ALL SELECT 'sales-change', 'previous_daily_revenue_cents', '/previous_daily_revenue_cents',
+                 previous_daily_revenue_cents, 'cents' FROM h
+UNION ALL SELECT 'sales-change', first_nz.dimension || ' ' || CAST(name AS VARCHAR) || ' delta_cents',
+                 '/contributions/' || dimension || '/' || CAST(position AS VARCHAR) || '/delta_cents',
+                 CAST(first_nz.delta_cents AS DOUBLE), 'cents' FROM first_nz CROSS JOIN h
+UNION ALL SELECT 'delivery-review', 'late reviewed_orders', '/delivery/groups/late/reviewed_orders', late_n, 'orders'
+          FROM g_ok
+UNION ALL SELECT 'delivery-review', 'on_time reviewed_orders', '/delivery/groups/on_time/reviewed_orders', on_n,
+                 'orders' FROM g_ok
+UNION ALL SELECT 'delivery-review', 'late mean_score', '/delivery/groups/late/mean_score', late_mean, 'score' FROM g_ok
+UNION ALL SELECT 'delivery-review', 'on_time mean_score', '/delivery/groups/on_time/mean_score', on_mean, 'score'
+          FROM g_ok
+UNION ALL SELECT 'delivery-review', dimension || ' ' || CAST(name AS VARCHAR) || ' score_gap',
+                 '/delivery/strata/' || dimension || '/' || CAST(position AS VARCHAR) || '/score_gap', score_gap, 'score'
+          FROM first_ok CROSS JOIN g_ok"""
+
+
+SQL.update({
+    "report_headline": _headline_sql(REPORT),
+    "report_headline_week": _headline_sql(REPORT_WEEK),
+    "report_headline_by_state": _headline_sql(REPORT, ("state",)),
+    "contributions_category": base(*_tagged(REPORT), _contrib_cte("category")) + "SELECT * FROM contrib",
+    "contributions_state": base(*_tagged(REPORT), _contrib_cte("state")) + "SELECT * FROM contrib",
+    "top_contributions": base(*_tagged(REPORT), _contrib_cte("state")) + "SELECT * FROM contrib WHERE position < 5",
+    "daily_series": base(scope(REPORT.with_dates(REPORT.start - _td(days=56), REPORT.end))) + """
+SELECT purchase_date AS "day", CAST(count(*) AS BIGINT) AS order_count,
+       CAST(sum(scoped_revenue_cents) AS BIGINT) AS revenue_cents FROM scope_orders GROUP BY purchase_date""",
+    "anomaly_same_weekday_mad": _anomaly_sql(ANOMALY_SCOPE),
+    "anomaly_by_state": _anomaly_sql(ANOMALY_SCOPE, ("state",)),
+    "anomaly_summary": "WITH a AS (" + _anomaly_sql(ANOMALY_SCOPE) + """)
+SELECT CAST(count(*) FILTER (WHERE status IN ('high', 'low')) AS BIGINT) AS flagged_days,
+       CAST(count(*) FILTER (WHERE status = 'high') AS BIGINT) AS high_days,
+       CAST(count(*) FILTER (WHERE status = 'low') AS BIGINT) AS low_days,
+       CAST(count(*) FILTER (WHERE status = 'insufficient') AS BIGINT) AS insufficient_days FROM a""",
+    "primary_category": base(scope(DELIVERY), _PRIMARY) + "SELECT * FROM pc",
+    "delivery_cells": base(scope(DELIVERY), _PRIMARY) + """
+SELECT category, state, is_late, review_score, CAST(count(*) AS BIGINT) AS order_count FROM po GROUP BY ALL""",
+    "score_group_stats": base(scope(DELIVERY), _PRIMARY) + _group_stats(),
+    "score_strata_category": base(scope(DELIVERY), _PRIMARY, _strata_cte("category", "st")) + "SELECT * FROM st",
+    "score_strata_state": base(scope(DELIVERY), _PRIMARY, _strata_cte("state", "st")) + "SELECT * FROM st",
+    "investigation_evidence": _evidence_sql(),
+})

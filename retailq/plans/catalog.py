@@ -188,3 +188,93 @@ QUERIES.update({
     "rfm_distribution_state": _customer("distribution", CUSTOMER_YEAR_STATE),
     "customers_beyond_recency": _customer("beyond_recency"),
 })
+
+
+# ---- diagnostic report ------------------------------------------------------------------------------------------
+from ..operators import diagnosis as dg  # noqa: E402
+from ..sources.testdata import ANOMALY_SCOPE  # noqa: E402
+
+REPORT = ScopeParams(date(1998, 7, 1), date(1998, 7, 31))
+REPORT_WEEK = ScopeParams(date(1998, 7, 6), date(1998, 7, 12))
+DELIVERY = TEST_PROFILE.scope  # 1997-01-01..1998-12-31
+
+
+def _headline(params, by=()):
+    def run(spark, sf_dir):
+        st = star(spark, sf_dir)
+        return dg.report_headline(st, params, _cov(st), by=by)
+    return run
+
+
+def _contrib(dimension, params=REPORT):
+    def run(spark, sf_dir):
+        st = star(spark, sf_dir)
+        return dg.contributions(st, params, _cov(st), dimension)
+    return run
+
+
+def q_top_contributions(spark, sf_dir):
+    st = star(spark, sf_dir)
+    return dg.top_contributions(dg.contributions(st, REPORT, _cov(st), "state"), 5)
+
+
+def q_daily_series(spark, sf_dir):
+    return dg.daily_series(star(spark, sf_dir), REPORT)
+
+
+def _anomalies(spark, sf_dir, by=()):
+    st = star(spark, sf_dir)
+    daily = dg.daily_series(st, ANOMALY_SCOPE, 7 * TEST_PROFILE.anomaly.weeks, by=by)
+    return dg.anomaly_same_weekday_mad(daily, ANOMALY_SCOPE, _cov(st), TEST_PROFILE.anomaly, by=by)
+
+
+def q_anomaly_summary(spark, sf_dir):
+    return dg.anomaly_summary(_anomalies(spark, sf_dir))
+
+
+def q_primary_category(spark, sf_dir):
+    return dg.primary_category(_scope(spark, sf_dir, DELIVERY))
+
+
+def _cells(spark, sf_dir):
+    return dg.delivery_cells(_scope(spark, sf_dir, DELIVERY))
+
+
+def q_score_group_stats(spark, sf_dir):
+    return dg.score_group_stats(_cells(spark, sf_dir))
+
+
+def _strata(dimension):
+    def run(spark, sf_dir):
+        return dg.score_strata(_cells(spark, sf_dir), dimension)
+    return run
+
+
+def q_investigation_evidence(spark, sf_dir):
+    st = star(spark, sf_dir)
+    cov = _cov(st)
+    headline = dg.report_headline(st, REPORT, cov)
+    contrib = dg.contributions(st, REPORT, cov, "category").unionByName(dg.contributions(st, REPORT, cov, "state"))
+    cells = dg.delivery_cells(build_scope(st, DELIVERY))
+    strata = dg.score_strata(cells, "category").unionByName(dg.score_strata(cells, "state"))
+    return dg.investigation_evidence(headline, contrib, dg.score_group_stats(cells), strata)
+
+
+QUERIES.update({
+    "report_headline": _headline(REPORT),
+    "report_headline_week": _headline(REPORT_WEEK),
+    "report_headline_by_state": _headline(REPORT, by=("state",)),
+    "contributions_category": _contrib("category"),
+    "contributions_state": _contrib("state"),
+    "top_contributions": q_top_contributions,
+    "daily_series": q_daily_series,
+    "anomaly_same_weekday_mad": _anomalies,
+    "anomaly_by_state": lambda spark, sf_dir: _anomalies(spark, sf_dir, by=("state",)),
+    "anomaly_summary": q_anomaly_summary,
+    "primary_category": q_primary_category,
+    "delivery_cells": _cells,
+    "score_group_stats": q_score_group_stats,
+    "score_strata_category": _strata("category"),
+    "score_strata_state": _strata("state"),
+    "investigation_evidence": q_investigation_evidence,
+})
