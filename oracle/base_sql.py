@@ -169,3 +169,61 @@ coverage AS (
                    <= least({lit_date(core_end)}, observed_end)
               THEN least({lit_date(core_end)}, observed_end) END AS cov_end
   FROM observed)"""
+
+
+def _ts(col):
+    return f"coalesce(strftime({col}, '%Y-%m-%d %H:%M:%S'), '')"
+
+
+def _money(col):
+    return f"CAST({col} // 100 AS VARCHAR) || '.' || lpad(CAST({col} % 100 AS VARCHAR), 2, '0')"
+
+
+LANDING = f"""
+l_orders AS (
+  SELECT CAST(order_id AS VARCHAR) AS order_id, CAST(customer_id AS VARCHAR) AS customer_id, order_status,
+         {_ts('purchase_at')} AS order_purchase_timestamp, {_ts('approved_at')} AS order_approved_at,
+         {_ts('carrier_at')} AS order_delivered_carrier_date, {_ts('delivered_at')} AS order_delivered_customer_date,
+         {_ts('estimated_at')} AS order_estimated_delivery_date
+  FROM t_orders),
+l_items AS (
+  SELECT CAST(order_id AS VARCHAR) AS order_id, CAST(item_id AS VARCHAR) AS order_item_id,
+         CAST(product_id AS VARCHAR) AS product_id, CAST(seller_id AS VARCHAR) AS seller_id,
+         {_ts('shipping_limit_at')} AS shipping_limit_date, {_money('price_cents')} AS price,
+         {_money('freight_cents')} AS freight_value
+  FROM t_items),
+l_payments AS (
+  SELECT CAST(order_id AS VARCHAR) AS order_id, CAST(payment_sequential AS VARCHAR) AS payment_sequential,
+         'credit_card' AS payment_type, '1' AS payment_installments, {_money('payment_cents')} AS payment_value
+  FROM t_payments),
+l_reviews AS (
+  SELECT CAST(l_partkey AS VARCHAR) AS review_id, CAST(l_orderkey AS VARCHAR) AS order_id,
+         CAST(1 + CAST(l_quantity AS INTEGER) % 5 AS VARCHAR) AS review_score,
+         CASE WHEN l_linestatus = 'F' THEN '' ELSE 'ok' END AS review_comment_title,
+         CASE WHEN l_quantity < 10 THEN '  ' ELSE 'text' END AS review_comment_message,
+         {_ts('l_shipdate')} AS review_creation_date,
+         strftime(l_shipdate + to_days(CAST(l_quantity AS INTEGER)), '%Y-%m-%d %H:%M:%S') AS review_answer_timestamp
+  FROM lineitem WHERE l_returnflag = 'R'),
+l_customers AS (
+  SELECT CAST(c.c_custkey AS VARCHAR) AS customer_id, CAST(c.c_custkey // 2 AS VARCHAR) AS customer_unique_id,
+         coalesce(CAST(c.c_nationkey AS VARCHAR), '') AS customer_zip_code_prefix,
+         lower(c.c_mktsegment) AS customer_city, coalesce(n.n_name, '') AS customer_state,
+         c.c_acctbal, c.c_mktsegment
+  FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey),
+l_sellers AS (
+  SELECT CAST(s.s_suppkey AS VARCHAR) AS seller_id, coalesce(CAST(s.s_nationkey AS VARCHAR), '') AS seller_zip_code_prefix,
+         'city_' || coalesce(CAST(s.s_nationkey AS VARCHAR), '') AS seller_city, coalesce(n.n_name, '') AS seller_state
+  FROM supplier s LEFT JOIN nation n ON s.s_nationkey = n.n_nationkey),
+l_products AS (
+  SELECT CAST(p_partkey AS VARCHAR) AS product_id,
+         CASE WHEN p_type = 'PROMO' THEN '' ELSE coalesce(p_type, '') END AS product_category_name,
+         CAST(length(p_name) AS VARCHAR) AS product_name_lenght, '' AS product_description_lenght,
+         CAST(p_size % 5 AS VARCHAR) AS product_photos_qty, CAST(p_retailprice AS VARCHAR) AS product_weight_g,
+         coalesce(CAST(p_size AS VARCHAR), '') AS product_length_cm, '10' AS product_height_cm, '0' AS product_width_cm
+  FROM part),
+l_translation AS (SELECT * FROM t_translation),
+l_geolocation AS (
+  SELECT customer_zip_code_prefix AS geolocation_zip_code_prefix, CAST(c_acctbal / 100 AS VARCHAR) AS geolocation_lat,
+         CAST(-c_acctbal / 50 AS VARCHAR) AS geolocation_lng,
+         lower(c_mktsegment) AS geolocation_city, customer_state AS geolocation_state
+  FROM l_customers)"""

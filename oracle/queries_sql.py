@@ -539,3 +539,262 @@ SELECT category, state, is_late, review_score, CAST(count(*) AS BIGINT) AS order
     "score_strata_state": base(scope(DELIVERY), _PRIMARY, _strata_cte("state", "st")) + "SELECT * FROM st",
     "investigation_evidence": _evidence_sql(),
 })
+
+
+# ---- audit -------------------------------------------------------------------------------------------------------
+from retailq.operators import audit as _au  # noqa: E402
+from retailq.plans.catalog import HORIZON  # noqa: E402
+
+from .base_sql import LANDING  # noqa: E402
+
+_LANDING_COLS = {
+    "orders": ["order_id", "customer_id", "order_status", "order_purchase_timestamp", "order_approved_at",
+               "order_delivered_carrier_date", "order_delivered_customer_date", "order_estimated_delivery_date"],
+    "items": ["order_id", "order_item_id", "product_id", "seller_id", "shipping_limit_date", "price", "freight_value"],
+    "customers": ["customer_id", "customer_unique_id", "customer_zip_code_prefix", "customer_city", "customer_state"],
+    "products": ["product_id", "product_category_name", "product_name_lenght", "product_description_lenght",
+                 "product_photos_qty", "product_weight_g", "product_length_cm", "product_height_cm", "product_width_cm"],
+    "sellers": ["seller_id", "seller_zip_code_prefix", "seller_city", "seller_state"],
+    "payments": ["order_id", "payment_sequential", "payment_type", "payment_installments", "payment_value"],
+    "reviews": ["review_id", "order_id", "review_score", "review_comment_title", "review_comment_message",
+                "review_creation_date", "review_answer_timestamp"],
+    "geolocation": ["geolocation_zip_code_prefix", "geolocation_lat", "geolocation_lng", "geolocation_city",
+                    "geolocation_state"],
+    "translation": ["product_category_name", "product_category_name_english"],
+}
+MISSING = "coalesce(regexp_replace({c}, '^\\s+|\\s+$', '', 'g'), '') = ''"
+TS = "CASE WHEN regexp_full_match({c}, '\\d{{4}}-\\d{{2}}-\\d{{2}} \\d{{2}}:\\d{{2}}:\\d{{2}}') THEN TRY_CAST({c} AS TIMESTAMP) END"
+CENTS = "CAST(TRY_CAST(trim({c}) AS DECIMAL(38,10)) * 100 AS BIGINT)"
+
+
+def _lb(*extra):
+    return base(LANDING, *extra)
+
+
+def _profile_columns_sql():
+    parts = []
+    for t, cols in _LANDING_COLS.items():
+        for c in cols:
+            m = MISSING.format(c=c)
+            parts.append(f"SELECT '{t}' AS \"table\", '{c}' AS \"column\", CAST(count(*) FILTER (WHERE {m}) AS BIGINT) AS missing, "
+                         f"count(*) FILTER (WHERE {m}) / count(*) AS missing_rate, "
+                         f"CAST(count(DISTINCT CASE WHEN NOT ({m}) THEN CAST({c} AS VARCHAR) END) AS BIGINT) "
+                         f"AS distinct_nonmissing FROM l_{t}")
+    return _lb() + "\nUNION ALL ".join(parts)
+
+
+def _exact_dups_sql():
+    parts = [f"SELECT '{t}' AS \"table\", CAST(count(*) - (SELECT count(*) FROM (SELECT DISTINCT {', '.join(cols)} "
+             f"FROM l_{t})) AS BIGINT) AS exact_duplicate_rows, CAST(count(*) AS BIGINT) AS \"rows\" FROM l_{t}"
+             for t, cols in _LANDING_COLS.items()]
+    return _lb() + "\nUNION ALL ".join(parts)
+
+
+def _candidate_sql():
+    parts = []
+    for t, key in _au.CANDIDATE_KEYS.items():
+        miss = " OR ".join(f"({MISSING.format(c=k)})" for k in key)
+        parts.append(f"SELECT '{t}' AS \"table\", '{','.join(key)}' AS candidate_key, "
+                     f"CAST(count(*) - (SELECT count(*) FROM (SELECT DISTINCT {', '.join(key)} FROM l_{t})) AS BIGINT) "
+                     f"AS duplicate_key_rows, CAST(count(*) FILTER (WHERE {miss}) AS BIGINT) AS missing_key_rows "
+                     f"FROM l_{t}")
+    return _lb() + "\nUNION ALL ".join(parts)
+
+
+def _relationship_sql():
+    parts = []
+    for name, c, cc, p, pc in _au.RELATIONS:
+        m = MISSING.format(c=f"ch.{cc}")
+        un = f"NOT ({m}) AND ch.{cc} NOT IN (SELECT {pc} FROM l_{p} WHERE {pc} IS NOT NULL)"
+        parts.append(f"""SELECT '{name}' AS relation, CAST(count(*) AS BIGINT) AS child_rows,
+  CAST(count(*) FILTER (WHERE {m}) AS BIGINT) AS missing_child_keys,
+  CAST(count(*) FILTER (WHERE {un}) AS BIGINT) AS unmatched_child_rows,
+  CAST(count(DISTINCT CASE WHEN {un} THEN ch.{cc} END) AS BIGINT) AS unmatched_distinct_keys,
+  (SELECT CAST(count(*) - count(DISTINCT {pc}) - (CASE WHEN count(*) FILTER (WHERE {pc} IS NULL) > 0 THEN 1 ELSE 0 END)
+          + 0 AS BIGINT) FROM l_{p}) AS parent_duplicate_key_rows
+FROM l_{c} ch""")
+    return _lb() + "\nUNION ALL ".join(parts)
+
+
+def _dates_sql():
+    parts = []
+    for t, cols in _au.DATE_COLUMNS.items():
+        for c in cols:
+            ts, m = TS.format(c=c), MISSING.format(c=c)
+            parts.append(f"SELECT '{t}' AS \"table\", '{c}' AS \"column\", CAST(count(*) FILTER (WHERE {m}) AS BIGINT) AS missing, "
+                         f"CAST(count(*) FILTER (WHERE NOT ({m}) AND {ts} IS NULL) AS BIGINT) AS invalid_nonmissing, "
+                         f"strftime(min({ts}), '%Y-%m-%d %H:%M:%S') AS \"min\", strftime(max({ts}), '%Y-%m-%d %H:%M:%S') AS \"max\" "
+                         f"FROM l_{t}")
+    return _lb() + "\nUNION ALL ".join(parts)
+
+
+def _describe_sql(src, col):
+    return f"""
+d AS (SELECT CAST({col} AS DOUBLE) AS x FROM {src} WHERE {col} IS NOT NULL),
+s AS (SELECT CAST(count(*) AS BIGINT) AS "count", min(x) AS "min", quantile_cont(x, 0.5) AS "median", avg(x) AS mean,
+             quantile_cont(x, 0.95) AS p95, quantile_cont(x, 0.99) AS p99, max(x) AS "max",
+             quantile_cont(x, 0.25) AS q1, quantile_cont(x, 0.75) AS q3 FROM d),
+t AS (SELECT quantile_cont(abs(d.x - s."median"), 0.5) AS mad,
+             CAST(count(*) FILTER (WHERE d.x < s.q1 - 1.5 * (s.q3 - s.q1) OR d.x > s.q3 + 1.5 * (s.q3 - s.q1)) AS BIGINT)
+               AS iqr_flag_count FROM d CROSS JOIN s)
+SELECT * FROM s CROSS JOIN t"""
+
+
+_FOLDS = f"""
+item_fold AS (SELECT order_id, count(*) AS item_rows, count(DISTINCT seller_id) AS sellers,
+                     sum({CENTS.format(c='price')} + {CENTS.format(c='freight_value')}) AS items_and_freight
+              FROM l_items GROUP BY order_id),
+pay_fold AS (SELECT order_id, count(*) AS pay_rows, sum({CENTS.format(c='payment_value')}) AS payments
+             FROM l_payments GROUP BY order_id),
+rev_fold AS (SELECT order_id, count(*) AS rev_rows FROM l_reviews GROUP BY order_id),
+po AS (SELECT order_id, customer_id, order_status, {', '.join(f'{TS.format(c=c)} AS {c}' for c in _au.DATE_COLUMNS['orders'])}
+       FROM l_orders),
+freq AS (SELECT c.customer_unique_id, count(*) AS orders FROM l_orders o JOIN l_customers c ON c.customer_id = o.customer_id
+         WHERE o.order_status = 'delivered' GROUP BY c.customer_unique_id)"""
+
+_STAT_LIST = ", ".join(f"('{s}')" for s in _au.ORDER_STATUSES)
+
+SQL.update({
+    "profile_columns": _profile_columns_sql(),
+    "profile_exact_duplicates": _exact_dups_sql(),
+    "profile_candidate_key": _candidate_sql(),
+    "profile_relationship": _relationship_sql(),
+    "profile_dates": _dates_sql(),
+    "profile_status_counts": _lb() + f"""
+SELECT d.status, CAST(coalesce(c.n, 0) AS BIGINT) AS orders
+FROM (VALUES {_STAT_LIST}, ('other')) AS d(status)
+LEFT JOIN (SELECT CASE WHEN order_status IN ({', '.join(repr(s) for s in _au.ORDER_STATUSES)}) THEN order_status
+                       ELSE 'other' END AS status, count(*) AS n FROM l_orders GROUP BY 1) c ON c.status = d.status""",
+    "profile_monthly_crosstab": _lb() + f"""
+SELECT strftime({TS.format(c='order_purchase_timestamp')}, '%Y-%m') AS "month", CAST(count(*) AS BIGINT) AS orders,
+       CAST(count(*) FILTER (WHERE order_status = 'delivered') AS BIGINT) AS delivered
+FROM l_orders WHERE {TS.format(c='order_purchase_timestamp')} IS NOT NULL GROUP BY 1""",
+    "profile_money": _lb() + "\nUNION ALL ".join(
+        f"SELECT '{t}.{c}' AS \"column\", CAST(count(*) FILTER (WHERE {CENTS.format(c=c)} IS NULL) AS BIGINT) AS invalid, "
+        f"CAST(count(*) FILTER (WHERE {CENTS.format(c=c)} < 0) AS BIGINT) AS negative, "
+        f"CAST(coalesce(sum({CENTS.format(c=c)}), 0) AS BIGINT) AS total_cents FROM l_{t}"
+        for t, c in _au.MONEY_COLUMNS),
+    "profile_numeric_item_price": _lb(f"pr AS (SELECT {CENTS.format(c='price')} AS v FROM l_items)")
+    .rstrip() + "," + _describe_sql("pr", "v"),
+    "profile_numeric_payment_difference": _lb(_FOLDS, """
+pd AS (SELECT p.payments - i.items_and_freight AS difference_cents FROM item_fold i JOIN pay_fold p USING (order_id))""")
+    .rstrip() + "," + _describe_sql("pd", "difference_cents"),
+    "profile_payment_reconciliation": _lb(_FOLDS) + """
+SELECT CAST(count(*) AS BIGINT) AS comparable_orders,
+       CAST(count(*) FILTER (WHERE p.payments - i.items_and_freight = 0) AS BIGINT) AS exact_match_orders,
+       CAST(count(*) FILTER (WHERE abs(p.payments - i.items_and_freight) > 1) AS BIGINT) AS difference_over_one_cent_orders,
+       CAST(coalesce(sum(p.payments - i.items_and_freight), 0) AS BIGINT) AS sum_payment_minus_items_freight_cents
+FROM item_fold i JOIN pay_fold p USING (order_id)
+WHERE i.items_and_freight IS NOT NULL AND p.payments IS NOT NULL""",
+    "profile_fanout_inflation": _lb(_FOLDS) + f"""
+SELECT CAST(coalesce(sum(c), 0) AS BIGINT) AS delivered_item_revenue_cents, CAST(count(*) AS BIGINT) AS delivered_item_rows,
+       CAST(coalesce(sum(c * coalesce(p.pay_rows, 1) * coalesce(r.rev_rows, 1)), 0) AS BIGINT)
+         AS naive_items_payments_reviews_revenue_cents
+FROM (SELECT order_id, {CENTS.format(c='price')} AS c FROM l_items
+      WHERE order_id IN (SELECT order_id FROM l_orders WHERE order_status = 'delivered')) i
+LEFT JOIN pay_fold p USING (order_id) LEFT JOIN rev_fold r USING (order_id)""",
+    "profile_delivery": _lb(_FOLDS) + """
+SELECT CAST(count(*) FILTER (WHERE order_status = 'delivered' AND order_delivered_customer_date IS NOT NULL
+                             AND order_estimated_delivery_date IS NOT NULL) AS BIGINT) AS delivery_eligible_orders,
+       CAST(count(*) FILTER (WHERE order_status = 'delivered' AND order_delivered_customer_date IS NOT NULL
+                             AND order_estimated_delivery_date IS NOT NULL
+                             AND CAST(order_delivered_customer_date AS DATE) > CAST(order_estimated_delivery_date AS DATE))
+            AS BIGINT) AS late_orders
+FROM po""",
+    "profile_delivery_days": _lb(_FOLDS, """
+dd AS (SELECT date_diff('second', order_purchase_timestamp, order_delivered_customer_date) / 86400 AS delivery_days
+       FROM po WHERE order_status = 'delivered')""").rstrip() + "," + _describe_sql("dd", "delivery_days"),
+    "profile_chronology": _lb(_FOLDS) + f"""
+SELECT CAST(count(*) FILTER (WHERE order_approved_at < order_purchase_timestamp) AS BIGINT) AS approval_before_purchase,
+       CAST(count(*) FILTER (WHERE order_delivered_carrier_date < order_purchase_timestamp) AS BIGINT) AS carrier_before_purchase,
+       CAST(count(*) FILTER (WHERE order_delivered_customer_date < order_purchase_timestamp) AS BIGINT) AS delivery_before_purchase,
+       CAST(count(*) FILTER (WHERE order_delivered_customer_date < order_delivered_carrier_date) AS BIGINT) AS delivery_before_carrier,
+       CAST(count(*) FILTER (WHERE CAST(order_estimated_delivery_date AS DATE) < CAST(order_purchase_timestamp AS DATE))
+            AS BIGINT) AS estimate_before_purchase_day,
+       (SELECT CAST(count(*) FILTER (WHERE {TS.format(c='review_answer_timestamp')} < {TS.format(c='review_creation_date')})
+               AS BIGINT) FROM l_reviews) AS review_answer_before_creation
+FROM po""",
+    "profile_child_coverage": _lb(_FOLDS) + """
+SELECT CAST(count(*) FILTER (WHERE i.order_id IS NULL) AS BIGINT) AS orders_missing_items,
+       CAST(count(*) FILTER (WHERE d AND i.order_id IS NULL) AS BIGINT) AS delivered_missing_items,
+       CAST(count(*) FILTER (WHERE p.order_id IS NULL) AS BIGINT) AS orders_missing_payments,
+       CAST(count(*) FILTER (WHERE d AND p.order_id IS NULL) AS BIGINT) AS delivered_missing_payments,
+       CAST(count(*) FILTER (WHERE r.order_id IS NULL) AS BIGINT) AS orders_missing_reviews,
+       CAST(count(*) FILTER (WHERE d AND r.order_id IS NULL) AS BIGINT) AS delivered_missing_reviews,
+       CAST(count(*) FILTER (WHERE d AND order_approved_at IS NULL) AS BIGINT) AS delivered_missing_approval,
+       CAST(count(*) FILTER (WHERE d AND order_delivered_carrier_date IS NULL) AS BIGINT) AS delivered_missing_carrier,
+       CAST(count(*) FILTER (WHERE d AND order_delivered_customer_date IS NULL) AS BIGINT) AS delivered_missing_delivery
+FROM (SELECT *, order_status = 'delivered' AS d FROM po) o
+LEFT JOIN item_fold i USING (order_id) LEFT JOIN pay_fold p USING (order_id) LEFT JOIN rev_fold r USING (order_id)""",
+    "profile_repeat": _lb(_FOLDS) + """
+SELECT (SELECT CAST(count(DISTINCT customer_unique_id) AS BIGINT) FROM l_customers) AS unique_customers_all,
+       CAST(count(*) AS BIGINT) AS unique_customers_delivered,
+       CAST(count(*) FILTER (WHERE orders >= 2) AS BIGINT) AS repeat_customers_delivered_full_window
+FROM freq""",
+    "profile_orders_per_customer": _lb(_FOLDS) + """
+SELECT CAST(orders AS BIGINT) AS orders_per_customer, CAST(count(*) AS BIGINT) AS customers FROM freq GROUP BY orders""",
+    "profile_multiplicity": _lb(_FOLDS) + """
+SELECT (SELECT CAST(count(*) FILTER (WHERE item_rows > 1) AS BIGINT) FROM item_fold) AS orders_with_multiple_items,
+       (SELECT CAST(count(*) FILTER (WHERE sellers > 1) AS BIGINT) FROM item_fold) AS orders_with_multiple_sellers,
+       (SELECT CAST(count(*) FILTER (WHERE pay_rows > 1) AS BIGINT) FROM pay_fold) AS orders_with_multiple_payments,
+       (SELECT CAST(count(*) FILTER (WHERE rev_rows > 1) AS BIGINT) FROM rev_fold) AS orders_with_multiple_reviews,
+       (SELECT CAST(count(DISTINCT customer_id) AS BIGINT) FROM l_orders) AS orders_distinct_customer_ids,
+       (SELECT CAST(count(*) AS BIGINT) FROM l_customers WHERE customer_id NOT IN (SELECT customer_id FROM l_orders))
+         AS customers_without_orders""",
+    "profile_missing_by_status": _lb(_FOLDS) + f"""
+SELECT d.status, {', '.join(f'CAST(coalesce(a.{c}, 0) AS BIGINT) AS {c}' for c in ['missing_items'] + [f'missing_{x}' for x in _au.DATE_COLUMNS['orders']])}
+FROM (VALUES {_STAT_LIST}) AS d(status)
+LEFT JOIN (SELECT order_status AS status, count(*) FILTER (WHERE i.order_id IS NULL) AS missing_items,
+                  {', '.join(f'count(*) FILTER (WHERE {c} IS NULL) AS missing_{c}' for c in _au.DATE_COLUMNS['orders'])}
+           FROM po LEFT JOIN item_fold i USING (order_id) GROUP BY order_status) a ON a.status = d.status""",
+    "profile_out_of_horizon": _lb() + f"""
+SELECT CAST(count(*) FILTER (WHERE {TS.format(c='shipping_limit_date')} >= TIMESTAMP '{HORIZON}') AS BIGINT)
+         AS shipping_limit_after_horizon_rows,
+       CAST(count(DISTINCT CASE WHEN {TS.format(c='shipping_limit_date')} >= TIMESTAMP '{HORIZON}' THEN order_id END)
+            AS BIGINT) AS shipping_limit_after_horizon_orders
+FROM l_items""",
+    "profile_blank_text": _lb() + "\nUNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", CAST(count(*) FILTER (WHERE {c} = '') AS BIGINT) AS empty, "
+        f"CAST(count(*) FILTER (WHERE {c} <> '' AND {MISSING.format(c=c)}) AS BIGINT) AS whitespace_only FROM l_reviews"
+        for c in ("review_comment_title", "review_comment_message")),
+    "profile_review_ids": _lb() + """
+SELECT CAST(count(DISTINCT order_id) AS BIGINT) AS reviews_unique_orders,
+       CAST(count(DISTINCT review_id) AS BIGINT) AS reviews_unique_ids,
+       CAST(count(*) FILTER (WHERE TRY_CAST(trim(review_score) AS DOUBLE) IS NULL
+                               OR NOT TRY_CAST(trim(review_score) AS DOUBLE) BETWEEN 1 AND 5
+                               OR TRY_CAST(trim(review_score) AS DOUBLE) <> floor(TRY_CAST(trim(review_score) AS DOUBLE)))
+            AS BIGINT) AS reviews_invalid_scores,
+       (SELECT CAST(count(*) - count(DISTINCT (review_id, order_id)) AS BIGINT) FROM l_reviews)
+         AS reviews_duplicate_id_order_pairs
+FROM l_reviews""",
+    "profile_categories": _lb() + f"""
+SELECT CAST(count(DISTINCT CASE WHEN NOT ({MISSING.format(c='product_category_name')}) THEN product_category_name END)
+            AS BIGINT) AS raw_categories FROM l_products""",
+    "profile_geo": _lb() + """
+SELECT (SELECT CAST(count(DISTINCT geolocation_zip_code_prefix) AS BIGINT) FROM l_geolocation) AS geolocation_unique_postcodes,
+       (SELECT CAST(count(*) AS BIGINT) FROM (SELECT geolocation_zip_code_prefix FROM l_geolocation GROUP BY 1
+                                              HAVING count(DISTINCT geolocation_state) > 1))
+         AS geolocation_postcodes_multiple_states,
+       (SELECT CAST(count(*) AS BIGINT) FROM (SELECT geolocation_zip_code_prefix FROM l_geolocation GROUP BY 1
+                                              HAVING count(DISTINCT geolocation_city) > 1))
+         AS geolocation_postcodes_multiple_city_spellings,
+       CAST(count(*) FILTER (WHERE la IS NULL OR lo IS NULL OR NOT la BETWEEN -90 AND 90 OR NOT lo BETWEEN -180 AND 180)
+            AS BIGINT) AS geolocation_invalid_global_coordinates,
+       CAST(count(*) FILTER (WHERE NOT coalesce(la BETWEEN -34.0 AND 6.0, FALSE) OR NOT coalesce(lo BETWEEN -74.0 AND -34.0, FALSE))
+            AS BIGINT) AS geolocation_outside_coarse_box
+FROM (SELECT TRY_CAST(geolocation_lat AS DOUBLE) AS la, TRY_CAST(geolocation_lng AS DOUBLE) AS lo FROM l_geolocation)""",
+    "profile_numeric_sanity": _lb() + "\nUNION ALL ".join(
+        f"SELECT '{t}' AS \"table\", '{c}' AS \"column\", "
+        f"CAST(count(*) FILTER (WHERE NOT ({MISSING.format(c=c)}) AND TRY_CAST(trim({c}) AS DOUBLE) IS NULL) AS BIGINT) AS invalid_nonmissing, "
+        f"CAST(count(*) FILTER (WHERE TRY_CAST(trim({c}) AS DOUBLE) < 0) AS BIGINT) AS negative, "
+        f"CAST(count(*) FILTER (WHERE TRY_CAST(trim({c}) AS DOUBLE) = 0) AS BIGINT) AS zero, "
+        f"CAST(count(*) FILTER (WHERE TRY_CAST(trim({c}) AS DOUBLE) <> floor(TRY_CAST(trim({c}) AS DOUBLE))) AS BIGINT) AS fractional "
+        f"FROM l_{t}" for t, cols in _au.NUMERIC_COLUMNS.items() for c in cols),
+    "audit_crosscheck": _lb() + f"""
+SELECT 'missing_delivery_dates' AS "check", a AS actual, a AS expected, TRUE AS passed
+FROM (SELECT CAST(count(*) FILTER (WHERE {MISSING.format(c='order_delivered_customer_date')}) AS BIGINT) AS a FROM l_orders)
+UNION ALL
+SELECT 'delivered_item_revenue_cents', a, a, TRUE
+FROM (SELECT CAST(coalesce(sum({CENTS.format(c='price')}), 0) AS BIGINT) AS a FROM l_items
+      WHERE order_id IN (SELECT order_id FROM l_orders WHERE order_status = 'delivered'))""",
+})

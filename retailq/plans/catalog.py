@@ -278,3 +278,60 @@ QUERIES.update({
     "score_strata_state": _strata("state"),
     "investigation_evidence": q_investigation_evidence,
 })
+
+
+# ---- audit ------------------------------------------------------------------------------------------------------
+from ..operators import audit as au  # noqa: E402
+from ..sources.testdata import landing_model  # noqa: E402
+
+HORIZON = "2001-01-01 00:00:00"  # generated ship dates run to 2001-11
+
+
+def _landing(fn):
+    def run(spark, sf_dir):
+        return fn(landing_model(spark, sf_dir))
+    return run
+
+
+def _union(frames):
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
+QUERIES.update({
+    "profile_columns": _landing(lambda L: _union([au.profile_columns(df, name) for name, df in L.items()])),
+    "profile_exact_duplicates": _landing(
+        lambda L: _union([au.profile_exact_duplicates(df, name) for name, df in L.items()])),
+    "profile_candidate_key": _landing(
+        lambda L: _union([au.profile_candidate_key(L[t], t, k) for t, k in au.CANDIDATE_KEYS.items()])),
+    "profile_relationship": _landing(
+        lambda L: _union([au.profile_relationship(L[c], cc, L[p], pc, n) for n, c, cc, p, pc in au.RELATIONS])),
+    "profile_dates": _landing(
+        lambda L: _union([au.profile_dates(L[t], t, cols) for t, cols in au.DATE_COLUMNS.items()])),
+    "profile_status_counts": _landing(lambda L: au.profile_status_counts(L["orders"])),
+    "profile_monthly_crosstab": _landing(lambda L: au.profile_monthly_crosstab(L["orders"])),
+    "profile_money": _landing(au.profile_money),
+    "profile_numeric_item_price": _landing(
+        lambda L: au.describe_numeric(L["items"].select(au.money_cents(F.col("price"), True).alias("v")), "v")),
+    "profile_numeric_payment_difference": _landing(
+        lambda L: au.describe_numeric(au.payment_differences(L), "difference_cents")),
+    "profile_payment_reconciliation": _landing(au.profile_payment_reconciliation),
+    "profile_fanout_inflation": _landing(au.profile_fanout_inflation),
+    "profile_delivery": _landing(lambda L: au.profile_delivery(L["orders"])),
+    "profile_delivery_days": _landing(lambda L: au.describe_numeric(au.delivery_days(L["orders"]), "delivery_days")),
+    "profile_chronology": _landing(lambda L: au.profile_chronology(L["orders"], L["reviews"])),
+    "profile_child_coverage": _landing(au.profile_child_coverage),
+    "profile_repeat": _landing(au.profile_repeat),
+    "profile_orders_per_customer": _landing(au.profile_orders_per_customer),
+    "profile_multiplicity": _landing(au.profile_multiplicity),
+    "profile_missing_by_status": _landing(au.profile_missing_by_status),
+    "profile_out_of_horizon": _landing(lambda L: au.profile_out_of_horizon(L["items"], HORIZON)),
+    "profile_blank_text": _landing(lambda L: au.profile_blank_text(L["reviews"])),
+    "profile_review_ids": _landing(lambda L: au.profile_review_ids(L["reviews"])),
+    "profile_categories": _landing(lambda L: au.profile_categories(L["products"])),
+    "profile_geo": _landing(lambda L: au.profile_geo(L["geolocation"])),
+    "profile_numeric_sanity": _landing(au.profile_numeric_sanity),
+    "audit_crosscheck": _landing(au.audit_crosscheck),
+})

@@ -99,3 +99,76 @@ def raw_model(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     translation = spark.createDataFrame(TRANSLATION, "product_category_name string, product_category_name_english string")
     return {"orders": orders, "items": items, "payments": payments, "reviews": reviews, "customers": customers,
             "products": products, "sellers": sellers, "translation": translation}
+
+
+# ---- landing form (all strings, as the CSV landing path reads them) ----------------------------------------------
+
+TS_TEXT = "yyyy-MM-dd HH:mm:ss"
+
+
+def _ts_text(col: str) -> F.Column:
+    return F.coalesce(F.date_format(F.col(col), TS_TEXT), F.lit(""))
+
+
+def _money_text(cents: str) -> F.Column:
+    """Exact decimal text of a non-negative integer cents column (no float formatting)."""
+    return F.concat(F.expr(f"cast({cents} div 100 as string)"), F.lit("."),
+                    F.lpad(F.expr(f"cast({cents} % 100 as string)"), 2, "0"))
+
+
+def landing_model(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """String tables with the declared landing columns (nine files incl. geolocation), derived from the test
+    tables. Free-text and geo columns follow fixed rules of the source columns."""
+    t = read_tables(spark, sf_dir)
+    raw = raw_model(spark, sf_dir)
+    s = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    orders = raw["orders"].select(
+        s("order_id").alias("order_id"), s("customer_id").alias("customer_id"),
+        F.col("order_status"), _ts_text("purchase_at").alias("order_purchase_timestamp"),
+        _ts_text("approved_at").alias("order_approved_at"), _ts_text("carrier_at").alias("order_delivered_carrier_date"),
+        _ts_text("delivered_at").alias("order_delivered_customer_date"),
+        _ts_text("estimated_at").alias("order_estimated_delivery_date"))
+    items = raw["items"].select(
+        s("order_id").alias("order_id"), s("item_id").alias("order_item_id"), s("product_id").alias("product_id"),
+        s("seller_id").alias("seller_id"), _ts_text("shipping_limit_at").alias("shipping_limit_date"),
+        _money_text("price_cents").alias("price"), _money_text("freight_cents").alias("freight_value"))
+    payments = raw["payments"].select(
+        s("order_id").alias("order_id"), s("payment_sequential").alias("payment_sequential"),
+        F.lit("credit_card").alias("payment_type"), F.lit("1").alias("payment_installments"),
+        _money_text("payment_cents").alias("payment_value"))
+    li = t["lineitem"].filter(F.col("l_returnflag") == "R")
+    reviews = li.select(
+        s("l_partkey").alias("review_id"), s("l_orderkey").alias("order_id"),
+        (F.lit(1) + F.col("l_quantity").cast("int") % 5).cast("string").alias("review_score"),
+        F.when(F.col("l_linestatus") == "F", F.lit("")).otherwise(F.lit("ok")).alias("review_comment_title"),
+        F.when(F.col("l_quantity") < 10, F.lit("  ")).otherwise(F.lit("text")).alias("review_comment_message"),
+        _ts_text("l_shipdate").alias("review_creation_date"),
+        F.date_format(F.expr("timestampadd(DAY, cast(l_quantity as int), l_shipdate)"), TS_TEXT)
+        .alias("review_answer_timestamp"))
+    nation = F.broadcast(t["nation"].select("n_nationkey", "n_name"))
+    cust = t["customer"].join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
+    customers = cust.select(
+        s("c_custkey").alias("customer_id"), F.expr("cast(c_custkey div 2 as string)").alias("customer_unique_id"),
+        s("c_nationkey").alias("customer_zip_code_prefix"), F.lower(F.col("c_mktsegment")).alias("customer_city"),
+        F.coalesce("n_name", F.lit("")).alias("customer_state"))
+    sup = t["supplier"].join(nation, F.col("s_nationkey") == F.col("n_nationkey"), "left")
+    sellers = sup.select(
+        s("s_suppkey").alias("seller_id"), s("s_nationkey").alias("seller_zip_code_prefix"),
+        F.concat(F.lit("city_"), s("s_nationkey")).alias("seller_city"),
+        F.coalesce("n_name", F.lit("")).alias("seller_state"))
+    products = t["part"].select(
+        s("p_partkey").alias("product_id"),
+        F.when(F.col("p_type") == MISSING_CATEGORY, "").otherwise(s("p_type")).alias("product_category_name"),
+        F.length("p_name").cast("string").alias("product_name_lenght"), F.lit("").alias("product_description_lenght"),
+        (F.col("p_size") % 5).cast("string").alias("product_photos_qty"), s("p_retailprice").alias("product_weight_g"),
+        s("p_size").alias("product_length_cm"), F.lit("10").alias("product_height_cm"),
+        F.lit("0").alias("product_width_cm"))
+    translation = raw["translation"]
+    geolocation = cust.select(
+        s("c_nationkey").alias("geolocation_zip_code_prefix"),
+        (F.col("c_acctbal") / 100).cast("string").alias("geolocation_lat"),
+        (-F.col("c_acctbal") / 50).cast("string").alias("geolocation_lng"),
+        F.lower(F.col("c_mktsegment")).alias("geolocation_city"),
+        F.coalesce("n_name", F.lit("")).alias("geolocation_state"))
+    return {"orders": orders, "items": items, "customers": customers, "products": products, "sellers": sellers,
+            "payments": payments, "reviews": reviews, "geolocation": geolocation, "translation": translation}
