@@ -11,7 +11,10 @@ from pyspark.sql import functions as F
 from ..functions.parse import (is_missing, money_cents, money_valid, strict_timestamp, trimmed)
 from ..params import ORDER_STATUSES
 
-ZERO = F.lit(0).cast("bigint")
+
+
+def _zero() -> F.Column:
+    return F.lit(0).cast("bigint")
 
 # Fixed values of the audit.
 DATE_COLUMNS = {"orders": ["order_purchase_timestamp", "order_approved_at", "order_delivered_carrier_date",
@@ -59,8 +62,8 @@ def profile_columns(df: DataFrame, table: str) -> DataFrame:
 
 def profile_exact_duplicates(df: DataFrame, table: str) -> DataFrame:
     dup = df.groupBy(*df.columns).count()
-    return dup.agg(F.coalesce(F.sum(F.col("count") - 1), ZERO).alias("exact_duplicate_rows"),
-                   F.coalesce(F.sum("count"), ZERO).alias("rows")).select(F.lit(table).alias("table"), "*")
+    return dup.agg(F.coalesce(F.sum(F.col("count") - 1), _zero()).alias("exact_duplicate_rows"),
+                   F.coalesce(F.sum("count"), _zero()).alias("rows")).select(F.lit(table).alias("table"), "*")
 
 
 def profile_candidate_key(df: DataFrame, table: str, key: list[str]) -> DataFrame:
@@ -68,8 +71,8 @@ def profile_candidate_key(df: DataFrame, table: str, key: list[str]) -> DataFram
     per_key = df.groupBy(*key).agg(F.count(F.lit(1)).alias("n"),
                                    F.count_if(F.greatest(*[is_missing(F.col(k)) for k in key])
                                               if len(key) > 1 else is_missing(F.col(key[0]))).alias("m"))
-    return per_key.agg(F.coalesce(F.sum(F.col("n") - 1), ZERO).alias("duplicate_key_rows"),
-                       F.coalesce(F.sum("m"), ZERO).alias("missing_key_rows")) \
+    return per_key.agg(F.coalesce(F.sum(F.col("n") - 1), _zero()).alias("duplicate_key_rows"),
+                       F.coalesce(F.sum("m"), _zero()).alias("missing_key_rows")) \
         .select(F.lit(table).alias("table"), F.lit(",".join(key)).alias("candidate_key"), "*")
 
 
@@ -84,7 +87,7 @@ def profile_relationship(child: DataFrame, child_col: str, parent: DataFrame, pa
     row = j.agg(F.count(F.lit(1)).alias("child_rows"), F.count_if(miss).alias("missing_child_keys"),
                 F.count_if(unmatched).alias("unmatched_child_rows"),
                 F.count_distinct(F.when(unmatched, F.col("_k"))).alias("unmatched_distinct_keys"))
-    dup = parents.agg(F.coalesce(F.sum(F.col("_n") - 1), ZERO).alias("parent_duplicate_key_rows"))
+    dup = parents.agg(F.coalesce(F.sum(F.col("_n") - 1), _zero()).alias("parent_duplicate_key_rows"))
     return row.crossJoin(dup).select(F.lit(name).alias("relation"), "*")
 
 
@@ -105,7 +108,7 @@ def profile_status_counts(orders: DataFrame) -> DataFrame:
     counted = orders.select(F.when(F.col("order_status").isin(*ORDER_STATUSES), F.col("order_status"))
                             .otherwise(F.lit("other")).alias("status")).groupBy("status").count()
     return F.broadcast(domain).join(counted, "status", "left").select(
-        "status", F.coalesce("count", ZERO).alias("orders"))
+        "status", F.coalesce("count", _zero()).alias("orders"))
 
 
 def profile_monthly_crosstab(orders: DataFrame) -> DataFrame:
@@ -123,7 +126,7 @@ def profile_money(L: dict[str, DataFrame]) -> DataFrame:
         parts.append(L[table].agg(
             F.count_if(~money_valid(v, allow_negative=True)).alias("invalid"),
             F.count_if(cents < 0).alias("negative"),
-            F.coalesce(F.sum(cents), ZERO).alias("total_cents")).select(
+            F.coalesce(F.sum(cents), _zero()).alias("total_cents")).select(
             F.lit(f"{table}.{col}").alias("column"), "*"))
     out = parts[0]
     for p in parts[1:]:
@@ -168,7 +171,7 @@ def profile_payment_reconciliation(L: dict[str, DataFrame]) -> DataFrame:
     diff = F.col("payments") - F.col("items_and_freight")
     return both.agg(F.count(F.lit(1)).alias("comparable_orders"), F.count_if(diff == 0).alias("exact_match_orders"),
                     F.count_if(F.abs(diff) > 1).alias("difference_over_one_cent_orders"),
-                    F.coalesce(F.sum(diff), ZERO).alias("sum_payment_minus_items_freight_cents"))
+                    F.coalesce(F.sum(diff), _zero()).alias("sum_payment_minus_items_freight_cents"))
 
 
 def payment_differences(L: dict[str, DataFrame]) -> DataFrame:
@@ -187,9 +190,9 @@ def profile_fanout_inflation(L: dict[str, DataFrame]) -> DataFrame:
     j = items.join(pay_fold.select("order_id", "pay_rows"), "order_id", "left") \
         .join(rev_fold.select("order_id", "rev_rows"), "order_id", "left")
     w = F.coalesce("pay_rows", F.lit(1)) * F.coalesce("rev_rows", F.lit(1))
-    return j.agg(F.coalesce(F.sum("cents"), ZERO).alias("delivered_item_revenue_cents"),
+    return j.agg(F.coalesce(F.sum("cents"), _zero()).alias("delivered_item_revenue_cents"),
                  F.count(F.lit(1)).alias("delivered_item_rows"),
-                 F.coalesce(F.sum(F.col("cents") * w), ZERO).alias("naive_items_payments_reviews_revenue_cents"))
+                 F.coalesce(F.sum(F.col("cents") * w), _zero()).alias("naive_items_payments_reviews_revenue_cents"))
 
 
 def _parsed_orders(orders: DataFrame) -> DataFrame:
@@ -289,7 +292,7 @@ def profile_missing_by_status(L: dict[str, DataFrame]) -> DataFrame:
     domain = spark.createDataFrame([(s,) for s in ORDER_STATUSES], "status string")
     cols = ["missing_items"] + [f"missing_{c}" for c in DATE_COLUMNS["orders"]]
     return F.broadcast(domain).join(agg, "status", "left").select(
-        "status", *[F.coalesce(c, ZERO).alias(c) for c in cols])
+        "status", *[F.coalesce(c, _zero()).alias(c) for c in cols])
 
 
 def profile_out_of_horizon(items: DataFrame, horizon: str = "2019-01-01 00:00:00") -> DataFrame:
@@ -310,7 +313,7 @@ def profile_review_ids(reviews: DataFrame) -> DataFrame:
     score = F.expr("try_cast(trim(review_score) as double)")
     invalid = score.isNull() | ~score.between(1, 5) | (score != F.floor(score))
     pairs = reviews.groupBy("review_id", "order_id").count().agg(
-        F.coalesce(F.sum(F.col("count") - 1), ZERO).alias("reviews_duplicate_id_order_pairs"))
+        F.coalesce(F.sum(F.col("count") - 1), _zero()).alias("reviews_duplicate_id_order_pairs"))
     return reviews.agg(F.count_distinct("order_id").alias("reviews_unique_orders"),
                        F.count_distinct("review_id").alias("reviews_unique_ids"),
                        F.count_if(invalid).alias("reviews_invalid_scores")).crossJoin(pairs)
@@ -368,9 +371,9 @@ def audit_crosscheck(L: dict[str, DataFrame]) -> DataFrame:
                               .otherwise(0)).cast("bigint").alias("n"))
     delivered = orders.filter(F.col("order_status") == "delivered").select("order_id")
     cents = money_cents(F.col("price"), True)
-    money_a = L["items"].join(delivered, "order_id", "left_semi").agg(F.coalesce(F.sum(cents), ZERO).alias("n"))
+    money_a = L["items"].join(delivered, "order_id", "left_semi").agg(F.coalesce(F.sum(cents), _zero()).alias("n"))
     per_order = L["items"].groupBy("order_id").agg(F.sum(cents).alias("c"))
-    money_b = per_order.join(delivered, "order_id").agg(F.coalesce(F.sum("c"), ZERO).alias("n"))
+    money_b = per_order.join(delivered, "order_id").agg(F.coalesce(F.sum("c"), _zero()).alias("n"))
     rows = [miss_a.crossJoin(miss_b.withColumnRenamed("n", "e")).select(
         F.lit("missing_delivery_dates").alias("check"), F.col("n").alias("actual"), F.col("e").alias("expected")),
         money_a.crossJoin(money_b.withColumnRenamed("n", "e")).select(

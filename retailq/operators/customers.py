@@ -10,7 +10,10 @@ from pyspark.sql import functions as F
 from ..params import RfmRules, ScopeParams
 from .scope import Scope
 
-ZERO = F.lit(0).cast("bigint")
+
+
+def _zero() -> F.Column:
+    return F.lit(0).cast("bigint")
 
 
 def first_purchase(star: dict[str, DataFrame], params: ScopeParams) -> DataFrame:
@@ -39,8 +42,8 @@ def customer_summary(window: DataFrame, params: ScopeParams) -> DataFrame:
     row = window.agg(n.alias("customer_count"),
                      F.count_if(F.col("first_day") >= F.lit(params.start)).alias("new_customers"),
                      repeat.alias("repeat_customers"),
-                     F.coalesce(F.sum("frequency"), ZERO).alias("order_count"),
-                     F.coalesce(F.sum("monetary_cents"), ZERO).alias("revenue_cents"))
+                     F.coalesce(F.sum("frequency"), _zero()).alias("order_count"),
+                     F.coalesce(F.sum("monetary_cents"), _zero()).alias("revenue_cents"))
     return row.select("customer_count", "new_customers",
                       (F.col("customer_count") - F.col("new_customers")).alias("returning_customers"),
                       "repeat_customers",
@@ -67,8 +70,8 @@ def rfm_segments(window: DataFrame, rules: RfmRules = RfmRules()) -> DataFrame:
         F.count(F.lit(1)).alias("customer_count"), F.sum("frequency").alias("order_count"),
         F.sum("monetary_cents").alias("revenue_cents"))
     return F.broadcast(keys).join(seg, "key", "left").select(
-        "key", F.coalesce("customer_count", ZERO).alias("customer_count"),
-        F.coalesce("order_count", ZERO).alias("order_count"), F.coalesce("revenue_cents", ZERO).alias("revenue_cents"))
+        "key", F.coalesce("customer_count", _zero()).alias("customer_count"),
+        F.coalesce("order_count", _zero()).alias("order_count"), F.coalesce("revenue_cents", _zero()).alias("revenue_cents"))
 
 
 def frequency_histogram(window: DataFrame) -> DataFrame:
@@ -94,7 +97,7 @@ def rfm_distribution(window: DataFrame) -> DataFrame:
 
 def customers_beyond_recency(segments: DataFrame) -> DataFrame:
     """Customers whose last purchase is older than the recency threshold (segments with key '0..')."""
-    return segments.agg(F.coalesce(F.sum(F.when(F.col("key").startswith("0"), F.col("customer_count"))), ZERO)
+    return segments.agg(F.coalesce(F.sum(F.when(F.col("key").startswith("0"), F.col("customer_count"))), _zero())
                         .alias("customers_beyond_recency"))
 
 

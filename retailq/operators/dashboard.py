@@ -11,13 +11,16 @@ from pyspark.sql.window import Window
 from ..params import ScopeParams
 from .scope import Scope, build_scope, comparable_flag, period_calendar, period_start
 
-ZERO = F.lit(0).cast("bigint")
+
+
+def _zero() -> F.Column:
+    return F.lit(0).cast("bigint")
 
 
 def _kpi_aggs() -> list[F.Column]:
     return [F.count(F.lit(1)).alias("order_count"),
-            F.coalesce(F.sum("scoped_revenue_cents"), ZERO).alias("revenue_cents"),
-            F.coalesce(F.sum("scoped_item_count").cast("bigint"), ZERO).alias("item_count"),
+            F.coalesce(F.sum("scoped_revenue_cents"), _zero()).alias("revenue_cents"),
+            F.coalesce(F.sum("scoped_item_count").cast("bigint"), _zero()).alias("item_count"),
             F.countDistinct("customer_unique_id").alias("customer_count")]
 
 
@@ -47,10 +50,10 @@ def kpi_comparison(star: dict[str, DataFrame], params: ScopeParams, coverage_row
     agg = orders.withColumn("period", period).groupBy("period").agg(*_kpi_aggs())
     rows = (F.broadcast(periods).join(agg, "period", "left")
             .select("period", "start", "end",
-                    F.coalesce("order_count", ZERO).alias("order_count"),
-                    F.coalesce("revenue_cents", ZERO).alias("revenue_cents"),
-                    F.coalesce("item_count", ZERO).alias("item_count"),
-                    F.coalesce("customer_count", ZERO).alias("customer_count")))
+                    F.coalesce("order_count", _zero()).alias("order_count"),
+                    F.coalesce("revenue_cents", _zero()).alias("revenue_cents"),
+                    F.coalesce("item_count", _zero()).alias("item_count"),
+                    F.coalesce("customer_count", _zero()).alias("customer_count")))
     rows = _with_aov(rows).crossJoin(F.broadcast(comparable_flag(coverage_row, params)))
     return rows.filter((F.col("period") == "current") | F.col("comparable")) \
         .withColumn("comparison_label", F.lit(label))
@@ -96,7 +99,7 @@ def rank_categories(scope: Scope) -> DataFrame:
 def category_share(scope: Scope) -> DataFrame:
     """Category revenue over total revenue (0 when the total is 0); the total is a one-row broadcast."""
     cats = rank_categories(scope)
-    total = scope.items.agg(F.coalesce(F.sum("price_cents"), ZERO).alias("total_cents"))
+    total = scope.items.agg(F.coalesce(F.sum("price_cents"), _zero()).alias("total_cents"))
     return cats.crossJoin(F.broadcast(total)).select(
         "name", "label", "revenue_cents",
         F.when(F.col("total_cents") == 0, F.lit(0.0))
@@ -149,8 +152,8 @@ def fulfilment_groups(scope: Scope) -> DataFrame:
                                             F.count("review_score").alias("reviewed_orders"),
                                             F.avg("review_score").alias("average_review_score"))
     return (F.broadcast(labels).join(g, labels["is_late"].eqNullSafe(g["is_late"]), "left")
-            .select("label", F.coalesce("order_count", ZERO).alias("order_count"),
-                    F.coalesce("reviewed_orders", ZERO).alias("reviewed_orders"), "average_review_score"))
+            .select("label", F.coalesce("order_count", _zero()).alias("order_count"),
+                    F.coalesce("reviewed_orders", _zero()).alias("reviewed_orders"), "average_review_score"))
 
 
 def score_histogram(scope: Scope) -> DataFrame:
@@ -159,19 +162,20 @@ def score_histogram(scope: Scope) -> DataFrame:
     counts = scope.orders.filter(F.col("review_score").isNotNull()) \
         .groupBy(F.col("review_score").alias("score")).agg(F.count(F.lit(1)).alias("order_count"))
     return F.broadcast(scores).join(counts, "score", "left").select(
-        "score", F.coalesce("order_count", ZERO).alias("order_count"))
+        "score", F.coalesce("order_count", _zero()).alias("order_count"))
 
 
-ORDER_LIST_COLUMNS = ["order_id", "purchase_date", "state", F.col("scoped_item_count").alias("item_count"),
-                      F.col("scoped_revenue_cents").alias("revenue_cents"), "payment_cents", "review_score",
-                      "is_late", "quality_flags"]
+def _order_list_columns() -> list:
+    return ["order_id", "purchase_date", "state", F.col("scoped_item_count").alias("item_count"),
+            F.col("scoped_revenue_cents").alias("revenue_cents"), "payment_cents", "review_score",
+            "is_late", "quality_flags"]
 
 
 def order_list(scope: Scope, page: int = 1, page_size: int = 20) -> DataFrame:
     """One page ordered by purchase day desc, order id; total rows as a column."""
     if page < 1 or page_size < 1:
         raise ValueError("page and page_size must be positive")
-    base = scope.orders.select(*ORDER_LIST_COLUMNS)
+    base = scope.orders.select(*_order_list_columns())
     total = scope.orders.agg(F.count(F.lit(1)).alias("total"))
     page_rows = base.orderBy(F.desc("purchase_date"), "order_id").offset((page - 1) * page_size).limit(page_size)
     return page_rows.crossJoin(F.broadcast(total))
@@ -179,7 +183,7 @@ def order_list(scope: Scope, page: int = 1, page_size: int = 20) -> DataFrame:
 
 def order_list_after(scope: Scope, after_date, after_order_id, page_size: int = 20) -> DataFrame:
     """Keyset page (deep paging without an offset scan): rows strictly after the given sort key."""
-    base = scope.orders.select(*ORDER_LIST_COLUMNS)
+    base = scope.orders.select(*_order_list_columns())
     after = (F.col("purchase_date") < F.lit(after_date)) | (
         (F.col("purchase_date") == F.lit(after_date)) & (F.col("order_id") > F.lit(after_order_id)))
     return base.filter(after).orderBy(F.desc("purchase_date"), "order_id").limit(page_size)

@@ -15,7 +15,10 @@ from pyspark.sql.window import Window
 from ..params import STRATA_MIN_REVIEWED, AnomalyRules, ScopeParams
 from .scope import Scope, build_scope
 
-ZERO = F.lit(0).cast("bigint")
+
+
+def _zero() -> F.Column:
+    return F.lit(0).cast("bigint")
 
 
 # ---- comparability and tagging ----------------------------------------------------------------------------------
@@ -41,7 +44,7 @@ def tagged_scope(star: dict[str, DataFrame], params: ScopeParams, lookback_days:
 # ---- headline and decomposition ---------------------------------------------------------------------------------
 
 def _sum_if(period: str, col: str) -> F.Column:
-    return F.coalesce(F.sum(F.when(F.col("period") == period, F.col(col))), ZERO)
+    return F.coalesce(F.sum(F.when(F.col("period") == period, F.col(col))), _zero())
 
 
 def _count_if(period: str) -> F.Column:
@@ -149,14 +152,14 @@ def anomaly_same_weekday_mad(daily: DataFrame, params: ScopeParams, coverage_row
                        F.explode(F.sequence(F.lit(1), F.lit(rules.weeks))).alias("k"))
             .withColumn("hday", F.date_sub(F.col("day"), F.col("k") * 7))
             .join(counts, ["hday", *by], "left")
-            .withColumn("v", F.coalesce("v", ZERO)))
+            .withColumn("v", F.coalesce("v", _zero())))
     center = hist.groupBy("day", *by).agg(
         F.count_if(known(F.col("hday"))).alias("baseline_n"), F.median("v").alias("center"),
         F.max("hday").alias("history_end"), F.min("hday").alias("history_start"))
     mad = hist.join(center.select("day", *by, "center"), ["day", *by]).groupBy("day", *by).agg(
         F.median(F.abs(F.col("v") - F.col("center"))).alias("mad"))
     actual = cal.join(daily.select("day", *by, F.col("order_count").alias("n")), ["day", *by], "left") \
-        .select("day", *by, F.when(known(F.col("day")), F.coalesce("n", ZERO)).alias("order_count"),
+        .select("day", *by, F.when(known(F.col("day")), F.coalesce("n", _zero())).alias("order_count"),
                 known(F.col("day")).alias("day_known"))
     j = actual.join(center, ["day", *by]).join(mad, ["day", *by])
     full = F.col("day_known") & (F.col("baseline_n") == rules.weeks)
@@ -220,16 +223,16 @@ def score_group_stats(cells: DataFrame, by: list[str] | tuple = ()) -> DataFrame
     j = keys.join(agg, cond, "left").select(*[keys[b] for b in by], "delivery_group", *[
         c for c in ("orders", "n", "sk", "skk", "median_score", "score_1", "score_2", "score_3", "score_4",
                     "score_5")])
-    n = F.coalesce(F.col("n"), ZERO)
+    n = F.coalesce(F.col("n"), _zero())
     var = (F.col("skk") - F.col("sk") * F.col("sk") / n) / (n - 1)
     return j.select(
-        *by, "delivery_group", F.coalesce("orders", ZERO).alias("order_count"), n.alias("reviewed_orders"),
-        (F.coalesce("orders", ZERO) - n).alias("missing_reviews"),
+        *by, "delivery_group", F.coalesce("orders", _zero()).alias("order_count"), n.alias("reviewed_orders"),
+        (F.coalesce("orders", _zero()) - n).alias("missing_reviews"),
         F.when(n > 0, F.col("sk") / n).alias("mean_score"),
         F.when(n > 0, F.col("median_score")).alias("median_score"),
         F.when(n > 1, F.sqrt(F.greatest(var, F.lit(0.0)))).alias("score_sd"),
-        F.when(n > 0, (F.coalesce("score_1", ZERO) + F.coalesce("score_2", ZERO)) / n).alias("low_score_share"),
-        *[F.coalesce(f"score_{s}", ZERO).alias(f"score_{s}") for s in range(1, 6)])
+        F.when(n > 0, (F.coalesce("score_1", _zero()) + F.coalesce("score_2", _zero())) / n).alias("low_score_share"),
+        *[F.coalesce(f"score_{s}", _zero()).alias(f"score_{s}") for s in range(1, 6)])
 
 
 def score_strata(cells: DataFrame, dimension: str, min_reviewed: int = STRATA_MIN_REVIEWED) -> DataFrame:

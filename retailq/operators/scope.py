@@ -40,9 +40,18 @@ def _date_filter(params: ScopeParams, date_col: str = "purchase_date", ts_col: s
             & (F.col(ts_col) >= start_at) & (F.col(ts_col) < end_at))
 
 
+def _month_filter(df: DataFrame, params: ScopeParams) -> DataFrame:
+    """Redundant partition predicate for stored facts (partitioned by purchase month): prunes whole folders."""
+    if "purchase_month" not in df.columns:
+        return df
+    return df.filter(F.col("purchase_month").between(F.lit(params.start.replace(day=1)),
+                                                     F.lit(params.end.replace(day=1))))
+
+
 def scoped_order_rows(star: dict[str, DataFrame], params: ScopeParams) -> DataFrame:
     """Order rows in scope (status + dates + customer state), carrying the customer's stable id and state."""
-    fo = star["fact_order"].filter(F.col("status").isin(list(params.statuses)) & _date_filter(params))
+    fo = _month_filter(star["fact_order"], params)
+    fo = fo.filter(F.col("status").isin(list(params.statuses)) & _date_filter(params))
     cust = star["dim_customer"].select("customer_id", "customer_unique_id", "state")
     if params.state:
         cust = cust.filter(F.col("state") == F.lit(params.state))
@@ -59,7 +68,7 @@ def scoped_products(star: dict[str, DataFrame], params: ScopeParams) -> DataFram
 
 def build_scope(star: dict[str, DataFrame], params: ScopeParams) -> Scope:
     orders = scoped_order_rows(star, params)
-    items = (star["fact_item"].join(scoped_products(star, params), "product_id")
+    items = (_month_filter(star["fact_item"], params).join(scoped_products(star, params), "product_id")
              .join(orders.select("order_id", "state", "customer_unique_id", "purchase_date"), "order_id")
              .select("order_id", "item_id", "product_id", "seller_id", "price_cents", "freight_cents",
                      "category", "category_label", "state", "customer_unique_id", "purchase_date"))
