@@ -14,12 +14,8 @@ from datetime import date
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from pyspark.sql import functions as F  # noqa: E402
-
-from retailq.operators import customers as cu  # noqa: E402
-from retailq.operators import dashboard as dash  # noqa: E402
-from retailq.operators import diagnosis as dg  # noqa: E402
-from retailq.operators.scope import build_scope, coverage_window  # noqa: E402
+from retailq.operators.scope import coverage_window  # noqa: E402
+from retailq.plans.analyses import customer_report, dashboard, diagnostic_report  # noqa: E402
 from retailq.params import ScopeParams  # noqa: E402
 from retailq.plans.load import run_load  # noqa: E402
 from retailq.session import build_session  # noqa: E402
@@ -27,21 +23,6 @@ from retailq.sources.testdata import TEST_PROFILE, landing_model  # noqa: E402
 from retailq.sources.warehouse_store import read_star  # noqa: E402
 
 
-def dashboard(star, params, cov):
-    """Every dashboard section from ONE persisted scope (the reference evaluates its scope ~11 times)."""
-    scope = build_scope(star, params).persist()
-    out = {
-        "kpis": dash.kpis(scope), "previous": dash.kpi_comparison(star, params, cov),
-        "trend": dash.trend(scope, "day", cov), "categories": dash.rank_categories(scope),
-        "regions": dash.rank_regions(scope), "products": dash.top_products(scope),
-        "low_volume": dash.low_volume_products(scope), "fulfilment": dash.fulfilment_summary(scope),
-        "groups": dash.fulfilment_groups(scope), "scores": dash.score_histogram(scope),
-    }
-    rows = {k: df.collect() for k, df in out.items()}
-    scope.unpersist()
-    return rows
-
-
 def main():
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
@@ -70,28 +51,11 @@ def main():
         times[name] = time.time() - t
 
     t = time.time()
-    year = ScopeParams(date(1998, 1, 1), date(1998, 12, 31))
-    sc = build_scope(star, year)
-    res = cu.customer_analysis(star, sc, TEST_PROFILE.rfm)
-    res["window"] = res["window"].persist()
-    for k, df in res.items():
-        if k != "window":
-            df.collect()
-    res["window"].unpersist()
+    customer_report(star, ScopeParams(date(1998, 1, 1), date(1998, 12, 31)), TEST_PROFILE.rfm)
     times["customers_year"] = time.time() - t
 
     t = time.time()
-    rp = ScopeParams(date(1998, 7, 1), date(1998, 7, 31))
-    head = dg.report_headline(star, rp, cov)
-    contrib = dg.contributions(star, rp, cov, "category").unionByName(dg.contributions(star, rp, cov, "state"))
-    daily = dg.daily_series(star, rp, 56)
-    anomalies = dg.anomaly_same_weekday_mad(daily, rp, cov, TEST_PROFILE.anomaly)
-    cells = dg.delivery_cells(build_scope(star, rp)).persist()
-    groups = dg.score_group_stats(cells)
-    strata = dg.score_strata(cells, "category").unionByName(dg.score_strata(cells, "state"))
-    for df in (head, contrib, anomalies, groups, strata, dg.investigation_evidence(head, contrib, groups, strata)):
-        df.collect()
-    cells.unpersist()
+    diagnostic_report(star, ScopeParams(date(1998, 7, 1), date(1998, 7, 31)), cov, TEST_PROFILE.anomaly)
     times["report_month"] = time.time() - t
 
     total = sum(times.values())

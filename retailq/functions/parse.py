@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 TIMESTAMP_PATTERN = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$"
 DECIMAL_PATTERN = r"^[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?$"
 POSITIVE_INT_PATTERN = r"^[1-9][0-9]*$"
+# Up to 13 integer digits: x*100 < 2^53, so rounding the parsed double to cents is exact.
+PLAIN_MONEY_PATTERN = r"^[0-9]{1,13}(\.[0-9]{0,2})?$"
 MAX_INT = 2**31 - 1
 MAX_CENTS = 2**63 - 1
 
@@ -31,8 +33,7 @@ def _decimal(c: Column) -> Column:
     return trimmed(c).try_cast("decimal(38,10)")
 
 
-def money_valid(c: Column, allow_negative: bool = False) -> Column:
-    """Decimal text, finite, at most two fraction digits after scaling, fits BIGINT cents (>= 0 unless allowed)."""
+def _general_valid(c: Column, allow_negative: bool) -> Column:
     x = _decimal(c) * 100
     ok = trimmed(c).rlike(DECIMAL_PATTERN) & x.isNotNull() & (x == F.floor(x)) & (F.abs(x) <= F.lit(MAX_CENTS))
     if not allow_negative:
@@ -40,9 +41,21 @@ def money_valid(c: Column, allow_negative: bool = False) -> Column:
     return F.coalesce(ok, F.lit(False))
 
 
+def _plain_cents(c: Column) -> Column:
+    """'123', '123.4', '123.45' (<= 13 integer digits) -> exact cents via a double parse and rounding."""
+    return F.round(c.cast("double") * 100).cast("bigint")
+
+
+def money_valid(c: Column, allow_negative: bool = False) -> Column:
+    """Decimal text, finite, at most two fraction digits after scaling, fits BIGINT cents (>= 0 unless allowed).
+    Plain text takes a fast exact path; other forms (sign, exponent, spaces) the exact decimal path."""
+    return F.when(c.rlike(PLAIN_MONEY_PATTERN), F.lit(True)).otherwise(_general_valid(c, allow_negative))
+
+
 def money_cents(c: Column, allow_negative: bool = False) -> Column:
     """Exact cents (BIGINT) of valid money text, NULL otherwise."""
-    return F.when(money_valid(c, allow_negative), (_decimal(c) * 100).cast("bigint"))
+    return (F.when(c.rlike(PLAIN_MONEY_PATTERN), _plain_cents(c))
+            .when(_general_valid(c, allow_negative), (_decimal(c) * 100).cast("bigint")))
 
 
 def positive_int_valid(c: Column) -> Column:

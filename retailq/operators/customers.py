@@ -101,10 +101,15 @@ def customers_beyond_recency(segments: DataFrame) -> DataFrame:
                         .alias("customers_beyond_recency"))
 
 
-def customer_analysis(star: dict[str, DataFrame], scope: Scope, rules: RfmRules = RfmRules()) -> dict[str, DataFrame]:
-    """All customer sections from one per-customer window (persist it when several sections are read)."""
-    window = customer_window(scope, first_purchase(star, scope.params))
+def customer_analysis_from_window(window: DataFrame, params: ScopeParams,
+                                  rules: RfmRules = RfmRules()) -> dict[str, DataFrame]:
     segments = rfm_segments(window, rules)
-    return {"window": window, "summary": customer_summary(window, scope.params), "segments": segments,
+    return {"summary": customer_summary(window, params), "segments": segments,
             "frequency": frequency_histogram(window), "distribution": rfm_distribution(window),
             "beyond_recency": customers_beyond_recency(segments)}
+
+
+def customer_analysis(star: dict[str, DataFrame], scope: Scope, rules: RfmRules = RfmRules()) -> dict[str, DataFrame]:
+    """All customer sections from one per-customer window (persist it when several sections are read)."""
+    window = customer_window(scope, first_purchase(star, scope.params))
+    return {"window": window, **customer_analysis_from_window(window, scope.params, rules)}
