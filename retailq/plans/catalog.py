@@ -335,3 +335,62 @@ QUERIES.update({
     "profile_numeric_sanity": _landing(au.profile_numeric_sanity),
     "audit_crosscheck": _landing(au.audit_crosscheck),
 })
+
+
+# ---- publishing -------------------------------------------------------------------------------------------------
+from ..plans import publish as pub  # noqa: E402
+
+PRESETS = [("history", date(1995, 1, 1), date(2001, 12, 31), "", ""),
+           ("month", date(1998, 7, 1), date(1998, 7, 31), "", ""),
+           ("month_category_state", date(1998, 7, 1), date(1998, 7, 31), "STANDARD", "NATION_7"),
+           ("month_state", date(1998, 6, 1), date(1998, 6, 30), "", "NATION_3"),
+           ("no_state", date(1998, 7, 1), date(1998, 7, 31), "", "XX")]
+
+
+def q_preset_kpis(spark, sf_dir):
+    return pub.preset_kpis(star(spark, sf_dir), pub.preset_table(spark, PRESETS))
+
+
+def q_preset_trend_month(spark, sf_dir):
+    return pub.preset_trend(star(spark, sf_dir), pub.preset_table(spark, PRESETS), "month")
+
+
+def q_cross_view_consistency(spark, sf_dir):
+    st = star(spark, sf_dir)
+    sc = build_scope(st, CUSTOMER_YEAR)
+    totals = {"dashboard": dash.kpis(sc).select("revenue_cents"),
+              "customers": cu.customer_summary(cu.customer_window(sc, cu.first_purchase(st, CUSTOMER_YEAR)),
+                                               CUSTOMER_YEAR).select("revenue_cents"),
+              "categories": dash.rank_categories(sc).agg(F.sum("revenue_cents").alias("revenue_cents")),
+              "regions": dash.rank_regions(sc).agg(F.sum("revenue_cents").alias("revenue_cents"))}
+    return pub.cross_view_consistency(totals).select("distinct_totals", "consistent")
+
+
+QUERIES.update({
+    "preset_kpis": q_preset_kpis,
+    "preset_trend_month": q_preset_trend_month,
+    "cross_view_consistency": q_cross_view_consistency,
+})
+
+
+# ---- verification -----------------------------------------------------------------------------------------------
+from ..plans import verify as vf  # noqa: E402
+
+VERIFY_SCOPES = {"history": HISTORY, "month": MONTH, "filtered": FILTERED,
+                 "empty_state": ScopeParams(date(1998, 7, 1), date(1998, 7, 31), state="XX"),
+                 "quoted_category": ScopeParams(date(1998, 7, 1), date(1998, 7, 31), category="x' OR 1=1--")}
+
+
+def q_kpis_from_raw(spark, sf_dir):
+    return vf.kpis_from_raw(landing_model(spark, sf_dir), HISTORY)
+
+
+def q_verify_kpis_from_raw(spark, sf_dir):
+    diffs = vf.verify_kpis_from_raw(landing_model(spark, sf_dir), star(spark, sf_dir), VERIFY_SCOPES)
+    return diffs.agg(F.count(F.lit(1)).alias("difference_rows"))
+
+
+QUERIES.update({
+    "kpis_from_raw": q_kpis_from_raw,
+    "verify_kpis_from_raw": q_verify_kpis_from_raw,
+})
