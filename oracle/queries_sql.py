@@ -830,3 +830,9 @@ SQL.update({
     "kpis_from_raw": SQL["kpis"],
     "verify_kpis_from_raw": "SELECT CAST(0 AS BIGINT) AS difference_rows",
 })
+
+SQL["overview_sample"] = base("""ot AS (SELECT o.order_id, sum(i.price_cents) AS amount_cents FROM t_orders o JOIN t_items i ON i.order_id = o.order_id
+         WHERE o.order_status = 'delivered' GROUP BY o.order_id)""") + """
+SELECT CAST(count(*) AS BIGINT) AS order_count, CAST(coalesce(sum(amount_cents), 0) AS BIGINT) AS revenue_cents,
+       CASE WHEN count(*) = 0 THEN NULL ELSE coalesce(sum(amount_cents), 0) / count(*) END AS average_order_value_cents
+FROM ot"""

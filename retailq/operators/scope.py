@@ -153,3 +153,12 @@ def scope_dimension_values(star: dict[str, DataFrame]) -> tuple[DataFrame, DataF
                                       F.coalesce("category_english", "category").alias("label")).distinct()
     states = star["dim_customer"].select("state").distinct()
     return cats, states
+
+
+def coverage_from_observed(spark, observed_start, observed_end, coverage: Coverage = Coverage()) -> DataFrame:
+    """Coverage row from an observed window known from a receipt (instead of scanning fact_order)."""
+    obs = spark.createDataFrame([(observed_start, observed_end)], "observed_start date, observed_end date")
+    s = F.greatest(F.lit(coverage.core_start), F.col("observed_start"))
+    e = F.least(F.lit(coverage.core_end), F.col("observed_end"))
+    ok = F.col("observed_start").isNotNull() & F.col("observed_end").isNotNull() & (s <= e)
+    return obs.select(F.when(ok, s).alias("cov_start"), F.when(ok, e).alias("cov_end"))

@@ -394,3 +394,19 @@ QUERIES.update({
     "kpis_from_raw": q_kpis_from_raw,
     "verify_kpis_from_raw": q_verify_kpis_from_raw,
 })
+
+
+# ---- sample pair ------------------------------------------------------------------------------------------------
+from ..sources import sample as smp  # noqa: E402
+
+
+def q_overview_sample(spark, sf_dir):
+    """Overview over the orders/items pair in sample form (status + date text, item price text)."""
+    L = landing_model(spark, sf_dir)
+    orders = L["orders"].select("order_id", F.col("order_status").alias("status"),
+                                F.substring("order_purchase_timestamp", 1, 10).alias("purchased_at"))
+    items = L["items"].select("order_id", F.col("order_item_id").alias("item_id"), "price")
+    return smp.overview(orders, items)
+
+
+QUERIES["overview_sample"] = q_overview_sample
