@@ -22,6 +22,18 @@ def collect_all(frames: dict[str, DataFrame], workers: int = 8) -> dict[str, lis
         return {k: f.result() for k, f in futures.items()}
 
 
+def literal_row(df: DataFrame) -> DataFrame:
+    """Evaluate a one-row lookup (e.g. coverage) once and keep it as a local literal relation."""
+    rows = df.collect()  # one row by construction
+    return df.sparkSession.createDataFrame(rows, df.schema)
+
+
+def materialize(scope: Scope) -> Scope:
+    """Fill both cached grains with ONE job (orders reads the cached items), before concurrent readers start."""
+    scope.orders.count()
+    return scope
+
+
 def _window(scope: Scope, params: ScopeParams) -> Scope:
     cond = F.col("purchase_date").between(F.lit(params.start), F.lit(params.end))
     return Scope(params, scope.items.filter(cond), scope.orders.filter(cond))
@@ -31,7 +43,8 @@ def dashboard_sections(star: dict[str, DataFrame], params: ScopeParams, coverage
                        grain: str = "day") -> tuple[dict[str, DataFrame], Scope]:
     """All dashboard sections over one persisted scope that spans the comparison window too."""
     ps, pe, label = params.comparison()
-    wide = build_scope(star, params.with_dates(min(ps, params.start), params.end)).persist()
+    coverage_row = literal_row(coverage_row)
+    wide = materialize(build_scope(star, params.with_dates(min(ps, params.start), params.end)).persist())
     cur, prev = _window(wide, params), _window(wide, params.with_dates(ps, pe))
     current = dash.kpis(cur).withColumn("period", F.lit("current"))
     previous = dash.kpis(prev).withColumn("period", F.lit("previous")) \
@@ -56,6 +69,7 @@ def dashboard(star, params, coverage_row, grain: str = "day", workers: int = 8)
 
 def customer_report(star, params: ScopeParams, rules: RfmRules = RfmRules(), workers: int = 8) -> dict[str, list]:
     window = cu.customer_window(build_scope(star, params), cu.first_purchase(star, params)).persist()
+    window.count()
     sections = cu.customer_analysis_from_window(window, params, rules)
     try:
         return collect_all(sections, workers)
@@ -66,12 +80,14 @@ def customer_report(star, params: ScopeParams, rules: RfmRules = RfmRules(), wor
 def diagnostic_report(star, params: ScopeParams, coverage_row: DataFrame, rules: AnomalyRules = AnomalyRules(),
                       workers: int = 8) -> dict[str, list]:
     """Headline, contributions, anomalies, delivery groups/strata and evidence for one window."""
+    coverage_row = literal_row(coverage_row)
     head = dg.report_headline(star, params, coverage_row)
     contrib = dg.contributions(star, params, coverage_row, "category").unionByName(
         dg.contributions(star, params, coverage_row, "state"))
     daily = dg.daily_series(star, params, 7 * rules.weeks)
     anomalies = dg.anomaly_same_weekday_mad(daily, params, coverage_row, rules)
     cells = dg.delivery_cells(build_scope(star, params)).persist()
+    cells.count()
     groups = dg.score_group_stats(cells)
     strata = dg.score_strata(cells, "category").unionByName(dg.score_strata(cells, "state"))
     sections = {"headline": head, "contributions": contrib, "anomalies": anomalies,
