@@ -836,3 +836,18 @@ SQL["overview_sample"] = base("""ot AS (SELECT o.order_id, sum(i.price_cents) AS
 SELECT CAST(count(*) AS BIGINT) AS order_count, CAST(coalesce(sum(amount_cents), 0) AS BIGINT) AS revenue_cents,
        CASE WHEN count(*) = 0 THEN NULL ELSE coalesce(sum(amount_cents), 0) / count(*) END AS average_order_value_cents
 FROM ot"""
+
+
+def _field_dictionary_sql():
+    from retailq.schema import FIELDS
+    values = ", ".join("(" + ", ".join(sql_str(x) for x in f) + ")" for f in FIELDS)
+    prof = _profile_columns_sql()
+    return f"""WITH reg AS (SELECT * FROM (VALUES {values}) AS r(name, logical_type, meaning, "domain")),
+prof AS ({prof})
+SELECT p."table", p."column" AS name, r.logical_type, r.meaning, r."domain", p.missing, p.distinct_nonmissing
+FROM prof p LEFT JOIN reg r ON r.name = p."column\""""
+
+
+from .base_sql import sql_str  # noqa: E402
+
+SQL["field_dictionary"] = _field_dictionary_sql()

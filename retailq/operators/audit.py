@@ -358,8 +358,14 @@ def profile_numeric_sanity(L: dict[str, DataFrame]) -> DataFrame:
 
 
 def field_dictionary(registry: DataFrame, profiles: DataFrame) -> DataFrame:
-    """Declared fields (name, meaning, logical type, domain) left-joined to the column profile."""
-    return registry.join(profiles.withColumnRenamed("column", "name"), ["table", "name"], "left")
+    """Each profiled landing column with its declared meaning, logical type and domain (NULL = undeclared)."""
+    return profiles.withColumnRenamed("column", "name").join(F.broadcast(registry), "name", "left").select(
+        "table", "name", "logical_type", "meaning", "domain", "missing", "distinct_nonmissing")
+
+
+def undeclared_columns(landing: dict[str, DataFrame], declared: frozenset) -> list[tuple[str, str]]:
+    """Landing columns missing from the registry (schema-only check, no data read)."""
+    return [(t, c) for t, df in landing.items() for c in df.columns if c not in declared and c != "_corrupt"]
 
 
 def audit_crosscheck(L: dict[str, DataFrame]) -> DataFrame:

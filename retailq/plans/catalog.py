@@ -410,3 +410,13 @@ def q_overview_sample(spark, sf_dir):
 
 
 QUERIES["overview_sample"] = q_overview_sample
+
+
+def q_field_dictionary(spark, sf_dir):
+    from ..schema import field_registry
+    L = landing_model(spark, sf_dir)
+    profiles = _union([au.profile_columns(df, name) for name, df in L.items()])
+    return au.field_dictionary(field_registry(spark), profiles)
+
+
+QUERIES["field_dictionary"] = q_field_dictionary
