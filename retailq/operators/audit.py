@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.parse import (is_missing, money_cents, money_valid, strict_timestamp, trimmed)
+from ..functions.stats import exact_quantiles
 from ..params import ORDER_STATUSES
 
 
@@ -135,21 +136,27 @@ def profile_money(L: dict[str, DataFrame]) -> DataFrame:
 
 
 def describe_numeric(df: DataFrame, col: str, by: list[str] | tuple = ()) -> DataFrame:
-    """count, min, median, mean, p95, p99, max, q1, q3 (linear interpolation), MAD, Tukey-fence count."""
+    """count, min, median, mean, p95, p99, max, q1, q3 (linear interpolation), MAD, Tukey-fence count.
+    Quantiles are exact and distributed (sort + rank lookup), never one task holding a group's values."""
+    by = list(by)
     x = F.col(col).cast("double")
     d = df.filter(x.isNotNull()).select(*by, x.alias("x"))
     g = d.groupBy(*by) if by else d
-    stats = g.agg(F.count(F.lit(1)).alias("count"), F.min("x").alias("min"),
-                  F.percentile("x", 0.5).alias("median"), F.avg("x").alias("mean"),
-                  F.percentile("x", 0.95).alias("p95"), F.percentile("x", 0.99).alias("p99"),
-                  F.max("x").alias("max"), F.percentile("x", 0.25).alias("q1"), F.percentile("x", 0.75).alias("q3"))
-    j = d.join(F.broadcast(stats) if not by else stats, list(by), "inner") if by else d.crossJoin(F.broadcast(stats))
+    basic = g.agg(F.count(F.lit(1)).alias("count"), F.min("x").alias("min"), F.avg("x").alias("mean"),
+                  F.max("x").alias("max"))
+    q = exact_quantiles(d, "x", {"median": (0.5, "linear"), "p95": (0.95, "linear"), "p99": (0.99, "linear"),
+                                 "q1": (0.25, "linear"), "q3": (0.75, "linear")}, by)
+    stats = basic.join(q, by, "left") if by else basic.join(q, how="left")
+    j = d.join(F.broadcast(stats.select(*by, "median", "q1", "q3")) if not by else stats.select(
+        *by, "median", "q1", "q3"), by, "inner") if by else d.crossJoin(F.broadcast(stats.select("median", "q1", "q3")))
     iqr = F.col("q3") - F.col("q1")
-    second = (j.groupBy(*by) if by else j).agg(
-        F.percentile(F.abs(F.col("x") - F.col("median")), 0.5).alias("mad"),
-        F.count_if((F.col("x") < F.col("q1") - 1.5 * iqr) | (F.col("x") > F.col("q3") + 1.5 * iqr))
-        .alias("iqr_flag_count"))
-    return stats.join(second, list(by), "inner") if by else stats.crossJoin(second)
+    dev = j.select(*by, F.abs(F.col("x") - F.col("median")).alias("dev"),
+                   ((F.col("x") < F.col("q1") - 1.5 * iqr) | (F.col("x") > F.col("q3") + 1.5 * iqr)).alias("out"))
+    mad = exact_quantiles(dev, "dev", {"mad": (0.5, "linear")}, by)
+    flags = (dev.groupBy(*by) if by else dev).agg(F.count_if("out").alias("iqr_flag_count"))
+    out = stats.join(mad, by, "left").join(flags, by, "left") if by else \
+        stats.join(mad, how="left").join(flags, how="left")
+    return out.select(*by, "count", "min", "median", "mean", "p95", "p99", "max", "q1", "q3", "mad", "iqr_flag_count")
 
 
 def _order_folds(L: dict[str, DataFrame]):

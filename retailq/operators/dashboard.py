@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..functions.stats import quantiles
 from ..params import ScopeParams
 from .scope import Scope, build_scope, comparable_flag, period_calendar, period_start
 
@@ -128,17 +129,22 @@ def low_volume_products(scope: Scope, k: int = 20) -> DataFrame:
     return _product_totals(scope).orderBy("item_count", "revenue_cents", "product_id").limit(k)
 
 
-def fulfilment_summary(scope: Scope) -> DataFrame:
-    """Eligible/late orders, late rate, delivery sample, mean and exact median days, reviews, mean score."""
+def fulfilment_summary(scope: Scope, row_bound: int | None = None) -> DataFrame:
+    """Eligible/late orders, late rate, delivery sample, mean and exact median days, reviews, mean score.
+
+    The exact median is distributed (sort + rank lookup) unless ``row_bound`` proves the scope is small."""
     o = scope.orders
     row = o.agg(F.count("is_late").alias("eligible_orders"),
                 F.count_if(F.col("is_late") == 1).alias("late_orders"),
                 F.count("delivery_seconds").alias("delivery_sample_count"),
                 (F.avg("delivery_seconds") / 86400).alias("average_delivery_days"),
-                (F.median("delivery_seconds") / 86400).alias("median_delivery_days"),
                 F.count("review_score").alias("reviewed_orders"),
                 F.avg("review_score").alias("average_review_score"))
-    return row.withColumn("late_rate", F.try_divide(F.col("late_orders").cast("double"), F.col("eligible_orders")))
+    med = quantiles(o, "delivery_seconds", {"_median_s": (0.5, "linear")}, row_bound=row_bound)
+    return row.join(med, how="left").select(
+        "eligible_orders", "late_orders", "delivery_sample_count", "average_delivery_days",
+        (F.col("_median_s") / 86400).alias("median_delivery_days"), "reviewed_orders", "average_review_score",
+        F.try_divide(F.col("late_orders").cast("double"), F.col("eligible_orders")).alias("late_rate"))
 
 
 FULFILMENT_GROUPS = [(0, "on_time"), (1, "late"), (None, "unknown")]

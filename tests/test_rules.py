@@ -82,3 +82,15 @@ def test_denylist_any_depth(spark):
         check_publishable({"kpis": df, "trend_day": ok, "trend_week": ok, "trend_month": ok})
     with pytest.raises(PublishRefused):
         check_publishable({"kpis": ok})
+
+
+def test_distributed_quantiles_match_builtin(spark):
+    from retailq.functions.stats import exact_quantiles, in_memory_quantiles
+    rows = [(g, v) for g in ("a", "b", None) for v in range(0, 97, 3 if g == "a" else 5)] + [("c", 7)]
+    df = spark.createDataFrame(rows, "g string, v long").repartition(4)
+    probs = {"med": (0.5, "linear"), "p75": (0.75, "nearest"), "p99": (0.99, "linear")}
+    a = sorted(map(tuple, exact_quantiles(df, "v", probs, ["g"]).collect()), key=repr)
+    b = sorted(map(tuple, in_memory_quantiles(df, "v", probs, ["g"]).collect()), key=repr)
+    assert a == b
+    assert tuple(exact_quantiles(df, "v", probs).collect()[0]) == tuple(in_memory_quantiles(df, "v", probs)
+                                                                       .collect()[0])
