@@ -196,17 +196,19 @@ def order_list_after(scope: Scope, after_date, after_order_id, page_size: int =
 
 
 def order_documents(scope: Scope, order_ids: DataFrame | None = None) -> DataFrame:
-    """Whole-order header with its scoped items as a sorted array; ``order_ids`` restricts via a semi join."""
+    """Whole-order header joined to its scoped items, one row per item (header repeated), clustered by order and
+    sorted by item id inside each partition; ``order_ids`` restricts both sides through a semi join. Items are not
+    gathered into one array per order, so a huge order never becomes one row in one task."""
     orders, items = scope.orders, scope.items
     if order_ids is not None:
-        orders = orders.join(order_ids.select("order_id"), "order_id", "left_semi")
-        items = items.join(order_ids.select("order_id"), "order_id", "left_semi")
-    lines = items.groupBy("order_id").agg(F.sort_array(F.collect_list(F.struct(
-        "item_id", "product_id", "seller_id", "category", F.col("category_label").alias("label"),
-        "price_cents", "freight_cents"))).alias("items"))
-    return orders.join(lines, "order_id").select(
+        ids = order_ids.select("order_id").distinct()
+        orders = orders.join(ids, "order_id", "left_semi")
+        items = items.join(ids, "order_id", "left_semi")
+    header = orders.select(
         "order_id", "purchase_date", "state", F.col("scoped_item_count").alias("item_count"),
         F.col("scoped_revenue_cents").alias("revenue_cents"),
         F.col("revenue_cents").alias("total_order_revenue_cents"), "payment_cents", "payment_count",
-        "review_score", "review_count", "is_late", "purchase_at", "delivered_at", "estimated_at", "quality_flags",
-        "items")
+        "review_score", "review_count", "is_late", "purchase_at", "delivered_at", "estimated_at", "quality_flags")
+    lines = items.select("order_id", "item_id", "product_id", "seller_id", "category",
+                         F.col("category_label").alias("label"), "price_cents", "freight_cents")
+    return header.join(lines, "order_id").sortWithinPartitions("order_id", "item_id")

@@ -74,7 +74,7 @@ def q_order_detail_items(spark, sf_dir):
     """Order documents flattened to item rows (header fields repeated) for an order-insensitive check."""
     docs = dash.order_documents(_scope(spark, sf_dir, FILTERED))
     return docs.select("order_id", "revenue_cents", "total_order_revenue_cents", "payment_cents", "review_score",
-                       "is_late", F.inline("items")).drop("label")
+                       "is_late", "item_id", "product_id", "seller_id", "category", "price_cents", "freight_cents")
 
 
 def q_category_values(spark, sf_dir):
