@@ -31,11 +31,18 @@ def _row(df: DataFrame, constraint: str, table: str, column: str, bad: F.Column,
         "n", "sample_key")
 
 
-def chk_unique_key(df: DataFrame, table: str, keys: list[str]) -> DataFrame:
+def key_counts(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows per key. Built once per parent table and shared by its uniqueness check and every foreign-key check
+    against it (same plan -> the shuffle exchange is reused within the violations job)."""
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("c"))
+
+
+def chk_unique_key(df: DataFrame, table: str, keys: list[str], counts: DataFrame | None = None) -> DataFrame:
     """Key parts non-empty and the key unique (rows beyond the first of each key are counted)."""
-    g = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("c"))
+    g = counts if counts is not None else key_counts(df, keys)
     empty = F.greatest(*[is_missing(F.col(k)) for k in keys]) if len(keys) > 1 else is_missing(F.col(keys[0]))
     key = F.concat_ws("|", *[F.col(k) for k in keys])
+    g = g.filter((F.col("c") > 1) | empty)  # only offending keys reach the (string) sample aggregate
     return g.agg((F.coalesce(F.sum(F.when(F.col("c") > 1, F.col("c") - 1)), _zero())
                   + F.coalesce(F.sum(F.when(empty, F.col("c"))), _zero())).alias("n"),
                  F.min(F.when((F.col("c") > 1) | empty, key)).alias("sample_key")).select(
@@ -69,10 +76,12 @@ def chk_timestamp(df: DataFrame, table: str, column: str, key: str, required: bo
     return _row(df, "timestamp", table, column, bad, F.col(key))
 
 
-def chk_foreign_key(child: DataFrame, table: str, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
+def chk_foreign_key(child: DataFrame, table: str, column: str, parent: DataFrame, parent_column: str,
+                    parent_keys: DataFrame | None = None) -> DataFrame:
     """Child values without a parent row (left anti join against the distinct parent keys)."""
-    orphans = child.select(F.col(column).alias("_k")).join(
-        parent.select(F.col(parent_column).alias("_k")).distinct(), "_k", "left_anti")
+    keys = (parent_keys.select(F.col(parent_column).alias("_k")) if parent_keys is not None
+            else parent.select(F.col(parent_column).alias("_k")).distinct())
+    orphans = child.select(F.col(column).alias("_k")).join(keys, "_k", "left_anti")
     return orphans.agg(F.count(F.lit(1)).alias("n"), F.min("_k").cast("string").alias("sample_key")).select(
         F.lit("foreign_key").alias("constraint"), F.lit(table).alias("table"), F.lit(column).alias("column"),
         "n", "sample_key")
@@ -121,17 +130,33 @@ def union_all(frames: list[DataFrame]) -> DataFrame:
 ID_COLUMNS = ["order_id", "customer_id", "customer_unique_id", "product_id", "seller_id", "review_id"]
 
 
-def row_checks(df: DataFrame, table: str, checks: list[tuple[str, str, F.Column, F.Column]]) -> DataFrame:
+def row_checks(df: DataFrame, table: str, checks: list[tuple[str, str, F.Column, F.Column]],
+               bounded_sums: list[str] = ()) -> DataFrame:
     """Many per-row predicates of one table in ONE scan: one aggregate, then unpivoted to violation rows.
 
-    ``checks`` holds (constraint, column, bad_predicate, key_expression)."""
-    aggs = []
+    ``checks`` holds (constraint, column, bad_predicate, key_expression); ``bounded_sums`` are money columns whose
+    total must fit BIGINT cents (summed as decimal(38,0) in the same scan, so the check cannot overflow)."""
+    # evaluate every predicate (regexes, casts) exactly once, then aggregate plain boolean/key columns
+    cols = []
     for i, (_, _, bad, key) in enumerate(checks):
-        aggs += [F.count_if(bad).alias(f"n{i}"), F.min(F.when(bad, key.cast("string"))).alias(f"k{i}")]
-    row = df.agg(*aggs)
-    stack = ", ".join(f"'{c}', '{col}', n{i}, k{i}" for i, (c, col, _, _) in enumerate(checks))
-    return row.select(F.expr(f"stack({len(checks)}, {stack}) as (constraint, column, n, sample_key)")).select(
-        "constraint", F.lit(table).alias("table"), "column", "n", "sample_key")
+        cols += [bad.alias(f"_b{i}"), F.when(bad, key.cast("string")).alias(f"_k{i}")]
+    for j, col in enumerate(bounded_sums):
+        cols.append(money_cents(F.col(col)).cast("decimal(38,0)").alias(f"_s{j}"))
+    flat = df.select(*cols)
+    aggs = []
+    for i in range(len(checks)):
+        aggs += [F.count_if(F.col(f"_b{i}")).alias(f"n{i}"), F.min(f"_k{i}").alias(f"k{i}")]
+    extra = []
+    for j, col in enumerate(bounded_sums):
+        total = F.coalesce(F.sum(f"_s{j}"), F.lit(0))
+        aggs += [F.when(total > F.lit(MAX_CENTS), 1).otherwise(0).cast("bigint").alias(f"b{j}"),
+                 F.lit(None).cast("string").alias(f"bk{j}")]
+        extra.append(("bounded_sum", col, f"b{j}", f"bk{j}"))
+    row = flat.agg(*aggs)
+    parts = [f"'{c}', '{col}', n{i}, k{i}" for i, (c, col, _, _) in enumerate(checks)]
+    parts += [f"'{c}', '{col}', {n}, {k}" for c, col, n, k in extra]
+    return row.select(F.expr(f"stack({len(parts)}, {', '.join(parts)}) as (constraint, column, n, sample_key)"))\
+        .select("constraint", F.lit(table).alias("table"), "column", "n", "sample_key")
 
 
 def _length(col: str, limit: int, required: bool = True) -> F.Column:
@@ -150,17 +175,19 @@ def landing_violations(L: dict[str, DataFrame]) -> DataFrame:
     plus one aggregate per key (uniqueness) and one anti join per reference."""
     o, i, c, p, s, pay, r, tr = (L[k] for k in ("orders", "items", "customers", "products", "sellers", "payments",
                                                  "reviews", "translation"))
-    frames = [chk_unique_key(o, "orders", ["order_id"]), chk_unique_key(c, "customers", ["customer_id"]),
-              chk_unique_key(p, "products", ["product_id"]), chk_unique_key(s, "sellers", ["seller_id"]),
+    ok, ck, pk, sk = (key_counts(o, ["order_id"]), key_counts(c, ["customer_id"]), key_counts(p, ["product_id"]),
+                      key_counts(s, ["seller_id"]))
+    frames = [chk_unique_key(o, "orders", ["order_id"], ok), chk_unique_key(c, "customers", ["customer_id"], ck),
+              chk_unique_key(p, "products", ["product_id"], pk), chk_unique_key(s, "sellers", ["seller_id"], sk),
               chk_unique_key(tr, "translation", ["product_category_name"]),
               chk_unique_key(i, "items", ["order_id", "order_item_id"]),
               chk_unique_key(pay, "payments", ["order_id", "payment_sequential"]),
-              chk_foreign_key(o, "orders", "customer_id", c, "customer_id"),
-              chk_foreign_key(i, "items", "order_id", o, "order_id"),
-              chk_foreign_key(i, "items", "product_id", p, "product_id"),
-              chk_foreign_key(i, "items", "seller_id", s, "seller_id"),
-              chk_foreign_key(pay, "payments", "order_id", o, "order_id"),
-              chk_foreign_key(r, "reviews", "order_id", o, "order_id"),
+              chk_foreign_key(o, "orders", "customer_id", c, "customer_id", ck),
+              chk_foreign_key(i, "items", "order_id", o, "order_id", ok),
+              chk_foreign_key(i, "items", "product_id", p, "product_id", pk),
+              chk_foreign_key(i, "items", "seller_id", s, "seller_id", sk),
+              chk_foreign_key(pay, "payments", "order_id", o, "order_id", ok),
+              chk_foreign_key(r, "reviews", "order_id", o, "order_id", ok),
               chk_conditional_child(o, i)]
     per_table = {name: [] for name in L}
     for name, df in (("orders", o), ("items", i), ("customers", c), ("products", p), ("sellers", s),
@@ -191,6 +218,7 @@ def landing_violations(L: dict[str, DataFrame]) -> DataFrame:
     per_table["items"] += [("positive_int", "order_item_id", ~positive_int_valid(F.col("order_item_id")), oid),
                            ("money", "price", ~money_valid(F.col("price")), oid),
                            ("money", "freight_value", ~money_valid(F.col("freight_value")), oid)]
+    sums = {"items": ["price", "freight_value"], "payments": ["payment_value"]}
     if "shipping_limit_date" in i.columns:
         per_table["items"].append(("timestamp", "shipping_limit_date", _ts_bad("shipping_limit_date"), oid))
     per_table["payments"] += [
@@ -203,7 +231,7 @@ def landing_violations(L: dict[str, DataFrame]) -> DataFrame:
     for name, checks in per_table.items():
         checks = [ck for ck in checks if ck[0] != "_key"]
         if checks:
-            frames.append(row_checks(L[name], name, checks))
+            frames.append(row_checks(L[name], name, checks, sums.get(name, [])))
     return union_all(frames)
 
 
