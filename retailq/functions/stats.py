@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..session import ensure_checkpoint_dir
+
 # Above this many input rows the in-memory percentile map is not trusted; use the distributed path.
 IN_MEMORY_QUANTILE_ROWS = 1_000_000
 _MASK = (1 << 33) - 1
@@ -25,6 +27,7 @@ def exact_quantiles(df: DataFrame, value: str, probs: dict[str, tuple[float, str
     ``nearest`` matches ``percentile_disc`` (smallest value with cumulative share >= q). Groups without values
     produce no row."""
     by = list(by)
+    ensure_checkpoint_dir(df.sparkSession)
     s = df.select(*by, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull()) \
         .orderBy(*by, "_v").withColumn("_mid", F.monotonically_increasing_id()).checkpoint(eager=True)
     s = s.select(*by, "_v", F.shiftright("_mid", 33).alias("_pid"), (F.col("_mid").bitwiseAND(F.lit(_MASK)))

@@ -32,13 +32,15 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's shared ``spark.checkpoint.dir``; set a scratch one only where it is unset (tests)."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    """Use the cluster's shared ``spark.checkpoint.dir``; only where it is unset (local tests) take a scratch one."""
+    current = spark.sparkContext.getCheckpointDir()
+    if current:
+        return current
+    configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or \
+        spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         configured = tempfile.mkdtemp(prefix="retailq-ckpt-", dir=os.environ.get("RETAILQ_SCRATCH", "/tmp"))
-        spark.conf.set("spark.checkpoint.dir", configured)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(configured)
+    spark.sparkContext.setCheckpointDir(configured)
     return configured
 
 
