@@ -851,3 +851,45 @@ FROM prof p LEFT JOIN reg r ON r.name = p."column\""""
 from .base_sql import sql_str  # noqa: E402
 
 SQL["field_dictionary"] = _field_dictionary_sql()
+
+
+def _customer_state_base(p):
+    return base(scope(p), f"""
+first_purchase AS (
+  SELECT c.customer_unique_id, min(o.purchase_date) AS first_day
+  FROM fact_order o JOIN dim_customer c ON c.customer_id = o.customer_id
+  WHERE o.status = 'delivered' AND o.purchase_date <= {lit_date(p.end)}
+  GROUP BY c.customer_unique_id),
+cw AS (
+  SELECT s.customer_unique_id, s.state, min(f.first_day) AS first_day, max(s.purchase_date) AS last_day,
+         CAST(count(*) AS BIGINT) AS frequency, CAST(sum(s.scoped_revenue_cents) AS BIGINT) AS monetary_cents,
+         CAST(date_diff('day', max(s.purchase_date), {lit_date(p.end)}) AS INTEGER) AS recency_days
+  FROM scope_orders s JOIN first_purchase f ON f.customer_unique_id = s.customer_unique_id
+  GROUP BY s.customer_unique_id, s.state)""")
+
+
+SQL.update({
+    "customer_summary_by_state": _customer_state_base(CUSTOMER_YEAR) + f"""
+SELECT state, CAST(count(*) AS BIGINT) AS customer_count,
+       CAST(count(*) FILTER (WHERE first_day >= {lit_date(CUSTOMER_YEAR.start)}) AS BIGINT) AS new_customers,
+       CAST(count(*) - count(*) FILTER (WHERE first_day >= {lit_date(CUSTOMER_YEAR.start)}) AS BIGINT) AS returning_customers,
+       CAST(count(*) FILTER (WHERE frequency >= 2) AS BIGINT) AS repeat_customers,
+       CAST(count(*) FILTER (WHERE frequency >= 2) AS DOUBLE) / count(*) AS repeat_rate,
+       CAST(coalesce(sum(frequency), 0) AS BIGINT) AS order_count,
+       CAST(coalesce(sum(monetary_cents), 0) AS BIGINT) AS revenue_cents,
+       CAST(count(*) - count(*) FILTER (WHERE frequency >= 2) AS DOUBLE) / count(*) AS single_purchase_share
+FROM cw GROUP BY state""",
+    "rfm_segments_by_state": _customer_state_base(CUSTOMER_YEAR).rstrip() + f""",
+seg AS (
+  SELECT state, (CASE WHEN recency_days <= {_RFM.recent_days} THEN '1' ELSE '0' END) ||
+         (CASE WHEN frequency >= {_RFM.repeat_orders} THEN '1' ELSE '0' END) ||
+         (CASE WHEN monetary_cents >= {_RFM.amount_cents} THEN '1' ELSE '0' END) AS "key",
+         CAST(count(*) AS BIGINT) AS customer_count, CAST(sum(frequency) AS BIGINT) AS order_count,
+         CAST(sum(monetary_cents) AS BIGINT) AS revenue_cents
+  FROM cw GROUP BY 1, 2)
+SELECT g.state, k."key", coalesce(s.customer_count, 0) AS customer_count, coalesce(s.order_count, 0) AS order_count,
+       coalesce(s.revenue_cents, 0) AS revenue_cents
+FROM (SELECT DISTINCT state FROM cw) g
+CROSS JOIN (VALUES ('111'), ('110'), ('101'), ('100'), ('011'), ('010'), ('001'), ('000')) AS k("key")
+LEFT JOIN seg s ON s.state = g.state AND s."key" = k."key\"""",
+})

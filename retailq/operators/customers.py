@@ -26,26 +26,27 @@ def first_purchase(star: dict[str, DataFrame], params: ScopeParams) -> DataFrame
         .agg(F.min("purchase_date").alias("first_day"))
 
 
-def customer_window(scope: Scope, first: DataFrame) -> DataFrame:
-    """Per customer in scope: first_day, last_day, frequency, monetary and recency (days to the window end)."""
-    per = scope.orders.groupBy("customer_unique_id").agg(
+def customer_window(scope: Scope, first: DataFrame, by: list[str] | tuple = ()) -> DataFrame:
+    """Per customer in scope (and per ``by`` group, e.g. state): first_day, last_day, frequency, monetary and
+    recency (days to the window end). The first purchase stays global (never filtered by the group)."""
+    per = scope.orders.groupBy("customer_unique_id", *by).agg(
         F.max("purchase_date").alias("last_day"), F.count(F.lit(1)).alias("frequency"),
         F.sum("scoped_revenue_cents").alias("monetary_cents"))
     return per.join(first, "customer_unique_id").select(
-        "customer_unique_id", "first_day", "last_day", "frequency", "monetary_cents",
+        "customer_unique_id", *by, "first_day", "last_day", "frequency", "monetary_cents",
         F.datediff(F.lit(scope.params.end), F.col("last_day")).alias("recency_days"))
 
 
-def customer_summary(window: DataFrame, params: ScopeParams) -> DataFrame:
+def customer_summary(window: DataFrame, params: ScopeParams, by: list[str] | tuple = ()) -> DataFrame:
     """Customers, new (first purchase inside the window), returning, repeat (>= 2 orders), rates, orders, revenue."""
     n = F.count(F.lit(1))
     repeat = F.count_if(F.col("frequency") >= 2)
-    row = window.agg(n.alias("customer_count"),
+    row = (window.groupBy(*by) if by else window).agg(n.alias("customer_count"),
                      F.count_if(F.col("first_day") >= F.lit(params.start)).alias("new_customers"),
                      repeat.alias("repeat_customers"),
                      F.coalesce(F.sum("frequency"), _zero()).alias("order_count"),
                      F.coalesce(F.sum("monetary_cents"), _zero()).alias("revenue_cents"))
-    return row.select("customer_count", "new_customers",
+    return row.select(*by, "customer_count", "new_customers",
                       (F.col("customer_count") - F.col("new_customers")).alias("returning_customers"),
                       "repeat_customers",
                       F.try_divide(F.col("repeat_customers").cast("double"), F.col("customer_count"))
@@ -63,15 +64,18 @@ def segment_key(rules: RfmRules = RfmRules()) -> F.Column:
                     bit(F.col("monetary_cents") >= rules.amount_cents))
 
 
-def rfm_segments(window: DataFrame, rules: RfmRules = RfmRules()) -> DataFrame:
-    """Always eight rows (keys 111..000), with customers, orders and revenue per segment."""
+def rfm_segments(window: DataFrame, rules: RfmRules = RfmRules(), by: list[str] | tuple = ()) -> DataFrame:
+    """Always eight rows (keys 111..000) per group, with customers, orders and revenue per segment."""
     spark = window.sparkSession
     keys = spark.createDataFrame([(f"{r}{f}{m}",) for r in (1, 0) for f in (1, 0) for m in (1, 0)], "key string")
-    seg = window.groupBy(segment_key(rules).alias("key")).agg(
+    if by:
+        keys = window.select(*by).distinct().crossJoin(F.broadcast(keys))
+    seg = window.groupBy(*by, segment_key(rules).alias("key")).agg(
         F.count(F.lit(1)).alias("customer_count"), F.sum("frequency").alias("order_count"),
         F.sum("monetary_cents").alias("revenue_cents"))
-    return F.broadcast(keys).join(seg, "key", "left").select(
-        "key", F.coalesce("customer_count", _zero()).alias("customer_count"),
+    left = keys if by else F.broadcast(keys)
+    return left.join(seg, [*by, "key"], "left").select(
+        *by, "key", F.coalesce("customer_count", _zero()).alias("customer_count"),
         F.coalesce("order_count", _zero()).alias("order_count"), F.coalesce("revenue_cents", _zero()).alias("revenue_cents"))
 
 

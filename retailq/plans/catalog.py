@@ -420,3 +420,20 @@ def q_field_dictionary(spark, sf_dir):
 
 
 QUERIES["field_dictionary"] = q_field_dictionary
+
+
+def _customers_by_state(section):
+    def run(spark, sf_dir):
+        st = star(spark, sf_dir)
+        window = cu.customer_window(build_scope(st, CUSTOMER_YEAR), cu.first_purchase(st, CUSTOMER_YEAR),
+                                    by=["state"])
+        if section == "summary":
+            return cu.customer_summary(window, CUSTOMER_YEAR, by=["state"])
+        return cu.rfm_segments(window, TEST_PROFILE.rfm, by=["state"])
+    return run
+
+
+QUERIES.update({
+    "customer_summary_by_state": _customers_by_state("summary"),
+    "rfm_segments_by_state": _customers_by_state("segments"),
+})
