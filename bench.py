@@ -1,5 +1,8 @@
 """Benchmark: full load + whole-history dashboard and the other analyses on one persisted scope.
 
+Dashboard cases run twice: the first call (cold plans/JIT) and a warm repeat (``*_warm``), which is what a
+long-running service answers; ``value`` sums every timing.
+
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8), BENCH_WAREHOUSE (output root; default a
 fresh folder under spark.checkpoint.dir or a new scratch folder). Prints ONE JSON line.
 """
@@ -49,6 +52,11 @@ def main():
         t = time.time()
         dashboard(star, params, cov)
         times[name] = time.time() - t
+    # the reference's request timings come from a running server; report a warm repeat as well
+    for name, params in cases.items():
+        t = time.time()
+        dashboard(star, params, cov)
+        times[f"{name}_warm"] = time.time() - t
 
     t = time.time()
     customer_report(star, ScopeParams(date(1998, 1, 1), date(1998, 12, 31)), TEST_PROFILE.rfm)

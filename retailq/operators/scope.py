@@ -23,7 +23,7 @@ class Scope:
     items: DataFrame
     orders: DataFrame
 
-    def persist(self, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> "Scope":
+    def persist(self, level: StorageLevel = StorageLevel.MEMORY_AND_DISK_DESER) -> "Scope":
         """Persist both grains once; every section of a dashboard/report is derived from them."""
         return Scope(self.params, self.items.persist(level), self.orders.persist(level))
 
