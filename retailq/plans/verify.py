@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions.parse import money_cents, strict_timestamp
 from ..operators import dashboard as dash
@@ -46,3 +47,114 @@ def verify_kpis_from_raw(L: dict[str, DataFrame], star: dict[str, DataFrame],
             .withColumn("scope", F.lit(name))
         diffs = d if diffs is None else diffs.unionByName(d)
     return diffs
+
+
+# ---- second formulations of the other sections (landing text only; window ranking instead of max_by, etc.) -------
+
+def _raw_orders(L: dict[str, DataFrame]) -> DataFrame:
+    ts = lambda c: strict_timestamp(F.col(c))
+    o = L["orders"].select("order_id", "customer_id", "order_status", ts("order_purchase_timestamp").alias("ts"),
+                           ts("order_delivered_customer_date").alias("dts"),
+                           ts("order_estimated_delivery_date").alias("ets"))
+    c = L["customers"].select("customer_id", "customer_unique_id",
+                              F.when(F.col("customer_state") == "", "unknown").otherwise(F.col("customer_state"))
+                              .alias("state"))
+    return o.join(c, "customer_id").withColumn("day", F.to_date("ts"))
+
+
+def _raw_item_totals(L: dict[str, DataFrame], category: str = "") -> DataFrame:
+    p = L["products"].select("product_id", F.when(F.col("product_category_name") == "", "unknown")
+                             .otherwise(F.col("product_category_name")).alias("category"))
+    if category:
+        p = p.filter(F.col("category") == category)
+    i = L["items"].select("order_id", "product_id", money_cents(F.col("price")).alias("cents")).join(p, "product_id")
+    return i.groupBy("order_id").agg(F.sum("cents").alias("rev"), F.count(F.lit(1)).alias("n"))
+
+
+def _raw_scope(L, params: ScopeParams, start=None) -> DataFrame:
+    o = _raw_orders(L).filter((F.col("order_status") == "delivered")
+                              & F.col("day").between(F.lit(start or params.start), F.lit(params.end)))
+    if params.state:
+        o = o.filter(F.col("state") == params.state)
+    return o.join(_raw_item_totals(L, params.category), "order_id")
+
+
+def _latest_score(L) -> DataFrame:
+    r = L["reviews"].select("order_id", F.col("review_score").cast("int").alias("score"), "review_id",
+                            strict_timestamp(F.col("review_creation_date")).alias("c"),
+                            strict_timestamp(F.col("review_answer_timestamp")).alias("a"))
+    w = Window.partitionBy("order_id").orderBy(F.desc_nulls_last("a"), F.desc_nulls_last("c"),
+                                               F.desc("review_id"), F.desc("score"))
+    return r.withColumn("rk", F.row_number().over(w)).filter("rk = 1").select("order_id", "score")
+
+
+def trend_from_raw(L, params: ScopeParams, grain: str) -> DataFrame:
+    s = _raw_scope(L, params)
+    period = {"day": F.col("day"), "week": F.expr("date_sub(day, (dayofweek(day) + 5) % 7)"),  # back to Monday
+              "month": F.trunc("day", "month")}[grain]
+    return s.groupBy(period.alias("period")).agg(F.sum("rev").alias("revenue_cents"),
+                                                 F.count(F.lit(1)).alias("order_count"))
+
+
+def fulfilment_from_raw(L, params: ScopeParams) -> DataFrame:
+    s = _raw_scope(L, params).join(_latest_score(L), "order_id", "left")
+    ok = F.col("dts").isNotNull() & (F.col("dts") >= F.col("ts"))
+    late = F.when(ok & F.col("ets").isNotNull(), (F.to_date("dts") > F.to_date("ets")).cast("int"))
+    secs = F.when(ok, F.unix_timestamp("dts") - F.unix_timestamp("ts"))
+    s = s.select(late.alias("late"), secs.alias("secs"), "score")
+    return s.agg(F.count("late").alias("eligible_orders"), F.count_if(F.col("late") == 1).alias("late_orders"),
+                 F.count("secs").alias("delivery_sample_count"),
+                 F.round(F.avg("secs") / 86400, 9).alias("average_delivery_days"),
+                 F.count("score").alias("reviewed_orders"), F.round(F.avg("score"), 9).alias("average_review_score"))
+
+
+def customers_from_raw(L, params: ScopeParams) -> DataFrame:
+    o = _raw_orders(L)
+    first = o.filter((F.col("order_status") == "delivered") & (F.col("day") <= F.lit(params.end))) \
+        .groupBy("customer_unique_id").agg(F.min("day").alias("first_day"))
+    per = _raw_scope(L, params).groupBy("customer_unique_id").agg(F.count(F.lit(1)).alias("f"),
+                                                                    F.sum("rev").alias("m"))
+    j = per.join(first, "customer_unique_id")
+    return j.agg(F.count(F.lit(1)).alias("customer_count"),
+                 F.count_if(F.col("first_day") >= F.lit(params.start)).alias("new_customers"),
+                 F.count_if(F.col("f") >= 2).alias("repeat_customers"),
+                 F.coalesce(F.sum("f"), F.lit(0).cast("bigint")).alias("order_count"),
+                 F.coalesce(F.sum("m"), F.lit(0).cast("bigint")).alias("revenue_cents"))
+
+
+def state_contributions_from_raw(L, params: ScopeParams) -> DataFrame:
+    ps, pe, _ = params.comparison()
+    s = _raw_scope(L, params, start=min(ps, params.start))
+    cur = F.col("day").between(F.lit(params.start), F.lit(params.end))
+    prv = F.col("day").between(F.lit(ps), F.lit(pe))
+    return s.filter(cur | prv).groupBy(F.col("state").alias("name")).agg(
+        F.coalesce(F.sum(F.when(cur, F.col("rev"))), F.lit(0).cast("bigint")).alias("current_cents"),
+        F.coalesce(F.sum(F.when(prv, F.col("rev"))), F.lit(0).cast("bigint")).alias("previous_cents"))
+
+
+def verify_sections_from_raw(L, star, params: ScopeParams, coverage_row: DataFrame) -> DataFrame:
+    """(section, difference_rows) for trend buckets (3 grains), fulfilment, customers and state contributions;
+    0 everywhere means the warehouse answers equal the second formulation."""
+    from ..operators import customers as cu
+    from ..operators import diagnosis as dg
+    sc = build_scope(star, params)
+    checks = {}
+    for g in ("day", "week", "month"):
+        t = dash.trend(sc, g, coverage_row).filter(F.col("order_count") > 0).select("period", "revenue_cents",
+                                                                                  "order_count")
+        checks[f"trend_{g}"] = verify_equal(t, trend_from_raw(L, params, g))
+    f = dash.fulfilment_summary(sc).select(
+        "eligible_orders", "late_orders", "delivery_sample_count",
+        F.round("average_delivery_days", 9).alias("average_delivery_days"), "reviewed_orders",
+        F.round("average_review_score", 9).alias("average_review_score"))
+    checks["fulfilment"] = verify_equal(f, fulfilment_from_raw(L, params))
+    cs = cu.customer_summary(cu.customer_window(sc, cu.first_purchase(star, params)), params).select(
+        "customer_count", "new_customers", "repeat_customers", "order_count", "revenue_cents")
+    checks["customers"] = verify_equal(cs, customers_from_raw(L, params))
+    contrib = dg.contributions(star, params, coverage_row, "state").select("name", "current_cents", "previous_cents")
+    checks["state_contributions"] = verify_equal(contrib, state_contributions_from_raw(L, params))
+    out = None
+    for name, d in checks.items():
+        r = d.agg(F.count(F.lit(1)).alias("difference_rows")).select(F.lit(name).alias("section"), "difference_rows")
+        out = r if out is None else out.unionByName(r)
+    return out
