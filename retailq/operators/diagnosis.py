@@ -66,10 +66,11 @@ def decompose_columns(n1: str, r1: str, n0: str, r0: str) -> list[F.Column]:  #
 
 
 def report_headline(star: dict[str, DataFrame], params: ScopeParams, coverage_row: DataFrame,
-                    by: list[str] | tuple = ()) -> DataFrame:
-    """Current/previous orders and revenue, delta, change rate, per-day revenue, decomposition, flags."""
+                    by: list[str] | tuple = (), scope: Scope | None = None) -> DataFrame:
+    """Current/previous orders and revenue, delta, change rate, per-day revenue, decomposition, flags.
+    ``scope``: an already built (persisted) ``tagged_scope`` to read instead of building one."""
     ps, pe, label = params.comparison()
-    sc = tagged_scope(star, params)
+    sc = scope or tagged_scope(star, params)
     o = sc.orders.filter(F.col("period") != "history")
     grouped = o.groupBy(*by) if by else o
     agg = grouped.agg(_count_if("current").alias("current_orders"),
@@ -98,11 +99,11 @@ def report_headline(star: dict[str, DataFrame], params: ScopeParams, coverage_ro
 # ---- contributions ----------------------------------------------------------------------------------------------
 
 def contributions(star: dict[str, DataFrame], params: ScopeParams, coverage_row: DataFrame,
-                  dimension: str) -> DataFrame:
+                  dimension: str, scope: Scope | None = None) -> DataFrame:
     """Per category (item money) or customer state (order money): current, previous, delta; every key of either
     period appears once (one pass with conditional sums = full outer join of the two periods). Empty when the
     periods are not comparable. ``position`` is the order by |delta| desc, name."""
-    sc = tagged_scope(star, params)
+    sc = scope or tagged_scope(star, params)
     if dimension == "category":
         src, money = sc.items, "price_cents"
     elif dimension == "state":
@@ -126,10 +127,14 @@ def top_contributions(contrib: DataFrame, k: int = 5) -> DataFrame:
 # ---- daily series and anomalies ---------------------------------------------------------------------------------
 
 def daily_series(star: dict[str, DataFrame], params: ScopeParams, lookback_days: int = 56,
-                 by: list[str] | tuple = ()) -> DataFrame:
+                 by: list[str] | tuple = (), scope: Scope | None = None) -> DataFrame:
     """Orders and revenue per purchase day from start - lookback to end, same filters."""
-    sc = build_scope(star, params.with_dates(params.start - timedelta(days=lookback_days), params.end))
-    return sc.orders.groupBy(F.col("purchase_date").alias("day"), *by).agg(
+    lo = params.start - timedelta(days=lookback_days)
+    if scope is not None:
+        orders = scope.orders.filter(F.col("purchase_date").between(F.lit(lo), F.lit(params.end)))
+    else:
+        orders = build_scope(star, params.with_dates(lo, params.end)).orders
+    return orders.groupBy(F.col("purchase_date").alias("day"), *by).agg(
         F.count(F.lit(1)).alias("order_count"), F.sum("scoped_revenue_cents").alias("revenue_cents"))
 
 

@@ -80,15 +80,19 @@ def customer_report(star, params: ScopeParams, rules: RfmRules = RfmRules(), wor
 
 def diagnostic_report(star, params: ScopeParams, coverage_row: DataFrame, rules: AnomalyRules = AnomalyRules(),
                       workers: int = 8) -> dict[str, list]:
-    """Headline, contributions, anomalies, delivery groups/strata and evidence for one window."""
+    """Headline, contributions, anomalies, delivery groups/strata and evidence for one window, all read from ONE
+    persisted scope tagged current / previous / history (covering the comparison window and the look-back)."""
     coverage_row = literal_row(coverage_row)
-    head = dg.report_headline(star, params, coverage_row)
-    contrib = dg.contributions(star, params, coverage_row, "category").unionByName(
-        dg.contributions(star, params, coverage_row, "state"))
-    daily = dg.daily_series(star, params, 7 * rules.weeks)
+    wide = dg.tagged_scope(star, params, lookback_days=7 * rules.weeks).persist()
+    materialize(wide)
+    current = Scope(params, wide.items.filter(F.col("period") == "current"),
+                    wide.orders.filter(F.col("period") == "current"))
+    head = dg.report_headline(star, params, coverage_row, scope=wide)
+    contrib = dg.contributions(star, params, coverage_row, "category", scope=wide).unionByName(
+        dg.contributions(star, params, coverage_row, "state", scope=wide))
+    daily = dg.daily_series(star, params, 7 * rules.weeks, scope=wide)
     anomalies = dg.anomaly_same_weekday_mad(daily, params, coverage_row, rules)
-    cells = dg.delivery_cells(build_scope(star, params)).persist()
-    cells.count()
+    cells = dg.delivery_cells(current)
     groups = dg.score_group_stats(cells)
     strata = dg.score_strata(cells, "category").unionByName(dg.score_strata(cells, "state"))
     sections = {"headline": head, "contributions": contrib, "anomalies": anomalies,
@@ -97,4 +101,4 @@ def diagnostic_report(star, params: ScopeParams, coverage_row: DataFrame, rules:
     try:
         return collect_all(sections, workers)
     finally:
-        cells.unpersist()
+        wide.unpersist()
