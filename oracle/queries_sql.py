@@ -815,6 +815,22 @@ def _preset_union(select_sql):
     return base(*ctes) + body
 
 
+def _per_preset(make_sql):
+    """One complete per-preset query per preset, tagged with the preset name (an independent formulation of the
+    Spark job, which answers all presets in one pass)."""
+    return "\nUNION ALL\n".join(f"SELECT '{name}' AS preset, q.* FROM ({make_sql(_SP(s, e, cat, st))}) q"
+                                 for name, s, e, cat, st in PRESETS)
+
+
+SQL.update({
+    "preset_customers": _per_preset(_summary_sql),
+    "preset_segments": _per_preset(lambda p: _customer_base(p) + "SELECT * FROM segments"),
+    "preset_report_headline": _per_preset(_headline_sql),
+    "preset_contributions": _per_preset(lambda p: base(*_tagged(p), _contrib_cte("category", "cc"),
+                                                       _contrib_cte("state", "cs"))
+                                        + "SELECT * FROM cc UNION ALL SELECT * FROM cs"),
+})
+
 SQL.update({
     "preset_kpis": _preset_union("""SELECT '{name}' AS preset, CAST(count(*) AS BIGINT) AS order_count,
        CAST(coalesce(sum(scoped_revenue_cents), 0) AS BIGINT) AS revenue_cents,

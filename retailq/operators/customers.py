@@ -37,12 +37,15 @@ def customer_window(scope: Scope, first: DataFrame, by: list[str] | tuple = ())
         F.datediff(F.lit(scope.params.end), F.col("last_day")).alias("recency_days"))
 
 
-def customer_summary(window: DataFrame, params: ScopeParams, by: list[str] | tuple = ()) -> DataFrame:
-    """Customers, new (first purchase inside the window), returning, repeat (>= 2 orders), rates, orders, revenue."""
+def customer_summary(window: DataFrame, params: ScopeParams | None, by: list[str] | tuple = (),
+                     is_new: F.Column | None = None) -> DataFrame:
+    """Customers, new (first purchase inside the window), returning, repeat (>= 2 orders), rates, orders, revenue.
+    ``is_new``: per-row flag for windows that differ by group (e.g. one window per preset) instead of params.start."""
     n = F.count(F.lit(1))
     repeat = F.count_if(F.col("frequency") >= 2)
+    new = is_new if is_new is not None else F.col("first_day") >= F.lit(params.start)
     row = (window.groupBy(*by) if by else window).agg(n.alias("customer_count"),
-                     F.count_if(F.col("first_day") >= F.lit(params.start)).alias("new_customers"),
+                     F.count_if(new).alias("new_customers"),
                      repeat.alias("repeat_customers"),
                      F.coalesce(F.sum("frequency"), _zero()).alias("order_count"),
                      F.coalesce(F.sum("monetary_cents"), _zero()).alias("revenue_cents"))
@@ -64,12 +67,14 @@ def segment_key(rules: RfmRules = RfmRules()) -> F.Column:
                     bit(F.col("monetary_cents") >= rules.amount_cents))
 
 
-def rfm_segments(window: DataFrame, rules: RfmRules = RfmRules(), by: list[str] | tuple = ()) -> DataFrame:
-    """Always eight rows (keys 111..000) per group, with customers, orders and revenue per segment."""
+def rfm_segments(window: DataFrame, rules: RfmRules = RfmRules(), by: list[str] | tuple = (),
+                 groups: DataFrame | None = None) -> DataFrame:
+    """Always eight rows (keys 111..000) per group, with customers, orders and revenue per segment. ``groups``: the
+    group keys that must appear even without customers (default: the groups present in ``window``)."""
     spark = window.sparkSession
     keys = spark.createDataFrame([(f"{r}{f}{m}",) for r in (1, 0) for f in (1, 0) for m in (1, 0)], "key string")
     if by:
-        keys = window.select(*by).distinct().crossJoin(F.broadcast(keys))
+        keys = (groups if groups is not None else window.select(*by).distinct()).crossJoin(F.broadcast(keys))
     seg = window.groupBy(*by, segment_key(rules).alias("key")).agg(
         F.count(F.lit(1)).alias("customer_count"), F.sum("frequency").alias("order_count"),
         F.sum("monetary_cents").alias("revenue_cents"))

@@ -87,18 +87,24 @@ def diagnostic_report(star, params: ScopeParams, coverage_row: DataFrame, rules:
     materialize(wide)
     current = Scope(params, wide.items.filter(F.col("period") == "current"),
                     wide.orders.filter(F.col("period") == "current"))
-    head = dg.report_headline(star, params, coverage_row, scope=wide)
+    # Small intermediate tables (bounded by days, or by category x state x 3 x 6 cells) are cached, so the
+    # sections that share them -- and the evidence built from the sections -- do not re-run their shuffles.
+    cells = dg.delivery_cells(current).persist()
+    daily = dg.daily_series(star, params, 7 * rules.weeks, scope=wide).persist()
+    head = dg.report_headline(star, params, coverage_row, scope=wide).persist()
     contrib = dg.contributions(star, params, coverage_row, "category", scope=wide).unionByName(
-        dg.contributions(star, params, coverage_row, "state", scope=wide))
-    daily = dg.daily_series(star, params, 7 * rules.weeks, scope=wide)
-    anomalies = dg.anomaly_same_weekday_mad(daily, params, coverage_row, rules)
-    cells = dg.delivery_cells(current)
-    groups = dg.score_group_stats(cells)
-    strata = dg.score_strata(cells, "category").unionByName(dg.score_strata(cells, "state"))
-    sections = {"headline": head, "contributions": contrib, "anomalies": anomalies,
-                "anomaly_summary": dg.anomaly_summary(anomalies), "groups": groups, "strata": strata,
-                "evidence": dg.investigation_evidence(head, contrib, groups, strata)}
+        dg.contributions(star, params, coverage_row, "state", scope=wide)).persist()
+    anomalies = dg.anomaly_same_weekday_mad(daily, params, coverage_row, rules).persist()
+    groups = dg.score_group_stats(cells).persist()
+    strata = dg.score_strata(cells, "category").unionByName(dg.score_strata(cells, "state")).persist()
+    cached = [cells, daily, head, contrib, anomalies, groups, strata]
     try:
-        return collect_all(sections, workers)
+        out = collect_all({"headline": head, "contributions": contrib, "anomalies": anomalies, "groups": groups,
+                           "strata": strata}, workers)
+        out.update(collect_all({"anomaly_summary": dg.anomaly_summary(anomalies),
+                                "evidence": dg.investigation_evidence(head, contrib, groups, strata)}, workers))
+        return out
     finally:
+        for df in cached:
+            df.unpersist()
         wide.unpersist()

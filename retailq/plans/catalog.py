@@ -355,6 +355,24 @@ def q_preset_trend_month(spark, sf_dir):
     return pub.preset_trend(star(spark, sf_dir), pub.preset_table(spark, PRESETS), "month")
 
 
+def q_preset_customers(spark, sf_dir):
+    return pub.preset_customers(star(spark, sf_dir), pub.preset_table(spark, PRESETS))
+
+
+def q_preset_segments(spark, sf_dir):
+    return pub.preset_segments(star(spark, sf_dir), pub.preset_table(spark, PRESETS), TEST_PROFILE.rfm)
+
+
+def q_preset_report_headline(spark, sf_dir):
+    st = star(spark, sf_dir)
+    return pub.preset_report_headline(st, pub.preset_table(spark, PRESETS), _cov(st))
+
+
+def q_preset_contributions(spark, sf_dir):
+    st = star(spark, sf_dir)
+    return pub.preset_contributions(st, pub.preset_table(spark, PRESETS), _cov(st))
+
+
 def q_cross_view_consistency(spark, sf_dir):
     st = star(spark, sf_dir)
     sc = build_scope(st, CUSTOMER_YEAR)
@@ -369,6 +387,10 @@ def q_cross_view_consistency(spark, sf_dir):
 QUERIES.update({
     "preset_kpis": q_preset_kpis,
     "preset_trend_month": q_preset_trend_month,
+    "preset_customers": q_preset_customers,
+    "preset_segments": q_preset_segments,
+    "preset_report_headline": q_preset_report_headline,
+    "preset_contributions": q_preset_contributions,
     "cross_view_consistency": q_cross_view_consistency,
 })
 
