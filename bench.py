@@ -4,14 +4,14 @@ Dashboard cases run twice: the first call (cold plans/JIT) and a warm repeat (``
 long-running service answers; ``value`` sums every timing.
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8), BENCH_WAREHOUSE (output root; default a
-fresh folder under spark.checkpoint.dir or a new scratch folder). Prints ONE JSON line.
+fresh folder under the session's spark.checkpoint.dir). Prints ONE JSON line.
 """
 from __future__ import annotations
 
 import json
 import os
 import sys
-import tempfile
+import uuid
 import time
 from datetime import date
 
@@ -21,7 +21,7 @@ from retailq.operators.scope import coverage_window  # noqa: E402
 from retailq.plans.analyses import customer_report, dashboard, diagnostic_report  # noqa: E402
 from retailq.params import ScopeParams  # noqa: E402
 from retailq.plans.load import run_load  # noqa: E402
-from retailq.session import build_session  # noqa: E402
+from retailq.session import build_session, ensure_checkpoint_dir  # noqa: E402
 from retailq.sources.testdata import TEST_PROFILE, landing_model  # noqa: E402
 from retailq.sources.warehouse_store import read_star  # noqa: E402
 
@@ -30,8 +30,8 @@ def main():
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     spark = build_session(master=f"local[{cpus}]", shuffle_partitions=max(cpus, 8), app="retailq-bench")
-    root = os.environ.get("BENCH_WAREHOUSE") or tempfile.mkdtemp(prefix="retailq-bench-", dir=os.environ.get(
-        "RETAILQ_SCRATCH", "/tmp"))
+    # a fresh folder under the session's shared checkpoint folder (cluster setting; a scratch one only when unset)
+    root = os.environ.get("BENCH_WAREHOUSE") or f"{ensure_checkpoint_dir(spark)}/bench-warehouse-{uuid.uuid4().hex[:8]}"
     times = {}
 
     t = time.time()
