@@ -912,3 +912,91 @@ LEFT JOIN seg s ON s.state = g.state AND s."key" = k."key\"""",
 
 SQL["verify_sections_from_raw"] = """SELECT section, CAST(0 AS BIGINT) AS difference_rows FROM (VALUES ('trend_day'),
   ('trend_week'), ('trend_month'), ('fulfilment'), ('customers'), ('state_contributions')) AS t(section)"""
+
+
+# ---- landing constraints (one violations table) -----------------------------------------------------------------
+from retailq.params import ORDER_STATUSES as _STATUSES  # noqa: E402
+
+from .base_sql import sql_str  # noqa: E402
+
+_TS_OK = "regexp_full_match({c}, '\\d{{4}}-\\d{{2}}-\\d{{2}} \\d{{2}}:\\d{{2}}:\\d{{2}}') AND TRY_CAST({c} AS TIMESTAMP) IS NOT NULL"
+_MONEY_OK = ("coalesce(TRY_CAST(trim({c}) AS DECIMAL(38,10)) * 100 = floor(TRY_CAST(trim({c}) AS DECIMAL(38,10)) * 100) "
+             "AND TRY_CAST(trim({c}) AS DECIMAL(38,10)) >= 0, FALSE)")
+_INT_OK = "coalesce(regexp_full_match({c}, '[1-9][0-9]*') AND TRY_CAST({c} AS BIGINT) <= 2147483647, FALSE)"
+
+
+def _viol_row(constraint, table, column, bad, key):
+    return (f"SELECT '{constraint}' AS \"constraint\", '{table}' AS \"table\", '{column}' AS \"column\", "
+            f"CAST(count(*) FILTER (WHERE {bad}) AS BIGINT) AS n, "
+            f"min(CASE WHEN {bad} THEN CAST({key} AS VARCHAR) END) AS sample_key FROM l_{table}")
+
+
+def _viol_unique(table, keys):
+    key = " || '|' || ".join(keys)
+    empty = " OR ".join(f"{MISSING.format(c=k)}" for k in keys)
+    return (f"SELECT 'unique_key' AS \"constraint\", '{table}' AS \"table\", '{','.join(keys)}' AS \"column\", "
+            f"CAST(coalesce(sum(CASE WHEN c > 1 THEN c - 1 ELSE 0 END) + sum(CASE WHEN e THEN c ELSE 0 END), 0) AS BIGINT)"
+            f" AS n, min(CASE WHEN c > 1 OR e THEN k END) AS sample_key "
+            f"FROM (SELECT {key} AS k, count(*) AS c, bool_or({empty}) AS e FROM l_{table} GROUP BY {', '.join(keys)}) g")
+
+
+def _viol_fk(table, column, parent, parent_column):
+    return (f"SELECT 'foreign_key', '{table}', '{column}', CAST(count(*) AS BIGINT), min(CAST({column} AS VARCHAR)) "
+            f"FROM l_{table} WHERE {column} IS NULL "
+            f"OR {column} NOT IN (SELECT {parent_column} FROM l_{parent} WHERE {parent_column} IS NOT NULL)")
+
+
+def _landing_violations_sql():
+    rows = [_viol_unique("orders", ["order_id"]), _viol_unique("customers", ["customer_id"]),
+            _viol_unique("products", ["product_id"]), _viol_unique("sellers", ["seller_id"]),
+            _viol_unique("translation", ["product_category_name"]),
+            _viol_unique("items", ["order_id", "order_item_id"]),
+            _viol_unique("payments", ["order_id", "payment_sequential"]),
+            _viol_fk("orders", "customer_id", "customers", "customer_id"),
+            _viol_fk("items", "order_id", "orders", "order_id"), _viol_fk("items", "product_id", "products", "product_id"),
+            _viol_fk("items", "seller_id", "sellers", "seller_id"), _viol_fk("payments", "order_id", "orders", "order_id"),
+            _viol_fk("reviews", "order_id", "orders", "order_id"),
+            "SELECT 'delivered_has_items', 'orders', 'order_id', CAST(count(*) AS BIGINT), min(order_id) FROM l_orders "
+            "WHERE order_status = 'delivered' AND (order_id IS NULL "
+            "OR order_id NOT IN (SELECT order_id FROM l_items WHERE order_id IS NOT NULL))"]
+    length = lambda c, n, req=True: f"(char_length({c}) > {n}" + (f" OR {c} = '')" if req else ")")
+    ts_bad = lambda c, req=False: f"(({c} <> '' AND NOT ({_TS_OK.format(c=c)}))" + (f" OR {c} = '')" if req else ")")
+    ids = ["order_id", "customer_id", "customer_unique_id", "product_id", "seller_id", "review_id"]
+    tables = {"orders": ["order_id", "customer_id"], "items": ["order_id", "product_id", "seller_id"],
+              "customers": ["customer_id", "customer_unique_id"], "products": ["product_id"], "sellers": ["seller_id"],
+              "payments": ["order_id"], "reviews": ["review_id", "order_id"]}
+    first = {"customers": "customer_id", "products": "product_id", "sellers": "seller_id"}
+    for t, cols in tables.items():
+        key = "order_id" if t in ("orders", "items", "payments", "reviews") else first[t]
+        rows += [_viol_row("string_length", t, c, length(c, 64), key) for c in ids if c in cols]
+    rows += [_viol_row("string_length", "customers", "customer_state", length("customer_state", 8, False), "customer_id"),
+             _viol_row("string_length", "sellers", "seller_state", length("seller_state", 8, False), "seller_id"),
+             _viol_row("string_length", "products", "product_category_name", length("product_category_name", 128, False),
+                       "product_id"),
+             _viol_row("string_length", "translation", "product_category_name",
+                       length("product_category_name", 128, False), "product_category_name"),
+             _viol_row("string_length", "translation", "product_category_name_english",
+                       length("product_category_name_english", 128, False), "product_category_name"),
+             _viol_row("domain", "orders", "order_status",
+                       f"NOT coalesce(order_status IN ({', '.join(sql_str(s) for s in _STATUSES)}), FALSE)", "order_id")]
+    rows += [_viol_row("timestamp", "orders", c, ts_bad(c, c == "order_purchase_timestamp"), "order_id")
+             for c in ("order_purchase_timestamp", "order_delivered_carrier_date", "order_delivered_customer_date",
+                       "order_estimated_delivery_date", "order_approved_at")]
+    rows += [_viol_row("positive_int", "items", "order_item_id", f"NOT {_INT_OK.format(c='order_item_id')}", "order_id"),
+             _viol_row("money", "items", "price", f"NOT {_MONEY_OK.format(c='price')}", "order_id"),
+             _viol_row("money", "items", "freight_value", f"NOT {_MONEY_OK.format(c='freight_value')}", "order_id"),
+             _viol_row("timestamp", "items", "shipping_limit_date", ts_bad("shipping_limit_date"), "order_id"),
+             _viol_row("positive_int", "payments", "payment_sequential",
+                       f"NOT {_INT_OK.format(c='payment_sequential')}", "order_id"),
+             _viol_row("money", "payments", "payment_value", f"NOT {_MONEY_OK.format(c='payment_value')}", "order_id"),
+             _viol_row("domain", "reviews", "review_score",
+                       "NOT coalesce(regexp_full_match(review_score, '[1-5]'), FALSE)", "order_id"),
+             _viol_row("timestamp", "reviews", "review_creation_date", ts_bad("review_creation_date"), "order_id"),
+             _viol_row("timestamp", "reviews", "review_answer_timestamp", ts_bad("review_answer_timestamp"), "order_id")]
+    for t, c in (("items", "price"), ("items", "freight_value"), ("payments", "payment_value")):
+        rows.append(f"SELECT 'bounded_sum', '{t}', '{c}', CAST(CASE WHEN coalesce(sum(CAST({CENTS.format(c=c)} AS HUGEINT)), 0)"
+                    f" > 9223372036854775807 THEN 1 ELSE 0 END AS BIGINT), CAST(NULL AS VARCHAR) FROM l_{t}")
+    return _lb() + "\nUNION ALL\n".join(rows)
+
+
+SQL["landing_violations"] = _landing_violations_sql()

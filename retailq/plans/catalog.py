@@ -282,6 +282,7 @@ QUERIES.update({
 
 # ---- audit ------------------------------------------------------------------------------------------------------
 from ..operators import audit as au  # noqa: E402
+from ..operators import checks as ck  # noqa: E402
 from ..sources.testdata import landing_model  # noqa: E402
 
 HORIZON = "2001-01-01 00:00:00"  # generated ship dates run to 2001-11
@@ -334,6 +335,8 @@ QUERIES.update({
     "profile_geo": _landing(lambda L: au.profile_geo(L["geolocation"])),
     "profile_numeric_sanity": _landing(au.profile_numeric_sanity),
     "audit_crosscheck": _landing(au.audit_crosscheck),
+    # every landing constraint of the load (keys, references, lengths, domains, timestamps, money, bounded sums)
+    "landing_violations": _landing(ck.landing_violations),
 })
 
 
