@@ -1000,3 +1000,36 @@ def _landing_violations_sql():
 
 
 SQL["landing_violations"] = _landing_violations_sql()
+
+
+SQL["reconcile_load"] = base() + """,
+a AS (SELECT CAST(count(*) AS BIGINT) AS order_count, CAST(coalesce(sum(revenue_cents), 0) AS BIGINT) AS order_revenue,
+             CAST(coalesce(sum(freight_cents), 0) AS BIGINT) AS order_freight,
+             CAST(coalesce(sum(payment_cents), 0) AS BIGINT) AS order_payments,
+             CAST(count(*) FILTER (WHERE status = 'delivered') AS BIGINT) AS delivered_orders,
+             CAST(coalesce(sum(revenue_cents) FILTER (WHERE status = 'delivered'), 0) AS BIGINT) AS delivered_revenue
+      FROM fact_order),
+b AS (SELECT CAST(count(*) AS BIGINT) AS item_count, CAST(coalesce(sum(price_cents), 0) AS BIGINT) AS item_revenue,
+             CAST(coalesce(sum(freight_cents), 0) AS BIGINT) AS item_freight FROM fact_item),
+c AS (SELECT CAST(count(*) AS BIGINT) AS daily_orders, CAST(coalesce(sum(revenue_cents), 0) AS BIGINT) AS daily_revenue
+      FROM fact_order WHERE status = 'delivered'),
+e AS (SELECT CAST(count(*) AS BIGINT) AS raw_orders,
+             CAST(count(*) FILTER (WHERE order_status = 'delivered') AS BIGINT) AS raw_delivered FROM t_orders),
+f AS (SELECT CAST(count(*) AS BIGINT) AS raw_items, CAST(coalesce(sum(price_cents), 0) AS BIGINT) AS raw_revenue,
+             CAST(coalesce(sum(freight_cents), 0) AS BIGINT) AS raw_freight FROM t_items),
+g AS (SELECT CAST(coalesce(sum(payment_cents), 0) AS BIGINT) AS raw_payments FROM t_payments),
+h AS (SELECT CAST(coalesce(sum(price_cents), 0) AS BIGINT) AS raw_delivered_revenue FROM t_items
+      WHERE order_id IN (SELECT order_id FROM t_orders WHERE order_status = 'delivered')),
+r AS (SELECT * FROM a, b, c, e, f, g, h)
+SELECT "check", actual, expected, actual = expected AS passed FROM (
+  SELECT 'order count' AS "check", order_count AS actual, raw_orders AS expected FROM r
+  UNION ALL SELECT 'item count', item_count, raw_items FROM r
+  UNION ALL SELECT 'item revenue', item_revenue, raw_revenue FROM r
+  UNION ALL SELECT 'order revenue', order_revenue, raw_revenue FROM r
+  UNION ALL SELECT 'item freight', item_freight, raw_freight FROM r
+  UNION ALL SELECT 'order freight', order_freight, raw_freight FROM r
+  UNION ALL SELECT 'order payments', order_payments, raw_payments FROM r
+  UNION ALL SELECT 'delivered orders', delivered_orders, raw_delivered FROM r
+  UNION ALL SELECT 'delivered revenue', delivered_revenue, raw_delivered_revenue FROM r
+  UNION ALL SELECT 'daily orders', daily_orders, raw_delivered FROM r
+  UNION ALL SELECT 'daily revenue', daily_revenue, raw_delivered_revenue FROM r) x"""

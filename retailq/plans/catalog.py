@@ -288,6 +288,12 @@ from ..sources.testdata import landing_model  # noqa: E402
 HORIZON = "2001-01-01 00:00:00"  # generated ship dates run to 2001-11
 
 
+def q_reconcile_load(spark, sf_dir):
+    """The eleven post-load checks (star aggregates against the typed raw tables)."""
+    typed = raw_model(spark, sf_dir)
+    return ck.reconcile(build_star(typed), typed)
+
+
 def _landing(fn):
     def run(spark, sf_dir):
         return fn(landing_model(spark, sf_dir))
@@ -337,6 +343,7 @@ QUERIES.update({
     "audit_crosscheck": _landing(au.audit_crosscheck),
     # every landing constraint of the load (keys, references, lengths, domains, timestamps, money, bounded sums)
     "landing_violations": _landing(ck.landing_violations),
+    "reconcile_load": q_reconcile_load,
 })
 
 
