@@ -1033,3 +1033,12 @@ SELECT "check", actual, expected, actual = expected AS passed FROM (
   UNION ALL SELECT 'delivered revenue', delivered_revenue, raw_delivered_revenue FROM r
   UNION ALL SELECT 'daily orders', daily_orders, raw_delivered FROM r
   UNION ALL SELECT 'daily revenue', daily_revenue, raw_delivered_revenue FROM r) x"""
+
+
+SQL["coverage_window"] = base(COV) + "SELECT cov_start, cov_end FROM coverage"
+SQL["order_list_after"] = base(scope(HISTORY)) + """
+SELECT order_id, purchase_date, state, scoped_item_count AS item_count, scoped_revenue_cents AS revenue_cents,
+       payment_cents, review_score, is_late, array_to_string(quality_flags, ',') AS quality_flags
+FROM scope_orders
+WHERE purchase_date < DATE '1998-07-15' OR (purchase_date = DATE '1998-07-15' AND order_id > 30000)
+ORDER BY purchase_date DESC, order_id LIMIT 20"""

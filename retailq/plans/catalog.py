@@ -92,8 +92,20 @@ def q_order_list(spark, sf_dir):
         .withColumn("quality_flags", F.array_join("quality_flags", ","))
 
 
+def q_order_list_after(spark, sf_dir):
+    """Keyset page: the 20 rows after (1998-07-15, order 30000) in purchase day desc, order id order."""
+    return dash.order_list_after(_scope(spark, sf_dir), date(1998, 7, 15), 30000, page_size=20) \
+        .withColumn("quality_flags", F.array_join("quality_flags", ","))
+
+
+def q_coverage_window(spark, sf_dir):
+    return _cov(star(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "kpis": q_kpis,
+    "coverage_window": q_coverage_window,
+    "order_list_after": q_order_list_after,
     "kpis_filtered": q_kpis_filtered,
     "kpis_by_state": q_kpis_by_state,
     "kpi_comparison": q_kpi_comparison,
