@@ -94,9 +94,10 @@ def profile_relationship(child: DataFrame, child_col: str, parent: DataFrame, pa
 
 def profile_dates(df: DataFrame, table: str, columns: list[str]) -> DataFrame:
     """Per date column: missing, invalid non-missing, min and max (text form)."""
-    long = _long(df.select(columns), columns)
-    ts = strict_timestamp(F.col("value"))
-    miss = is_missing(F.col("value"))
+    # parse once per value in a projection; the aggregate then sees plain columns
+    long = _long(df.select(columns), columns).select(
+        "column", strict_timestamp(F.col("value")).alias("_ts"), is_missing(F.col("value")).alias("_miss"))
+    ts, miss = F.col("_ts"), F.col("_miss")
     return long.groupBy("column").agg(
         F.count_if(miss).alias("missing"), F.count_if(~miss & ts.isNull()).alias("invalid_nonmissing"),
         F.date_format(F.min(ts), "yyyy-MM-dd HH:mm:ss").alias("min"),
