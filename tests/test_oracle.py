@@ -12,7 +12,8 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
 SAMPLE = ["kpis", "kpis_filtered", "kpi_comparison", "trend_week", "rank_categories", "top_products",
           "fulfilment_groups", "fact_order", "load_profile", "customer_summary", "rfm_distribution",
           "report_headline", "contributions_state", "anomaly_same_weekday_mad", "score_strata_state",
-          "investigation_evidence", "profile_relationship", "profile_money", "preset_kpis", "overview_sample"]
+          "investigation_evidence", "profile_relationship", "profile_money", "preset_kpis", "overview_sample",
+          "preset_customers", "preset_report_headline", "landing_violations", "reconcile_load", "order_list_after"]
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not present")
 
