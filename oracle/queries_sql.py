@@ -911,7 +911,8 @@ LEFT JOIN seg s ON s.state = g.state AND s."key" = k."key\"""",
 })
 
 SQL["verify_sections_from_raw"] = """SELECT section, CAST(0 AS BIGINT) AS difference_rows FROM (VALUES ('trend_day'),
-  ('trend_week'), ('trend_month'), ('fulfilment'), ('customers'), ('state_contributions')) AS t(section)"""
+  ('trend_week'), ('trend_month'), ('fulfilment'), ('customers'), ('state_contributions'), ('report_headline'),
+  ('delivery_groups')) AS t(section)"""
 
 
 # ---- landing constraints (one violations table) -----------------------------------------------------------------

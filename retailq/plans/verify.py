@@ -132,8 +132,42 @@ def state_contributions_from_raw(L, params: ScopeParams) -> DataFrame:
         F.coalesce(F.sum(F.when(prv, F.col("rev"))), F.lit(0).cast("bigint")).alias("previous_cents"))
 
 
+def headline_from_raw(L, params: ScopeParams) -> DataFrame:
+    """Current and comparison orders/revenue and the volume/value split in its textbook form
+    (N1-N0)(A1+A0)/2 and (A1-A0)(N1+N0)/2 with A = revenue / orders, rounded to 4 decimals."""
+    ps, pe, _ = params.comparison()
+    s = _raw_scope(L, params, start=min(ps, params.start))
+    cur = F.col("day").between(F.lit(params.start), F.lit(params.end))
+    prv = F.col("day").between(F.lit(ps), F.lit(pe))
+    z = F.lit(0).cast("bigint")
+    a = s.agg(F.count_if(cur).alias("n1"), F.coalesce(F.sum(F.when(cur, F.col("rev"))), z).alias("r1"),
+              F.count_if(prv).alias("n0"), F.coalesce(F.sum(F.when(prv, F.col("rev"))), z).alias("r0"))
+    a1, a0 = F.col("r1") / F.col("n1"), F.col("r0") / F.col("n0")
+    both = (F.col("n1") > 0) & (F.col("n0") > 0)
+    return a.select(F.col("n1").alias("current_orders"), F.col("r1").alias("current_revenue_cents"),
+                    F.col("n0").alias("previous_orders"), F.col("r0").alias("previous_revenue_cents"),
+                    F.round(F.when(both, (F.col("n1") - F.col("n0")) * (a1 + a0) / 2), 4).alias("order_effect_cents"),
+                    F.round(F.when(both, (a1 - a0) * (F.col("n1") + F.col("n0")) / 2), 4).alias("aov_effect_cents"))
+
+
+def delivery_groups_from_raw(L, params: ScopeParams) -> DataFrame:
+    """On-time / late / unknown: orders, reviewed orders and mean score (always three rows)."""
+    s = _raw_scope(L, params).join(_latest_score(L), "order_id", "left")
+    ok = F.col("dts").isNotNull() & (F.col("dts") >= F.col("ts"))
+    late = F.when(ok & F.col("ets").isNotNull(), (F.to_date("dts") > F.to_date("ets")).cast("int"))
+    g = s.select(late.alias("late"), "score").groupBy("late").agg(
+        F.count(F.lit(1)).alias("o"), F.count("score").alias("r"), F.avg("score").alias("m"))
+    labels = L["orders"].sparkSession.createDataFrame([(0, "on_time"), (1, "late"), (None, "unknown")],
+                                                      "late int, delivery_group string")
+    j = F.broadcast(labels).join(g, labels["late"].eqNullSafe(g["late"]), "left")
+    z = F.lit(0).cast("bigint")
+    return j.select("delivery_group", F.coalesce("o", z).alias("order_count"), F.coalesce("r", z).alias("reviewed_orders"),
+                    F.round("m", 9).alias("mean_score"))
+
+
 def verify_sections_from_raw(L, star, params: ScopeParams, coverage_row: DataFrame) -> DataFrame:
-    """(section, difference_rows) for trend buckets (3 grains), fulfilment, customers and state contributions;
+    """(section, difference_rows) for trend buckets (3 grains), fulfilment, customers, state contributions, the
+    report headline with its decomposition and the three delivery groups;
     0 everywhere means the warehouse answers equal the second formulation."""
     from ..operators import customers as cu
     from ..operators import diagnosis as dg
@@ -153,6 +187,14 @@ def verify_sections_from_raw(L, star, params: ScopeParams, coverage_row: DataFra
     checks["customers"] = verify_equal(cs, customers_from_raw(L, params))
     contrib = dg.contributions(star, params, coverage_row, "state").select("name", "current_cents", "previous_cents")
     checks["state_contributions"] = verify_equal(contrib, state_contributions_from_raw(L, params))
+    head = dg.report_headline(star, params, coverage_row).select(
+        "current_orders", "current_revenue_cents", "previous_orders", "previous_revenue_cents",
+        F.round("order_effect_cents", 4).alias("order_effect_cents"),
+        F.round("aov_effect_cents", 4).alias("aov_effect_cents"))
+    checks["report_headline"] = verify_equal(head, headline_from_raw(L, params))
+    groups = dg.score_group_stats(dg.delivery_cells(sc)).select(
+        "delivery_group", "order_count", "reviewed_orders", F.round("mean_score", 9).alias("mean_score"))
+    checks["delivery_groups"] = verify_equal(groups, delivery_groups_from_raw(L, params))
     out = None
     for name, d in checks.items():
         r = d.agg(F.count(F.lit(1)).alias("difference_rows")).select(F.lit(name).alias("section"), "difference_rows")
