@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from ..operators.checks import (ConstraintViolation, chk_conservation, landing_violations, reconcile, typed_model,
                                 union_all)
 from ..operators.warehouse import agg_day, build_star, load_profile
-from ..sources.landing import CORRUPT, data_version, fingerprints, rectangular_violations, strip_corrupt
+from ..sources.landing import (CORRUPT, data_version, fingerprints, input_identity, rectangular_violations,
+                               strip_corrupt)
 from ..sources.warehouse_store import PARTITIONS, read_star, swap_pointer, write_text
 
 
@@ -84,7 +85,7 @@ def _write(df: DataFrame, name: str, path: str) -> None:
 
 
 def run_load(spark: SparkSession, landing: dict[str, DataFrame], root: str, strict: bool = True,
-             run_id: str | None = None, _fail_before_swap: bool = False) -> dict:
+             run_id: str | None = None, _fail_before_swap: bool = False, _before_stability=None) -> dict:
     """Load one landing snapshot into ``root``; returns the receipt. ``strict=False`` records violations in the
     receipt instead of refusing the input (for inputs known to break a rule, e.g. generated test data)."""
     run_id = run_id or uuid.uuid4().hex[:8]
@@ -96,6 +97,8 @@ def run_load(spark: SparkSession, landing: dict[str, DataFrame], root: str, stri
         phases[name] = round(now - clock[0], 3)
         clock[0] = now
 
+    identity = input_identity(landing)  # file-backed sources: listing only, taken before anything is read
+    identity_before = identity.collect()[0].asDict() if identity is not None else None  # one row
     staged = stage(spark, landing, f"{root.rstrip('/')}/_staging/{run_id}")
     lap("stage")
     bad = [r.asDict() for r in all_violations(staged).filter(F.col("n") > 0).collect()]
@@ -123,8 +126,13 @@ def run_load(spark: SparkSession, landing: dict[str, DataFrame], root: str, stri
     if failed:
         raise ConstraintViolation([{"constraint": "reconcile", "table": "*", "column": r["check"],
                                     "n": r["actual"], "sample_key": str(r["expected"])} for r in failed])
-    after = [r.asDict() for r in fingerprints(strip_corrupt(landing)).collect()]
-    if data_version(after) != version:
+    if _before_stability is not None:
+        _before_stability()
+    if identity_before is not None:
+        changed = input_identity(landing).collect()[0].asDict() != identity_before
+    else:  # not file-backed: re-fingerprint the content
+        changed = data_version([r.asDict() for r in fingerprints(strip_corrupt(landing)).collect()]) != version
+    if changed:
         raise SourceChanged("landing data changed during the load; pointer not moved")
     lap("stability")
     profile = load_profile(typed, stored).collect()[0].asDict()
@@ -133,7 +141,8 @@ def run_load(spark: SparkSession, landing: dict[str, DataFrame], root: str, stri
         "etl_schema_version": 1, "data_version": version, "version_dir": version_dir,
         "imported_at": datetime.now(timezone.utc).isoformat(),
         **{k: (v.isoformat() if hasattr(v, "isoformat") else v) for k, v in profile.items()},
-        "fingerprints": before, "reconciliation": rec, "violations": bad, "phase_seconds": phases,
+        "fingerprints": before, "input_identity": identity_before, "reconciliation": rec, "violations": bad,
+        "phase_seconds": phases,
     }
     write_text(spark, f"{path}/_receipt.json", json.dumps(receipt, sort_keys=True, default=str))
     if _fail_before_swap:

@@ -101,6 +101,24 @@ def file_identity(spark: SparkSession, paths: list[str]) -> DataFrame:
     return spark.read.format("binaryFile").load(paths).select("path", "length", "modificationTime")
 
 
+def input_identity(landing: dict[str, DataFrame]) -> DataFrame | None:
+    """One row identifying the files behind every landing table: count plus sum and xor of a 64-bit hash of
+    (path, length, modification time), computed on executors from a fresh listing. Nothing is read but metadata,
+    so the post-load stability check costs a listing instead of a second full scan. None when a table has no
+    input files (then only the content fingerprint can tell)."""
+    paths = []
+    for df in landing.values():
+        files = df.inputFiles()
+        if not files:
+            return None
+        paths += files
+    spark = next(iter(landing.values())).sparkSession
+    h = F.xxhash64("path", "length", "modificationTime")
+    return file_identity(spark, sorted(set(paths))).agg(
+        F.count(F.lit(1)).alias("files"), F.sum(h.cast("decimal(38,0)")).cast("string").alias("hash_sum"),
+        F.bit_xor(h).alias("hash_xor"))
+
+
 def row_fingerprint(df: DataFrame, table: str) -> DataFrame:
     """Order-insensitive content fingerprint: row count, sum and xor of a 64-bit row hash (distributed)."""
     cols = [c for c in df.columns if c != CORRUPT]

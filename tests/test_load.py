@@ -6,7 +6,7 @@ from datetime import date
 import pytest
 
 from retailq.operators.checks import ConstraintViolation
-from retailq.plans.load import run_load
+from retailq.plans.load import SourceChanged, run_load
 from retailq.sources.landing import LandingError, read_landing
 from retailq.sources.warehouse_store import WarehouseNotReady, current_version, read_receipt, read_star
 
@@ -97,3 +97,20 @@ def test_non_rectangular_row_is_rejected(spark, tmp_path):
     with pytest.raises(ConstraintViolation) as err:
         run_load(spark, read_landing(spark, src), str(tmp_path / "wh"))
     assert any(r["constraint"] == "rectangular" for r in err.value.rows)
+
+
+def test_changed_source_aborts_and_keeps_pointer(spark, tmp_path):
+    """An input file rewritten while the load runs: the stability check refuses to publish the version."""
+    src = write_raw(str(tmp_path / "raw"))
+    root = str(tmp_path / "wh")
+
+    def rewrite():
+        with open(os.path.join(src, "olist_sellers_dataset.csv"), "a", encoding="utf-8") as fh:
+            fh.write("\n")
+
+    with pytest.raises(SourceChanged):
+        run_load(spark, read_landing(spark, src), root, _before_stability=rewrite)
+    with pytest.raises(WarehouseNotReady):
+        current_version(spark, root)
+    receipt = run_load(spark, read_landing(spark, src), root)  # unchanged input now loads
+    assert receipt["input_identity"]["files"] == 8
