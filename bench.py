@@ -17,7 +17,7 @@ from datetime import date
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from retailq.operators.scope import coverage_window  # noqa: E402
+from retailq.operators.scope import coverage_from_daily  # noqa: E402
 from retailq.plans.analyses import customer_report, dashboard, diagnostic_report  # noqa: E402
 from retailq.params import ScopeParams  # noqa: E402
 from retailq.plans.load import run_load  # noqa: E402
@@ -39,7 +39,7 @@ def main():
     times["full_load"] = time.time() - t
 
     star = read_star(spark, root)
-    cov = coverage_window(star["fact_order"], TEST_PROFILE.coverage)
+    cov = coverage_from_daily(star["agg_day"], TEST_PROFILE.coverage)  # a table of days, not the order fact
     cases = {
         "dashboard_history": ScopeParams(date(1995, 1, 1), date(2001, 12, 31)),
         "dashboard_month": ScopeParams(date(1998, 7, 1), date(1998, 7, 31)),

@@ -1037,6 +1037,7 @@ SELECT "check", actual, expected, actual = expected AS passed FROM (
 
 
 SQL["coverage_window"] = base(COV) + "SELECT cov_start, cov_end FROM coverage"
+SQL["coverage_from_daily"] = SQL["coverage_window"]
 SQL["order_list_after"] = base(scope(HISTORY)) + """
 SELECT order_id, purchase_date, state, scoped_item_count AS item_count, scoped_revenue_cents AS revenue_cents,
        payment_cents, review_score, is_late, array_to_string(quality_flags, ',') AS quality_flags

@@ -87,7 +87,17 @@ def observed_window(fact_orders: DataFrame) -> DataFrame:
 
 def coverage_window(fact_orders: DataFrame, coverage: Coverage = Coverage()) -> DataFrame:
     """One row (cov_start, cov_end): core window intersected with the observed window; NULLs when empty."""
-    obs = observed_window(fact_orders)
+    return _clip_coverage(observed_window(fact_orders), coverage)
+
+
+def coverage_from_daily(agg_day: DataFrame, coverage: Coverage = Coverage()) -> DataFrame:
+    """The same window from the stored daily aggregate (one row per purchase day with delivered orders), so a
+    request reads a table of days instead of scanning the order fact."""
+    obs = agg_day.agg(F.min("day").alias("observed_start"), F.max("day").alias("observed_end"))
+    return _clip_coverage(obs, coverage)
+
+
+def _clip_coverage(obs: DataFrame, coverage: Coverage) -> DataFrame:
     s = F.greatest(F.lit(coverage.core_start), F.col("observed_start"))
     e = F.least(F.lit(coverage.core_end), F.col("observed_end"))
     ok = F.col("observed_start").isNotNull() & F.col("observed_end").isNotNull() & (s <= e)

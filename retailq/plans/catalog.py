@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import dashboard as dash
-from ..operators.scope import build_scope, coverage_window, scope_dimension_values
+from ..operators.scope import build_scope, coverage_from_daily, coverage_window, scope_dimension_values
 from ..operators.warehouse import build_star
 from ..params import ScopeParams
 from ..sources.testdata import TEST_PROFILE, raw_model
@@ -102,9 +102,14 @@ def q_coverage_window(spark, sf_dir):
     return _cov(star(spark, sf_dir))
 
 
+def q_coverage_from_daily(spark, sf_dir):
+    return coverage_from_daily(star(spark, sf_dir)["agg_day"], TEST_PROFILE.coverage)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "kpis": q_kpis,
     "coverage_window": q_coverage_window,
+    "coverage_from_daily": q_coverage_from_daily,
     "order_list_after": q_order_list_after,
     "kpis_filtered": q_kpis_filtered,
     "kpis_by_state": q_kpis_by_state,

@@ -11,7 +11,7 @@ from pyspark.sql.window import Window
 
 from ..operators import customers as cu
 from ..operators import diagnosis as dg
-from ..operators.scope import coverage_window, period_start
+from ..operators.scope import coverage_from_daily, coverage_window, period_start
 from ..params import RfmRules
 from ..session import checked_broadcast
 from ..sources.warehouse_store import write_text
@@ -253,7 +253,7 @@ def preset_sections(star, presets: DataFrame, coverage_row: DataFrame | None = N
     """Every published section for every preset: KPIs, three trend grains, customers, RFM segments, report
     headline and contributions (each one job over all presets)."""
     if coverage_row is None:
-        coverage_row = coverage_window(star["fact_order"])
+        coverage_row = coverage_from_daily(star["agg_day"])
     return {"kpis": preset_kpis(star, presets),
             **{f"trend_{g}": preset_trend(star, presets, g) for g in ("day", "week", "month")},
             "customers": preset_customers(star, presets), "segments": preset_segments(star, presets, rules),
