@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..operators.checks import (ConstraintViolation, chk_conservation, landing_violations, reconcile, typed_model,
                                 union_all)
-from ..operators.warehouse import agg_day, build_star, load_profile
+from ..operators.warehouse import agg_day, build_star, customer_first, load_profile
 from ..sources.landing import (CORRUPT, data_version, fingerprints, input_identity, rectangular_violations,
                                strip_corrupt)
 from ..sources.warehouse_store import PARTITIONS, read_star, swap_pointer, write_text
@@ -72,7 +72,8 @@ def write_star_staged(spark: SparkSession, star: dict[str, DataFrame], path: str
     months = stored_fo.select("order_id", "purchase_month")
     second = {"fact_item": star["fact_item"].join(months, "order_id", "left")
               .hint("rebalance", "purchase_month"),
-              "agg_day": agg_day(stored_fo).coalesce(1)}
+              "agg_day": agg_day(stored_fo).coalesce(1),
+              "customer_first": customer_first(stored_fo, spark.read.parquet(f"{path}/dim_customer"))}
     _parallel({k: (lambda k=k, df=df: _write(df, k, f"{path}/{k}")) for k, df in second.items()})
     return read_star(spark, path.rsplit("/", 1)[0], path.rsplit("/", 1)[1])
 

@@ -12,6 +12,7 @@ from pyspark.sql.window import Window
 from ..operators import customers as cu
 from ..operators import diagnosis as dg
 from ..operators.scope import coverage_from_daily, coverage_window, period_start
+from ..operators.warehouse import customer_first
 from ..params import RfmRules
 from ..session import checked_broadcast
 from ..sources.warehouse_store import write_text
@@ -160,9 +161,8 @@ def preset_customer_window(star, presets: DataFrame) -> DataFrame:
     on or before its end, so the minimum up to the end equals the overall minimum (one aggregate serves every
     preset, and category/state filters never touch it)."""
     _, orders = preset_scope(star, presets)
-    first = star["fact_order"].filter(F.col("status") == "delivered").join(
-        star["dim_customer"].select("customer_id", "customer_unique_id"), "customer_id") \
-        .groupBy("customer_unique_id").agg(F.min("purchase_date").alias("first_day"))
+    first = star["customer_first"] if "customer_first" in star else \
+        customer_first(star["fact_order"], star["dim_customer"])
     per = orders.groupBy("preset", "start", "end", "customer_unique_id").agg(
         F.max("purchase_date").alias("last_day"), F.count(F.lit(1)).alias("frequency"),
         F.sum("scoped_revenue_cents").alias("monetary_cents"))
