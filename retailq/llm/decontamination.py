@@ -11,22 +11,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import stored
-from .words import lowered, raw_words, run_hash
+from .words import with_words, word_runs
 
 WINDOW_WORDS = 13
 # Windows in one broadcast: about 13 words and some numbers each, 0.5 KB at most for ordinary words.
 BROADCAST_WINDOWS = 100_000
 
 
-def _positions(docs: DataFrame, length: int) -> DataFrame:
-    """One row for each run of ``length`` words: the document's columns, pos and token (its hash)."""
-    rows = docs.select("*", F.posexplode("words").alias("pos", "word"))
-    return rows.select("*", run_hash(F.col("words"), F.col("pos"), length).alias("token")).where(F.col("token").isNotNull())
-
-
 def _item_windows(items: DataFrame, window_words: int) -> DataFrame:
     """One row for each distinct window of an item: item_id, window (its words), len, grain (words of a token)."""
-    words = items.select("item_id", F.transform(raw_words(F.col("text")), lowered).alias("words")).where(F.size("words") > 0)
+    words = with_words(items.select("item_id", "text")).where(F.size("words") > 0)
     last = F.greatest(F.size("words") - window_words, F.lit(0))
     starts = words.select("item_id", "words", F.explode(F.sequence(F.lit(0), last)).alias("start"))
     windows = starts.select("item_id", F.slice("words", F.col("start") + 1, F.lit(window_words)).alias("window")).distinct()
@@ -35,9 +29,9 @@ def _item_windows(items: DataFrame, window_words: int) -> DataFrame:
 
 
 def _tokens(windows: DataFrame, grain: int) -> DataFrame:
-    """One row for each token of the windows of one grain, with its offset in the window."""
-    rows = windows.where(F.col("grain") == grain).select("*", F.posexplode("window").alias("offset", "word"))
-    return rows.select("*", run_hash(F.col("window"), F.col("offset"), grain).alias("token")).where(F.col("token").isNotNull())
+    """One row for each token of the windows of one grain: item_id, joined (the window's words), len, offset, token."""
+    rows = word_runs(windows.where(F.col("grain") == grain), grain, "window")
+    return rows.select("item_id", F.concat_ws(" ", "window").alias("joined"), "len", F.col("pos").alias("offset"), "token")
 
 
 def _blocks(rows: DataFrame, count: int, key: Column) -> list[DataFrame]:
@@ -59,7 +53,7 @@ def find_hits(docs: DataFrame, items: DataFrame, window_words: int = WINDOW_WORD
     Items with NULL or wordless texts have no windows. A benchmark of any size is met in blocks, each behind a counted
     bound, so the documents are never shuffled for it.
     """
-    texts = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), raw_words(F.col("text")).alias("words"))
+    texts = with_words(docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text"))
     windows = stored(_item_windows(items, window_words), "benchmark-windows")
     found = []
     for grain in (1, 2):
@@ -68,27 +62,29 @@ def find_hits(docs: DataFrame, items: DataFrame, window_words: int = WINDOW_WORD
         n = distinct.count()
         if not n:
             continue
-        at = _positions(texts.select("words"), grain).select("token")
+        at = word_runs(texts.select("words"), grain).select("token")
         met = _union([at.join(F.broadcast(block), "token") for block in _blocks(distinct, n, F.col("token"))])
         rarity = stored(met.groupBy("token").agg(F.count(F.lit(1)).alias("occurrences")), "token-rarity")
         # A window with a token that no document holds can't occur; of the others, the rarest token is the prefix.
-        order = Window.partitionBy("item_id", "window").orderBy("occurrences", "token", "offset")
+        order = Window.partitionBy("item_id", "joined").orderBy("occurrences", "token", "offset")
         known = tokens.join(rarity, "token", "left").withColumn("occurrences", F.coalesce("occurrences", F.lit(0)))
         prefix = known.withColumn("nth", F.row_number().over(order)).where((F.col("nth") == 1) & (F.col("occurrences") > 0))
-        prefix = stored(prefix.select("item_id", "window", "len", "offset", "token"), "window-prefixes")
+        prefix = stored(prefix.select("item_id", "joined", "len", "offset", "token"), "window-prefixes")
         n = prefix.count()
         if not n:
             continue
         start = F.col("pos") - F.col("offset")
         fits = (start >= 0) & (start + F.col("len") <= F.size("words"))
-        same = F.transform(F.slice("words", start + 1, F.col("len")), lowered) == F.col("window")
+        # Words hold no space, so the joined words are equal where the words are. All of this stays in one generated
+        # loop over a document's positions: its words are never copied to a candidate's row.
+        same = F.concat_ws(" ", F.slice("words", start + 1, F.col("len"))) == F.col("joined")
         for block in _blocks(prefix, n, F.col("token")):
-            candidates = _positions(texts, grain).join(F.broadcast(block), "token").where(fits)
-            found.append(candidates.where(same).select("doc_id", "text_hash", start.alias("start"), "len", "item_id"))
+            candidates = word_runs(texts, grain).join(F.broadcast(block), "token").where(fits & same)
+            found.append(candidates.select("doc_id", "text_hash", start.alias("start"), "len", "item_id"))
     if found:
         return _union(found)
-    return texts.where(F.lit(False)).select("doc_id", "text_hash", F.lit(0).alias("start"), F.lit(0).alias("len"),
-                                            F.lit(None).cast(items.schema["item_id"].dataType).alias("item_id"))
+    none = F.lit(None).cast(items.schema["item_id"].dataType)
+    return texts.where(F.lit(False)).select("doc_id", "text_hash", F.lit(0).alias("start"), F.lit(0).alias("len"), none.alias("item_id"))
 
 
 def scan(docs: DataFrame, items: DataFrame, window_words: int = WINDOW_WORDS) -> DataFrame:
@@ -105,8 +101,8 @@ def scan(docs: DataFrame, items: DataFrame, window_words: int = WINDOW_WORDS) ->
         F.col("doc_id").alias("hit_id"), F.col("text_hash").alias("hit_hash"),
         F.size(F.array_distinct(covered)).cast("long").alias("n_hit"), F.size("ids").cast("long").alias("n_items"),
         F.concat_ws(",", F.array_sort("ids")).alias("items"))
-    rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"),
-                       F.size(raw_words(F.col("text"))).cast("long").alias("n_words"))
+    rows = with_words(docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")).select(
+        "doc_id", "text_hash", F.size("words").cast("long").alias("n_words"))
     joined = rows.join(marked, F.col("doc_id").eqNullSafe(F.col("hit_id")) & (F.col("text_hash") == F.col("hit_hash")), "left")
     n_hit = F.coalesce("n_hit", F.lit(0))
     return joined.select(

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .words import lowered, raw_words, run_hash
+from .words import with_words, word_runs
 
 SHINGLE, BANDS, ROWS, CONTAINMENT = 3, 10, 2, 0.8
 
@@ -46,13 +46,13 @@ def templates(spark: SparkSession, texts: dict[str, str] | None = None) -> DataF
 
 def _shingles(words, begin, end):
     """Hashes of the shingles that begin at begin .. end - 1; an empty array where there are none."""
-    runs = F.transform(F.sequence(begin, end - 1), lambda i: F.xxhash64(*[lowered(F.get(words, i + k)) for k in range(SHINGLE)]))
+    runs = F.transform(F.sequence(begin, end - 1), lambda i: F.xxhash64(*[F.get(words, i + k) for k in range(SHINGLE)]))
     return F.when(end > begin, runs).otherwise(F.array().cast("array<bigint>"))
 
 
 def _anchors(known: DataFrame) -> DataFrame:
     """One row for each template and band: its shingles, the band's two smallest hashes, the first one's shingle."""
-    words = known.select("license_id", F.transform(raw_words(F.col("text")), lowered).alias("words"))
+    words = with_words(known.select("license_id", "text"))
     sets = words.select("license_id", F.size("words").alias("n"), F.array_distinct(
         _shingles(F.col("words"), F.lit(0), F.size("words") - (SHINGLE - 1))).alias("template")).where(F.size("template") > 0)
     bands = sets.select("*", F.explode(F.sequence(F.lit(0), F.lit(BANDS - 1))).alias("band"))
@@ -65,16 +65,20 @@ def _anchors(known: DataFrame) -> DataFrame:
 
 def matching_windows(docs: DataFrame, known: DataFrame) -> DataFrame:
     """Verified windows: doc_id, text_hash, license_id, first_word (from 0), containment. One row for each window."""
-    texts = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), raw_words(F.col("text")).alias("words"))
-    at = texts.select("*", F.posexplode("words").alias("pos", "word"))
-    at = at.select("*", run_hash(F.col("words"), F.col("pos"), SHINGLE).alias("token")).where(F.col("token").isNotNull())
+    texts = with_words(docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text"))
     # BANDS rows for each template that the caller names: a fixed, small table.
-    met = at.join(F.broadcast(_anchors(known)), "token")
-    lowest = F.greatest(F.lit(0), F.ceil((F.col("pos") + SHINGLE - F.col("span")) / F.col("step")).cast("int"))
-    starts = F.transform(F.sequence(lowest, F.floor(F.col("pos") / F.col("step")).cast("int")), lambda k: k * F.col("step"))
+    met = word_runs(texts, SHINGLE).join(F.broadcast(_anchors(known)), "token")
+    # All windows over the occurrence lie between these words; only they go on.
+    low, high = F.greatest(F.lit(0), F.col("pos") + SHINGLE - F.col("span")), F.least(F.col("pos") + F.col("span"), F.size("words"))
+    met = met.select("doc_id", "text_hash", "license_id", "template", "band", "step", "span", "least_first", "least_second", "pos",
+                     low.alias("low"), F.slice("words", low + 1, high - low).alias("near"))
+    first = F.ceil(F.col("low") / F.col("step")).cast("int")
+    last = F.floor(F.col("pos") / F.col("step")).cast("int")
+    starts = F.when(first <= last, F.transform(F.sequence(first, last), lambda k: k * F.col("step")))
     windows = met.select("*", F.explode(starts).alias("first_word"))
-    end = F.least(F.col("first_word") + F.col("span"), F.size("words")) - (SHINGLE - 1)
-    hashed = windows.select("*", _shingles(F.col("words"), F.col("first_word"), end).alias("shingles"))
+    begin = F.col("first_word") - F.col("low")
+    end = F.least(begin + F.col("span"), F.size("near")) - (SHINGLE - 1)
+    hashed = windows.select("*", _shingles(F.col("near"), begin, end).alias("shingles"))
     collides = (F.array_min(F.transform("shingles", lambda x: F.xxhash64(x, F.col("band") * ROWS))) == F.col("least_first")) & \
         (F.array_min(F.transform("shingles", lambda x: F.xxhash64(x, F.col("band") * ROWS + 1))) == F.col("least_second"))
     share = F.size(F.array_intersect("template", "shingles")) / F.size("template")

@@ -1,30 +1,27 @@
-"""Words and word hashes as Spark expressions, inside generated code."""
+"""Words and word hashes as Spark expressions that stay inside generated code."""
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-# Letters, digits and everything beyond ASCII; A-Z are still as written.
-WORD = r"([^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+)"
-
-
-def raw_words(text: Column) -> Column:
-    """The words of the text in order, letter case as written; NULL has none."""
-    return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(WORD), F.lit(1))
-
-
-def lowered(word: Column) -> Column:
-    """A-Z in lower case, all else as it is. Words of ASCII alone take Spark's faster function."""
-    return F.when(F.octet_length(word) == F.char_length(word), F.lower(word)).otherwise(F.translate(word, UPPER, LOWER))
-
-
-def word_at(words: Column, position: Column) -> Column:
-    """The lowered word at a position from 0; NULL beyond the ends."""
-    return lowered(F.get(words, position))
-
-
-def run_hash(words: Column, position: Column, length: int) -> Column:
-    """64-bit hash of ``length`` lowered words from a position; NULL where they do not fit."""
-    parts = [word_at(words, position + i) for i in range(length)]
-    return F.when(parts[-1].isNotNull(), F.xxhash64(*parts))
+# Everything but digits, a-z and what lies beyond ASCII parts words (A-Z are lowered before).
+SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+
+def with_words(rows: DataFrame, text: str = "text") -> DataFrame:
+    """The rows with ``words`` in place of the text: its words in order, A-Z lowered; NULL and empty texts have none."""
+    pieces = F.split(F.translate(F.coalesce(F.col(text), F.lit("")), UPPER, LOWER), SEPARATORS)
+    kept = [c for c in rows.columns if c != text]
+    rows = rows.select(*kept, pieces.alias("pieces"))
+    # A text that begins or ends with separators has an empty piece there, and nowhere else.
+    size = F.size("pieces")
+    head = F.when(F.get("pieces", F.lit(0)) == "", 1).otherwise(0)
+    tail = F.when((size > 1) & (F.get("pieces", size - 1) == ""), 1).otherwise(0)
+    return rows.select(*kept, F.slice("pieces", head + 1, size - head - tail).alias("words"))
+
+
+def word_runs(rows: DataFrame, length: int, words: str = "words") -> DataFrame:
+    """One row for each run of ``length`` words: the row's columns, pos (from 0) and token (64-bit hash of the run)."""
+    at = rows.select("*", F.posexplode(words).alias("pos", "word")).where(F.col("pos") + length <= F.size(words))
+    return at.select("*", F.xxhash64(F.col("word"), *[F.get(words, F.col("pos") + i) for i in range(1, length)]).alias("token"))
