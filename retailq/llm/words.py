@@ -23,5 +23,6 @@ def with_words(rows: DataFrame, text: str = "text") -> DataFrame:
 
 def word_runs(rows: DataFrame, length: int, words: str = "words") -> DataFrame:
     """One row for each run of ``length`` words: the row's columns, pos (from 0) and token (64-bit hash of the run)."""
-    at = rows.select("*", F.posexplode(words).alias("pos", "word")).where(F.col("pos") + length <= F.size(words))
+    # The outer form: for the inner one the optimizer adds a filter on the array's size, which would split each text again.
+    at = rows.select("*", F.posexplode_outer(words).alias("pos", "word")).where(F.col("pos") + length <= F.size(words))
     return at.select("*", F.xxhash64(F.col("word"), *[F.get(words, F.col("pos") + i) for i in range(1, length)]).alias("token"))
