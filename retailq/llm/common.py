@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -67,3 +67,18 @@ def byte_slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 8 <
                 begin, used = row, 0
             used += int(size)
         yield batch.slice(begin)
+
+
+def sampled_ids(rows: DataFrame, group: str, most: int | Column) -> DataFrame:
+    """doc_id and group of up to ``most`` rows of each group: those with the smallest hash of doc_id.
+
+    Each group is first thinned, by its counted size, to about four times that many rows, so that ranking a large group
+    takes no task more rows than a small one. There are few groups (languages, classes): one row each is broadcast.
+    """
+    most = F.lit(most) if isinstance(most, int) else most
+    place = F.shiftrightunsigned(F.xxhash64("doc_id"), 1)
+    sizes = rows.groupBy(group).agg(F.count(F.lit(1)).alias("group_rows")).select(
+        group, (most * 4.0 / F.col("group_rows") * float(2 ** 63)).alias("bound"))
+    thin = rows.select("doc_id", group).join(F.broadcast(sizes), group).withColumn("place", place).where(F.col("place") < F.col("bound"))
+    rank = F.row_number().over(Window.partitionBy(group).orderBy("place", "doc_id"))
+    return thin.withColumn("rank", rank).where(F.col("rank") <= most).select("doc_id", group)

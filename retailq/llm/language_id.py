@@ -6,10 +6,10 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import byte_slices, letters_only
+from .common import byte_slices, letters_only, sampled_ids
 from .compression import compressor
 
 UNKNOWN = "und"
@@ -66,14 +66,13 @@ class LanguageModel:
 def fit(docs: DataFrame, learnable: Column | None = None, settings: Settings = Settings()) -> LanguageModel:
     """Dictionaries from a bounded sample: up to ``docs_per_language`` rows of each language, by a hash of doc_id.
 
-    Rows with NULL lang, text or doc_id teach nothing. The sample is picked without its texts (Spark keeps only the
-    best rows of each language before its shuffle), then met with the table again through a broadcast of that bound.
+    Rows with NULL lang, text or doc_id teach nothing. The sample is picked without its texts, then met with the
+    table again through a broadcast of that bound.
     """
     s = settings
     rows = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull())
     rows = rows.where(learnable) if learnable is not None else rows
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    picked = rows.select("doc_id", "lang").withColumn("rank", rank).where(F.col("rank") <= s.docs_per_language)
+    picked = sampled_ids(rows, "lang", s.docs_per_language)
     sample = docs.select("doc_id", "text", "lang").join(F.broadcast(picked), ["doc_id", "lang"], "left_semi").where(
         F.col("text").isNotNull()).select(
         "lang", F.substring(letters_only(F.substring("text", 1, 2 * s.chars_per_doc)), 1, s.chars_per_doc).alias("letters"))

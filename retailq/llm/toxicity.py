@@ -19,10 +19,10 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import byte_slices, letters_only
+from .common import byte_slices, letters_only, sampled_ids
 from .compression import compressor, trained_content
 
 
@@ -172,10 +172,8 @@ def fit(docs: DataFrame, labels: DataFrame, learnable: Column, settings: Setting
     s = settings
     known = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()).where(learnable)
     known = known.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("label"))
-    rank = F.row_number().over(Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id"))
     most = F.when(F.col("label") == 1, s.toxic_docs).otherwise(s.ordinary_docs)
-    picked = (known.withColumn("rank", rank).where(F.col("rank") <= max(s.toxic_docs, s.ordinary_docs))
-              .where(F.col("rank") <= most).select("doc_id", "label"))
+    picked = sampled_ids(known, "label", most)
     sample = docs.where(F.col("text").isNotNull()).select("doc_id", "text").join(F.broadcast(picked), "doc_id").select(
         letters_only(F.substring("text", 1, s.chars_per_doc)).alias("letters"), "label")
     return train([(r.letters, r.label) for r in sample.collect()], s)
