@@ -1,14 +1,17 @@
 """Near-duplicate groups: MinHash signatures joined by a multi-index Hamming join, links confirmed on whole shingle sets.
 
-Each distinct shingle set has a signature of 64 MinHash values of 16 bits. Sets with a Jaccard similarity s differ in about
-64 * (1 - s) values; at s = 0.85 more than 24 differ with probability below 1e-5. All pairs with at most 24 differing values
-are found: the signature is cut into 13 chunks, by the pigeonhole principle some chunk of such a pair has at most one
-differing value (13 * 2 > 24), so with each value of a chunk left out once, some key of that chunk is the same in both.
+Each distinct shingle set has a signature of 32 MinHash values of 16 bits. Two sets of Jaccard similarity s differ in about
+32 * (1 - s) of them. All pairs with at most 13 differing values are found: the signature is cut into 7 chunks, by the
+pigeonhole principle some chunk of such a pair has at most one differing value (7 * 2 > 13), so with each value of a chunk
+left out once, some key of that chunk is the same in both. Pairs further apart are found as well where a chunk allows it; at
+s = 0.85 no chunk does with a probability of about 1e-6.
 
 Sets that share a key are not paired with each other. Every key's sets are first compared with its smallest id; what that
 links becomes a component. Only keys that still hold two components or more are then searched whole, in square cells of
-bounded size, for pairs across components within the distance, and those pairs are confirmed too. So every link between
-different components is seen, and links inside a component can change nothing.
+bounded size, for pairs across components. There a longer signature (512 values of 8 bits) tells which pairs can reach the
+similarity: those within five deviations of its estimate (a miss has a probability below 1e-6) are confirmed on the whole
+sets. A pair is met in the first key that it shares and in no other. So links between different components are seen, and
+links inside a component can change nothing.
 """
 from __future__ import annotations
 
@@ -29,15 +32,23 @@ from .shingles import min_hashes, mix, shingle_sets
 class Settings:
     words: int = 5
     percent: int = 85          # 100 * intersection >= percent * union links two sets
-    values: int = 64
-    distance: int = 24         # differing values up to which all pairs are found
-    chunks: int = 13           # chunks * 2 > distance
+    values: int = 32
+    distance: int = 13         # differing values up to which all pairs are found
+    chunks: int = 7            # chunks * 2 > distance
     cell: int = 512            # rows on a side of a cell of the second search
+    fine_values: int = 512
+    deviations: float = 5.0
 
     def __post_init__(self) -> None:
         if self.chunks * 2 <= self.distance:
             raise ValueError("too few chunks: a pair within the distance could differ twice in each")
 
+    @property
+    def fine_distance(self) -> int:
+        """Differing values of the longer signature up to which a pair may still be similar enough."""
+        differ = (1 - self.percent / 100) * 255 / 256
+        return int(self.fine_values * differ + self.deviations * (self.fine_values * differ * (1 - differ)) ** 0.5) + 1
+
 
 def signatures(docs: DataFrame, settings: Settings) -> DataFrame:
     """Per row: doc_id, n_shingles, set_high, set_low (128-bit digest of the whole set), signature (empty set: NULL)."""
@@ -75,30 +86,64 @@ def chunk_keys(values: np.ndarray, chunks: int) -> np.ndarray:
     return np.stack(keys, axis=1).view(np.int64) if len(values) else np.zeros((0, len(keys)), np.int64)
 
 
+def first_slot(differ: np.ndarray, chunks: int) -> np.ndarray:
+    """For pairs given by which values differ: the first key that both have (its slot)."""
+    columns = np.array_split(np.arange(differ.shape[1]), chunks)
+    starts = np.array([c[0] for c in columns])
+    count = np.add.reduceat(differ, starts, axis=1, dtype=np.int64)
+    chunk = (count <= 1).argmax(axis=1)
+    rows = np.arange(len(differ))
+    # With one differing value the key that leaves it out is shared, with none the chunk's first key.
+    inside = differ & (np.repeat(np.arange(chunks), [len(c) for c in columns])[None] == chunk[:, None])
+    return np.where(count[rows, chunk] == 0, starts[chunk], inside.argmax(axis=1))
+
+
 def _keys(classes: DataFrame, settings: Settings) -> DataFrame:
-    """key, id, n, component: one row for each key of each class."""
+    """key, slot (its place among a signature's keys), id, n: one row for each key of each class."""
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for begin in range(0, whole.num_rows, 4096):
                 batch = whole.slice(begin, 4096)
                 values = np.frombuffer(b"".join(batch.column("signature").to_pylist()), np.uint16).reshape(-1, settings.values)
                 keys = chunk_keys(values, settings.chunks)
-                again = [np.repeat(batch.column(c).to_numpy(), keys.shape[1]) for c in ("id", "n", "component")]
-                yield pa.RecordBatch.from_arrays([pa.array(keys.reshape(-1)), *map(pa.array, again)],
-                                                 names=["key", "id", "n", "component"])
+                slots = np.tile(np.arange(keys.shape[1], dtype=np.int32), len(keys))
+                again = [np.repeat(batch.column(c).to_numpy(), keys.shape[1]) for c in ("id", "n")]
+                yield pa.RecordBatch.from_arrays([pa.array(keys.reshape(-1)), pa.array(slots), *map(pa.array, again)],
+                                                 names=["key", "slot", "id", "n"])
+
+    return classes.select("id", "n", "signature").mapInArrow(emit, "key long, slot int, id long, n long")
+
+
+def _shared_keys(classes: DataFrame, settings: Settings) -> DataFrame:
+    """The keys that several ids have: key, slot, id, n, and the key's smallest id as a with its n_a."""
+    keys = _keys(classes, settings)
+    centres = stored(keys.groupBy("key").agg(F.min(F.struct("id", "n")).alias("least"), F.max("id").alias("greatest")).where(
+        F.col("least.id") < F.col("greatest")).select("key", F.col("least.id").alias("a"), F.col("least.n").alias("n_a")), "key-centres")
+    return keys.join(centres, "key").select("key", "slot", "id", "n", "a", "n_a")
+
 
-    return classes.select("id", "n", "component", "signature").mapInArrow(emit, "key long, id long, n long, component long")
+def _texts(docs: DataFrame, ids: DataFrame, settings: Settings) -> DataFrame:
+    """id, text and the longer signature of the given ids."""
+    rows = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("id"), "text")
+
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in byte_slices(batches, "text", 2 << 20):
+            sets, sizes = shingle_sets(batch.column("text"), settings.words)
+            fine: list = [None] * batch.num_rows
+            for row, values in zip(np.flatnonzero(sizes).tolist(), min_hashes(sets, sizes, settings.fine_values) >> 8):
+                fine[row] = values.astype(np.uint8).tobytes()
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("text"), pa.array(fine, pa.binary())],
+                                             names=["id", "text", "fine"])
+
+    return rows.join(ids, "id", "left_semi").mapInArrow(sign, "id long, text string, fine binary")
 
 
 def _similar_size(n: str, m: str, percent: int):
     return F.least(n, m) * 100 >= F.greatest(n, m) * percent
 
 
-def confirm(pairs: DataFrame, docs: DataFrame, settings: Settings) -> DataFrame:
-    """The pairs (a, b) of documents whose whole shingle sets are similar enough."""
-    needed = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-    texts = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("id"), "text")
-    texts = stored(texts.join(needed, "id", "left_semi"), "pair-texts")
+def confirm(pairs: DataFrame, texts: DataFrame, settings: Settings) -> DataFrame:
+    """The pairs (a, b) of ids whose whole shingle sets are similar enough."""
     both = pairs.join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b").join(
         texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a").select("a", "b", "text_a", "text_b")
 
@@ -121,28 +166,19 @@ def confirm(pairs: DataFrame, docs: DataFrame, settings: Settings) -> DataFrame:
     return both.mapInArrow(check, "a long, b long").distinct()
 
 
-def _star_pairs(classes: DataFrame, settings: Settings) -> DataFrame:
-    """Each key's smallest id with each other id of the key."""
-    keys = _keys(classes, settings)
-    centres = stored(keys.groupBy("key").agg(F.min(F.struct("id", "n")).alias("least"), F.count(F.lit(1)).alias("rows")).where(
-        F.col("rows") > 1).select("key", F.col("least.id").alias("a"), F.col("least.n").alias("n_a")), "key-centres")
-    met = keys.join(centres, "key").where(F.col("id") != F.col("a")).where(_similar_size("n", "n_a", settings.percent))
-    return met.select("a", F.col("id").alias("b")).distinct()
-
-
-def _crossing_pairs(classes: DataFrame, settings: Settings) -> DataFrame:
-    """Pairs of one key, of different components, within the signature distance and of similar size."""
-    keys = _keys(classes, settings)
-    mixed = stored(keys.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"),
-                                           F.count(F.lit(1)).alias("rows")).where(F.col("low") != F.col("high")).select(
+def _crossing_pairs(shared: DataFrame, classes: DataFrame, texts: DataFrame, settings: Settings) -> DataFrame:
+    """Pairs of one key, of different components, of similar size and near enough by the longer signature."""
+    placed = shared.select("key", "slot", "id", "n").join(classes.select("id", "component"), "id")
+    mixed = stored(placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"),
+                                             F.count(F.lit(1)).alias("rows")).where(F.col("low") != F.col("high")).select(
         "key", F.ceil(F.col("rows") / settings.cell).cast("int").alias("blocks")), "mixed-keys")
-    members = keys.join(mixed, "key").select("key", "id", "blocks").join(
-        classes.select("id", "n", "component", "signature"), "id")
+    members = stored(placed.join(mixed, "key"), "mixed-members").join(classes.select("id", "signature"), "id").join(
+        texts.select("id", "fine"), "id")
     # A key of many rows is cut into blocks; every two blocks meet in a cell of their own.
     block = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
     cells = members.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     cells = cells.select("key", F.least("block", "other").alias("row"), F.greatest("block", "other").alias("col"), "block",
-                         "id", "n", "component", "signature")
+                         "slot", "id", "n", "component", "signature", "fine")
     dealt = cells.repartition("key", "row", "col").sortWithinPartitions("key", "row", "col")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -154,20 +190,23 @@ def _crossing_pairs(classes: DataFrame, settings: Settings) -> DataFrame:
             ids, n = table.column("id").to_numpy(), table.column("n").to_numpy()
             component, block = table.column("component").to_numpy(), table.column("block").to_numpy()
             values = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint16).reshape(-1, settings.values)
+            fine = np.frombuffer(b"".join(table.column("fine").to_pylist()), np.uint8).reshape(-1, settings.fine_values)
+            slot = table.column("slot").to_numpy()
             low, high = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
             for begin, end in zip(bounds[:-1], bounds[1:]):
-                here = slice(begin, end)
-                left = np.flatnonzero(block[here] == place[begin, 1]) + begin
-                right = np.flatnonzero(block[here] == place[begin, 2]) + begin
+                left = np.flatnonzero(block[begin:end] == place[begin, 1]) + begin
+                right = np.flatnonzero(block[begin:end] == place[begin, 2]) + begin
                 near = component[left][:, None] != component[right][None]
                 smaller, larger = np.minimum(n[left][:, None], n[right][None]), np.maximum(n[left][:, None], n[right][None])
                 near &= 100 * smaller >= settings.percent * larger
                 i, j = np.nonzero(near)
                 for part in range(0, len(i), 1 << 16):
                     x, y = left[i[part:part + (1 << 16)]], right[j[part:part + (1 << 16)]]
-                    close = (values[x] != values[y]).sum(axis=1) <= settings.distance
-                    low.append(np.minimum(ids[x], ids[y])[close])
-                    high.append(np.maximum(ids[x], ids[y])[close])
+                    here = first_slot(values[x] != values[y], settings.chunks) == slot[begin]
+                    x, y = x[here], y[here]
+                    here = (fine[x] != fine[y]).sum(axis=1) <= settings.fine_distance
+                    low.append(np.minimum(ids[x], ids[y])[here])
+                    high.append(np.maximum(ids[x], ids[y])[here])
             found = np.unique(np.stack((np.concatenate(low), np.concatenate(high)), axis=1), axis=0)
             return pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], names=["a", "b"])
 
@@ -203,10 +242,13 @@ def groups(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
         plain = classes.drop("component").join(found, "id", "left")
         return stored(plain.withColumn("component", F.coalesce("joined", "id")).drop("joined"), "classes")
 
-    links = stored(confirm(stored(_star_pairs(classes, settings), "star-pairs"), docs, settings), "links")
+    shared = stored(_shared_keys(classes, settings), "shared-keys")
+    star = shared.where(F.col("id") != F.col("a")).where(_similar_size("n", "n_a", settings.percent))
+    texts = stored(_texts(docs, shared.select("id").distinct(), settings), "key-texts")
+    links = stored(confirm(stored(star.select("a", F.col("id").alias("b")).distinct(), "star-pairs"), texts, settings), "links")
     first = labelled(links)
-    crossing = stored(_crossing_pairs(first, settings), "crossing-pairs")
-    more = stored(confirm(crossing, docs, settings), "links")
+    crossing = stored(_crossing_pairs(shared, first, texts, settings), "crossing-pairs")
+    more = stored(confirm(crossing, texts, settings), "links")
     last = first if more.isEmpty() else labelled(links.unionByName(more))
     of_class = stored(last.select("set_high", "set_low", F.col("n").alias("n_shingles"), "component"), "class-components")
     joined = signed.join(of_class, ["set_high", "set_low", "n_shingles"], "left")
