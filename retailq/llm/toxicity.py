@@ -28,16 +28,16 @@ from .compression import compressor, trained_content
 
 @dataclass(frozen=True)
 class Settings:
-    toxic_docs: int = 3000        # bounds of the labelled sample
-    ordinary_docs: int = 9000
-    chars_per_doc: int = 20_000
+    toxic_docs: int = 2000        # bounds of the labelled sample
+    ordinary_docs: int = 6000
+    chars_per_doc: int = 8000
     gram: int = 5
     evidence: float = 11.0        # nats against chance that a gram must show
     share: float = 0.6            # of the documents with the gram that must be toxic
     toxic_words: int = 1500
     toxic_bytes: int = 16_384
     ordinary_bytes: int = 98_304
-    ordinary_words: int = 400_000
+    ordinary_words: int = 200_000
     level: int = 7
     min_match: int = 5
     window: int = 12              # words of a window
@@ -78,7 +78,7 @@ class ToxicityModel:
         return {k: v for k, v in self.__dict__.items() if k != "_pair"}
 
 
-def _without_near_copies(sample: list[tuple[str, int]]) -> list[tuple[list[str], int]]:
+def _without_near_copies(sample: list[tuple[str, int]]) -> list[tuple[str, int]]:
     """One of each group of near copies: documents that share a smallest hash of three-word runs are left out."""
     seen: set[int] = set()
     kept = []
@@ -87,7 +87,7 @@ def _without_near_copies(sample: list[tuple[str, int]]) -> list[tuple[list[str],
         runs = [" ".join(words[i:i + 3]).encode() for i in range(max(1, len(words) - 2))]
         marks = [3 * min(zlib.crc32(r, 7919 * k) for r in runs) + k for k in range(3)]
         if not any(m in seen for m in marks):
-            kept.append((words, label))
+            kept.append((letters, label))
         seen.update(marks)
     return kept
 
@@ -97,12 +97,12 @@ def _grams(word: str, n: int) -> set[str]:
     return {word[i:i + n] for i in range(max(1, len(word) - n + 1))}
 
 
-def _telling_grams(docs: list[tuple[list[str], int]], s: Settings, grams_of: dict[str, set[str]]) -> set[str]:
+def _telling_grams(docs: list[tuple[str, int]], s: Settings) -> set[str]:
     met = (Counter(), Counter())
     size = [1, 1]
-    for words, label in docs:
+    for letters, label in docs:
         size[label] += 1
-        met[label].update(set().union(*(grams_of.setdefault(w, _grams(w, s.gram)) for w in set(words)), ()))
+        met[label].update(set().union(*(_grams(w, s.gram) for w in set(letters.split()))))
     base = size[1] / (size[0] + size[1])
     telling = set()
     for gram, toxic in met[1].items():
@@ -142,21 +142,23 @@ def train(sample: list[tuple[str, int]], settings: Settings = Settings()) -> Tox
     model = ToxicityModel(b"", b"", np.zeros(width), np.ones(width), constant, s)
     if len({y for _, y in first}) < 2 or len({y for _, y in second}) < 2:
         return model
-    grams_of: dict[str, set[str]] = {}
-    telling = _telling_grams(first, s, grams_of)
-    toxic, ordinary = Counter(), []
-    for words, label in first:
-        for word in sorted(set(words)):
-            if telling.isdisjoint(grams_of[word]):
-                ordinary.append(f" {word} ".encode())
+    telling = _telling_grams(first, s)
+    toxic: Counter = Counter()
+    ordinary: set[str] = set()
+    for letters, label in first:
+        for word in set(letters.split()):
+            if word in ordinary:
+                continue
+            if telling.isdisjoint(_grams(word, s.gram)):
+                ordinary.add(word)
             elif label == 1:
                 toxic[f" {word} ".encode()] += 1
-    ordinary.sort(key=zlib.crc32)
-    model.ordinary = trained_content(ordinary[:s.ordinary_words], s.ordinary_bytes)
+    plain = sorted((f" {word} ".encode() for word in ordinary), key=lambda w: (zlib.crc32(w), w))
+    model.ordinary = trained_content(plain[:s.ordinary_words], s.ordinary_bytes)
     common = [w for w, _ in sorted(toxic.items(), key=lambda e: (-e[1], e[0]))[:s.toxic_words]]
     samples = [w for w in common for _ in range(toxic[w])]
     model.toxic = trained_content(samples, s.toxic_bytes) if len(b"".join(common)) > s.toxic_bytes else b"".join(common[::-1])
-    x = np.array([model.features(" ".join(words)) for words, _ in second])
+    x = np.array([model.features(letters) for letters, _ in second])
     y = np.array([label for _, label in second], float)
     model.mean, model.scale = x.mean(axis=0), x.std(axis=0) + 1e-9
     model.weights = _logistic((x - model.mean) / model.scale, y)
