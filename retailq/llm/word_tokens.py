@@ -22,7 +22,7 @@ ODD_SPACE = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}] "
 class WordTokenizer:
     """Keeps the first ``max_words`` distinct words with their ids; later ones are encoded once a batch (same results)."""
 
-    def __init__(self, path: str, keep_ids: bool = True, max_words: int = 600_000):
+    def __init__(self, path: str, keep_ids: bool = True, max_words: int = 450_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
