@@ -27,11 +27,12 @@ from .common import byte_slices
 
 SPACE = "▁"
 WORDS = re.compile(r" +[^ ]*")
+MATCH_CHARS = 400_000  # about as many characters are indexed at a time, which bounds the arrays of the matching
 LONG_WORD = 200  # characters from which a word is relaxed with a queue of its own
 
 
 class PieceModel:
-    def __init__(self, path: str, max_words: int = 600_000):
+    def __init__(self, path: str, max_words: int = 300_000):
         from sentencepiece import sentencepiece_model_pb2 as proto
         model = proto.ModelProto()
         with open(path, "rb") as f:
@@ -273,7 +274,9 @@ class PieceModel:
         missing = np.flatnonzero(numbers < 0)
         if len(missing):
             new = [distinct[i] for i in missing.tolist()]
-            flat, counts = self.encode_words(new)
+            cuts = np.flatnonzero(np.diff(np.cumsum([len(w) for w in new]) // MATCH_CHARS, prepend=0)).tolist()
+            found = [self.encode_words(new[a:b]) for a, b in zip([0, *cuts], [*cuts, len(new)]) if a < b]
+            flat, counts = (np.concatenate(parts) for parts in zip(*found))
             begin = int(self.starts[-1] + self.counts[-1]) if kept else 0
             self.starts = np.concatenate((self.starts, begin + np.cumsum(counts) - counts))
             self.counts = np.concatenate((self.counts, counts))
@@ -313,7 +316,7 @@ def encode_documents(docs: DataFrame, model_path: str) -> DataFrame:
     """
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = open_model(model_path)
-        for batch in byte_slices(batches, "text", 8 << 20):
+        for batch in byte_slices(batches, "text", 4 << 20):
             flat, counts = model.encode(batch.column("text"))
             ends = np.cumsum(counts)
             data = memoryview(np.ascontiguousarray(flat, "<u4")).cast("B")
