@@ -5,11 +5,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Fixed values of the landing rules.
-TIMESTAMP_PATTERN = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$"
-DECIMAL_PATTERN = r"^[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?$"
-POSITIVE_INT_PATTERN = r"^[1-9][0-9]*$"
+TIMESTAMP_PATTERN = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}\z"
+DECIMAL_PATTERN = r"^[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?\z"
+POSITIVE_INT_PATTERN = r"^[1-9][0-9]*\z"
 # Up to 13 integer digits: x*100 < 2^53, so rounding the parsed double to cents is exact.
-PLAIN_MONEY_PATTERN = r"^[0-9]{1,13}(\.[0-9]{0,2})?$"
+PLAIN_MONEY_PATTERN = r"^[0-9]{1,13}(\.[0-9]{0,2})?\z"
 MAX_INT = 2**31 - 1
 MAX_CENTS = 2**63 - 1
 
@@ -29,16 +29,29 @@ def strict_timestamp(c: Column) -> Column:
     return F.when(c.rlike(TIMESTAMP_PATTERN), c.try_cast("timestamp_ntz"))
 
 
-def _decimal(c: Column) -> Column:
-    return trimmed(c).try_cast("decimal(38,10)")
+def _general_cents(c: Column) -> Column:
+    """Cents of decimal text, decided on its digits: with point and exponent applied, no digit other than 0 may stand
+    behind the second fraction digit. NULL where the text is no number, is finer than cents or does not fit BIGINT."""
+    t = trimmed(c)
+    mantissa = F.regexp_replace(t, r"^[+-]|[eE].*$", "")
+    exponent = F.regexp_extract(t, r"[eE]([+-]?\d+)\z", 1)
+    exponent = F.when(exponent == "", F.lit(0)).otherwise(exponent.try_cast("int"))
+    digits = F.replace(mantissa, F.lit("."), F.lit(""))
+    fraction = F.length(mantissa) - F.when(F.contains(mantissa, F.lit(".")), F.instr(mantissa, ".")).otherwise(F.length(mantissa))
+    kept = F.regexp_replace(digits, r"0+\z", "")
+    # Zeros to append to the digits that are kept; below 0 there is something finer than a cent.
+    shift = exponent.cast("bigint") + 2 - fraction + F.length(digits) - F.length(kept)
+    significant = F.regexp_replace(kept, r"^0+", "")
+    size = F.length(significant) + shift
+    whole = F.concat(significant, F.repeat(F.lit("0"), F.least(shift, F.lit(20)).cast("int"))).try_cast("decimal(38,0)")
+    cents = F.when(significant == "", F.lit(0).cast("decimal(38,0)")).when((shift >= 0) & (size <= 19), whole)
+    cents = F.when(cents <= F.lit(MAX_CENTS), cents).cast("bigint")
+    return F.when(t.rlike(DECIMAL_PATTERN) & exponent.isNotNull(), F.when(F.startswith(t, F.lit("-")), -cents).otherwise(cents))
 
 
 def _general_valid(c: Column, allow_negative: bool) -> Column:
-    x = _decimal(c) * 100
-    ok = trimmed(c).rlike(DECIMAL_PATTERN) & x.isNotNull() & (x == F.floor(x)) & (F.abs(x) <= F.lit(MAX_CENTS))
-    if not allow_negative:
-        ok = ok & (x >= 0)
-    return F.coalesce(ok, F.lit(False))
+    cents = _general_cents(c)
+    return cents.isNotNull() if allow_negative else F.coalesce(cents >= 0, F.lit(False))
 
 
 def _plain_cents(c: Column) -> Column:
@@ -48,14 +61,14 @@ def _plain_cents(c: Column) -> Column:
 
 def money_valid(c: Column, allow_negative: bool = False) -> Column:
     """Decimal text, finite, at most two fraction digits after scaling, fits BIGINT cents (>= 0 unless allowed).
-    Plain text takes a fast exact path; other forms (sign, exponent, spaces) the exact decimal path."""
+    Plain text takes a shorter path with the same answer; other forms (sign, exponent, spaces) are read digit by digit."""
     return F.when(c.rlike(PLAIN_MONEY_PATTERN), F.lit(True)).otherwise(_general_valid(c, allow_negative))
 
 
 def money_cents(c: Column, allow_negative: bool = False) -> Column:
     """Exact cents (BIGINT) of valid money text, NULL otherwise."""
     return (F.when(c.rlike(PLAIN_MONEY_PATTERN), _plain_cents(c))
-            .when(_general_valid(c, allow_negative), (_decimal(c) * 100).cast("bigint")))
+            .when(_general_valid(c, allow_negative), _general_cents(c)))
 
 
 def positive_int_valid(c: Column) -> Column:

@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..params import Coverage, ScopeParams
-from ..session import checked_broadcast
 
 
 @dataclass
@@ -63,7 +62,7 @@ def scoped_products(star: dict[str, DataFrame], params: ScopeParams) -> DataFram
         "product_id", "category", F.coalesce("category_english", "category").alias("category_label"))
     if params.category:
         prod = prod.filter(F.col("category") == F.lit(params.category))
-    return checked_broadcast(prod)
+    return prod
 
 
 def build_scope(star: dict[str, DataFrame], params: ScopeParams) -> Scope:

@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..params import QUALITY_FLAGS
-from ..session import checked_broadcast
 
 STAR_TABLES = ("dim_customer", "dim_product", "dim_seller", "fact_order", "fact_item", "agg_day", "customer_first")
 
@@ -30,7 +29,6 @@ def dim_product(products: DataFrame, translation: DataFrame) -> DataFrame:
     tr = translation.select(F.col("product_category_name").alias("_cat"),
                             F.when(F.col("product_category_name_english") == "", None)
                             .otherwise(F.col("product_category_name_english")).alias("category_english"))
-    tr = checked_broadcast(tr)
     return (products.join(tr, products["product_category_name"] == tr["_cat"], "left")
             .select("product_id", _unknown("product_category_name").alias("category"), "category_english"))
 

@@ -72,7 +72,7 @@ def write_star_staged(spark: SparkSession, star: dict[str, DataFrame], path: str
     months = stored_fo.select("order_id", "purchase_month")
     second = {"fact_item": star["fact_item"].join(months, "order_id", "left")
               .hint("rebalance", "purchase_month"),
-              "agg_day": agg_day(stored_fo).coalesce(1),
+              "agg_day": agg_day(stored_fo).repartition(1),  # one row a day, summed by all tasks before
               "customer_first": customer_first(stored_fo, spark.read.parquet(f"{path}/dim_customer"))}
     _parallel({k: (lambda k=k, df=df: _write(df, k, f"{path}/{k}")) for k, df in second.items()})
     return read_star(spark, path.rsplit("/", 1)[0], path.rsplit("/", 1)[1])

@@ -14,7 +14,6 @@ from ..operators import diagnosis as dg
 from ..operators.scope import coverage_from_daily, coverage_window, period_start
 from ..operators.warehouse import customer_first
 from ..params import RfmRules
-from ..session import checked_broadcast
 from ..sources.warehouse_store import write_text
 
 # Identifier-like keys that must never leave the warehouse in a published aggregate.
@@ -129,7 +128,7 @@ def preset_scope(star: dict[str, DataFrame], presets: DataFrame, widen: bool = F
               .otherwise(F.lit("history")))
     orders = orders.withColumn("period", period).drop("_month", "_state")
     prod = star["dim_product"].select("product_id", "category")
-    items = _in_range(star["fact_item"], bounds).join(checked_broadcast(prod), "product_id").join(
+    items = _in_range(star["fact_item"], bounds).join(prod, "product_id").join(
         orders.select("order_id", "preset", "_want", "period"), "order_id")
     items = items.filter((F.col("_want") == "") | (F.col("_want") == F.col("category"))).drop("_want")
     totals = items.groupBy("preset", "order_id").agg(F.sum("price_cents").alias("scoped_revenue_cents"),

@@ -1,14 +1,10 @@
-"""Session helpers: building a session for tests/bench, checkpoint folder, size-checked broadcast."""
+"""Session helpers: building a session for tests/bench, checkpoint folder."""
 from __future__ import annotations
 
 import os
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-# Broadcast a join side only when the optimizer's size estimate is below this bound.
-DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
+from pyspark.sql import SparkSession
 
 
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: str = "retailq",
@@ -32,26 +28,15 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's shared ``spark.checkpoint.dir``; only where it is unset (local tests) take a scratch one."""
+    """Use the cluster's shared ``spark.checkpoint.dir``; unset on a local master take a scratch one, elsewhere raise."""
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
     configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or \
         spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="retailq-ckpt-", dir=os.environ.get("RETAILQ_SCRATCH", "/tmp"))
     spark.sparkContext.setCheckpointDir(configured)
     return configured
-
-
-def estimated_bytes(df: DataFrame) -> int:
-    """Optimizer's size estimate of a plan (statistics of the optimized logical plan)."""
-    try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-    except Exception:  # noqa: BLE001 - estimate unavailable: treat as unbounded
-        return 1 << 62
-
-
-def checked_broadcast(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
-    """Hint a broadcast only behind a size check; beyond the bound the planner keeps a shuffle join."""
-    return F.broadcast(df) if estimated_bytes(df) <= max_bytes else df

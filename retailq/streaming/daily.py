@@ -1,6 +1,7 @@
-"""Structured Streaming form of the daily aggregate: delivered order facts arriving as files are folded into
-per-day revenue/orders/items with a watermark on the purchase time (late rows inside the watermark still count;
-state older than the watermark is dropped). Same numbers as ``agg_day`` once the stream has caught up."""
+"""Structured Streaming form of the daily aggregate: every micro-batch leaves its per-day sums, reading adds them up.
+
+There is no watermark: an order that is delivered weeks after its purchase counts on its purchase day whenever it comes.
+"""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
@@ -8,40 +9,27 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 
-def event_time(ntz: str = "purchase_at") -> F.Column:
-    """Instant whose UTC wall clock equals the zone-free purchase time (watermarks need a zoned timestamp);
-    built from day number and time of day, so it does not depend on the session time zone."""
-    c = F.col(ntz)
-    days = F.datediff(F.to_date(c), F.lit("1970-01-01").cast("date")).cast("bigint")
-    secs = days * 86400 + F.hour(c) * 3600 + F.minute(c) * 60 + F.second(c)
-    return F.timestamp_seconds(secs)
-
-
-def daily_stream(orders: DataFrame, watermark: str = "2 days") -> DataFrame:
-    """``orders``: a streaming DataFrame with fact_order columns. Daily windows are UTC-aligned on the event
-    instant, so each window holds exactly one purchase day."""
-    d = orders.filter(F.col("status") == "delivered").withColumn("event_ts", event_time()) \
-        .withWatermark("event_ts", watermark)
-    return (d.groupBy(F.window("event_ts", "1 day").alias("w"), F.col("purchase_date").alias("day"))
-            .agg(F.sum("revenue_cents").alias("revenue_cents"), F.count(F.lit(1)).alias("order_count"),
-                 F.sum("item_count").alias("item_count"))
-            .select("day", "revenue_cents", "order_count", "item_count"))
+def daily_sums(orders: DataFrame) -> DataFrame:
+    """Per purchase day of delivered order facts: revenue_cents, order_count, item_count."""
+    return orders.where(F.col("status") == "delivered").groupBy(F.col("purchase_date").alias("day")).agg(
+        F.sum("revenue_cents").alias("revenue_cents"), F.count(F.lit(1)).alias("order_count"),
+        F.sum("item_count").alias("item_count"))
 
 
 def start_daily_stream(spark: SparkSession, source_dir: str, schema, sink_dir: str, checkpoint_dir: str,
-                       watermark: str = "2 days", trigger_once: bool = True) -> StreamingQuery:
-    """File source -> daily aggregate -> parquet sink (append mode emits a day once the watermark passes it).
-    The checkpoint folder must be on shared storage so a restarted driver resumes exactly once."""
-    src = spark.readStream.schema(schema).parquet(source_dir)
-    writer = (daily_stream(src, watermark).writeStream.outputMode("append").format("parquet")
-              .option("path", sink_dir).option("checkpointLocation", checkpoint_dir))
-    writer = writer.trigger(availableNow=True) if trigger_once else writer.trigger(processingTime="1 minute")
-    return writer.start()
-
-
-def daily_upserts(spark: SparkSession, source_dir: str, schema, checkpoint_dir: str, on_batch) -> StreamingQuery:
-    """Update-mode variant: each micro-batch hands the changed days to ``on_batch(df, epoch_id)`` (e.g. a merge
-    into a serving table); idempotent per epoch when the callback keys its writes by epoch."""
-    src = spark.readStream.schema(schema).parquet(source_dir)
-    return (daily_stream(src).writeStream.outputMode("update").foreachBatch(on_batch)
-            .option("checkpointLocation", checkpoint_dir).trigger(availableNow=True).start())
+                       once: bool = True) -> StreamingQuery:
+    """File source of order facts -> one folder of per-day sums for each micro-batch. A batch that is run again
+    overwrites its own folder, so nothing counts twice. Both folders must be on shared storage."""
+    def leave(batch: DataFrame, epoch: int) -> None:
+        daily_sums(batch).write.mode("overwrite").parquet(f"{sink_dir}/epoch={epoch}")
+
+    writer = spark.readStream.schema(schema).parquet(source_dir).writeStream.foreachBatch(leave).option(
+        "checkpointLocation", checkpoint_dir)
+    return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime="1 minute")).start()
+
+
+def read_daily(spark: SparkSession, sink_dir: str) -> DataFrame:
+    """day, revenue_cents, order_count, item_count over all batches so far: the numbers of ``agg_day``."""
+    return spark.read.parquet(sink_dir).groupBy("day").agg(
+        F.sum("revenue_cents").alias("revenue_cents"), F.sum("order_count").alias("order_count"),
+        F.sum("item_count").alias("item_count"))
