@@ -6,7 +6,10 @@ from pyspark.sql import functions as F
 
 # Fixed values of the landing rules.
 TIMESTAMP_PATTERN = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}\z"
-DECIMAL_PATTERN = r"^[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?\z"
+ZERO_PATTERN = r"^[+-]?(0+(\.0*)?|\.0+)([eE][+-]?\d+)?\z"
+# Without an exponent only zeros behind the second fraction digit; with one (down to -9) up to nine fraction digits.
+MONEY_PATTERN = (r"^[+-]?((\d+(\.\d{0,2}0*)?|\.\d{1,2}0*)"
+                 r"|(\d{1,20}(\.\d{0,9})?|\.\d{1,9})[eE](\+?0*\d{1,2}|-0*\d))\z")
 POSITIVE_INT_PATTERN = r"^[1-9][0-9]*\z"
 # Up to 13 integer digits: x*100 < 2^53, so rounding the parsed double to cents is exact.
 PLAIN_MONEY_PATTERN = r"^[0-9]{1,13}(\.[0-9]{0,2})?\z"
@@ -30,23 +33,13 @@ def strict_timestamp(c: Column) -> Column:
 
 
 def _general_cents(c: Column) -> Column:
-    """Cents of decimal text, decided on its digits: with point and exponent applied, no digit other than 0 may stand
-    behind the second fraction digit. NULL where the text is no number, is finer than cents or does not fit BIGINT."""
+    """Cents of decimal text, NULL where it is no number, finer than cents or beyond BIGINT. The pattern lets no text
+    through that has more fraction digits than the cast keeps, so nothing is rounded away."""
     t = trimmed(c)
-    mantissa = F.regexp_replace(t, r"^[+-]|[eE].*$", "")
-    exponent = F.regexp_extract(t, r"[eE]([+-]?\d+)\z", 1)
-    exponent = F.when(exponent == "", F.lit(0)).otherwise(exponent.try_cast("int"))
-    digits = F.replace(mantissa, F.lit("."), F.lit(""))
-    fraction = F.length(mantissa) - F.when(F.contains(mantissa, F.lit(".")), F.instr(mantissa, ".")).otherwise(F.length(mantissa))
-    kept = F.regexp_replace(digits, r"0+\z", "")
-    # Zeros to append to the digits that are kept; below 0 there is something finer than a cent.
-    shift = exponent.cast("bigint") + 2 - fraction + F.length(digits) - F.length(kept)
-    significant = F.regexp_replace(kept, r"^0+", "")
-    size = F.length(significant) + shift
-    whole = F.concat(significant, F.repeat(F.lit("0"), F.least(shift, F.lit(20)).cast("int"))).try_cast("decimal(38,0)")
-    cents = F.when(significant == "", F.lit(0).cast("decimal(38,0)")).when((shift >= 0) & (size <= 19), whole)
-    cents = F.when(cents <= F.lit(MAX_CENTS), cents).cast("bigint")
-    return F.when(t.rlike(DECIMAL_PATTERN) & exponent.isNotNull(), F.when(F.startswith(t, F.lit("-")), -cents).otherwise(cents))
+    x = F.when(t.rlike(MONEY_PATTERN), t.try_cast("decimal(38,18)"))
+    whole = x.cast("decimal(22,2)")
+    cents = (whole * 100).cast("decimal(38,0)")
+    return F.when(t.rlike(ZERO_PATTERN), F.lit(0).cast("bigint")).when((whole.cast("decimal(38,18)") == x) & (F.abs(cents) <= F.lit(MAX_CENTS)), cents.cast("bigint"))
 
 
 def _general_valid(c: Column, allow_negative: bool) -> Column:
@@ -61,7 +54,7 @@ def _plain_cents(c: Column) -> Column:
 
 def money_valid(c: Column, allow_negative: bool = False) -> Column:
     """Decimal text, finite, at most two fraction digits after scaling, fits BIGINT cents (>= 0 unless allowed).
-    Plain text takes a shorter path with the same answer; other forms (sign, exponent, spaces) are read digit by digit."""
+    Plain text takes a shorter path with the same answer; other forms (sign, exponent, spaces) are cast to a wide decimal."""
     return F.when(c.rlike(PLAIN_MONEY_PATTERN), F.lit(True)).otherwise(_general_valid(c, allow_negative))
 
 
