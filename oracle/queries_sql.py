@@ -172,7 +172,7 @@ SELECT order_id, purchase_date, state, scoped_item_count AS item_count, scoped_r
        payment_cents, review_score, is_late, array_to_string(quality_flags, ',') AS quality_flags,
        (SELECT count(*) FROM scope_orders) AS total
 FROM scope_orders ORDER BY purchase_date DESC, order_id LIMIT 20 OFFSET 40""",
-    "order_detail_items": base(scope(FILTERED)) + """
+    "order_detail_items": base(scope(HISTORY)) + """
 SELECT o.order_id, o.scoped_revenue_cents AS revenue_cents, o.revenue_cents AS total_order_revenue_cents,
        o.payment_cents, o.review_score, o.is_late, i.item_id, i.product_id, i.seller_id, i.category,
        i.price_cents, i.freight_cents
@@ -217,7 +217,7 @@ FROM fact_order WHERE status = 'delivered' GROUP BY purchase_date""",
 
 
 # ---- customers ---------------------------------------------------------------------------------------------------
-from retailq.plans.catalog import CUSTOMER_YEAR, CUSTOMER_YEAR_STATE  # noqa: E402
+from retailq.plans.catalog import CUSTOMER_YEAR, CUSTOMER_YEAR_STATE, HISTORY_STATE  # noqa: E402
 
 _RFM = TEST_PROFILE.rfm
 
@@ -283,17 +283,17 @@ SQL.update({
     "first_purchase": base() + f"""
 SELECT c.customer_unique_id, min(o.purchase_date) AS first_day
 FROM fact_order o JOIN dim_customer c ON c.customer_id = o.customer_id
-WHERE o.status = 'delivered' AND o.purchase_date <= {lit_date(CUSTOMER_YEAR.end)}
+WHERE o.status = 'delivered' AND o.purchase_date <= {lit_date(HISTORY.end)}
 GROUP BY c.customer_unique_id""",
-    "customer_window": _customer_base(CUSTOMER_YEAR) + "SELECT * FROM cw",
+    "customer_window": _customer_base(HISTORY) + "SELECT * FROM cw",
     "customer_summary": _summary_sql(CUSTOMER_YEAR),
     "customer_summary_state": _summary_sql(CUSTOMER_YEAR_STATE),
-    "rfm_segments": _customer_base(CUSTOMER_YEAR) + "SELECT * FROM segments",
-    "frequency_histogram": _customer_base(CUSTOMER_YEAR)
+    "rfm_segments": _customer_base(HISTORY) + "SELECT * FROM segments",
+    "frequency_histogram": _customer_base(HISTORY)
     + "SELECT frequency, CAST(count(*) AS BIGINT) AS customer_count FROM cw GROUP BY frequency",
-    "rfm_distribution": _distribution_sql(CUSTOMER_YEAR),
-    "rfm_distribution_state": _distribution_sql(CUSTOMER_YEAR_STATE),
-    "customers_beyond_recency": _customer_base(CUSTOMER_YEAR) + """
+    "rfm_distribution": _distribution_sql(HISTORY),
+    "rfm_distribution_state": _distribution_sql(HISTORY_STATE),
+    "customers_beyond_recency": _customer_base(HISTORY) + """
 SELECT CAST(coalesce(sum(customer_count) FILTER (WHERE "key" LIKE '0%'), 0) AS BIGINT) AS customers_beyond_recency
 FROM segments""",
 })
@@ -895,7 +895,7 @@ SELECT state, CAST(count(*) AS BIGINT) AS customer_count,
        CAST(coalesce(sum(monetary_cents), 0) AS BIGINT) AS revenue_cents,
        CAST(count(*) - count(*) FILTER (WHERE frequency >= 2) AS DOUBLE) / count(*) AS single_purchase_share
 FROM cw GROUP BY state""",
-    "rfm_segments_by_state": _customer_state_base(CUSTOMER_YEAR).rstrip() + f""",
+    "rfm_segments_by_state": _customer_state_base(HISTORY).rstrip() + f""",
 seg AS (
   SELECT state, (CASE WHEN recency_days <= {_RFM.recent_days} THEN '1' ELSE '0' END) ||
          (CASE WHEN frequency >= {_RFM.repeat_orders} THEN '1' ELSE '0' END) ||

@@ -1,96 +1,78 @@
-"""Exact quantiles without gathering a group's values into one task.
+"""Exact quantiles on (value, count) pairs, one algorithm for inputs of every size.
 
-Spark's exact ``percentile``/``median`` keep one value->count map per group and merge it in a single task: fine when
-a group has few distinct values (scores, weekday baselines), unbounded for money or durations at scale. The
-distributed form sorts the values (range partitioned, balanced), checkpoints the sorted projection so partition ids
-and in-partition positions are stable even if an executor is lost, counts rows per (group, partition), and fetches
-only the rows at the target ranks through a broadcast lookup of (group, partition, position).
+Rows are first folded to one count per distinct value (map-side too, so a value that most rows share costs one row per
+task). Distinct values are then put into ordered buckets, about 4096 for each e-fold of the value; a window over a
+group's bucket counts tells which bucket holds each wanted rank, and a window over that bucket's distinct values picks
+the value. The bucket is a function of the value alone: no sampling, no checkpoint, no driver step, and a lost executor
+changes nothing. A window reads a group's buckets, or the distinct values of one bucket, never its rows.
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..session import ensure_checkpoint_dir
+BUCKETS_PER_EFOLD = 4096
+_FAR = 750 * BUCKETS_PER_EFOLD  # beyond the logarithm of any finite double, either way
 
-# Above this many input rows the in-memory percentile map is not trusted; use the distributed path.
-IN_MEMORY_QUANTILE_ROWS = 1_000_000
-_MASK = (1 << 33) - 1
+
+def _bucket(value: Column) -> Column:
+    """Never falls as the value grows: logarithms are monotone, zero lies between the signs, NaN comes last."""
+    step = F.least(F.floor(F.least(F.log(F.abs(value)), F.lit(749.0)) * BUCKETS_PER_EFOLD), F.lit(_FAR - 1)) + _FAR
+    return (F.when(F.isnan(value), F.lit(4 * _FAR)).when(value == 0, F.lit(0))
+            .when(value > 0, step).otherwise(-step)).cast("bigint")
+
+
+def _rank(total: Column, q: float, method: str, part: str) -> Column:
+    """Zero-based rank below (``lo``) or above (``hi``) the wanted position; both the same for ``nearest``."""
+    if method == "nearest":
+        return F.greatest(F.ceil(F.lit(q) * total).cast("bigint") - 1, F.lit(0).cast("bigint"))
+    position = (total - 1) * F.lit(q)
+    return (F.floor(position) if part == "lo" else F.ceil(position)).cast("bigint")
 
 
 def exact_quantiles(df: DataFrame, value: str, probs: dict[str, tuple[float, str]],
-                    by: list[str] | tuple = ()) -> DataFrame:
+                    by: list[str] | tuple = (), weight: str | None = None) -> DataFrame:
     """One row per group with a column per requested quantile.
 
     ``probs``: output name -> (q, method); method ``linear`` matches ``percentile`` (interpolation at (n-1)q),
-    ``nearest`` matches ``percentile_disc`` (smallest value with cumulative share >= q). Groups without values
-    produce no row."""
+    ``nearest`` matches ``percentile_disc`` (smallest value with cumulative share >= q). ``weight``: a column that tells
+    how many rows a row stands for. NULL values are left out; groups without values produce no row."""
     by = list(by)
-    ensure_checkpoint_dir(df.sparkSession)
-    s = df.select(*by, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull()) \
-        .orderBy(*by, "_v").withColumn("_mid", F.monotonically_increasing_id()).checkpoint(eager=True)
-    s = s.select(*by, "_v", F.shiftright("_mid", 33).alias("_pid"), (F.col("_mid").bitwiseAND(F.lit(_MASK)))
-                 .alias("_idx"))
-    meta = s.groupBy(*by, "_pid").agg(F.count(F.lit(1)).alias("_c"), F.min("_idx").alias("_f"))
-    w = Window.partitionBy(*by).orderBy("_pid") if by else Window.orderBy("_pid")  # groups x partitions rows
-    meta = meta.withColumn("_before", F.coalesce(
-        F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0).cast("bigint"))) \
-        .withColumn("_n", F.sum("_c").over(Window.partitionBy(*by) if by else Window.partitionBy(F.lit(1))))
-    spark = df.sparkSession
-    req = spark.createDataFrame([(k, float(q), m) for k, (q, m) in probs.items()], "_name string, _q double, _m string")
-    groups = meta.select(*by, "_n").distinct().crossJoin(F.broadcast(req))
-    pos = (F.col("_n") - 1) * F.col("_q")
-    near = F.ceil(F.col("_q") * F.col("_n")).cast("bigint") - 1
-    lo = F.when(F.col("_m") == "nearest", F.greatest(near, F.lit(0).cast("bigint"))).otherwise(F.floor(pos))
-    hi = F.when(F.col("_m") == "nearest", F.greatest(near, F.lit(0).cast("bigint"))).otherwise(F.ceil(pos))
-    targets = groups.select(*by, "_name", "_m", pos.alias("_pos"), F.explode(F.array(
-        F.struct(F.lit("lo").alias("_part"), lo.cast("bigint").alias("_rank")),
-        F.struct(F.lit("hi").alias("_part"), hi.cast("bigint").alias("_rank")))).alias("_t")) \
-        .select(*by, "_name", "_m", "_pos", "_t._part", "_t._rank")
-    # small x small: (group, target rank) -> (partition, position)
-    m = meta.select(*[F.col(b).alias(f"_mb_{b}") for b in by], "_pid", "_c", "_f", "_before")
-    cond = (F.col("_rank") >= F.col("_before")) & (F.col("_rank") < F.col("_before") + F.col("_c"))
-    for b in by:
-        cond = cond & F.col(b).eqNullSafe(F.col(f"_mb_{b}"))
-    located = targets.join(m, cond).select(
-        *[F.col(b).alias(f"_lb_{b}") for b in by], "_name", "_m", "_pos", "_part", "_rank",
-        F.col("_pid").alias("_lpid"), (F.col("_f") + F.col("_rank") - F.col("_before")).alias("_lidx"))
-    # big x small: fetch only the target rows (broadcast of at most groups x quantiles x 2 rows)
-    on = (F.col("_pid") == F.col("_lpid")) & (F.col("_idx") == F.col("_lidx"))
-    for b in by:
-        on = on & F.col(b).eqNullSafe(F.col(f"_lb_{b}"))
-    picked = s.join(F.broadcast(located), on).select(*by, "_name", "_m", "_pos", "_part", "_rank", "_v")
-    g = picked.groupBy(*by, "_name", "_m", "_pos").agg(
-        F.max(F.when(F.col("_part") == "lo", F.col("_v"))).alias("_lv"),
-        F.max(F.when(F.col("_part") == "lo", F.col("_rank"))).alias("_lr"),
-        F.max(F.when(F.col("_part") == "hi", F.col("_v"))).alias("_hv"),
-        F.max(F.when(F.col("_part") == "hi", F.col("_rank"))).alias("_hr"))
-    # same arithmetic as Spark's percentile: (hi_rank - pos) * lo_value + (pos - lo_rank) * hi_value
-    linear = F.when(F.col("_hr") == F.col("_lr"), F.col("_lv")).otherwise(
-        (F.col("_hr") - F.col("_pos")) * F.col("_lv") + (F.col("_pos") - F.col("_lr")) * F.col("_hv"))
-    g = g.withColumn("_res", F.when(F.col("_m") == "nearest", F.col("_lv")).otherwise(linear))
-    out = g.groupBy(*by).agg(*[F.max(F.when(F.col("_name") == k, F.col("_res"))).alias(k) for k in probs]) \
-        if by else g.agg(*[F.max(F.when(F.col("_name") == k, F.col("_res"))).alias(k) for k in probs])
-    return out
-
+    rows = F.col(weight).cast("bigint") if weight else F.lit(1).cast("bigint")
+    counts = df.select(*by, F.col(value).cast("double").alias("_v"), rows.alias("_w")).filter(F.col("_v").isNotNull()) \
+        .groupBy(*by, "_v").agg(F.sum("_w").alias("_c")).withColumn("_b", _bucket(F.col("_v")))
+    group = by or [F.lit(1)]
 
-def in_memory_quantiles(df: DataFrame, value: str, probs: dict[str, tuple[float, str]],
-                        by: list[str] | tuple = ()) -> DataFrame:
-    """Same answers with Spark's exact aggregates (for inputs with a proven small row bound)."""
-    aggs = []
-    for k, (q, m) in probs.items():
-        if m == "nearest":
-            aggs.append(F.expr(f"percentile_disc({q}) WITHIN GROUP (ORDER BY CAST({value} AS DOUBLE))").alias(k))
-        else:
-            aggs.append(F.percentile(F.col(value).cast("double"), q).alias(k))
-    d = df.filter(F.col(value).isNotNull())
-    return d.groupBy(*by).agg(*aggs) if by else d.agg(*aggs).filter(F.col(list(probs)[0]).isNotNull())
+    def before(window) -> Column:
+        return F.coalesce(F.sum("_c").over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0).cast("bigint"))
 
-
-def quantiles(df: DataFrame, value: str, probs: dict[str, tuple[float, str]], by: list[str] | tuple = (),
-              row_bound: int | None = None) -> DataFrame:
-    """Pick the in-memory aggregate only when the caller proves the input is small; else distribute."""
-    if row_bound is not None and row_bound <= IN_MEMORY_QUANTILE_ROWS:
-        return in_memory_quantiles(df, value, probs, by)
-    return exact_quantiles(df, value, probs, by)
+    buckets = counts.groupBy(*by, "_b").agg(F.sum("_c").alias("_c")) \
+        .withColumn("_before", before(Window.partitionBy(*group).orderBy("_b"))) \
+        .withColumn("_n", F.sum("_c").over(Window.partitionBy(*group)))
+    wanted = F.array(*[F.struct(F.lit(name).alias("name"), F.lit(part).alias("part"),
+                                _rank(F.col("_n"), q, method, part).alias("rank"))
+                       for name, (q, method) in probs.items() for part in ("lo", "hi")])
+    here = F.filter(wanted, lambda t: (t["rank"] >= F.col("_before")) & (t["rank"] < F.col("_before") + F.col("_c")))
+    located = buckets.withColumn("_wanted", here).filter(F.size("_wanted") > 0).select(
+        *[F.col(b).alias(f"_l_{b}") for b in by], F.col("_b").alias("_lb"), F.col("_before").alias("_base"), "_n", "_wanted")
+    on = F.col("_b") == F.col("_lb")
+    for b in by:
+        on = on & F.col(b).eqNullSafe(F.col(f"_l_{b}"))
+    # a few buckets for each group: AQE sees their real size before it picks the join
+    near = counts.join(located, on).withColumn(
+        "_from", F.col("_base") + before(Window.partitionBy(*by, "_b").orderBy("_v")))
+    hits = near.select(*by, "_v", "_n", F.explode(F.filter(
+        "_wanted", lambda t: (t["rank"] >= F.col("_from")) & (t["rank"] < F.col("_from") + F.col("_c")))).alias("_t"))
+    parts = [F.max(F.when((F.col("_t.name") == name) & (F.col("_t.part") == part), F.col("_v"))).alias(f"_{part}_{i}")
+             for i, name in enumerate(probs) for part in ("lo", "hi")]
+    found = (hits.groupBy(*by) if by else hits).agg(F.max("_n").alias("_n"), *parts)
+    out = []
+    for i, (name, (q, method)) in enumerate(probs.items()):
+        low, high = F.col(f"_lo_{i}"), F.col(f"_hi_{i}")
+        position = (F.col("_n") - 1) * F.lit(q)
+        # same arithmetic as Spark's percentile: (hi_rank - pos) * lo_value + (pos - lo_rank) * hi_value
+        linear = F.when(F.floor(position) == F.ceil(position), low).otherwise(
+            (F.ceil(position) - position) * low + (position - F.floor(position)) * high)
+        out.append((low if method == "nearest" else linear).alias(name))
+    return found.select(*by, *out)

@@ -81,13 +81,14 @@ def profile_relationship(child: DataFrame, child_col: str, parent: DataFrame, pa
                          name: str) -> DataFrame:
     """child rows, missing child keys, unmatched rows and distinct keys, duplicate parent key rows."""
     parents = parent.groupBy(F.col(parent_col).alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
-    c = child.select(F.col(child_col).alias("_k"))
+    c = child.groupBy(F.col(child_col).alias("_k")).agg(F.count(F.lit(1)).alias("_c"))  # a hot key is one row
     j = c.join(parents.select("_k", F.lit(True).alias("_hit")), "_k", "left")
     miss = is_missing(F.col("_k"))
     unmatched = ~miss & F.col("_hit").isNull()
-    row = j.agg(F.count(F.lit(1)).alias("child_rows"), F.count_if(miss).alias("missing_child_keys"),
-                F.count_if(unmatched).alias("unmatched_child_rows"),
-                F.count_distinct(F.when(unmatched, F.col("_k"))).alias("unmatched_distinct_keys"))
+    rows = lambda cond: F.coalesce(F.sum(F.when(cond, F.col("_c"))), _zero())
+    row = j.agg(rows(F.lit(True)).alias("child_rows"), rows(miss).alias("missing_child_keys"),
+                rows(unmatched).alias("unmatched_child_rows"),
+                F.count_if(unmatched & F.col("_k").isNotNull()).alias("unmatched_distinct_keys"))
     dup = parents.agg(F.coalesce(F.sum(F.col("_n") - 1), _zero()).alias("parent_duplicate_key_rows"))
     return row.crossJoin(dup).select(F.lit(name).alias("relation"), "*")
 
@@ -138,23 +139,25 @@ def profile_money(L: dict[str, DataFrame]) -> DataFrame:
 
 def describe_numeric(df: DataFrame, col: str, by: list[str] | tuple = ()) -> DataFrame:
     """count, min, median, mean, p95, p99, max, q1, q3 (linear interpolation), MAD, Tukey-fence count.
-    Quantiles are exact and distributed (sort + rank lookup), never one task holding a group's values."""
+    Quantiles, deviations and fences are exact and work on one row for each distinct value and its count."""
     by = list(by)
     x = F.col(col).cast("double")
     d = df.filter(x.isNotNull()).select(*by, x.alias("x"))
     g = d.groupBy(*by) if by else d
     basic = g.agg(F.count(F.lit(1)).alias("count"), F.min("x").alias("min"), F.avg("x").alias("mean"),
                   F.max("x").alias("max"))
-    q = exact_quantiles(d, "x", {"median": (0.5, "linear"), "p95": (0.95, "linear"), "p99": (0.99, "linear"),
-                                 "q1": (0.25, "linear"), "q3": (0.75, "linear")}, by)
+    counts = d.groupBy(*by, "x").agg(F.count(F.lit(1)).alias("n_x"))
+    q = exact_quantiles(counts, "x", {"median": (0.5, "linear"), "p95": (0.95, "linear"), "p99": (0.99, "linear"),
+                                 "q1": (0.25, "linear"), "q3": (0.75, "linear")}, by, "n_x")
     stats = basic.join(q, by, "left") if by else basic.join(q, how="left")
-    j = d.join(F.broadcast(stats.select(*by, "median", "q1", "q3")) if not by else stats.select(
-        *by, "median", "q1", "q3"), by, "inner") if by else d.crossJoin(F.broadcast(stats.select("median", "q1", "q3")))
+    center = stats.select(*by, "median", "q1", "q3")
+    j = counts.join(center, by) if by else counts.crossJoin(F.broadcast(center))  # one row without groups
     iqr = F.col("q3") - F.col("q1")
-    dev = j.select(*by, F.abs(F.col("x") - F.col("median")).alias("dev"),
+    dev = j.select(*by, "n_x", F.abs(F.col("x") - F.col("median")).alias("dev"),
                    ((F.col("x") < F.col("q1") - 1.5 * iqr) | (F.col("x") > F.col("q3") + 1.5 * iqr)).alias("out"))
-    mad = exact_quantiles(dev, "dev", {"mad": (0.5, "linear")}, by)
-    flags = (dev.groupBy(*by) if by else dev).agg(F.count_if("out").alias("iqr_flag_count"))
+    mad = exact_quantiles(dev, "dev", {"mad": (0.5, "linear")}, by, "n_x")
+    flags = (dev.groupBy(*by) if by else dev).agg(
+        F.coalesce(F.sum(F.when(F.col("out"), F.col("n_x"))), _zero()).alias("iqr_flag_count"))
     out = stats.join(mad, by, "left").join(flags, by, "left") if by else \
         stats.join(mad, how="left").join(flags, how="left")
     return out.select(*by, "count", "min", "median", "mean", "p95", "p99", "max", "q1", "q3", "mad", "iqr_flag_count")

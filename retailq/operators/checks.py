@@ -78,11 +78,12 @@ def chk_timestamp(df: DataFrame, table: str, column: str, key: str, required: bo
 
 def chk_foreign_key(child: DataFrame, table: str, column: str, parent: DataFrame, parent_column: str,
                     parent_keys: DataFrame | None = None) -> DataFrame:
-    """Child values without a parent row (left anti join against the distinct parent keys)."""
+    """Child rows without a parent row: the child's row counts per key, anti-joined with the distinct parent keys, so
+    that a key which many rows share is one row in the join."""
     keys = (parent_keys.select(F.col(parent_column).alias("_k")) if parent_keys is not None
             else parent.select(F.col(parent_column).alias("_k")).distinct())
-    orphans = child.select(F.col(column).alias("_k")).join(keys, "_k", "left_anti")
-    return orphans.agg(F.count(F.lit(1)).alias("n"), F.min("_k").cast("string").alias("sample_key")).select(
+    orphans = child.groupBy(F.col(column).alias("_k")).agg(F.count(F.lit(1)).alias("c")).join(keys, "_k", "left_anti")
+    return orphans.agg(F.coalesce(F.sum("c"), _zero()).alias("n"), F.min("_k").cast("string").alias("sample_key")).select(
         F.lit("foreign_key").alias("constraint"), F.lit(table).alias("table"), F.lit(column).alias("column"),
         "n", "sample_key")
 

@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.stats import quantiles
+from ..functions.stats import exact_quantiles
 from ..params import RfmRules, ScopeParams
 from .scope import Scope
 
@@ -94,16 +94,15 @@ def frequency_histogram(window: DataFrame) -> DataFrame:
 RFM_METRICS = ("recency_days", "frequency", "monetary_cents")
 
 
-def rfm_distribution(window: DataFrame, row_bound: int | None = None) -> DataFrame:
+def rfm_distribution(window: DataFrame) -> DataFrame:
     """Per metric: min, exact median, nearest-rank p75 (= percentile_disc), max; NULLs when there are no rows.
-    Quantiles are distributed (monetary values are unbounded) unless ``row_bound`` proves the window is small."""
+    Quantiles work on counts per distinct value (most customers share frequency 1)."""
     spark = window.sparkSession
     long = window.select(F.expr(
         "stack(3, 'recency_days', cast(recency_days as bigint), 'frequency', cast(frequency as bigint), "
         "'monetary_cents', cast(monetary_cents as bigint)) as (metric, value)"))
     stats = long.groupBy("metric").agg(F.min("value").alias("min"), F.max("value").alias("max"))
-    q = quantiles(long, "value", {"median": (0.5, "linear"), "p75": (0.75, "nearest")}, by=["metric"],
-                  row_bound=None if row_bound is None else 3 * row_bound)
+    q = exact_quantiles(long, "value", {"median": (0.5, "linear"), "p75": (0.75, "nearest")}, by=["metric"])
     metrics = spark.createDataFrame([(m,) for m in RFM_METRICS], "metric string")
     return F.broadcast(metrics).join(stats, "metric", "left").join(q, "metric", "left").select(
         "metric", "min", "median", F.col("p75").cast("bigint").alias("p75"), "max")
@@ -115,11 +114,10 @@ def customers_beyond_recency(segments: DataFrame) -> DataFrame:
                         .alias("customers_beyond_recency"))
 
 
-def customer_analysis_from_window(window: DataFrame, params: ScopeParams, rules: RfmRules = RfmRules(),
-                                  row_bound: int | None = None) -> dict[str, DataFrame]:
+def customer_analysis_from_window(window: DataFrame, params: ScopeParams, rules: RfmRules = RfmRules()) -> dict[str, DataFrame]:
     segments = rfm_segments(window, rules)
     return {"summary": customer_summary(window, params), "segments": segments,
-            "frequency": frequency_histogram(window), "distribution": rfm_distribution(window, row_bound),
+            "frequency": frequency_histogram(window), "distribution": rfm_distribution(window),
             "beyond_recency": customers_beyond_recency(segments)}
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions.stats import quantiles
+from ..functions.stats import exact_quantiles
 from ..params import ScopeParams
 from .scope import Scope, build_scope, comparable_flag, period_calendar, period_start
 
@@ -129,10 +129,10 @@ def low_volume_products(scope: Scope, k: int = 20) -> DataFrame:
     return _product_totals(scope).orderBy("item_count", "revenue_cents", "product_id").limit(k)
 
 
-def fulfilment_summary(scope: Scope, row_bound: int | None = None) -> DataFrame:
+def fulfilment_summary(scope: Scope) -> DataFrame:
     """Eligible/late orders, late rate, delivery sample, mean and exact median days, reviews, mean score.
 
-    The exact median is distributed (sort + rank lookup) unless ``row_bound`` proves the scope is small."""
+    The exact median works on counts per distinct duration."""
     o = scope.orders
     row = o.agg(F.count("is_late").alias("eligible_orders"),
                 F.count_if(F.col("is_late") == 1).alias("late_orders"),
@@ -140,7 +140,7 @@ def fulfilment_summary(scope: Scope, row_bound: int | None = None) -> DataFrame:
                 (F.avg("delivery_seconds") / 86400).alias("average_delivery_days"),
                 F.count("review_score").alias("reviewed_orders"),
                 F.avg("review_score").alias("average_review_score"))
-    med = quantiles(o, "delivery_seconds", {"_median_s": (0.5, "linear")}, row_bound=row_bound)
+    med = exact_quantiles(o, "delivery_seconds", {"_median_s": (0.5, "linear")})
     return row.join(med, how="left").select(
         "eligible_orders", "late_orders", "delivery_sample_count", "average_delivery_days",
         (F.col("_median_s") / 86400).alias("median_delivery_days"), "reviewed_orders", "average_review_score",

@@ -1,7 +1,8 @@
 """The shared scope: delivered orders in a date range, optional category and customer-state filters.
 
 ``scope_items`` keeps item grain (category attribution); ``scope_orders`` is order grain with the scoped amount.
-Items are folded to order totals before they meet the order rows (aggregate before join). Optional filters are
+Items are folded to order totals before they meet the order rows, so an order with very many items is one row there;
+a persisted scope folds its cached items instead of reading the fact again. Optional filters are
 left out of the plan when empty, so nothing like ``('' = '' OR ...)`` reaches the scan; all values are literals.
 """
 from __future__ import annotations
@@ -21,10 +22,13 @@ class Scope:
     params: ScopeParams
     items: DataFrame
     orders: DataFrame
+    order_rows: DataFrame | None = None  # orders before their totals
 
     def persist(self, level: StorageLevel = StorageLevel.MEMORY_AND_DISK_DESER) -> "Scope":
         """Persist both grains once; every section of a dashboard/report is derived from them."""
-        return Scope(self.params, self.items.persist(level), self.orders.persist(level))
+        items = self.items.persist(level)
+        orders = self.orders if self.order_rows is None else self.order_rows.join(_totals(items), "order_id")
+        return Scope(self.params, items, orders.persist(level), self.order_rows)
 
     def unpersist(self) -> None:
         self.items.unpersist()
@@ -65,15 +69,19 @@ def scoped_products(star: dict[str, DataFrame], params: ScopeParams) -> DataFram
     return prod
 
 
+def _totals(items: DataFrame) -> DataFrame:
+    return items.groupBy("order_id").agg(F.sum("price_cents").alias("scoped_revenue_cents"),
+                                         F.count(F.lit(1)).cast("int").alias("scoped_item_count"))
+
+
 def build_scope(star: dict[str, DataFrame], params: ScopeParams) -> Scope:
     orders = scoped_order_rows(star, params)
-    items = (_month_filter(star["fact_item"], params).join(scoped_products(star, params), "product_id")
+    labelled = _month_filter(star["fact_item"], params).join(scoped_products(star, params), "product_id")
+    items = (labelled
              .join(orders.select("order_id", "state", "customer_unique_id", "purchase_date"), "order_id")
              .select("order_id", "item_id", "product_id", "seller_id", "price_cents", "freight_cents",
                      "category", "category_label", "state", "customer_unique_id", "purchase_date"))
-    totals = items.groupBy("order_id").agg(F.sum("price_cents").alias("scoped_revenue_cents"),
-                                           F.count(F.lit(1)).cast("int").alias("scoped_item_count"))
-    return Scope(params, items, orders.join(totals, "order_id"))
+    return Scope(params, items, orders.join(_totals(labelled), "order_id"), orders)
 
 
 # ---- coverage and calendars -------------------------------------------------------------------------------------

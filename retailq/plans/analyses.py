@@ -28,10 +28,9 @@ def literal_row(df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, df.schema)
 
 
-def materialize(scope: Scope) -> int:
-    """Fill both cached grains with ONE job (orders reads the cached items), before concurrent readers start.
-    Returns the order count: a proven row bound for choosing in-memory exact quantiles."""
-    return scope.orders.count()
+def materialize(scope: Scope) -> None:
+    """Fill both cached grains with ONE job (orders reads the cached items), before concurrent readers start."""
+    scope.orders.count()
 
 
 def _window(scope: Scope, params: ScopeParams) -> Scope:
@@ -45,7 +44,7 @@ def dashboard_sections(star: dict[str, DataFrame], params: ScopeParams, coverage
     ps, pe, label = params.comparison()
     coverage_row = literal_row(coverage_row)
     wide = build_scope(star, params.with_dates(min(ps, params.start), params.end)).persist()
-    bound = materialize(wide)
+    materialize(wide)
     cur, prev = _window(wide, params), _window(wide, params.with_dates(ps, pe))
     current = dash.kpis(cur).withColumn("period", F.lit("current"))
     previous = dash.kpis(prev).withColumn("period", F.lit("previous")) \
@@ -54,7 +53,7 @@ def dashboard_sections(star: dict[str, DataFrame], params: ScopeParams, coverage
         "kpis": current, "previous": previous, "trend": dash.trend(cur, grain, coverage_row),
         "categories": dash.rank_categories(cur), "regions": dash.rank_regions(cur),
         "products": dash.top_products(cur), "low_volume_products": dash.low_volume_products(cur),
-        "fulfilment": dash.fulfilment_summary(cur, row_bound=bound), "fulfilment_groups": dash.fulfilment_groups(cur),
+        "fulfilment": dash.fulfilment_summary(cur), "fulfilment_groups": dash.fulfilment_groups(cur),
         "scores": dash.score_histogram(cur),
     }
     return sections, wide
@@ -70,8 +69,8 @@ def dashboard(star, params, coverage_row, grain: str = "day", workers: int = 8)
 
 def customer_report(star, params: ScopeParams, rules: RfmRules = RfmRules(), workers: int = 8) -> dict[str, list]:
     window = cu.customer_window(build_scope(star, params), cu.first_purchase(star, params)).persist()
-    bound = window.count()
-    sections = cu.customer_analysis_from_window(window, params, rules, row_bound=bound)
+    window.count()
+    sections = cu.customer_analysis_from_window(window, params, rules)
     try:
         return collect_all(sections, workers)
     finally:

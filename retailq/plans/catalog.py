@@ -72,7 +72,7 @@ def _on_scope(fn, params=HISTORY, **kw):
 
 def q_order_detail_items(spark, sf_dir):
     """Order documents flattened to item rows (header fields repeated) for an order-insensitive check."""
-    docs = dash.order_documents(_scope(spark, sf_dir, FILTERED))
+    docs = dash.order_documents(_scope(spark, sf_dir))
     return docs.select("order_id", "revenue_cents", "total_order_revenue_cents", "payment_cents", "review_score",
                        "is_late", "item_id", "product_id", "seller_id", "category", "price_cents", "freight_cents")
 
@@ -181,9 +181,10 @@ from ..operators import customers as cu  # noqa: E402
 
 CUSTOMER_YEAR = ScopeParams(date(1998, 1, 1), date(1998, 12, 31))
 CUSTOMER_YEAR_STATE = ScopeParams(date(1998, 1, 1), date(1998, 12, 31), state="NATION_7")
+HISTORY_STATE = ScopeParams(HISTORY.start, HISTORY.end, state="NATION_7")
 
 
-def _customer(section, params=CUSTOMER_YEAR):
+def _customer(section, params=HISTORY):
     def run(spark, sf_dir):
         st = star(spark, sf_dir)
         return cu.customer_analysis(st, build_scope(st, params), TEST_PROFILE.rfm)[section]
@@ -191,18 +192,18 @@ def _customer(section, params=CUSTOMER_YEAR):
 
 
 def q_first_purchase(spark, sf_dir):
-    return cu.first_purchase(star(spark, sf_dir), CUSTOMER_YEAR)
+    return cu.first_purchase(star(spark, sf_dir), HISTORY)
 
 
 QUERIES.update({
     "first_purchase": q_first_purchase,
     "customer_window": _customer("window"),
-    "customer_summary": _customer("summary"),
+    "customer_summary": _customer("summary", CUSTOMER_YEAR),  # new and returning need a window
     "customer_summary_state": _customer("summary", CUSTOMER_YEAR_STATE),
     "rfm_segments": _customer("segments"),
     "frequency_histogram": _customer("frequency"),
     "rfm_distribution": _customer("distribution"),
-    "rfm_distribution_state": _customer("distribution", CUSTOMER_YEAR_STATE),
+    "rfm_distribution_state": _customer("distribution", HISTORY_STATE),
     "customers_beyond_recency": _customer("beyond_recency"),
 })
 
@@ -213,7 +214,7 @@ from ..sources.testdata import ANOMALY_SCOPE  # noqa: E402
 
 REPORT = ScopeParams(date(1998, 7, 1), date(1998, 7, 31))
 REPORT_WEEK = ScopeParams(date(1998, 7, 6), date(1998, 7, 12))
-DELIVERY = TEST_PROFILE.scope  # 1997-01-01..1998-12-31
+DELIVERY = HISTORY
 
 
 def _headline(params, by=()):
@@ -474,10 +475,10 @@ QUERIES["field_dictionary"] = q_field_dictionary
 def _customers_by_state(section):
     def run(spark, sf_dir):
         st = star(spark, sf_dir)
-        window = cu.customer_window(build_scope(st, CUSTOMER_YEAR), cu.first_purchase(st, CUSTOMER_YEAR),
-                                    by=["state"])
+        params = CUSTOMER_YEAR if section == "summary" else HISTORY
+        window = cu.customer_window(build_scope(st, params), cu.first_purchase(st, params), by=["state"])
         if section == "summary":
-            return cu.customer_summary(window, CUSTOMER_YEAR, by=["state"])
+            return cu.customer_summary(window, params, by=["state"])
         return cu.rfm_segments(window, TEST_PROFILE.rfm, by=["state"])
     return run
 

@@ -16,10 +16,12 @@ from ..operators.warehouse import customer_first
 from ..params import RfmRules
 from ..sources.warehouse_store import write_text
 
-# Identifier-like keys that must never leave the warehouse in a published aggregate.
-DENYLIST = frozenset({"order_id", "customer_id", "customer_unique_id", "seller_id", "review_id", "product_id",
-                      "zip_code_prefix", "geolocation_lat", "geolocation_lng", "review_comment_title",
-                      "review_comment_message"})
+# Keys of persons, orders and free text that must never leave the warehouse in a published aggregate
+# (product ids may: rankings name them), and endings that mark more of the kind.
+DENYLIST = frozenset({"order_id", "customer_id", "customer_unique_id", "seller_id", "review_id", "customer_zip_code_prefix",
+                      "customer_city", "address", "email", "phone", "payment_sequential", "review_text", "review_body",
+                      "geolocation_lat", "geolocation_lng", "review_comment_title", "review_comment_message"})
+DENIED_ENDINGS = ("zip_code_prefix", "_city", "_address", "_email", "_phone")
 SNAPSHOT_SECTIONS = ("kpis", "trend_day", "trend_week", "trend_month", "customers", "segments", "report_headline",
                      "contributions")
 
@@ -29,18 +31,18 @@ class PublishRefused(ValueError):
 
 
 def forbidden_paths(dtype: T.DataType, denylist=DENYLIST, prefix: str = "") -> list[str]:
-    """Every field path whose name is in the denylist, at any depth (structs, arrays, maps)."""
+    """Every field path whose name is in the denylist or has a denied ending, at any depth (structs, arrays, maps)."""
     out = []
     if isinstance(dtype, T.StructType):
         for f in dtype.fields:
             path = f"{prefix}.{f.name}" if prefix else f.name
-            if f.name.lower() in denylist:
+            if f.name.lower() in denylist or f.name.lower().endswith(DENIED_ENDINGS):
                 out.append(path)
             out += forbidden_paths(f.dataType, denylist, path)
     elif isinstance(dtype, T.ArrayType):
         out += forbidden_paths(dtype.elementType, denylist, prefix + "[]")
     elif isinstance(dtype, T.MapType):
-        out += forbidden_paths(dtype.valueType, denylist, prefix + "{}")
+        out += forbidden_paths(dtype.keyType, denylist, prefix + "{}") + forbidden_paths(dtype.valueType, denylist, prefix + "{}")
     return out
 
 

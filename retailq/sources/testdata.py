@@ -35,7 +35,7 @@ TEST_PROFILE = Profile(
     rfm=RfmRules(recent_days=180, repeat_orders=2, amount_cents=40_000_000),
     anomaly=AnomalyRules(floor=3),
 )
-ANOMALY_SCOPE = ScopeParams(date(1997, 11, 1), date(1998, 12, 31), statuses=tuple(STATUS_MAP.values()))
+ANOMALY_SCOPE = ScopeParams(date(1995, 1, 1), date(2001, 12, 31), statuses=tuple(STATUS_MAP.values()))
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 

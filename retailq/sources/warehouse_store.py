@@ -50,15 +50,18 @@ def read_text(spark: SparkSession, path: str) -> str | None:
 
 
 def swap_pointer(spark: SparkSession, root: str, version_dir: str) -> None:
-    """Write the pointer to a temporary file, then rename it over CURRENT."""
+    """Write the pointer to a temporary file, then rename it over CURRENT in one step: a reader sees the old version or
+    the new one, and a crash in between leaves the old one."""
     tmp = f"{root}/_{POINTER}.tmp"
     write_text(spark, tmp, version_dir)
-    fs, dst = _fs(spark, f"{root}/{POINTER}")
-    _, src = _fs(spark, tmp)
-    if fs.exists(dst):
-        fs.delete(dst, False)
-    if not fs.rename(src, dst):
-        raise OSError("pointer swap failed")
+    sc = spark.sparkContext
+    hadoop = sc._jvm.org.apache.hadoop.fs
+    source, target = hadoop.Path(tmp), hadoop.Path(f"{root}/{POINTER}")
+    rename = getattr(hadoop, "Options$Rename")
+    options = sc._gateway.new_array(rename, 1)
+    options[0] = rename.OVERWRITE
+    files = hadoop.FileContext.getFileContext(_fs(spark, tmp)[0].getUri(), sc._jsc.hadoopConfiguration())
+    files.rename(files.makeQualified(source), files.makeQualified(target), options)
 
 
 def current_version(spark: SparkSession, root: str) -> str:

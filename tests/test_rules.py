@@ -84,13 +84,64 @@ def test_denylist_any_depth(spark):
         check_publishable({"kpis": ok})
 
 
+def _builtin(df, probs, by=()):
+    from pyspark.sql import functions as F
+    aggs = [F.expr(f"percentile_disc({q}) WITHIN GROUP (ORDER BY v)") if m == "nearest" else F.percentile("v", q)
+            for q, m in probs.values()]
+    return (df.groupBy(*by) if by else df).agg(*aggs)
+
+
 def test_distributed_quantiles_match_builtin(spark):
-    from retailq.functions.stats import exact_quantiles, in_memory_quantiles
+    from retailq.functions.stats import exact_quantiles
     rows = [(g, v) for g in ("a", "b", None) for v in range(0, 97, 3 if g == "a" else 5)] + [("c", 7)]
     df = spark.createDataFrame(rows, "g string, v long").repartition(4)
     probs = {"med": (0.5, "linear"), "p75": (0.75, "nearest"), "p99": (0.99, "linear")}
     a = sorted(map(tuple, exact_quantiles(df, "v", probs, ["g"]).collect()), key=repr)
-    b = sorted(map(tuple, in_memory_quantiles(df, "v", probs, ["g"]).collect()), key=repr)
+    b = sorted(map(tuple, _builtin(df.withColumn("v", df.v.cast("double")), probs, ["g"]).collect()), key=repr)
     assert a == b
-    assert tuple(exact_quantiles(df, "v", probs).collect()[0]) == tuple(in_memory_quantiles(df, "v", probs)
-                                                                       .collect()[0])
+    assert tuple(exact_quantiles(df, "v", probs).collect()[0]) == tuple(
+        _builtin(df.withColumn("v", df.v.cast("double")), probs).collect()[0])
+
+
+def test_quantiles_of_signed_extreme_and_hot_values(spark):
+    from retailq.functions.stats import exact_quantiles
+    values = [0.0] * 9800 + [-1e300, -5.5, -1e-300, 5e-324, 1e-9, 0.1 + 0.2, 0.3, 7.0, 1e15, 1e15 + 0.125, 1.7e308] * 18 + [None]
+    df = spark.createDataFrame([(v,) for v in values], "v double").repartition(4)
+    probs = {f"p{i}": (i / 1000, m) for i in (0, 1, 4, 7, 9, 12, 500, 983, 985, 988, 990, 994, 998, 1000)
+             for m in ("linear",)} | {"d985": (0.985, "nearest"), "d1": (1.0, "nearest")}
+    got = exact_quantiles(df, "v", probs)
+    assert tuple(got.collect()[0]) == tuple(_builtin(df, probs).collect()[0])
+    weighted = df.groupBy("v").count()
+    assert tuple(exact_quantiles(weighted, "v", probs, weight="count").collect()[0]) == tuple(got.collect()[0])
+    assert exact_quantiles(df.where("v is null"), "v", {"m": (0.5, "linear")}, by=["v"]).count() == 0
+
+
+def test_forbidden_names_at_depth_two(spark):
+    from pyspark.sql import types as T
+
+    from retailq.plans.publish import DENYLIST, forbidden_paths
+    for name in sorted(DENYLIST | {"zip_code_prefix", "seller_city", "Email", "home_address", "work_phone"}):
+        inner = T.StructType([T.StructField(name, T.StringType())])
+        for nested in (T.ArrayType(inner), T.MapType(T.StringType(), inner), T.MapType(inner, T.StringType())):
+            assert forbidden_paths(T.StructType([T.StructField("xs", nested)])), name
+    assert not forbidden_paths(T.StructType([T.StructField("product_id", T.StringType())]))
+
+
+def test_references_count_every_row_of_a_hot_key(spark):
+    from retailq.operators.audit import profile_relationship
+    from retailq.operators.checks import chk_foreign_key
+    child = spark.createDataFrame([("gone",)] * 300 + [("here",)] * 20 + [("lost",), (None,), ("",)], "k string")
+    parent = spark.createDataFrame([("here",), ("here",)], "k string")
+    row = chk_foreign_key(child, "child", "k", parent, "k").collect()[0]
+    assert (row.n, row.sample_key) == (303, "")
+    row = profile_relationship(child, "k", parent, "k", "r").collect()[0]
+    assert (row.child_rows, row.unmatched_distinct_keys, row.parent_duplicate_key_rows) == (323, 2, 1)
+    assert row.missing_child_keys + row.unmatched_child_rows == 303
+
+
+def test_pointer_swap_replaces_in_one_step(spark, tmp_path):
+    from retailq.sources.warehouse_store import current_version, swap_pointer
+    root = str(tmp_path)
+    for version in ("v1", "v2", "v3"):
+        swap_pointer(spark, root, version)
+        assert current_version(spark, root) == version
