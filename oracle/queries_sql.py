@@ -1044,3 +1044,20 @@ SELECT order_id, purchase_date, state, scoped_item_count AS item_count, scoped_r
 FROM scope_orders
 WHERE purchase_date < DATE '1998-07-15' OR (purchase_date = DATE '1998-07-15' AND order_id > 30000)
 ORDER BY purchase_date DESC, order_id LIMIT 20"""
+
+
+from retailq.plans.catalog import ROUNDTRIP_COLUMNS  # noqa: E402
+
+
+def _digest_sql(name, columns):
+    source = f"l_{name}"
+    if name == "reviews":
+        source = """(SELECT * REPLACE ('line "' || review_id || '", one' || chr(10) || order_id || chr(92)
+                     AS review_comment_message) FROM l_reviews)"""
+    return f"""SELECT '{name}' AS "table", CAST(count(*) AS BIGINT) AS row_count, CAST(0 AS BIGINT) AS wrong_width_rows,
+       CAST(sum(('0x' || substr(md5(concat_ws('|', {", ".join(columns)})), 1, 8))::BIGINT) AS BIGINT) AS content_sum
+FROM {source}"""
+
+
+SQL["landing_roundtrip"] = base("", LANDING) + " UNION ALL ".join(
+    _digest_sql(name, columns) for name, columns in ROUNDTRIP_COLUMNS.items())

@@ -5,6 +5,7 @@ Parameters come from ``TEST_PROFILE`` (whole history unless the feature itself i
 """
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import date
 
@@ -301,6 +302,8 @@ QUERIES.update({
 # ---- audit ------------------------------------------------------------------------------------------------------
 from ..operators import audit as au  # noqa: E402
 from ..operators import checks as ck  # noqa: E402
+from ..session import ensure_checkpoint_dir  # noqa: E402
+from ..sources.landing import AUDIT_FILES, CORRUPT, read_landing, write_landing  # noqa: E402
 from ..sources.testdata import landing_model  # noqa: E402
 
 HORIZON = "2001-01-01 00:00:00"  # generated ship dates run to 2001-11
@@ -495,3 +498,40 @@ def q_verify_sections_from_raw(spark, sf_dir):
 
 
 QUERIES["verify_sections_from_raw"] = q_verify_sections_from_raw
+
+
+# Columns compared after the round trip: all but those whose text is a floating-point number.
+ROUNDTRIP_COLUMNS = {
+    "orders": ("order_id", "customer_id", "order_status", "order_purchase_timestamp", "order_delivered_carrier_date",
+               "order_delivered_customer_date", "order_estimated_delivery_date"),
+    "items": ("order_id", "order_item_id", "product_id", "seller_id", "price", "freight_value"),
+    "payments": ("order_id", "payment_sequential", "payment_type", "payment_installments", "payment_value"),
+    "reviews": ("review_id", "order_id", "review_score", "review_comment_title", "review_comment_message",
+                "review_creation_date", "review_answer_timestamp"),
+    "customers": ("customer_id", "customer_unique_id", "customer_zip_code_prefix", "customer_city", "customer_state"),
+    "sellers": ("seller_id", "seller_zip_code_prefix", "seller_city", "seller_state"),
+    "products": ("product_id", "product_category_name", "product_name_lenght", "product_length_cm"),
+    "translation": ("product_category_name", "product_category_name_english"),
+    "geolocation": ("geolocation_zip_code_prefix", "geolocation_city", "geolocation_state"),
+}
+
+
+def q_landing_roundtrip(spark, sf_dir):
+    """Every landing table written as CSV, with review messages that hold line breaks, quotes, commas and a final
+    backslash, read back and digested: rows, rows of a wrong width, and a sum of hashes that ignores the order."""
+    landing = landing_model(spark, sf_dir)
+    landing["reviews"] = landing["reviews"].withColumn("review_comment_message", F.concat(
+        F.lit('line "'), F.col("review_id"), F.lit('", one\n'), F.col("order_id"), F.lit("\\")))
+    folder = f"{ensure_checkpoint_dir(spark)}/landing-{uuid.uuid4().hex}"
+    write_landing(landing, folder, AUDIT_FILES)
+    back = read_landing(spark, folder, AUDIT_FILES)
+    parts = []
+    for name, columns in ROUNDTRIP_COLUMNS.items():
+        digest = F.conv(F.substring(F.md5(F.concat_ws("|", *columns)), 1, 8), 16, 10).cast("bigint")
+        parts.append(back[name].select(*columns, CORRUPT).agg(
+            F.count(F.lit(1)).alias("row_count"), F.count_if(F.col(CORRUPT).isNotNull()).alias("wrong_width_rows"),
+            F.sum(digest).alias("content_sum")).select(F.lit(name).alias("table"), "*"))
+    return _union(parts)
+
+
+QUERIES["landing_roundtrip"] = q_landing_roundtrip

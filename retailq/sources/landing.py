@@ -91,6 +91,15 @@ def read_landing(spark: SparkSession, directory: str, files: dict[str, str] = FI
     return out
 
 
+def write_landing(landing: dict[str, DataFrame], directory: str, files: dict[str, str] = FILES) -> None:
+    """The landing tables as CSV folders that ``read_landing`` reads back: every value quoted, quotes doubled, white
+    space kept. Each table is written as many files, since a file of multi-line records is not split."""
+    for name, filename in files.items():
+        landing[name].write.option("header", True).option("quoteAll", True).option("escape", '"') \
+            .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False) \
+            .csv(f"{directory.rstrip('/')}/{filename}")
+
+
 def strip_corrupt(landing: dict[str, DataFrame]) -> dict[str, DataFrame]:
     return {k: (v.drop(CORRUPT) if CORRUPT in v.columns else v) for k, v in landing.items()}
 
