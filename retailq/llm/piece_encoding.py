@@ -32,7 +32,7 @@ LONG_WORD = 200  # characters from which a word is relaxed with a queue of its o
 
 
 class PieceModel:
-    def __init__(self, path: str, max_words: int = 150_000):
+    def __init__(self, path: str, max_words: int = 250_000):
         from sentencepiece import sentencepiece_model_pb2 as proto
         model = proto.ModelProto()
         with open(path, "rb") as f:
@@ -316,7 +316,7 @@ def encode_documents(docs: DataFrame, model_path: str) -> DataFrame:
     """
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = open_model(model_path)
-        for batch in byte_slices(batches, "text", 2 << 20):
+        for batch in byte_slices(batches, "text", 4 << 20):
             flat, counts = model.encode(batch.column("text"))
             ends = np.cumsum(counts)
             data = memoryview(np.ascontiguousarray(flat, "<u4")).cast("B")
