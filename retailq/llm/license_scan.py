@@ -1,11 +1,13 @@
 """License scan: MinHash bands over overlapping text windows find templates, shingle containment verifies them.
 
 DataFrame functions only. Shingles are runs of three words. A template of n words is sought in windows of n + n/4 words,
-n/4 words apart, so any copy lies whole in some window, with a Jaccard similarity of about 0.8 to the template. With 10
-bands of 2 rows such a window meets the template with probability 1 - (1 - 0.8^2)^10 > 0.9999; a copy in which one shingle
-in five differs still with more than 0.98.
-A window shares a band only if the band's two smallest template shingles are in it. So only windows around an occurrence
-of the first one are hashed; no window that could collide is left out.
+n/4 words (one at least) apart, so any copy lies whole in some window. A window that holds four fifths of the template's
+shingles has a Jaccard similarity to it of 0.5 to 0.75, by the template's length. Each template gets as many bands of one
+row as it takes for such a window to share none of them with a probability below 1e-9, 26 or so. A template with no more
+shingles than that has a band for each of its shingles instead, in whose order this shingle comes first: any window that
+holds it collides, so nothing is missed.
+A window shares a band only if the band's smallest template shingle is in it. So only windows around an occurrence of that
+one are hashed; no window that could collide is left out.
 """
 from __future__ import annotations
 
@@ -14,7 +16,9 @@ from pyspark.sql import functions as F
 
 from .words import with_words, word_runs
 
-SHINGLE, BANDS, ROWS, CONTAINMENT = 3, 10, 2, 0.8
+SHINGLE, CONTAINMENT = 3, 0.8
+# Highest probability that a window at the containment bound shares no band.
+MISS = 1e-9
 
 # Common license notices.
 TEMPLATES = {
@@ -51,36 +55,40 @@ def _shingles(words, begin, end):
 
 
 def _anchors(known: DataFrame) -> DataFrame:
-    """One row for each template and band: its shingles, the band's two smallest hashes, the first one's shingle."""
+    """One row for each template and band: its shingles, the band's smallest hash (NULL: none is compared) and its shingle."""
     words = with_words(known.select("license_id", "text"))
     sets = words.select("license_id", F.size("words").alias("n"), F.array_distinct(
         _shingles(F.col("words"), F.lit(0), F.size("words") - (SHINGLE - 1))).alias("template")).where(F.size("template") > 0)
-    bands = sets.select("*", F.explode(F.sequence(F.lit(0), F.lit(BANDS - 1))).alias("band"))
-    first = F.array_min(F.transform("template", lambda x: F.struct(F.xxhash64(x, F.col("band") * ROWS).alias("hash"), x.alias("shingle"))))
     step = F.greatest(F.lit(1), F.floor(F.col("n") / 4).cast("int"))
-    return bands.select("license_id", "template", "band", step.alias("step"), (F.col("n") + step).alias("span"),
-                        first["hash"].alias("least_first"), first["shingle"].alias("token"),
-                        F.array_min(F.transform("template", lambda x: F.xxhash64(x, F.col("band") * ROWS + 1))).alias("least_second"))
+    sets = sets.select("license_id", "template", F.size("template").alias("m"), step.alias("step"), (F.col("n") + step).alias("span"))
+    # The fewest shared shingles that pass (a hair below, against rounding), in a window whose other shingles are all foreign.
+    shared = F.ceil(F.col("m") * CONTAINMENT - 1e-6)
+    similarity = shared / (F.col("m") + F.col("span") - (SHINGLE - 1) - shared)
+    sets = sets.withColumn("count", F.ceil(F.log(F.lit(MISS)) / F.log(1 - similarity)).cast("int"))
+    short = F.col("m") <= F.col("count")
+    bands = sets.select("*", F.explode(F.sequence(F.lit(0), F.least("m", "count") - 1)).alias("band"))
+    first = F.array_min(F.transform("template", lambda x: F.struct(F.xxhash64(x, F.col("band")).alias("hash"), x.alias("shingle"))))
+    return bands.select("license_id", "template", "band", "step", "span", F.when(~short, first["hash"]).alias("least"),
+                        F.when(short, F.get("template", F.col("band"))).otherwise(first["shingle"]).alias("token"))
 
 
 def matching_windows(docs: DataFrame, known: DataFrame) -> DataFrame:
     """Verified windows: doc_id, text_hash, license_id, first_word (from 0), containment. One row for each window."""
     texts = with_words(docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text"))
-    # BANDS rows for each template that the caller names: a fixed, small table.
+    # Some 30 rows at most for each template that the caller names: a fixed, small table.
     met = word_runs(texts, SHINGLE).join(F.broadcast(_anchors(known)), "token")
-    # All windows over the occurrence lie between these words; only they go on.
+    # All windows over the occurrence lie between these words; only their shingles go on.
     low, high = F.greatest(F.lit(0), F.col("pos") + SHINGLE - F.col("span")), F.least(F.col("pos") + F.col("span"), F.size("words"))
-    met = met.select("doc_id", "text_hash", "license_id", "template", "band", "step", "span", "least_first", "least_second", "pos",
-                     low.alias("low"), F.slice("words", low + 1, high - low).alias("near"))
+    met = met.select("doc_id", "text_hash", "license_id", "template", "band", "step", "span", "least", "pos",
+                     low.alias("low"), _shingles(F.col("words"), low, high - (SHINGLE - 1)).alias("near"))
     first = F.ceil(F.col("low") / F.col("step")).cast("int")
     last = F.floor(F.col("pos") / F.col("step")).cast("int")
     starts = F.when(first <= last, F.transform(F.sequence(first, last), lambda k: k * F.col("step")))
     windows = met.select("*", F.explode(starts).alias("first_word"))
-    begin = F.col("first_word") - F.col("low")
-    end = F.least(begin + F.col("span"), F.size("near")) - (SHINGLE - 1)
-    hashed = windows.select("*", _shingles(F.col("near"), begin, end).alias("shingles"))
-    collides = (F.array_min(F.transform("shingles", lambda x: F.xxhash64(x, F.col("band") * ROWS))) == F.col("least_first")) & \
-        (F.array_min(F.transform("shingles", lambda x: F.xxhash64(x, F.col("band") * ROWS + 1))) == F.col("least_second"))
+    held = F.slice("near", F.col("first_word") - F.col("low") + 1, F.col("span") - (SHINGLE - 1))
+    hashed = windows.select("*", held.alias("shingles"))
+    collides = F.col("least").isNull() | \
+        (F.array_min(F.transform("shingles", lambda x: F.xxhash64(x, F.col("band")))) == F.col("least"))
     share = F.size(F.array_intersect("template", "shingles")) / F.size("template")
     verified = hashed.where(collides).select("doc_id", "text_hash", "license_id", "first_word", share.alias("containment"))
     return verified.where(F.col("containment") >= CONTAINMENT).distinct()

@@ -151,6 +151,36 @@ def test_license_scan(spark, docs, empty):
     assert len(found) == 1 and found[0].license_id == "MIT" and 0.8 <= found[0].containment < 1
 
 
+def test_license_scan_misses_nothing(spark):
+    """Exact and edited copies of every template at begin, middle and end, against all windows by brute force."""
+    rng = np.random.default_rng(7)
+    parted = lambda text: [w for w in re.split(r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", text.lower()) if w]
+    shingles = lambda words: {tuple(words[i:i + 3]) for i in range(len(words) - 2)}
+    texts, expected = {}, {}
+    for name, template in license_scan.TEMPLATES.items():
+        words, known = parted(template), shingles(parted(template))
+        for trial in range(120):
+            copy = list(words)
+            if trial % 2 and len(known) >= 5:  # as many edits as the bound allows: 3 shingles for an inner word, 1 at an end
+                spare = len(known) // 5
+                for at in [0] * (spare % 3 > 0) + [-1] * (spare % 3 > 1) + [4 + 4 * k for k in range(spare // 3)]:
+                    copy[at] = f"edit{trial}"
+            before, after = [(0, 40), (30 + trial % 7, 40), (30 + trial % 7, 0)][trial % 3]
+            filler = lambda n: [f"f{x}" for x in rng.integers(0, 10**6, n)]
+            whole = filler(before) + copy + filler(after)
+            step = max(1, len(words) // 4)
+            best = max((len(known & shingles(whole[k:k + len(words) + step])) / len(known), -k) for k in range(0, len(whole), step))
+            if best[0] >= 0.8:
+                expected[len(texts), name] = (best[0], -best[1])
+            texts[len(texts)] = " ".join(whole)
+    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(4)
+    got = {(r.doc_id, r.license_id): (r.containment, r.first_word) for r in license_scan.scan(frame, license_scan.templates(spark)).collect()}
+    assert len(expected) > 1200 and sum(0.8 <= c < 1 for c, _ in expected.values()) > 300
+    assert {k: v for k, v in expected.items() if k not in got} == {}
+    of_own = {k: v for k, v in got.items() if k in expected}
+    assert of_own == expected
+
+
 def test_vector_search(spark):
     rng = np.random.default_rng(4)
     data = rng.normal(size=(900, 8)).astype(np.float32)
