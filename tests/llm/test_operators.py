@@ -261,6 +261,33 @@ def test_toxicity(spark, docs, empty):
     assert toxicity.score_toxicity(empty, toxicity.fit(empty, known.limit(0), F.lit(True)), ["doc_id"]).count() == 0
 
 
+def test_toxicity_of_long_texts(spark):
+    """Toxic passages that lie late in the texts are learnt, and whole texts of several 100,000 characters judged alike."""
+    rng = np.random.default_rng(8)
+    parts = [c + v for c in "bklmst" for v in "aeo"]
+    plain = [a + b + c for a in parts for b in parts for c in parts]
+    odd = ["zwurgle", "krampftz", "yxylott"]
+
+    def text(size, toxic):
+        words = rng.choice(plain, size).tolist()
+        for at in rng.choice(np.arange(size - 60, size), 12, replace=False) if toxic else ():
+            words[at] = str(rng.choice(odd))
+        return " ".join(words)
+
+    rows = [(i, text(int(rng.choice([1400, 1800, 6000])), i % 4 == 0)) for i in range(240)]  # 9,800 characters at least
+    assert min(len(t) for _, t in rows) > 9000
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    known = spark.createDataFrame([(i, 1, int(i % 4 == 0)) for i, _ in rows], "doc_id long, quality int, toxic int")
+    model = toxicity.fit(frame, known, F.col("doc_id") % 5 != 0)
+    long = [(1000 + i, text(60_000, i % 2 == 0)) for i in range(8)]
+    assert min(len(t) for _, t in long) > 300_000
+    scored = toxicity.score_toxicity(frame.unionByName(spark.createDataFrame(long, frame.schema)), model, ["doc_id"])
+    got = {r.doc_id: r.predicted for r in scored.collect()}
+    held = [i for i in range(240) if i % 5 == 0]
+    assert sum(got[i] == int(i % 4 == 0) for i in held) >= 0.95 * len(held)
+    assert [got[1000 + i] for i in range(8)] == [1, 0] * 4
+
+
 def test_pipeline_stages(spark, tmp_path, docs):
     import corpus_pipeline
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "toxicity", "near_dedup", "decontamination", "piece_encoding"]
