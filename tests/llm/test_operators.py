@@ -298,3 +298,13 @@ def test_pipeline_stages(spark, tmp_path, docs):
     left = {r.doc_id for r in corpus_pipeline.run(spark, folder).collect()}
     # Without letters 1, 2, 3, 15 go; copies 6, 7, 12 (the same words over and over) and 13; 14 is mostly benchmark.
     assert left == {4, 5, 8, 9, 10, 11, None, 16}
+
+
+def test_pipeline_drops_near_copies_from_four_fifths_on(spark):
+    import corpus_pipeline
+    words = WORDS[:104]  # 100 shingles; two words changed leave 90 of 110
+    edited = [f"e{i}" if i in (30, 60) else w for i, w in enumerate(words)]
+    further = [f"e{i}" if i in (20, 40, 60) else w for i, w in enumerate(WORDS[200:304])]  # 85 of 115
+    rows = enumerate(map(" ".join, (words, edited, WORDS[200:304], further)))
+    frame = spark.createDataFrame(list(rows), "doc_id long, text string")
+    assert {r.doc_id for r in corpus_pipeline.one_of_each_group(spark, frame, "").collect()} == {0, 2, 3}
