@@ -329,17 +329,25 @@ def _headline_cte(p, by=()):
     vol = f"(CAST({n1} AS HUGEINT) - {n0}) * (CAST({r1} AS HUGEINT) * {n0} + CAST({r0} AS HUGEINT) * {n1})"
     val = f"(CAST({r1} AS HUGEINT) * {n0} - CAST({r0} AS HUGEINT) * {n1}) * (CAST({n1} AS HUGEINT) + {n0})"
     week = "TRUE" if p.start.weekday() == 0 and p.days == 7 else "FALSE"
+    measures = ", ".join(f"""CAST(count(*) FILTER (WHERE period = '{period}') AS BIGINT) AS {short}_orders,
+         CAST(coalesce(sum(scoped_revenue_cents) FILTER (WHERE period = '{period}'), 0) AS BIGINT) AS {short}_revenue_cents,
+         CAST(coalesce(sum(scoped_item_count) FILTER (WHERE period = '{period}'), 0) AS BIGINT) AS {short}_items,
+         CAST(count(DISTINCT customer_unique_id) FILTER (WHERE period = '{period}') AS BIGINT) AS {short}_customers"""
+                         for period, short in (("current", "current"), ("previous", "prev")))
     return f"""
 hagg AS (
-  SELECT {byc}CAST(count(*) FILTER (WHERE period = 'current') AS BIGINT) AS current_orders,
-         CAST(coalesce(sum(scoped_revenue_cents) FILTER (WHERE period = 'current'), 0) AS BIGINT) AS current_revenue_cents,
-         CAST(count(*) FILTER (WHERE period = 'previous') AS BIGINT) AS prev_orders,
-         CAST(coalesce(sum(scoped_revenue_cents) FILTER (WHERE period = 'previous'), 0) AS BIGINT) AS prev_revenue_cents
+  SELECT {byc}{measures}
   FROM tagged_orders WHERE period <> 'history'{grp}),
 headline AS (
-  SELECT {byc}current_orders, current_revenue_cents,
+  SELECT {byc}current_orders, current_revenue_cents, current_items, current_customers,
+         CASE WHEN current_orders > 0 THEN CAST(current_revenue_cents AS DOUBLE) / current_orders END
+           AS current_average_order_value_cents,
          CASE WHEN comparable THEN prev_orders END AS previous_orders,
          CASE WHEN comparable THEN prev_revenue_cents END AS previous_revenue_cents,
+         CASE WHEN comparable THEN prev_items END AS previous_items,
+         CASE WHEN comparable THEN prev_customers END AS previous_customers,
+         CASE WHEN comparable AND prev_orders > 0 THEN CAST(prev_revenue_cents AS DOUBLE) / prev_orders END
+           AS previous_average_order_value_cents,
          CASE WHEN comparable THEN current_revenue_cents - prev_revenue_cents END AS delta_cents,
          CASE WHEN comparable AND prev_revenue_cents <> 0
               THEN CAST(current_revenue_cents - prev_revenue_cents AS DOUBLE) / prev_revenue_cents END
@@ -467,9 +475,9 @@ def _strata_cte(dim, name):
   FROM {name}_stats s JOIN {name}_pos p ON p.name = s.name)"""
 
 
-def _evidence_sql():
-    return base(*_tagged(REPORT), _headline_cte(REPORT), _contrib_cte("category", "cc"), _contrib_cte("state", "cs"),
-                scope(DELIVERY, "d_").replace("scope_items", "d_scope_items").replace(
+def _evidence_sql(report=REPORT, delivery=DELIVERY):
+    return base(*_tagged(report), _headline_cte(report), _contrib_cte("category", "cc"), _contrib_cte("state", "cs"),
+                scope(delivery, "d_").replace("scope_items", "d_scope_items").replace(
                     "d_d_scope_items", "d_scope_items"),
                 _PRIMARY.replace("FROM scope_items", "FROM d_scope_items").replace("FROM scope_orders",
                                                                                      "FROM d_scope_orders"),
@@ -800,21 +808,84 @@ FROM (SELECT CAST(coalesce(sum({CENTS.format(c='price')}), 0) AS BIGINT) AS a FR
 })
 
 
+# ---- every bucket against its comparison window -----------------------------------------------------------------
+from retailq.plans.catalog import BUCKETS  # noqa: E402
+
+
+def _buckets_cte(p, grain):
+    """Windows of every bucket, found by comparing dates with ranges (the Spark plan joins a calendar of days)."""
+    first = {"day": p.start, "week": p.start - _td(days=p.start.weekday()), "month": p.start.replace(day=1)}[grain]
+    step = {"day": "1 DAY", "week": "7 DAY", "month": "1 MONTH"}[grain]
+    wide = p.with_dates(p.start - _td(days=(p.end - p.start).days + 32), p.end)
+    return [scope(wide), COV, f"""
+b0 AS (SELECT CAST(g AS DATE) AS period FROM generate_series(CAST({lit_date(first)} AS TIMESTAMP), CAST({lit_date(p.end)} AS TIMESTAMP),
+       INTERVAL {step}) AS t(g)),
+b1 AS (SELECT period, {_period_end_sql('period', grain)} AS period_end, greatest(period, {lit_date(p.start)}) AS "start",
+              least({_period_end_sql('period', grain)}, {lit_date(p.end)}) AS "end" FROM b0),
+b2 AS (SELECT *, "start" = date_trunc('month', "start") AND "end" = last_day("start") AS full_month FROM b1),
+b AS (SELECT b2.*, CAST(CASE WHEN full_month THEN "start" - INTERVAL 1 MONTH ELSE "start" - to_days(CAST(date_diff('day', "start", "end") + 1 AS INTEGER)) END AS DATE)
+               AS prev_start, CAST("start" - INTERVAL 1 DAY AS DATE) AS prev_end,
+             coalesce(cov_start IS NOT NULL AND period >= {lit_date(p.start)} AND period_end <= {lit_date(p.end)}
+                      AND period >= cov_start AND period_end <= cov_end, FALSE) AS complete, cov_start, cov_end
+      FROM b2 CROSS JOIN coverage),
+bw AS (SELECT *, coalesce(cov_start <= prev_start AND "end" <= cov_end, FALSE) AS comparable FROM b)"""]
+
+
+def _comparison_by_bucket_sql(p, grain):
+    def measures(short, a, z):
+        inside = f'o.purchase_date BETWEEN bw.{a} AND bw.{z}'
+        return f"""(SELECT {{{{'n': count(*), 'r': coalesce(sum(scoped_revenue_cents), 0), 'i': coalesce(sum(scoped_item_count), 0),
+               'c': count(DISTINCT customer_unique_id)}}}} FROM scope_orders o WHERE {inside}) AS {short}""".replace("{{", "{").replace("}}", "}")
+    n1, r1, n0, r0 = "cur.n", "cur.r", "prv.n", "prv.r"
+    dec = lambda num: (f"CASE WHEN comparable AND {n1} > 0 AND {n0} > 0 THEN CAST({num} AS DOUBLE) / "
+                       f"CAST(2 * CAST({n1} AS HUGEINT) * {n0} AS DOUBLE) END")
+    vol = f"(CAST({n1} AS HUGEINT) - {n0}) * (CAST({r1} AS HUGEINT) * {n0} + CAST({r0} AS HUGEINT) * {n1})"
+    val = f"(CAST({r1} AS HUGEINT) * {n0} - CAST({r0} AS HUGEINT) * {n1}) * (CAST({n1} AS HUGEINT) + {n0})"
+    days = "date_diff('day', \"start\", \"end\") + 1"
+    return base(*_buckets_cte(p, grain), f"""
+m AS (SELECT bw.*, {measures('cur', '"start"', '"end"')}, {measures('prv', 'prev_start', 'prev_end')} FROM bw)""") + f"""
+SELECT period, "start", "end", prev_start, prev_end, complete,
+       CAST(cur.n AS BIGINT) AS current_orders, CAST(cur.r AS BIGINT) AS current_revenue_cents, CAST(cur.i AS BIGINT) AS current_items,
+       CAST(cur.c AS BIGINT) AS current_customers, CASE WHEN cur.n > 0 THEN CAST(cur.r AS DOUBLE) / cur.n END AS current_average_order_value_cents,
+       CASE WHEN comparable THEN CAST(prv.n AS BIGINT) END AS previous_orders, CASE WHEN comparable THEN CAST(prv.r AS BIGINT) END AS previous_revenue_cents,
+       CASE WHEN comparable THEN CAST(prv.i AS BIGINT) END AS previous_items, CASE WHEN comparable THEN CAST(prv.c AS BIGINT) END AS previous_customers,
+       CASE WHEN comparable AND prv.n > 0 THEN CAST(prv.r AS DOUBLE) / prv.n END AS previous_average_order_value_cents,
+       CASE WHEN comparable THEN CAST(cur.r - prv.r AS BIGINT) END AS delta_cents,
+       CASE WHEN comparable AND prv.r <> 0 THEN CAST(cur.r - prv.r AS DOUBLE) / prv.r END AS revenue_change_rate,
+       cur.r / ({days}) AS daily_revenue_cents,
+       CASE WHEN comparable THEN prv.r / (date_diff('day', prev_start, prev_end) + 1) END AS previous_daily_revenue_cents,
+       {dec(vol)} AS order_effect_cents, {dec(val)} AS aov_effect_cents, comparable,
+       isodow("start") = 1 AND {days} = 7 AS is_calendar_week,
+       CASE WHEN full_month THEN 'previous_calendar_month' ELSE 'previous_equal_period' END AS comparison_label
+FROM m"""
+
+
+def _contributions_by_bucket_sql(p, grain, dim):
+    src = ("SELECT category AS name, price_cents AS money, purchase_date FROM scope_items" if dim == "category"
+           else "SELECT state AS name, scoped_revenue_cents AS money, purchase_date FROM scope_orders")
+    return base(*_buckets_cte(p, grain), f"""
+src AS ({src}),
+met AS (SELECT period, name, CAST(coalesce(sum(money) FILTER (WHERE purchase_date >= "start"), 0) AS BIGINT) AS current_cents,
+               CAST(coalesce(sum(money) FILTER (WHERE purchase_date < "start"), 0) AS BIGINT) AS previous_cents
+        FROM bw JOIN src ON purchase_date BETWEEN prev_start AND "end" WHERE comparable GROUP BY period, name)""") + f"""
+SELECT period, '{dim}' AS dimension, name, current_cents, previous_cents, current_cents - previous_cents AS delta_cents,
+       CAST(row_number() OVER (PARTITION BY period ORDER BY abs(current_cents - previous_cents) DESC, name) - 1 AS INTEGER) AS position
+FROM met"""
+
+
+SQL.update({
+    **{f"comparison_by_bucket_{g}": _comparison_by_bucket_sql(HISTORY, g) for g in ("day", "week", "month")},
+    "comparison_by_bucket_cut": _comparison_by_bucket_sql(BUCKETS, "month"),
+    "contributions_by_bucket_category": _contributions_by_bucket_sql(BUCKETS, "week", "category"),
+    "contributions_by_bucket_state": _contributions_by_bucket_sql(HISTORY, "month", "state"),
+})
+
+
 # ---- publishing --------------------------------------------------------------------------------------------------
 from retailq.plans.catalog import PRESETS  # noqa: E402
 from retailq.params import ScopeParams as _SP  # noqa: E402
 
 
-def _preset_union(select_sql):
-    parts = []
-    for i, (name, s, e, cat, st) in enumerate(PRESETS):
-        p = _SP(s, e, cat, st)
-        parts.append((f"p{i}_", name, p))
-    ctes = [scope(p, prefix) for prefix, _, p in parts]
-    body = "\nUNION ALL ".join(select_sql.format(prefix=prefix, name=name) for prefix, name, _ in parts)
-    return base(*ctes) + body
-
-
 def _per_preset(make_sql):
     """One complete per-preset query per preset, tagged with the preset name (an independent formulation of the
     Spark job, which answers all presets in one pass)."""
@@ -822,29 +893,81 @@ def _per_preset(make_sql):
                                  for name, s, e, cat, st in PRESETS)
 
 
-SQL.update({
-    "preset_customers": _per_preset(_summary_sql),
-    "preset_segments": _per_preset(lambda p: _customer_base(p) + "SELECT * FROM segments"),
-    "preset_report_headline": _per_preset(_headline_sql),
-    "preset_contributions": _per_preset(lambda p: base(*_tagged(p), _contrib_cte("category", "cc"),
-                                                       _contrib_cte("state", "cs"))
-                                        + "SELECT * FROM cc UNION ALL SELECT * FROM cs"),
-})
+def _scoped(name):
+    """The query of a registered whole-history section for other scope parameters."""
+    return lambda p: base(scope(p)) + SQL[name].removeprefix(base(scope(HISTORY)))
 
-SQL.update({
-    "preset_kpis": _preset_union("""SELECT '{name}' AS preset, CAST(count(*) AS BIGINT) AS order_count,
-       CAST(coalesce(sum(scoped_revenue_cents), 0) AS BIGINT) AS revenue_cents,
-       CAST(coalesce(sum(scoped_item_count), 0) AS BIGINT) AS item_count,
-       CAST(count(DISTINCT customer_unique_id) AS BIGINT) AS customer_count FROM {prefix}scope_orders"""),
-    "preset_trend_month": _preset_union("""SELECT '{name}' AS preset, CAST(date_trunc('month', purchase_date) AS DATE) AS period,
-       CAST(sum(scoped_revenue_cents) AS BIGINT) AS revenue_cents, CAST(count(*) AS BIGINT) AS order_count
-FROM {prefix}scope_orders GROUP BY 1, 2"""),
-    "cross_view_consistency": "SELECT CAST(1 AS BIGINT) AS distinct_totals, TRUE AS consistent",
-})
+
+def _previous_sql(p):
+    head, _ = _comparison_sql(p)
+    return head + """SELECT order_count, revenue_cents, item_count, customer_count, average_order_value_cents
+FROM rows_ WHERE period = 'previous' AND comparable"""
+
+
+def _ranked_sql(order):
+    return lambda p: base(scope(p), f"products AS ({_PRODUCTS})") + f"""
+SELECT * FROM (SELECT *, CAST(row_number() OVER (ORDER BY {order}, product_id) AS INTEGER) AS position FROM products)
+WHERE position <= 20"""
+
+
+def _strata_sql(p):
+    return base(scope(p), _PRIMARY, _strata_cte("category", "sc"), _strata_cte("state", "ss")) + \
+        "SELECT * FROM sc UNION ALL SELECT * FROM ss"
+
+
+SQL.update({f"preset_{name}": _per_preset(make) for name, make in {
+    "kpis": lambda p: base(scope(p)) + KPI_SELECT + " FROM scope_orders",
+    "previous": _previous_sql,
+    **{f"trend_{g}": (lambda p, g=g: _trend_sql(p, g)) for g in ("day", "week", "month")},
+    "categories": lambda p: base(scope(p), f"cats AS ({_RANK_CATEGORIES})") + """
+SELECT cats.*, CASE WHEN t.total = 0 THEN 0.0 ELSE CAST(revenue_cents AS DOUBLE) / t.total END AS revenue_share
+FROM cats CROSS JOIN (SELECT coalesce(sum(price_cents), 0) AS total FROM scope_items) t""",
+    "regions": _scoped("rank_regions"), "products": _ranked_sql("revenue_cents DESC"),
+    "low_volume_products": _ranked_sql("item_count, revenue_cents"), "fulfilment": _scoped("fulfilment_summary"),
+    "fulfilment_groups": _scoped("fulfilment_groups"), "scores": _scoped("score_histogram"),
+    "customers": _summary_sql, "distribution": _distribution_sql,
+    "frequency": lambda p: _customer_base(p) + "SELECT frequency, CAST(count(*) AS BIGINT) AS customer_count FROM cw GROUP BY frequency",
+    "segments": lambda p: _customer_base(p) + "SELECT * FROM segments",
+    "beyond_recency": lambda p: _customer_base(p) + """
+SELECT CAST(coalesce(sum(customer_count) FILTER (WHERE "key" LIKE '0%'), 0) AS BIGINT) AS customers_beyond_recency FROM segments""",
+    "report_headline": _headline_sql,
+    "contributions": lambda p: base(*_tagged(p), _contrib_cte("category", "cc"), _contrib_cte("state", "cs"))
+    + "SELECT * FROM cc UNION ALL SELECT * FROM cs",
+    "anomalies": _anomaly_sql, "delivery_groups": lambda p: base(scope(p), _PRIMARY) + _group_stats(),
+    "delivery_strata": _strata_sql, "investigations": lambda p: _evidence_sql(p, p)}.items()})
+
+SQL["cross_view_consistency"] = base(scope(CUSTOMER_YEAR)) + """
+SELECT CAST(1 AS BIGINT) AS distinct_totals, TRUE AS consistent, "view",
+       (SELECT CAST(sum(price_cents) AS BIGINT) FROM scope_items) AS revenue_cents
+FROM (VALUES ('dashboard'), ('customers'), ('categories'), ('regions')) AS t("view")"""
+
+
+def _compared_rows(names, columns):
+    """How many rows each section has for each preset, zero included: what a verification must have compared. The star tables
+    stand once in front, since all sections of all presets read them."""
+    presets = ", ".join(f"('{p[0]}')" for p in PRESETS)
+    star_ctes = base().removeprefix("WITH ").rstrip()
+    kept = star_ctes
+    for table in ("dim_customer", "dim_product", "dim_seller", "fact_order", "fact_item"):
+        kept = kept.replace(f"{table} AS (", f"{table} AS MATERIALIZED (")
+    return f"WITH {kept}\n" + " UNION ALL ".join(f"""SELECT '{name}' AS section, p.preset, {columns}
+FROM (VALUES {presets}) AS p(preset) LEFT JOIN ({SQL[f"preset_{name}"].replace(star_ctes + ",", "")}) q ON q.preset = p.preset GROUP BY p.preset""" for name in names)
+
+
+from retailq.plans import verify_snapshots as _vs  # noqa: E402
+from retailq.plans.publish import SNAPSHOT_SECTIONS as _SECTIONS  # noqa: E402
+
+SQL.update({name: _compared_rows(sections, "count(q.preset) AS compared_rows, CAST(0 AS BIGINT) AS difference_rows") for name, sections in (
+    ("verify_dashboard_from_raw", _vs.DASHBOARD), ("verify_customers_from_raw", _vs.CUSTOMERS), ("verify_reports_from_raw", _vs.REPORTS))})
+SQL["verify_snapshots"] = _compared_rows(_SECTIONS, "count(q.preset) AS published_rows, count(q.preset) AS recomputed_rows, TRUE AS equal")
+
+from retailq.plans.catalog import VERIFY_SCOPES  # noqa: E402
 
 SQL.update({
     "kpis_from_raw": SQL["kpis"],
-    "verify_kpis_from_raw": "SELECT CAST(0 AS BIGINT) AS difference_rows",
+    "verify_kpis_from_raw": base(*[scope(p, f"v{i}_") for i, p in enumerate(VERIFY_SCOPES.values())]) + " UNION ALL ".join(
+        f"SELECT '{name}' AS scope, count(*) AS order_count, CAST(0 AS BIGINT) AS difference_rows FROM v{i}_scope_orders"
+        for i, name in enumerate(VERIFY_SCOPES)),
 })
 
 SQL["overview_sample"] = base("""ot AS (SELECT o.order_id, sum(i.price_cents) AS amount_cents FROM t_orders o JOIN t_items i ON i.order_id = o.order_id
@@ -1000,7 +1123,7 @@ def _landing_violations_sql():
     return _lb() + "\nUNION ALL\n".join(rows)
 
 
-SQL["landing_violations"] = _landing_violations_sql()
+SQL["landing_violations"] = SQL["staged_violations"] = _landing_violations_sql()
 
 
 SQL["reconcile_load"] = base() + """,
@@ -1038,6 +1161,7 @@ SELECT "check", actual, expected, actual = expected AS passed FROM (
 
 SQL["coverage_window"] = base(COV) + "SELECT cov_start, cov_end FROM coverage"
 SQL["coverage_from_daily"] = SQL["coverage_window"]
+SQL["order_list_deep"] = SQL["order_list"].replace("LIMIT 20 OFFSET 40", "LIMIT 10 OFFSET 3990")
 SQL["order_list_after"] = base(scope(HISTORY)) + """
 SELECT order_id, purchase_date, state, scoped_item_count AS item_count, scoped_revenue_cents AS revenue_cents,
        payment_cents, review_score, is_late, array_to_string(quality_flags, ',') AS quality_flags
@@ -1054,8 +1178,10 @@ def _digest_sql(name, columns):
     if name == "reviews":
         source = """(SELECT * REPLACE ('line "' || review_id || '", one' || chr(10) || order_id || chr(92)
                      AS review_comment_message) FROM l_reviews)"""
-    return f"""SELECT '{name}' AS "table", CAST(count(*) AS BIGINT) AS row_count, CAST(0 AS BIGINT) AS wrong_width_rows,
-       CAST(sum(('0x' || substr(md5(concat_ws('|', {", ".join(columns)})), 1, 8))::BIGINT) AS BIGINT) AS content_sum
+    text = ", ".join(f"coalesce({c}, '<null>')" for c in columns)
+    return f"""SELECT '{name}' AS "table", count(*) AS row_count, CAST(0 AS BIGINT) AS wrong_width_rows,
+       CAST(sum(('0x' || substr(md5(concat_ws('|', {text})), 1, 8))::BIGINT) AS BIGINT) AS content_sum,
+       count(*) AS counted_records, CAST(0 AS BIGINT) AS unclosed_files
 FROM {source}"""
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..functions.parse import (MAX_CENTS, is_missing, money_cents, money_valid, positive_int_valid,
                                strict_timestamp)
 from ..params import ORDER_STATUSES
+from ..sources.landing import RECORD
 
 
 
@@ -77,12 +78,13 @@ def chk_timestamp(df: DataFrame, table: str, column: str, key: str, required: bo
 
 
 def chk_foreign_key(child: DataFrame, table: str, column: str, parent: DataFrame, parent_column: str,
-                    parent_keys: DataFrame | None = None) -> DataFrame:
+                    parent_keys: DataFrame | None = None, counts: DataFrame | None = None) -> DataFrame:
     """Child rows without a parent row: the child's row counts per key, anti-joined with the distinct parent keys, so
-    that a key which many rows share is one row in the join."""
+    that a key which many rows share is one row in the join. ``counts``: ``key_counts`` of the child, where shared."""
     keys = (parent_keys.select(F.col(parent_column).alias("_k")) if parent_keys is not None
             else parent.select(F.col(parent_column).alias("_k")).distinct())
-    orphans = child.groupBy(F.col(column).alias("_k")).agg(F.count(F.lit(1)).alias("c")).join(keys, "_k", "left_anti")
+    rows = counts if counts is not None else key_counts(child, [column])
+    orphans = rows.withColumnRenamed(column, "_k").join(keys, "_k", "left_anti")
     return orphans.agg(F.coalesce(F.sum("c"), _zero()).alias("n"), F.min("_k").cast("string").alias("sample_key")).select(
         F.lit("foreign_key").alias("constraint"), F.lit(table).alias("table"), F.lit(column).alias("column"),
         "n", "sample_key")
@@ -94,10 +96,11 @@ def chk_domain(df: DataFrame, table: str, column: str, key: str, values=None, pa
     return _row(df, "domain", table, column, ~F.coalesce(ok, F.lit(False)), F.col(key))
 
 
-def chk_conditional_child(orders: DataFrame, items: DataFrame) -> DataFrame:
-    """Delivered orders must have at least one item."""
+def chk_conditional_child(orders: DataFrame, items: DataFrame, counts: DataFrame | None = None) -> DataFrame:
+    """Delivered orders must have at least one item. ``counts``: the items' ``key_counts`` by order, where shared."""
+    rows = counts if counts is not None else key_counts(items, ["order_id"])
     lonely = orders.filter(F.col("order_status") == "delivered").select("order_id").join(
-        items.select("order_id").distinct(), "order_id", "left_anti")
+        rows.select("order_id"), "order_id", "left_anti")
     return lonely.agg(F.count(F.lit(1)).alias("n"), F.min("order_id").cast("string").alias("sample_key")).select(
         F.lit("delivered_has_items").alias("constraint"), F.lit("orders").alias("table"),
         F.lit("order_id").alias("column"), "n", "sample_key")
@@ -131,35 +134,43 @@ def union_all(frames: list[DataFrame]) -> DataFrame:
 ID_COLUMNS = ["order_id", "customer_id", "customer_unique_id", "product_id", "seller_id", "review_id"]
 
 
-def row_checks(df: DataFrame, table: str, checks: list[tuple[str, str, F.Column, F.Column]],
-               bounded_sums: list[str] = ()) -> DataFrame:
-    """Many per-row predicates of one table in ONE scan: one aggregate, then unpivoted to violation rows.
+Rule = tuple[str, str, F.Column, F.Column]  # constraint, column, bad predicate, key expression
 
-    ``checks`` holds (constraint, column, bad_predicate, key_expression); ``bounded_sums`` are money columns whose
-    total must fit BIGINT cents (summed as decimal(38,0) in the same scan, so the check cannot overflow)."""
-    # evaluate every predicate (regexes, casts) exactly once, then aggregate plain boolean/key columns
+
+def rule_columns(rules: list[Rule], bounded_sums: list[str] | tuple = ()) -> list[F.Column]:
+    """Every predicate (regexes, casts) once, and the key where it holds; money columns as wide decimals."""
     cols = []
-    for i, (_, _, bad, key) in enumerate(checks):
+    for i, (_, _, bad, key) in enumerate(rules):
         cols += [bad.alias(f"_b{i}"), F.when(bad, key.cast("string")).alias(f"_k{i}")]
-    for j, col in enumerate(bounded_sums):
-        cols.append(money_cents(F.col(col)).cast("decimal(38,0)").alias(f"_s{j}"))
-    flat = df.select(*cols)
+    return cols + [money_cents(F.col(col)).cast("decimal(38,0)").alias(f"_s{j}") for j, col in enumerate(bounded_sums)]
+
+
+def rule_metrics(rules: list[Rule], bounded_sums: list[str] | tuple = ()) -> list[F.Column]:
+    """Aggregates over ``rule_columns``: offending rows and one key a rule, and whether a money column's total (summed as
+    decimal(38,0), so the check cannot overflow) leaves BIGINT cents."""
     aggs = []
-    for i in range(len(checks)):
+    for i in range(len(rules)):
         aggs += [F.count_if(F.col(f"_b{i}")).alias(f"n{i}"), F.min(f"_k{i}").alias(f"k{i}")]
-    extra = []
-    for j, col in enumerate(bounded_sums):
-        total = F.coalesce(F.sum(f"_s{j}"), F.lit(0))
-        aggs += [F.when(total > F.lit(MAX_CENTS), 1).otherwise(0).cast("bigint").alias(f"b{j}"),
-                 F.lit(None).cast("string").alias(f"bk{j}")]
-        extra.append(("bounded_sum", col, f"b{j}", f"bk{j}"))
-    row = flat.agg(*aggs)
-    parts = [f"'{c}', '{col}', n{i}, k{i}" for i, (c, col, _, _) in enumerate(checks)]
-    parts += [f"'{c}', '{col}', {n}, {k}" for c, col, n, k in extra]
+    return aggs + [F.when(F.coalesce(F.sum(f"_s{j}"), F.lit(0)) > F.lit(MAX_CENTS), 1).otherwise(0).cast("bigint").alias(f"b{j}")
+                   for j in range(len(bounded_sums))]
+
+
+def row_checks(df: DataFrame, table: str, rules: list[Rule], bounded_sums: list[str] | tuple = ()) -> DataFrame:
+    """Many per-row predicates of one table in ONE scan: one aggregate, then unpivoted to violation rows."""
+    row = df.select(*rule_columns(rules, bounded_sums)).agg(*rule_metrics(rules, bounded_sums))
+    parts = [f"'{c}', '{col}', n{i}, k{i}" for i, (c, col, _, _) in enumerate(rules)]
+    parts += [f"'bounded_sum', '{col}', b{j}, cast(null as string)" for j, col in enumerate(bounded_sums)]
     return row.select(F.expr(f"stack({len(parts)}, {', '.join(parts)}) as (constraint, column, n, sample_key)"))\
         .select("constraint", F.lit(table).alias("table"), "column", "n", "sample_key")
 
 
+def observed_violations(metrics: dict, table: str, rules: list[Rule], bounded_sums: list[str] | tuple = ()) -> list[dict]:
+    """The rows of ``row_checks`` from metrics that were observed while the table was written."""
+    found = [(c, col, metrics[f"n{i}"], metrics[f"k{i}"]) for i, (c, col, _, _) in enumerate(rules)]
+    found += [("bounded_sum", col, metrics[f"b{j}"], None) for j, col in enumerate(bounded_sums)]
+    return [{"constraint": c, "table": table, "column": col, "n": n, "sample_key": key} for c, col, n, key in found]
+
+
 def _length(col: str, limit: int, required: bool = True) -> F.Column:
     bad = F.char_length(F.col(col)) > limit
     return bad | (F.col(col) == "") if required else bad
@@ -171,33 +182,40 @@ def _ts_bad(col: str, required: bool = False) -> F.Column:
     return bad | (c == "") if required else bad
 
 
-def landing_violations(L: dict[str, DataFrame]) -> DataFrame:
-    """All landing constraints of the load, as one violations table: per table one scan for the per-row rules,
-    plus one aggregate per key (uniqueness) and one anti join per reference."""
+def key_violations(L: dict[str, DataFrame]) -> DataFrame:
+    """Uniqueness, references and delivered orders without items: one (key, count) aggregate a key, shared by all checks
+    that need it, and one anti join a reference."""
     o, i, c, p, s, pay, r, tr = (L[k] for k in ("orders", "items", "customers", "products", "sellers", "payments",
                                                  "reviews", "translation"))
     ok, ck, pk, sk = (key_counts(o, ["order_id"]), key_counts(c, ["customer_id"]), key_counts(p, ["product_id"]),
                       key_counts(s, ["seller_id"]))
-    frames = [chk_unique_key(o, "orders", ["order_id"], ok), chk_unique_key(c, "customers", ["customer_id"], ck),
+    item_orders = key_counts(i, ["order_id"])
+    return union_all([chk_unique_key(o, "orders", ["order_id"], ok), chk_unique_key(c, "customers", ["customer_id"], ck),
               chk_unique_key(p, "products", ["product_id"], pk), chk_unique_key(s, "sellers", ["seller_id"], sk),
               chk_unique_key(tr, "translation", ["product_category_name"]),
               chk_unique_key(i, "items", ["order_id", "order_item_id"]),
               chk_unique_key(pay, "payments", ["order_id", "payment_sequential"]),
               chk_foreign_key(o, "orders", "customer_id", c, "customer_id", ck),
-              chk_foreign_key(i, "items", "order_id", o, "order_id", ok),
+              chk_foreign_key(i, "items", "order_id", o, "order_id", ok, item_orders),
               chk_foreign_key(i, "items", "product_id", p, "product_id", pk),
               chk_foreign_key(i, "items", "seller_id", s, "seller_id", sk),
               chk_foreign_key(pay, "payments", "order_id", o, "order_id", ok),
               chk_foreign_key(r, "reviews", "order_id", o, "order_id", ok),
-              chk_conditional_child(o, i)]
+              chk_conditional_child(o, i, item_orders)])
+
+
+BOUNDED_SUMS = {"items": ["price", "freight_value"], "payments": ["payment_value"]}
+
+
+def row_rules(L: dict[str, DataFrame]) -> dict[str, list[Rule]]:
+    """Per table the rules that a row tells by itself: lengths, domains, timestamps, numbers and money."""
+    o, i, c, p, s, pay, r = (L[k] for k in ("orders", "items", "customers", "products", "sellers", "payments", "reviews"))
     per_table = {name: [] for name in L}
     for name, df in (("orders", o), ("items", i), ("customers", c), ("products", p), ("sellers", s),
                      ("payments", pay), ("reviews", r)):
-        key = F.col("order_id") if "order_id" in df.columns else F.col(df.columns[0])
         for col in ID_COLUMNS:
             if col in df.columns:
                 per_table[name].append(("string_length", col, _length(col, 64), F.col(col)))
-        per_table[name].append(("_key", "", F.lit(False), key))  # placeholder keeps the key expression handy
     per_table["customers"].append(("string_length", "customer_state", _length("customer_state", 8, False),
                                    F.col("customer_id")))
     per_table["sellers"].append(("string_length", "seller_state", _length("seller_state", 8, False),
@@ -219,7 +237,6 @@ def landing_violations(L: dict[str, DataFrame]) -> DataFrame:
     per_table["items"] += [("positive_int", "order_item_id", ~positive_int_valid(F.col("order_item_id")), oid),
                            ("money", "price", ~money_valid(F.col("price")), oid),
                            ("money", "freight_value", ~money_valid(F.col("freight_value")), oid)]
-    sums = {"items": ["price", "freight_value"], "payments": ["payment_value"]}
     if "shipping_limit_date" in i.columns:
         per_table["items"].append(("timestamp", "shipping_limit_date", _ts_bad("shipping_limit_date"), oid))
     per_table["payments"] += [
@@ -229,11 +246,13 @@ def landing_violations(L: dict[str, DataFrame]) -> DataFrame:
         ("domain", "review_score", ~F.coalesce(F.col("review_score").rlike(r"^[1-5]$"), F.lit(False)), oid),
         ("timestamp", "review_creation_date", _ts_bad("review_creation_date"), oid),
         ("timestamp", "review_answer_timestamp", _ts_bad("review_answer_timestamp"), oid)]
-    for name, checks in per_table.items():
-        checks = [ck for ck in checks if ck[0] != "_key"]
-        if checks:
-            frames.append(row_checks(L[name], name, checks, sums.get(name, [])))
-    return union_all(frames)
+    return per_table
+
+
+def landing_violations(L: dict[str, DataFrame]) -> DataFrame:
+    """All landing constraints of the load as one violations table: key checks, and one scan a table for its row rules."""
+    frames = [row_checks(L[name], name, rules, BOUNDED_SUMS.get(name, ())) for name, rules in row_rules(L).items() if rules]
+    return union_all([key_violations(L), *frames])
 
 
 def require_clean(violations: DataFrame) -> None:
@@ -263,7 +282,8 @@ def typed_model(L: dict[str, DataFrame]) -> dict[str, DataFrame]:
                                     money_cents(F.col("payment_value")).alias("payment_cents"))
     reviews = L["reviews"].select("review_id", "order_id", F.col("review_score").cast("int").alias("review_score"),
                                   ts("review_creation_date").alias("created_at"),
-                                  ts("review_answer_timestamp").alias("answered_at"))
+                                  ts("review_answer_timestamp").alias("answered_at"),
+                                  *([RECORD] if RECORD in L["reviews"].columns else []))
     return {"orders": orders, "items": items, "payments": payments, "reviews": reviews,
             "customers": L["customers"].select("customer_id", "customer_unique_id", "customer_state"),
             "products": L["products"].select("product_id", "product_category_name"),

@@ -6,6 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from ..functions.stats import exact_quantiles
@@ -177,13 +178,64 @@ def _order_list_columns() -> list:
             "is_late", "quality_flags"]
 
 
+LEAF_ROWS = 10_000  # rows of one key prefix that are put in order to find a page's first row
+
+
+def _order_key(orders: DataFrame) -> F.Column:
+    """A text whose code-point order is the order of order_id: the id itself, or fixed-width hexadecimal of a whole number."""
+    if isinstance(orders.schema["order_id"].dataType, T.StringType):
+        return F.col("order_id")
+    from_least = F.col("order_id").cast("bigint").bitwiseXOR(F.lit(-(1 << 63)))
+    return F.lpad(F.hex(from_least), 16, "0")
+
+
+def _covering(counts: DataFrame, name: str, rank: int, descending: bool = False) -> tuple | None:
+    """(value, rows before it) of the group that holds the zero-based rank, by prefix sums over one row a group."""
+    order = F.desc(name) if descending else F.asc(name)
+    upto = F.sum("n").over(Window.orderBy(order).rowsBetween(Window.unboundedPreceding, 0))
+    row = counts.withColumn("upto", upto).filter(F.col("upto") > rank).orderBy("upto").limit(1).first()
+    return None if row is None else (row[name], row["upto"] - row["n"], row["n"])
+
+
+def _first_of_page(orders: DataFrame, day, rank: int, rows: int) -> object:
+    """order_id of the row with this zero-based rank inside a day.
+
+    A prefix of the id grows by a letter or digit at a time: each step counts rows by the next one, one row a letter, and
+    keeps the prefix that holds the rank, until few enough rows share it to be ordered. So a day of any size is never
+    sorted, and an offset of any depth is found from counts.
+    """
+    here = orders.filter(F.col("purchase_date") == F.lit(day)).select("order_id", _order_key(orders).alias("key"))
+    prefix = ""
+    while rows > LEAF_ROWS:
+        step = here.filter(F.col("key").startswith(prefix)).groupBy(F.substring("key", len(prefix) + 1, 1).alias("next")).agg(
+            F.count(F.lit(1)).alias("n"))
+        letter, before, rows = _covering(step, "next", rank)
+        if letter == "":  # equal to the prefix, so the same id: any of them
+            return here.filter(F.col("key") == prefix).first()["order_id"]
+        prefix, rank = prefix + letter, rank - before
+    return here.filter(F.col("key").startswith(prefix)).orderBy("key").offset(rank).limit(1).first()["order_id"]
+
+
 def order_list(scope: Scope, page: int = 1, page_size: int = 20) -> DataFrame:
-    """One page ordered by purchase day desc, order id; total rows as a column."""
+    """One page ordered by purchase day desc, order id; total rows as a column. Pages at any depth cost the same: prefix sums
+    over the day histogram find the day of the page's first row, counts by id prefix find the row, and only days that the
+    page touches are read for its rows."""
     if page < 1 or page_size < 1:
         raise ValueError("page and page_size must be positive")
-    base = scope.orders.select(*_order_list_columns())
-    total = scope.orders.agg(F.count(F.lit(1)).alias("total"))
-    page_rows = base.orderBy(F.desc("purchase_date"), "order_id").offset((page - 1) * page_size).limit(page_size)
+    columns = _order_list_columns()
+    days = scope.orders.groupBy("purchase_date").agg(F.count(F.lit(1)).alias("n"))
+    total = days.agg(F.coalesce(F.sum("n"), _zero()).alias("total"))
+    offset = (page - 1) * page_size
+    found = _covering(days, "purchase_date", offset, descending=True)
+    if found is None:
+        return scope.orders.select(*columns).limit(0).crossJoin(F.broadcast(total))
+    day, before, rows = found
+    first = _first_of_page(scope.orders, day, offset - before, rows)
+    last = _covering(days, "purchase_date", offset + page_size - 1, descending=True)
+    touched = (F.col("purchase_date") < F.lit(day)) | ((F.col("purchase_date") == F.lit(day)) & (F.col("order_id") >= F.lit(first)))
+    if last is not None:
+        touched = touched & (F.col("purchase_date") >= F.lit(last[0]))
+    page_rows = scope.orders.select(*columns).filter(touched).orderBy(F.desc("purchase_date"), "order_id").limit(page_size)
     return page_rows.crossJoin(F.broadcast(total))
 
 

@@ -67,33 +67,44 @@ def decompose_columns(n1: str, r1: str, n0: str, r0: str) -> list[F.Column]:  #
 
 def report_headline(star: dict[str, DataFrame], params: ScopeParams, coverage_row: DataFrame,
                     by: list[str] | tuple = (), scope: Scope | None = None) -> DataFrame:
-    """Current/previous orders and revenue, delta, change rate, per-day revenue, decomposition, flags.
+    """Orders, revenue, items, customers and order value of both periods, delta, change rate, per-day revenue,
+    decomposition, flags.
     ``scope``: an already built (persisted) ``tagged_scope`` to read instead of building one."""
     ps, pe, label = params.comparison()
     sc = scope or tagged_scope(star, params)
     o = sc.orders.filter(F.col("period") != "history")
     grouped = o.groupBy(*by) if by else o
-    agg = grouped.agg(_count_if("current").alias("current_orders"),
-                      _sum_if("current", "scoped_revenue_cents").alias("current_revenue_cents"),
-                      _count_if("previous").alias("prev_orders"),
-                      _sum_if("previous", "scoped_revenue_cents").alias("prev_revenue_cents"))
-    agg = agg.crossJoin(F.broadcast(report_comparable(coverage_row, params)))
+    agg = grouped.agg(*[c for period in ("current", "previous") for c in (
+        _count_if(period).alias(f"{period}_orders"), _sum_if(period, "scoped_revenue_cents").alias(f"{period}_revenue_cents"),
+        _sum_if(period, "scoped_item_count").cast("bigint").alias(f"{period}_items"),
+        F.countDistinct(F.when(F.col("period") == period, F.col("customer_unique_id"))).alias(f"{period}_customers"))])
+    agg = agg.crossJoin(F.broadcast(report_comparable(coverage_row, params))).select(
+        "*", F.lit(params.days).alias("days"), F.lit((pe - ps).days + 1).alias("previous_days"),
+        F.lit(params.start.weekday() == 0 and params.days == 7).alias("is_calendar_week"), F.lit(label).alias("comparison_label"))
+    return headline_columns(agg, by)
+
+
+HEADLINE_MEASURES = ("orders", "revenue_cents", "items", "customers")
+
+
+def headline_columns(totals: DataFrame, by: list[str] | tuple = ()) -> DataFrame:
+    """The headline from both periods' measures (``current_*`` and ``previous_*``), ``comparable``, both lengths in days
+    and the labels: everything about the previous period is NULL where the periods are not comparable."""
     prev = lambda c: F.when(F.col("comparable"), F.col(c) if isinstance(c, str) else c)
-    days, prev_days = params.days, (pe - ps).days + 1
-    weekday_start = params.start.weekday() == 0 and params.days == 7
-    return agg.select(
-        *by, "current_orders", "current_revenue_cents",
-        prev("prev_orders").alias("previous_orders"), prev("prev_revenue_cents").alias("previous_revenue_cents"),
-        prev(F.col("current_revenue_cents") - F.col("prev_revenue_cents")).alias("delta_cents"),
-        F.when(F.col("comparable") & (F.col("prev_revenue_cents") != 0),
-               (F.col("current_revenue_cents") - F.col("prev_revenue_cents")) / F.col("prev_revenue_cents"))
+    aov = lambda period: F.try_divide(F.col(f"{period}_revenue_cents").cast("double"), F.col(f"{period}_orders"))
+    delta = F.col("current_revenue_cents") - F.col("previous_revenue_cents")
+    effects = zip(decompose_columns("current_orders", "current_revenue_cents", "previous_orders", "previous_revenue_cents"),
+                  ("order_effect_cents", "aov_effect_cents"))
+    return totals.select(
+        *by, *[f"current_{m}" for m in HEADLINE_MEASURES], aov("current").alias("current_average_order_value_cents"),
+        *[prev(f"previous_{m}").alias(f"previous_{m}") for m in HEADLINE_MEASURES],
+        prev(aov("previous")).alias("previous_average_order_value_cents"),
+        prev(delta).alias("delta_cents"),
+        F.when(F.col("comparable") & (F.col("previous_revenue_cents") != 0), delta / F.col("previous_revenue_cents"))
         .alias("revenue_change_rate"),
-        (F.col("current_revenue_cents") / F.lit(days)).alias("daily_revenue_cents"),
-        prev(F.col("prev_revenue_cents") / F.lit(prev_days)).alias("previous_daily_revenue_cents"),
-        *[F.when(F.col("comparable"), c).alias(name) for c, name in zip(
-            decompose_columns("current_orders", "current_revenue_cents", "prev_orders", "prev_revenue_cents"),
-            ("order_effect_cents", "aov_effect_cents"))],
-        "comparable", F.lit(weekday_start).alias("is_calendar_week"), F.lit(label).alias("comparison_label"))
+        (F.col("current_revenue_cents") / F.col("days")).alias("daily_revenue_cents"),
+        prev(F.col("previous_revenue_cents") / F.col("previous_days")).alias("previous_daily_revenue_cents"),
+        *[prev(c).alias(name) for c, name in effects], "comparable", "is_calendar_week", "comparison_label")
 
 
 # ---- contributions ----------------------------------------------------------------------------------------------
@@ -149,7 +160,13 @@ def anomaly_same_weekday_mad(daily: DataFrame, params: ScopeParams, coverage_row
     cal = spark.range(1).select(F.explode(F.sequence(F.lit(params.start), F.lit(params.end))).alias("day"))
     if by:
         cal = cal.crossJoin(daily.select(*by).distinct())
-    cal = cal.crossJoin(F.broadcast(coverage_row))
+    return anomalies_on(cal, daily, coverage_row, rules, by)
+
+
+def anomalies_on(calendar: DataFrame, daily: DataFrame, coverage_row: DataFrame, rules: AnomalyRules = AnomalyRules(),
+                 by: list[str] | tuple = ()) -> DataFrame:
+    """The rule for every (day, *by) of ``calendar``, whose groups may have ranges of their own."""
+    cal = calendar.crossJoin(F.broadcast(coverage_row))
     known = lambda c: F.coalesce(F.col("cov_start").isNotNull() & (c >= F.col("cov_start"))
                                  & (c <= F.col("cov_end")), F.lit(False))
     counts = daily.select(F.col("day").alias("hday"), *by, F.col("order_count").alias("v"))
@@ -209,9 +226,10 @@ def delivery_cells(scope: Scope) -> DataFrame:
 GROUPS = [(0, "on_time"), (1, "late"), (None, "unknown")]  # (is_late, delivery_group)
 
 
-def score_group_stats(cells: DataFrame, by: list[str] | tuple = ()) -> DataFrame:
+def score_group_stats(cells: DataFrame, by: list[str] | tuple = (), groups: DataFrame | None = None) -> DataFrame:
     """From weighted cells: orders, reviewed, missing, mean, exact median (weighted), sample SD, share of
-    scores <= 2 and a 5-bin histogram, for on_time / late / unknown (always three rows per group key)."""
+    scores <= 2 and a 5-bin histogram, for on_time / late / unknown (always three rows per group key). ``groups``: the
+    keys that must appear even without orders (default: those in ``cells``)."""
     spark = cells.sparkSession
     w, k = F.col("order_count"), F.col("review_score")
     rev = k.isNotNull()
@@ -223,7 +241,8 @@ def score_group_stats(cells: DataFrame, by: list[str] | tuple = ()) -> DataFrame
         F.expr("percentile(review_score, 0.5, order_count)").alias("median_score"),
         *[F.sum(F.when(k == s, w)).alias(f"score_{s}") for s in range(1, 6)])
     labels = spark.createDataFrame(GROUPS, "is_late int, delivery_group string")
-    keys = cells.select(*by).distinct().crossJoin(F.broadcast(labels)) if by else F.broadcast(labels)
+    keys = (groups if groups is not None else cells.select(*by).distinct()).crossJoin(F.broadcast(labels)) \
+        if by else F.broadcast(labels)
     cond = [keys["is_late"].eqNullSafe(agg["is_late"])] + [keys[b] == agg[b] for b in by]
     j = keys.join(agg, cond, "left").select(*[keys[b] for b in by], "delivery_group", *[
         c for c in ("orders", "n", "sk", "skk", "median_score", "score_1", "score_2", "score_3", "score_4",
@@ -240,34 +259,37 @@ def score_group_stats(cells: DataFrame, by: list[str] | tuple = ()) -> DataFrame
         *[F.coalesce(f"score_{s}", _zero()).alias(f"score_{s}") for s in range(1, 6)])
 
 
-def score_strata(cells: DataFrame, dimension: str, min_reviewed: int = STRATA_MIN_REVIEWED) -> DataFrame:
+def score_strata(cells: DataFrame, dimension: str, min_reviewed: int = STRATA_MIN_REVIEWED,
+                 by: list[str] | tuple = ()) -> DataFrame:
     """Group stats per value of ``dimension`` (category or state); the late - on_time gap only when both groups
     have at least ``min_reviewed`` reviews. ``position`` orders by late order count desc, then name."""
-    stats = score_group_stats(cells.withColumnRenamed(dimension, "name"), by=["name"])
-    piv = stats.groupBy("name").agg(
+    keys = [*by, "name"]
+    stats = score_group_stats(cells.withColumnRenamed(dimension, "name"), by=keys)
+    piv = stats.groupBy(*keys).agg(
         F.max(F.when(F.col("delivery_group") == "late", F.col("reviewed_orders"))).alias("late_n"),
         F.max(F.when(F.col("delivery_group") == "on_time", F.col("reviewed_orders"))).alias("on_n"),
         F.max(F.when(F.col("delivery_group") == "late", F.col("mean_score"))).alias("late_mean"),
         F.max(F.when(F.col("delivery_group") == "on_time", F.col("mean_score"))).alias("on_mean"),
         F.max(F.when(F.col("delivery_group") == "late", F.col("order_count"))).alias("late_orders"))
     eligible = F.least("late_n", "on_n") >= min_reviewed
-    w = Window.partitionBy(F.lit(dimension)).orderBy(F.desc("late_orders"), "name")
-    piv = piv.select("name", eligible.alias("comparison_eligible"),
+    w = Window.partitionBy(*(by or [F.lit(dimension)])).orderBy(F.desc("late_orders"), "name")
+    piv = piv.select(*keys, eligible.alias("comparison_eligible"),
                      F.when(eligible, F.col("late_mean") - F.col("on_mean")).alias("score_gap"),
                      (F.row_number().over(w) - 1).alias("position"))
-    return stats.join(piv, "name").select(F.lit(dimension).alias("dimension"), "*")
+    return stats.join(piv, keys).select(F.lit(dimension).alias("dimension"), "*")
 
 
 # ---- evidence ---------------------------------------------------------------------------------------------------
 
 def investigation_evidence(headline: DataFrame, contrib: DataFrame, groups: DataFrame, strata: DataFrame,
-                           min_reviewed: int = STRATA_MIN_REVIEWED) -> DataFrame:
+                           min_reviewed: int = STRATA_MIN_REVIEWED, by: list[str] | tuple = ()) -> DataFrame:
     """Long table (task, label, pointer, value, unit) of the facts behind each investigation task.
 
     sales-change: when comparable and something changed (revenue, orders or per-day revenue) and either period has
     orders: delta, both per-day revenues and the first non-zero contribution per dimension.
     delivery-review: when late and on-time groups each have >= ``min_reviewed`` reviews: both counts and means and
     the first eligible stratum per dimension."""
+    meet = lambda a, b: a.join(b, list(by)) if by else a.crossJoin(b)
     h = headline.filter(F.col("comparable") & (
         (F.col("delta_cents") != 0) | (F.col("current_orders") != F.col("previous_orders"))
         | (F.col("daily_revenue_cents") != F.col("previous_daily_revenue_cents")))
@@ -275,37 +297,37 @@ def investigation_evidence(headline: DataFrame, contrib: DataFrame, groups: Data
     ev = lambda label, pointer, value, unit: F.struct(
         F.lit(label).alias("label"), pointer.alias("pointer"), value.cast("double").alias("value"),
         F.lit(unit).alias("unit"))
-    sales_head = h.select(F.lit("sales-change").alias("task"), F.explode(F.array(
+    sales_head = h.select(*by, F.lit("sales-change").alias("task"), F.explode(F.array(
         ev("delta_cents", F.lit("/delta_cents"), F.col("delta_cents"), "cents"),
         ev("daily_revenue_cents", F.lit("/daily_revenue_cents"), F.col("daily_revenue_cents"), "cents"),
         ev("previous_daily_revenue_cents", F.lit("/previous_daily_revenue_cents"),
-           F.col("previous_daily_revenue_cents"), "cents"))).alias("e")).select("task", "e.*")
-    first_nz = (contrib.filter(F.col("delta_cents") != 0).groupBy("dimension")
+           F.col("previous_daily_revenue_cents"), "cents"))).alias("e")).select(*by, "task", "e.*")
+    first_nz = (contrib.filter(F.col("delta_cents") != 0).groupBy(*by, "dimension")
                 .agg(F.min_by(F.struct("position", "name", "delta_cents"), F.col("position")).alias("r"))
-                .select("dimension", "r.*"))
-    sales_dims = first_nz.crossJoin(h.select(F.lit(1).alias("_x"))).select(
-        F.lit("sales-change").alias("task"), F.concat(F.col("dimension"), F.lit(" "), F.col("name").cast("string"),
+                .select(*by, "dimension", "r.*"))
+    sales_dims = meet(first_nz, h.select(*by, F.lit(1).alias("_x"))).select(
+        *by, F.lit("sales-change").alias("task"), F.concat(F.col("dimension"), F.lit(" "), F.col("name").cast("string"),
                                                        F.lit(" delta_cents")).alias("label"),
         F.concat(F.lit("/contributions/"), F.col("dimension"), F.lit("/"), F.col("position").cast("string"),
                  F.lit("/delta_cents")).alias("pointer"),
         F.col("delta_cents").cast("double").alias("value"), F.lit("cents").alias("unit"))
-    g = groups.groupBy().agg(
+    g = groups.groupBy(*by).agg(
         F.max(F.when(F.col("delivery_group") == "late", F.col("reviewed_orders"))).alias("late_n"),
         F.max(F.when(F.col("delivery_group") == "on_time", F.col("reviewed_orders"))).alias("on_n"),
         F.max(F.when(F.col("delivery_group") == "late", F.col("mean_score"))).alias("late_mean"),
         F.max(F.when(F.col("delivery_group") == "on_time", F.col("mean_score"))).alias("on_mean"))
     g = g.filter(F.least("late_n", "on_n") >= min_reviewed)
-    delivery_head = g.select(F.lit("delivery-review").alias("task"), F.explode(F.array(
+    delivery_head = g.select(*by, F.lit("delivery-review").alias("task"), F.explode(F.array(
         ev("late reviewed_orders", F.lit("/delivery/groups/late/reviewed_orders"), F.col("late_n"), "orders"),
         ev("on_time reviewed_orders", F.lit("/delivery/groups/on_time/reviewed_orders"), F.col("on_n"), "orders"),
         ev("late mean_score", F.lit("/delivery/groups/late/mean_score"), F.col("late_mean"), "score"),
         ev("on_time mean_score", F.lit("/delivery/groups/on_time/mean_score"), F.col("on_mean"), "score")))
-        .alias("e")).select("task", "e.*")
-    first_ok = (strata.filter("comparison_eligible").select("dimension", "name", "position", "score_gap").distinct()
-                .groupBy("dimension").agg(F.min_by(F.struct("position", "name", "score_gap"), F.col("position"))
-                                          .alias("r")).select("dimension", "r.*"))
-    delivery_dims = first_ok.crossJoin(g.select(F.lit(1).alias("_x"))).select(
-        F.lit("delivery-review").alias("task"),
+        .alias("e")).select(*by, "task", "e.*")
+    first_ok = (strata.filter("comparison_eligible").select(*by, "dimension", "name", "position", "score_gap").distinct()
+                .groupBy(*by, "dimension").agg(F.min_by(F.struct("position", "name", "score_gap"), F.col("position"))
+                                          .alias("r")).select(*by, "dimension", "r.*"))
+    delivery_dims = meet(first_ok, g.select(*by, F.lit(1).alias("_x"))).select(
+        *by, F.lit("delivery-review").alias("task"),
         F.concat(F.col("dimension"), F.lit(" "), F.col("name").cast("string"), F.lit(" score_gap")).alias("label"),
         F.concat(F.lit("/delivery/strata/"), F.col("dimension"), F.lit("/"), F.col("position").cast("string"),
                  F.lit("/score_gap")).alias("pointer"),

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..params import QUALITY_FLAGS
+from ..sources.landing import RECORD
 
 STAR_TABLES = ("dim_customer", "dim_product", "dim_seller", "fact_order", "fact_item", "agg_day", "customer_first")
 
@@ -51,8 +52,10 @@ def fold_payments_per_order(payments: DataFrame) -> DataFrame:
 
 
 def latest_review_per_order(reviews: DataFrame) -> DataFrame:
-    """Score of the latest review by (answered, created, review_id); ties end on the score (no input order exists)."""
-    rank = F.struct("answered_at", "created_at", "review_id", "review_score")
+    """Score of the latest review by (answered, created, review_id), of equal ones the last record of the input. Tables
+    that carry no record places end on the score."""
+    last = RECORD if RECORD in reviews.columns else "review_score"
+    rank = F.struct("answered_at", "created_at", "review_id", last)
     return reviews.groupBy("order_id").agg(F.max_by("review_score", rank).cast("int").alias("review_score"),
                                            F.count(F.lit(1)).cast("int").alias("review_count"))
 

@@ -93,6 +93,12 @@ def q_order_list(spark, sf_dir):
         .withColumn("quality_flags", F.array_join("quality_flags", ","))
 
 
+def q_order_list_deep(spark, sf_dir):
+    """A page behind thousands of rows, found from counts."""
+    return dash.order_list(_scope(spark, sf_dir), page=400, page_size=10) \
+        .withColumn("quality_flags", F.array_join("quality_flags", ","))
+
+
 def q_order_list_after(spark, sf_dir):
     """Keyset page: the 20 rows after (1998-07-15, order 30000) in purchase day desc, order id order."""
     return dash.order_list_after(_scope(spark, sf_dir), date(1998, 7, 15), 30000, page_size=20) \
@@ -131,6 +137,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "score_histogram": _on_scope(dash.score_histogram),
     "fulfilment_summary_filtered": _on_scope(dash.fulfilment_summary, FILTERED),
     "order_list": q_order_list,
+    "order_list_deep": q_order_list_deep,
     "order_detail_items": q_order_detail_items,
     "category_values": q_category_values,
     "state_values": q_state_values,
@@ -299,11 +306,34 @@ QUERIES.update({
 })
 
 
+# ---- every bucket against its comparison window -----------------------------------------------------------------
+from ..operators import buckets as bk  # noqa: E402
+
+# Starts and ends inside a week and a month, so that cut buckets compare with days of equal number.
+BUCKETS = ScopeParams(date(1996, 2, 14), date(2000, 11, 9))
+
+
+def _bucket(fn, grain, *args, params=BUCKETS):
+    def run(spark, sf_dir):
+        st = star(spark, sf_dir)
+        return fn(st, params, grain, _cov(st), *args)
+    return run
+
+
+QUERIES.update({
+    **{f"comparison_by_bucket_{g}": _bucket(bk.comparison_by_bucket, g, params=HISTORY) for g in ("day", "week", "month")},
+    "comparison_by_bucket_cut": _bucket(bk.comparison_by_bucket, "month"),
+    "contributions_by_bucket_category": _bucket(bk.contributions_by_bucket, "week", "category"),
+    "contributions_by_bucket_state": _bucket(bk.contributions_by_bucket, "month", "state", params=HISTORY),
+})
+
+
 # ---- audit ------------------------------------------------------------------------------------------------------
 from ..operators import audit as au  # noqa: E402
 from ..operators import checks as ck  # noqa: E402
 from ..session import ensure_checkpoint_dir  # noqa: E402
-from ..sources.landing import AUDIT_FILES, CORRUPT, read_landing, write_landing  # noqa: E402
+from ..schema import FIELD_NAMES  # noqa: E402
+from ..sources.landing import AUDIT_FILES, CORRUPT, read_landing, record_counts, write_landing  # noqa: E402
 from ..sources.testdata import landing_model  # noqa: E402
 
 HORIZON = "2001-01-01 00:00:00"  # generated ship dates run to 2001-11
@@ -370,38 +400,23 @@ QUERIES.update({
 
 # ---- publishing -------------------------------------------------------------------------------------------------
 from ..plans import publish as pub  # noqa: E402
+from ..sources.work_tables import WorkFolder  # noqa: E402
 
 PRESETS = [("history", date(1995, 1, 1), date(2001, 12, 31), "", ""),
            ("month", date(1998, 7, 1), date(1998, 7, 31), "", ""),
            ("month_category_state", date(1998, 7, 1), date(1998, 7, 31), "STANDARD", "NATION_7"),
            ("month_state", date(1998, 6, 1), date(1998, 6, 30), "", "NATION_3"),
-           ("no_state", date(1998, 7, 1), date(1998, 7, 31), "", "XX")]
-
-
-def q_preset_kpis(spark, sf_dir):
-    return pub.preset_kpis(star(spark, sf_dir), pub.preset_table(spark, PRESETS))
-
-
-def q_preset_trend_month(spark, sf_dir):
-    return pub.preset_trend(star(spark, sf_dir), pub.preset_table(spark, PRESETS), "month")
-
-
-def q_preset_customers(spark, sf_dir):
-    return pub.preset_customers(star(spark, sf_dir), pub.preset_table(spark, PRESETS))
-
-
-def q_preset_segments(spark, sf_dir):
-    return pub.preset_segments(star(spark, sf_dir), pub.preset_table(spark, PRESETS), TEST_PROFILE.rfm)
-
-
-def q_preset_report_headline(spark, sf_dir):
-    st = star(spark, sf_dir)
-    return pub.preset_report_headline(st, pub.preset_table(spark, PRESETS), _cov(st))
+           ("no_state", date(1998, 7, 1), date(1998, 7, 31), "", "XX"),
+           ("edge", date(1995, 12, 27), date(1996, 3, 5), "", "")]  # begins before the coverage, cuts weeks and months
 
 
-def q_preset_contributions(spark, sf_dir):
-    st = star(spark, sf_dir)
-    return pub.preset_contributions(st, pub.preset_table(spark, PRESETS), _cov(st))
+def _preset_section(name):
+    """One published section of all presets; its work tables lie in the shared folder until its owner removes them."""
+    def run(spark, sf_dir):
+        st = star(spark, sf_dir)
+        work = WorkFolder(spark, f"preset-{name}")
+        return pub.preset_sections(st, pub.preset_table(spark, PRESETS), work, _cov(st), TEST_PROFILE.rfm, TEST_PROFILE.anomaly, [name])[name]
+    return run
 
 
 def q_cross_view_consistency(spark, sf_dir):
@@ -412,16 +427,11 @@ def q_cross_view_consistency(spark, sf_dir):
                                                CUSTOMER_YEAR).select("revenue_cents"),
               "categories": dash.rank_categories(sc).agg(F.sum("revenue_cents").alias("revenue_cents")),
               "regions": dash.rank_regions(sc).agg(F.sum("revenue_cents").alias("revenue_cents"))}
-    return pub.cross_view_consistency(totals).select("distinct_totals", "consistent")
+    return pub.cross_view_consistency(totals).select("distinct_totals", "consistent", F.inline("views"))
 
 
 QUERIES.update({
-    "preset_kpis": q_preset_kpis,
-    "preset_trend_month": q_preset_trend_month,
-    "preset_customers": q_preset_customers,
-    "preset_segments": q_preset_segments,
-    "preset_report_headline": q_preset_report_headline,
-    "preset_contributions": q_preset_contributions,
+    **{f"preset_{name}": _preset_section(name) for name in pub.SNAPSHOT_SECTIONS},
     "cross_view_consistency": q_cross_view_consistency,
 })
 
@@ -439,8 +449,11 @@ def q_kpis_from_raw(spark, sf_dir):
 
 
 def q_verify_kpis_from_raw(spark, sf_dir):
-    diffs = vf.verify_kpis_from_raw(landing_model(spark, sf_dir), star(spark, sf_dir), VERIFY_SCOPES)
-    return diffs.agg(F.count(F.lit(1)).alias("difference_rows"))
+    """Per scope the warehouse's order count and the number of differences to the raw recomputation."""
+    L, st = landing_model(spark, sf_dir), star(spark, sf_dir)
+    diffs = vf.verify_kpis_from_raw(L, st, VERIFY_SCOPES).groupBy("scope").agg(F.count(F.lit(1)).alias("difference_rows"))
+    counts = _union([dash.kpis(build_scope(st, p)).select(F.lit(name).alias("scope"), "order_count") for name, p in VERIFY_SCOPES.items()])
+    return counts.join(diffs, "scope", "left").fillna(0, ["difference_rows"])
 
 
 QUERIES.update({
@@ -449,6 +462,38 @@ QUERIES.update({
 })
 
 
+from ..plans import verify_snapshots as vs  # noqa: E402
+
+
+def _verify_sections(names):
+    """Published sections of six scopes against a second formulation from landing text, with the rows that were compared."""
+    def run(spark, sf_dir):
+        st, work = star(spark, sf_dir), WorkFolder(spark, "verify")
+        presets, cov = pub.preset_table(spark, PRESETS), _cov(st)
+        published = pub.preset_sections(st, presets, work, cov, TEST_PROFILE.rfm, TEST_PROFILE.anomaly, names)
+        raw = vs.RawSections(landing_model(spark, sf_dir), presets, cov, work, TEST_PROFILE.rfm, TEST_PROFILE.anomaly)
+        return vs.verify_from_raw(published, raw, names)
+    return run
+
+
+def q_verify_snapshots(spark, sf_dir):
+    """Every section published, read back, and compared with a fresh recomputation by digests."""
+    st, work = star(spark, sf_dir), WorkFolder(spark, "verify-published")
+    presets, cov = pub.preset_table(spark, PRESETS), _cov(st)
+    pub.publish_snapshots(spark, st, presets, f"{work.path}/published", cov, TEST_PROFILE.rfm, TEST_PROFILE.anomaly)
+    fresh = pub.preset_sections(st, presets, work, cov, TEST_PROFILE.rfm, TEST_PROFILE.anomaly)
+    written = vs.read_sections(spark, f"{work.path}/published", {name: df.schema for name, df in fresh.items()})
+    return vs.verify_published(written, fresh, presets)
+
+
+QUERIES.update({
+    "verify_dashboard_from_raw": _verify_sections(vs.DASHBOARD),
+    "verify_customers_from_raw": _verify_sections(vs.CUSTOMERS),
+    "verify_reports_from_raw": _verify_sections(vs.REPORTS),
+    "verify_snapshots": q_verify_snapshots,
+})
+
+
 # ---- sample pair ------------------------------------------------------------------------------------------------
 from ..sources import sample as smp  # noqa: E402
 
@@ -500,38 +545,62 @@ def q_verify_sections_from_raw(spark, sf_dir):
 QUERIES["verify_sections_from_raw"] = q_verify_sections_from_raw
 
 
-# Columns compared after the round trip: all but those whose text is a floating-point number.
+# Columns compared after the round trip: every landing column but those whose text is a floating-point number.
 ROUNDTRIP_COLUMNS = {
-    "orders": ("order_id", "customer_id", "order_status", "order_purchase_timestamp", "order_delivered_carrier_date",
+    "orders": ("order_id", "customer_id", "order_status", "order_purchase_timestamp", "order_approved_at", "order_delivered_carrier_date",
                "order_delivered_customer_date", "order_estimated_delivery_date"),
-    "items": ("order_id", "order_item_id", "product_id", "seller_id", "price", "freight_value"),
+    "items": ("order_id", "order_item_id", "product_id", "seller_id", "shipping_limit_date", "price", "freight_value"),
     "payments": ("order_id", "payment_sequential", "payment_type", "payment_installments", "payment_value"),
     "reviews": ("review_id", "order_id", "review_score", "review_comment_title", "review_comment_message",
                 "review_creation_date", "review_answer_timestamp"),
     "customers": ("customer_id", "customer_unique_id", "customer_zip_code_prefix", "customer_city", "customer_state"),
     "sellers": ("seller_id", "seller_zip_code_prefix", "seller_city", "seller_state"),
-    "products": ("product_id", "product_category_name", "product_name_lenght", "product_length_cm"),
+    "products": ("product_id", "product_category_name", "product_name_lenght", "product_description_lenght", "product_photos_qty",
+                 "product_length_cm", "product_height_cm", "product_width_cm"),
     "translation": ("product_category_name", "product_category_name_english"),
     "geolocation": ("geolocation_zip_code_prefix", "geolocation_city", "geolocation_state"),
 }
 
 
-def q_landing_roundtrip(spark, sf_dir):
-    """Every landing table written as CSV, with review messages that hold line breaks, quotes, commas and a final
-    backslash, read back and digested: rows, rows of a wrong width, and a sum of hashes that ignores the order."""
+def _written_landing(spark, sf_dir, folder):
+    """The landing tables as CSV, with review messages that hold line breaks, quotes, commas and a final backslash."""
     landing = landing_model(spark, sf_dir)
     landing["reviews"] = landing["reviews"].withColumn("review_comment_message", F.concat(
         F.lit('line "'), F.col("review_id"), F.lit('", one\n'), F.col("order_id"), F.lit("\\")))
-    folder = f"{ensure_checkpoint_dir(spark)}/landing-{uuid.uuid4().hex}"
+    landing["customers"] = landing["customers"].drop("c_acctbal", "c_mktsegment")
     write_landing(landing, folder, AUDIT_FILES)
-    back = read_landing(spark, folder, AUDIT_FILES)
+
+
+def q_landing_roundtrip(spark, sf_dir):
+    """Every landing table written, read back and digested: rows, rows of a wrong width, records that the independent counter
+    finds, files that end inside quotes, and a sum of hashes that ignores the order."""
+    folder = f"{ensure_checkpoint_dir(spark)}/landing-{uuid.uuid4().hex}"
+    _written_landing(spark, sf_dir, folder)
+    back = read_landing(spark, folder, AUDIT_FILES, FIELD_NAMES)
     parts = []
     for name, columns in ROUNDTRIP_COLUMNS.items():
-        digest = F.conv(F.substring(F.md5(F.concat_ws("|", *columns)), 1, 8), 16, 10).cast("bigint")
+        text = F.concat_ws("|", *[F.coalesce(F.col(c), F.lit("<null>")) for c in columns])
+        digest = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
+        counted = record_counts(spark, back.paths[name]).agg(
+            F.sum(F.col("records") - 1).alias("counted_records"), F.count_if("unclosed").alias("unclosed_files"))
         parts.append(back[name].select(*columns, CORRUPT).agg(
             F.count(F.lit(1)).alias("row_count"), F.count_if(F.col(CORRUPT).isNotNull()).alias("wrong_width_rows"),
-            F.sum(digest).alias("content_sum")).select(F.lit(name).alias("table"), "*"))
+            F.sum(digest).alias("content_sum")).crossJoin(counted).select(F.lit(name).alias("table"), "*"))
     return _union(parts)
 
 
 QUERIES["landing_roundtrip"] = q_landing_roundtrip
+
+
+def q_staged_violations(spark, sf_dir):
+    """The load's constraints as its staging pass finds them: row rules observed while the text is written, keys from one
+    aggregate each; the same table as ``landing_violations``."""
+    from .load import stage, staged_violations
+    work = WorkFolder(spark, "staged")
+    staged, observed = stage(spark, {n: df for n, df in landing_model(spark, sf_dir).items() if n != "geolocation"}, work.path)
+    rows = [tuple(r[c] for c in ("constraint", "table", "column", "n", "sample_key")) for r in staged_violations(staged, observed)]
+    found = spark.createDataFrame(rows, "constraint string, table string, column string, n bigint, sample_key string")
+    return found.unionByName(ck.key_violations(staged))
+
+
+QUERIES["staged_violations"] = q_staged_violations

@@ -3,18 +3,17 @@ declared section contract, manifest (bytes, sha256, rows), report JSON sink, and
 from __future__ import annotations
 
 import json
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
-from ..operators import customers as cu
-from ..operators import diagnosis as dg
-from ..operators.scope import coverage_from_daily, coverage_window, period_start
-from ..operators.warehouse import customer_first
-from ..params import RfmRules
+from ..operators.scope import coverage_from_daily, coverage_window
+from ..params import AnomalyRules, RfmRules
 from ..sources.warehouse_store import write_text
+from ..sources.work_tables import WorkFolder
+from .snapshots import SECTIONS, Snapshots
 
 # Keys of persons, orders and free text that must never leave the warehouse in a published aggregate
 # (product ids may: rankings name them), and endings that mark more of the kind.
@@ -22,8 +21,7 @@ DENYLIST = frozenset({"order_id", "customer_id", "customer_unique_id", "seller_i
                       "customer_city", "address", "email", "phone", "payment_sequential", "review_text", "review_body",
                       "geolocation_lat", "geolocation_lng", "review_comment_title", "review_comment_message"})
 DENIED_ENDINGS = ("zip_code_prefix", "_city", "_address", "_email", "_phone")
-SNAPSHOT_SECTIONS = ("kpis", "trend_day", "trend_week", "trend_month", "customers", "segments", "report_headline",
-                     "contributions")
+SNAPSHOT_SECTIONS = SECTIONS
 
 
 class PublishRefused(ValueError):
@@ -92,189 +90,41 @@ def preset_table(spark: SparkSession, presets: list[tuple]) -> DataFrame:
     return with_comparison(spark.createDataFrame(presets, PRESET_SCHEMA))
 
 
-def _in_range(fact: DataFrame, bounds) -> DataFrame:
-    """Month-folder filter (stored facts are partitioned by purchase month) plus the day range where present."""
-    if bounds is None or bounds["lo"] is None:
-        return fact
-    if "purchase_month" in fact.columns:
-        fact = fact.filter(F.col("purchase_month").between(F.lit(bounds["lo"].replace(day=1)),
-                                                           F.lit(bounds["hi"].replace(day=1))))
-    if "purchase_date" in fact.columns:
-        fact = fact.filter(F.col("purchase_date").between(F.lit(bounds["lo"]), F.lit(bounds["hi"])))
-    return fact
-
-
-def preset_scope(star: dict[str, DataFrame], presets: DataFrame, widen: bool = False) -> tuple[DataFrame, DataFrame]:
-    """Scoped items and orders for EVERY preset at once, tagged ``period`` (current / previous / history).
-
-    Each preset is expanded to the months it spans (from ``prev_start`` when ``widen``); orders meet that table
-    with an equi join on the purchase month (the stored partition column, so dynamic partition pruning applies),
-    and only then the day range and state test run. The preset-month table is bounded by the presets' spans, not
-    by the data, so it is broadcast."""
-    lo = F.col("prev_start") if widen else F.col("start")
-    pm = F.broadcast(presets.select(
-        "preset", "start", "end", "prev_start", "prev_end", F.col("state").alias("_state"),
-        F.col("category").alias("_want"),
-        F.explode(F.sequence(F.trunc(lo, "month"), F.trunc("end", "month"), F.expr("interval 1 month")))
-        .alias("_month")))
-    # the presets' overall day range (one row of parameters) prunes month folders of both facts statically
-    bounds = presets.agg(F.min(lo).alias("lo"), F.max("end").alias("hi")).first()
-    fo = _in_range(star["fact_order"], bounds).filter(F.col("status") == "delivered")
-    fo = fo.withColumn("_month", F.col("purchase_month") if "purchase_month" in fo.columns
-                       else F.trunc("purchase_date", "month"))
-    fo = fo.join(star["dim_customer"].select("customer_id", "customer_unique_id", "state"), "customer_id")
-    orders = fo.join(pm, "_month").filter(
-        F.col("purchase_date").between(lo, F.col("end")) & ((F.col("_state") == "") | (F.col("_state") == F.col("state"))))
-    period = (F.when(F.col("purchase_date") >= F.col("start"), F.lit("current"))
-              .when(F.col("purchase_date").between(F.col("prev_start"), F.col("prev_end")), F.lit("previous"))
-              .otherwise(F.lit("history")))
-    orders = orders.withColumn("period", period).drop("_month", "_state")
-    prod = star["dim_product"].select("product_id", "category")
-    items = _in_range(star["fact_item"], bounds).join(prod, "product_id").join(
-        orders.select("order_id", "preset", "_want", "period"), "order_id")
-    items = items.filter((F.col("_want") == "") | (F.col("_want") == F.col("category"))).drop("_want")
-    totals = items.groupBy("preset", "order_id").agg(F.sum("price_cents").alias("scoped_revenue_cents"),
-                                                     F.count(F.lit(1)).alias("scoped_item_count"))
-    return items, orders.drop("_want").join(totals, ["preset", "order_id"])
-
-
-def preset_kpis(star, presets: DataFrame) -> DataFrame:
-    _, orders = preset_scope(star, presets)
-    agg = orders.groupBy("preset").agg(
-        F.count(F.lit(1)).alias("order_count"), F.sum("scoped_revenue_cents").alias("revenue_cents"),
-        F.sum("scoped_item_count").alias("item_count"), F.countDistinct("customer_unique_id").alias("customer_count"))
-    return presets.select("preset").join(agg, "preset", "left").select(
-        "preset", *[F.coalesce(c, F.lit(0).cast("bigint")).alias(c)
-                    for c in ("order_count", "revenue_cents", "item_count", "customer_count")])
-
-
-def preset_trend(star, presets: DataFrame, grain: str) -> DataFrame:
-    """Observed buckets per preset (the dense, coverage-aware calendar is applied per preset on read)."""
-    _, orders = preset_scope(star, presets)
-    return orders.groupBy("preset", period_start("purchase_date", grain).alias("period")).agg(
-        F.sum("scoped_revenue_cents").alias("revenue_cents"), F.count(F.lit(1)).alias("order_count"))
-
-
-def preset_customer_window(star, presets: DataFrame) -> DataFrame:
-    """Per (preset, stable customer): first_day, last_day, frequency, monetary, recency to the preset end.
-
-    The first purchase is the customer's first delivered purchase overall: a customer in a preset window bought
-    on or before its end, so the minimum up to the end equals the overall minimum (one aggregate serves every
-    preset, and category/state filters never touch it)."""
-    _, orders = preset_scope(star, presets)
-    first = star["customer_first"] if "customer_first" in star else \
-        customer_first(star["fact_order"], star["dim_customer"])
-    per = orders.groupBy("preset", "start", "end", "customer_unique_id").agg(
-        F.max("purchase_date").alias("last_day"), F.count(F.lit(1)).alias("frequency"),
-        F.sum("scoped_revenue_cents").alias("monetary_cents"))
-    return per.join(first, "customer_unique_id").select(
-        "preset", "start", "customer_unique_id", "first_day", "last_day", "frequency", "monetary_cents",
-        F.datediff("end", "last_day").alias("recency_days"))
-
-
-def preset_customers(star, presets: DataFrame) -> DataFrame:
-    """Customer summary per preset; a preset without customers keeps its row (counts 0, rates NULL)."""
-    window = preset_customer_window(star, presets)
-    summary = cu.customer_summary(window, None, by=["preset"], is_new=F.col("first_day") >= F.col("start"))
-    zero = F.lit(0).cast("bigint")
-    counts = ("customer_count", "new_customers", "returning_customers", "repeat_customers", "order_count",
-              "revenue_cents")
-    return presets.select("preset").join(summary, "preset", "left").select(
-        "preset", *[F.coalesce(c, zero).alias(c) if c in counts else F.col(c) for c in summary.columns
-                    if c != "preset"])
-
-
-def preset_segments(star, presets: DataFrame, rules: RfmRules = RfmRules()) -> DataFrame:
-    """Eight RFM segments for every preset (empty presets included)."""
-    return cu.rfm_segments(preset_customer_window(star, presets), rules, by=["preset"],
-                           groups=F.broadcast(presets.select("preset")))
-
-
-def _preset_comparable(presets: DataFrame, coverage_row: DataFrame) -> DataFrame:
-    """Per preset: cov_start <= prev_start <= start and end <= cov_end (the report's comparability rule)."""
-    c = (F.col("cov_start").isNotNull() & (F.col("cov_start") <= F.col("prev_start"))
-         & (F.col("prev_start") <= F.col("start")) & (F.col("end") <= F.col("cov_end")))
-    return presets.crossJoin(F.broadcast(coverage_row)).select("*", F.coalesce(c, F.lit(False)).alias("comparable"))
-
-
-def preset_report_headline(star, presets: DataFrame, coverage_row: DataFrame) -> DataFrame:
-    """Report headline (current vs comparison window, delta, change rate, per-day revenue, exact decomposition)
-    for every preset in one job."""
-    _, orders = preset_scope(star, presets, widen=True)
-    cnt = lambda p: F.count_if(F.col("period") == p)
-    money = lambda p: F.coalesce(F.sum(F.when(F.col("period") == p, F.col("scoped_revenue_cents"))),
-                                 F.lit(0).cast("bigint"))
-    agg = orders.filter(F.col("period") != "history").groupBy("preset").agg(
-        cnt("current").alias("current_orders"), money("current").alias("current_revenue_cents"),
-        cnt("previous").alias("prev_orders"), money("previous").alias("prev_revenue_cents"))
-    zero = F.lit(0).cast("bigint")
-    j = _preset_comparable(presets, coverage_row).join(agg, "preset", "left").select(
-        "preset", "start", "end", "prev_start", "prev_end", "comparison_label", "comparable",
-        *[F.coalesce(c, zero).alias(c) for c in ("current_orders", "current_revenue_cents", "prev_orders",
-                                                 "prev_revenue_cents")])
-    prev = lambda c: F.when(F.col("comparable"), F.col(c) if isinstance(c, str) else c)
-    days = F.datediff("end", "start") + 1
-    prev_days = F.datediff("prev_end", "prev_start") + 1
-    return j.select(
-        "preset", "current_orders", "current_revenue_cents",
-        prev("prev_orders").alias("previous_orders"), prev("prev_revenue_cents").alias("previous_revenue_cents"),
-        prev(F.col("current_revenue_cents") - F.col("prev_revenue_cents")).alias("delta_cents"),
-        F.when(F.col("comparable") & (F.col("prev_revenue_cents") != 0),
-               (F.col("current_revenue_cents") - F.col("prev_revenue_cents")) / F.col("prev_revenue_cents"))
-        .alias("revenue_change_rate"),
-        (F.col("current_revenue_cents") / days).alias("daily_revenue_cents"),
-        prev(F.col("prev_revenue_cents") / prev_days).alias("previous_daily_revenue_cents"),
-        *[F.when(F.col("comparable"), c).alias(name) for c, name in zip(
-            dg.decompose_columns("current_orders", "current_revenue_cents", "prev_orders", "prev_revenue_cents"),
-            ("order_effect_cents", "aov_effect_cents"))],
-        "comparable", ((F.dayofweek("start") == 2) & (days == 7)).alias("is_calendar_week"), "comparison_label")
-
-
-def preset_contributions(star, presets: DataFrame, coverage_row: DataFrame) -> DataFrame:
-    """Category (item money) and state (order money) contributions per comparable preset, ``position`` by
-    |delta| desc, name within (preset, dimension). One scan of each grain with conditional sums."""
-    items, orders = preset_scope(star, presets, widen=True)
-    money = lambda p, c: F.coalesce(F.sum(F.when(F.col("period") == p, F.col(c))),
-                                    F.lit(0).cast("bigint"))
-    parts = []
-    for dim, src, col in (("category", items, "price_cents"), ("state", orders, "scoped_revenue_cents")):
-        parts.append(src.filter(F.col("period") != "history").groupBy("preset", F.col(dim).alias("name")).agg(
-            money("current", col).alias("current_cents"), money("previous", col).alias("previous_cents"))
-            .withColumn("dimension", F.lit(dim)))
-    agg = parts[0].unionByName(parts[1]).withColumn("delta_cents", F.col("current_cents") - F.col("previous_cents"))
-    ok = F.broadcast(_preset_comparable(presets, coverage_row).filter("comparable").select("preset"))
-    w = Window.partitionBy("preset", "dimension").orderBy(F.desc(F.abs(F.col("delta_cents"))), "name")
-    return agg.join(ok, "preset").select(
-        "preset", "dimension", "name", F.col("name").alias("label"), "current_cents", "previous_cents",
-        "delta_cents", (F.row_number().over(w) - 1).alias("position"))
-
-
-def preset_sections(star, presets: DataFrame, coverage_row: DataFrame | None = None,
-                    rules: RfmRules = RfmRules()) -> dict[str, DataFrame]:
-    """Every published section for every preset: KPIs, three trend grains, customers, RFM segments, report
-    headline and contributions (each one job over all presets)."""
+def preset_sections(star, presets: DataFrame, work: WorkFolder, coverage_row: DataFrame | None = None,
+                    rules: RfmRules = RfmRules(), anomaly: AnomalyRules = AnomalyRules(), names=SECTIONS) -> dict[str, DataFrame]:
+    """Published sections for every preset, read from the work tables of one tagged scope (see ``snapshots``)."""
     if coverage_row is None:
         coverage_row = coverage_from_daily(star["agg_day"])
-    return {"kpis": preset_kpis(star, presets),
-            **{f"trend_{g}": preset_trend(star, presets, g) for g in ("day", "week", "month")},
-            "customers": preset_customers(star, presets), "segments": preset_segments(star, presets, rules),
-            "report_headline": preset_report_headline(star, presets, coverage_row),
-            "contributions": preset_contributions(star, presets, coverage_row)}
+    return Snapshots(star, presets, coverage_row, work, rules, anomaly).sections(names)
 
 
 def publish_snapshots(spark: SparkSession, star, presets: DataFrame, path: str, coverage_row: DataFrame | None = None,
-                      rules: RfmRules = RfmRules()) -> DataFrame:
-    """Write every preset's sections (partitioned by preset), refusing identifiers; returns the manifest."""
-    sections = preset_sections(star, presets, coverage_row, rules)
-    check_publishable(sections)
-    for name, df in sections.items():
-        df.write.mode("overwrite").partitionBy("preset").option("ignoreNullFields", "false").json(
-            f"{path}/section={name}")
-    m = manifest(spark, path)
-    rows = {name: spark.read.json(f"{path}/section={name}").count() for name in sections}
+                      rules: RfmRules = RfmRules(), anomaly: AnomalyRules = AnomalyRules(), workers: int = 8) -> DataFrame:
+    """Write every section of every preset (one folder a section and preset), refusing identifiers; returns the manifest.
+
+    Rows are counted while they are written. The work tables are removed at the end, also after an error.
+    """
+    with WorkFolder(spark, "snapshots") as work:
+        sections = preset_sections(star, presets, work, coverage_row, rules, anomaly)
+        check_publishable(sections)
+        rows = write_sections(sections, path, workers)
+    files = manifest(spark, path)
     write_text(spark, f"{path}/_manifest.json", json.dumps(
-        {"rows": rows, "files": [r.asDict() for r in m.collect()]}, sort_keys=True))  # one row per written file
-    return m
+        {"rows": rows, "files": [r.asDict() for r in files.collect()]}, sort_keys=True))  # one row a section and preset
+    return files
+
+
+def write_sections(sections: dict[str, DataFrame], path: str, workers: int = 8) -> dict[str, int]:
+    """Concurrent JSON writes, one file a section and preset; NULLs stay explicit. Returns the rows of each section."""
+
+    def write(name: str) -> int:
+        seen = Observation(f"rows-{name}")
+        sections[name].observe(seen, F.count(F.lit(1)).alias("rows")).repartition("preset").write.mode("overwrite") \
+            .partitionBy("preset").option("ignoreNullFields", "false").json(f"{path}/section={name}")
+        return seen.get["rows"]
+
+    with ThreadPoolExecutor(max_workers=max(1, min(workers, len(sections)))) as pool:
+        return dict(zip(sections, pool.map(write, sections)))
 
 
 # ---- consistency ------------------------------------------------------------------------------------------------
