@@ -50,6 +50,17 @@ class Settings:
         return int(self.fine_values * differ + self.deviations * (self.fine_values * differ * (1 - differ)) ** 0.5) + 1
 
 
+def set_digests(sets: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """128-bit digest of each whole set, in two signed halves; zeros for an empty set."""
+    own = np.flatnonzero(sizes)
+    starts = (np.cumsum(sizes) - sizes)[own]
+    high, low = np.zeros(len(sizes), np.uint64), np.zeros(len(sizes), np.uint64)
+    if len(own):
+        high[own] = np.add.reduceat(mix(sets ^ np.uint64(0x5851F42D4C957F2D)), starts)
+        low[own] = np.add.reduceat(mix(sets + np.uint64(0x14057B7EF767814F)), starts)
+    return high.view(np.int64), low.view(np.int64)
+
+
 def signatures(docs: DataFrame, settings: Settings) -> DataFrame:
     """Per row: doc_id, n_shingles, set_high, set_low (128-bit digest of the whole set), signature (empty set: NULL)."""
     size, values = settings.words, settings.values
@@ -57,18 +68,12 @@ def signatures(docs: DataFrame, settings: Settings) -> DataFrame:
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in byte_slices(batches, "text", 2 << 20):
             sets, sizes = shingle_sets(batch.column("text"), size)
-            own = np.flatnonzero(sizes)
-            starts = (np.cumsum(sizes) - sizes)[own]
-            high, low = np.zeros(len(sizes), np.uint64), np.zeros(len(sizes), np.uint64)
-            if len(own):
-                high[own] = np.add.reduceat(mix(sets ^ np.uint64(0x5851F42D4C957F2D)), starts)
-                low[own] = np.add.reduceat(mix(sets + np.uint64(0x14057B7EF767814F)), starts)
+            high, low = set_digests(sets, sizes)
             signed: list = [None] * len(sizes)
-            for row, values_of in zip(own.tolist(), min_hashes(sets, sizes, values)):
+            for row, values_of in zip(np.flatnonzero(sizes).tolist(), min_hashes(sets, sizes, values)):
                 signed[row] = values_of.tobytes()
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(sizes), pa.array(high.view(np.int64)), pa.array(low.view(np.int64)),
-                 pa.array(signed, pa.binary())], names=["doc_id", "n_shingles", "set_high", "set_low", "signature"])
+                [batch.column("doc_id"), pa.array(sizes), pa.array(high), pa.array(low), pa.array(signed, pa.binary())], names=["doc_id", "n_shingles", "set_high", "set_low", "signature"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     return rows.mapInArrow(sign, "doc_id long, n_shingles long, set_high long, set_low long, signature binary")
@@ -122,9 +127,10 @@ def _shared_keys(classes: DataFrame, settings: Settings) -> DataFrame:
     return keys.join(centres, "key").select("key", "slot", "id", "n", "a", "n_a")
 
 
-def _texts(docs: DataFrame, ids: DataFrame, settings: Settings) -> DataFrame:
-    """id, text and the longer signature of the given ids."""
-    rows = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("id"), "text")
+def _texts(docs: DataFrame, classes: DataFrame, ids: DataFrame, repeats: DataFrame | None, settings: Settings) -> DataFrame:
+    """id, text and the longer signature of the given classes: of the row with a class's smallest doc_id and its set."""
+    wanted = classes.join(ids, "id", "left_semi").select("id", F.col("doc").alias("doc_id"), "set_high", "set_low")
+    rows = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in byte_slices(batches, "text", 2 << 20):
@@ -132,10 +138,17 @@ def _texts(docs: DataFrame, ids: DataFrame, settings: Settings) -> DataFrame:
             fine: list = [None] * batch.num_rows
             for row, values in zip(np.flatnonzero(sizes).tolist(), min_hashes(sets, sizes, settings.fine_values) >> 8):
                 fine[row] = values.astype(np.uint8).tobytes()
-            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("text"), pa.array(fine, pa.binary())],
-                                             names=["id", "text", "fine"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("text"), pa.array(fine, pa.binary()), *map(pa.array, set_digests(sets, sizes))],
+                names=["doc_id", "text", "fine", "set_high", "set_low"])
 
-    return rows.join(ids, "id", "left_semi").mapInArrow(sign, "id long, text string, fine binary")
+    met = rows.join(wanted.select("doc_id").distinct(), "doc_id", "left_semi").mapInArrow(
+        sign, "doc_id long, text string, fine binary, set_high long, set_low long").join(wanted, ["doc_id", "set_high", "set_low"])
+    if repeats is None:
+        return met.select("id", "text", "fine")
+    # Rows that repeat a doc_id with one text are one row here; other ids have a single row and need no shuffle for it.
+    again = met.join(repeats, "doc_id", "left_semi").groupBy("id").agg(F.first("text").alias("text"), F.first("fine").alias("fine"))
+    return met.join(repeats, "doc_id", "left_anti").select("id", "text", "fine").unionByName(again)
 
 
 def _similar_size(n: str, m: str, percent: int):
@@ -224,18 +237,18 @@ def _crossing_pairs(shared: DataFrame, classes: DataFrame, texts: DataFrame, set
     return dealt.mapInArrow(search, "a long, b long").distinct()
 
 
-def groups(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """Per row: doc_id, n_shingles, component_id (smallest doc_id reachable over links, itself included), kept.
-
-    NULL, empty and wordless texts have no shingles and are linked with nothing. Rows with equal sets form a class, so
-    copies are linked however many there are. Rows with NULL doc_id take no part in linking: component NULL, kept. Rows
-    that repeat a doc_id are one node of the links. Other columns are ignored; an empty table gives no rows.
-    """
+def _linked(docs: DataFrame, settings: Settings) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+    """(signed rows, classes, repeated doc_ids: None where no id repeats). A class is a distinct shingle set: its own id, the smallest doc_id with that
+    set as ``doc``, and ``component``, the smallest class id reachable over links between sets."""
     signed = stored(signatures(docs, settings), "signatures")
     linkable = signed.where(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
+    repeats = stored(signed.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")).where(
+        F.col("rows") > 1).select("doc_id"), "repeated-ids")
+    repeats = None if repeats.isEmpty() else repeats
+    # Classes are numbered once, where they are written: a doc_id with several texts is the smallest of several classes.
     classes = stored(linkable.groupBy("set_high", "set_low", "n_shingles").agg(
-        F.min("doc_id").alias("id"), F.first("signature").alias("signature")).withColumnRenamed("n_shingles", "n").withColumn(
-        "component", F.col("id")), "classes")
+        F.min("doc_id").alias("doc"), F.first("signature").alias("signature")).withColumnRenamed("n_shingles", "n").withColumn(
+        "id", F.monotonically_increasing_id()).withColumn("component", F.col("id")), "classes")
 
     def labelled(links: DataFrame) -> DataFrame:
         found = connected_components(links).select(F.col("node").alias("id"), F.col("component").alias("joined"))
@@ -244,21 +257,74 @@ def groups(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
 
     shared = stored(_shared_keys(classes, settings), "shared-keys")
     star = shared.where(F.col("id") != F.col("a")).where(_similar_size("n", "n_a", settings.percent))
-    texts = stored(_texts(docs, shared.select("id").distinct(), settings), "key-texts")
+    texts = stored(_texts(docs, classes, shared.select("id").distinct(), repeats, settings), "key-texts")
     links = stored(confirm(stored(star.select("a", F.col("id").alias("b")).distinct(), "star-pairs"), texts, settings), "links")
     first = labelled(links)
     crossing = stored(_crossing_pairs(shared, first, texts, settings), "crossing-pairs")
     more = stored(confirm(crossing, texts, settings), "links")
-    last = first if more.isEmpty() else labelled(links.unionByName(more))
-    of_class = stored(last.select("set_high", "set_low", F.col("n").alias("n_shingles"), "component"), "class-components")
-    joined = signed.join(of_class, ["set_high", "set_low", "n_shingles"], "left")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
+    return signed, first if more.isEmpty() else labelled(links.unionByName(more)), repeats
+
+
+_SET = ["set_high", "set_low", "n_shingles"]
+
+
+def groups(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """Per row: doc_id, n_shingles, component_id (smallest doc_id reachable over links, itself included), kept.
+
+    NULL, empty and wordless texts have no shingles and are linked with nothing. Rows with equal sets form a class, so
+    copies are linked however many there are. Rows with NULL doc_id take no part in linking: component NULL, kept. Rows
+    that repeat a doc_id with different texts are one node of the links, so their classes are reachable from each other.
+    Other columns are ignored; an empty table gives no rows.
+    """
+    signed, classes, repeats = _linked(docs, settings)
+    of_class = classes.select("set_high", "set_low", F.col("n").alias("n_shingles"), "component", "doc")
+    if repeats is not None:
+        named = signed.join(repeats, "doc_id", "left_semi").join(of_class, _SET).select("doc_id", "component").distinct()
+        ends = named.groupBy("doc_id").agg(F.min("component").alias("a"))
+        bridges = named.join(ends, "doc_id").where(F.col("a") != F.col("component")).select("a", F.col("component").alias("b")).distinct()
+        over = connected_components(bridges).select(F.col("node").alias("component"), F.col("component").alias("joined"))
+        of_class = of_class.join(over, "component", "left").withColumn("component", F.coalesce("joined", "component")).drop("joined")
+    least = of_class.groupBy("component").agg(F.min("doc").alias("least"))
+    of_class = stored(of_class.join(least, "component").select(*_SET, "least"), "class-components")
+    joined = signed.join(of_class, _SET, "left")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("least", "doc_id"))
     return joined.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
         "kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def keep_one_each(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """The smallest doc_id of each group and all rows linked with nothing. Rows that repeat a doc_id stay or go together."""
-    found = groups(docs, settings)
-    dropped = found.where(~F.col("kept")).select(F.col("doc_id").alias("dropped_id")).distinct()
-    return docs.join(dropped, docs["doc_id"].cast("long") == dropped["dropped_id"], "left_anti")
+    """One row of each group of linked texts, that of the smallest doc_id, and all rows linked with nothing.
+
+    Groups are of texts: a doc_id that repeats with different texts joins no groups, so no text goes without a similar one
+    that stays. Of rows equal in doc_id and set one stays.
+    """
+    signed, classes, repeats = _linked(docs, settings)
+    first = classes.groupBy("component").agg(F.min(F.struct("doc", "set_high", "set_low")).alias("kept"))
+    stays = stored(first.select("kept.doc", "kept.set_high", "kept.set_low"), "kept-classes")
+    own = [F.col("doc_id") == F.col("doc"), signed["set_high"] == stays["set_high"], signed["set_low"] == stays["set_low"]]
+    gone = signed.where(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0)).join(stays, own, "left_anti").select(F.col("doc_id").alias("gone"))
+    if repeats is None:
+        return docs.join(stored(gone, "dropped-ids"), docs["doc_id"].cast("long") == F.col("gone"), "left_anti")
+    once = docs.join(repeats.select(F.col("doc_id").alias("again")), docs["doc_id"].cast("long") == F.col("again"), "left_anti")
+    single = once.join(stored(gone, "dropped-ids"), once["doc_id"].cast("long") == F.col("gone"), "left_anti")
+    return single.unionByName(_kept_repeats(docs, repeats, stays, settings))
+
+
+def _kept_repeats(docs: DataFrame, repeats: DataFrame, stays: DataFrame, settings: Settings) -> DataFrame:
+    """The rows with a repeated doc_id that stay; they are told by their set, computed again for them alone."""
+    columns = docs.columns
+    some = docs.join(repeats.select(F.col("doc_id").alias("again")), docs["doc_id"].cast("long") == F.col("again"), "left_semi")
+    framed = some.select(F.struct(*[F.col(c) for c in columns]).alias("row"), F.col("doc_id").cast("long").alias("doc"), F.coalesce("text", F.lit("")).alias("text"))
+    schema = framed.select("row", "doc", F.lit(0).cast("long").alias("set_high"), F.lit(0).cast("long").alias("set_low"), F.lit(0).cast("long").alias("n")).schema
+
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in byte_slices(batches, "text", 2 << 20):
+            sets, sizes = shingle_sets(batch.column("text"), settings.words)
+            yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("doc"), *map(pa.array, set_digests(sets, sizes)), pa.array(sizes)],
+                                             names=["row", "doc", "set_high", "set_low", "n"])
+
+    signed = framed.mapInArrow(sign, schema)
+    wordless = signed.where(F.col("n") == 0).select("row")
+    one = signed.where(F.col("n") > 0).join(stays, ["doc", "set_high", "set_low"], "left_semi").groupBy("doc", "set_high", "set_low").agg(
+        F.first("row").alias("row")).select("row")
+    return wordless.unionByName(one).select("row.*")

@@ -103,6 +103,21 @@ def test_near_dedup(spark, docs, empty):
     assert near_dedup.keep_one_each(docs).columns == docs.columns
 
 
+def test_near_dedup_repeated_ids(spark):
+    a, b, near_b = "alpha " + BASE, " ".join(reversed(WORDS)), " ".join(reversed(WORDS)).replace("w9 ", "other ")
+    rows = [(1, a), (5, a), (5, b), (7, b), (9, near_b), (5, ""), (5, ""), (11, "alone one two three four five"), (11, "quite another text of its own here"),
+            (11, "alone one two three four five"), (None, b)]
+    frame = spark.createDataFrame([(*r, "s", i) for i, r in enumerate(rows)], "doc_id long, text string, source string, n long").repartition(4)
+    got = {(r.doc_id, r.component_id, r.kept) for r in near_dedup.groups(frame).collect()}
+    # a doc_id with two texts makes both reachable; its wordless rows are linked with nothing
+    assert got == {(1, 1, True), (5, 1, False), (7, 1, False), (9, 1, False), (5, 5, True), (11, 11, True), (None, None, True)}
+    kept = near_dedup.keep_one_each(frame)
+    assert kept.columns == frame.columns
+    # of each group of similar texts one row stays, so no text is lost that has no similar one
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr) == sorted([
+        (1, a), (5, b), (5, ""), (5, ""), (11, "alone one two three four five"), (11, "quite another text of its own here"), (None, b)], key=repr)
+
+
 def test_near_dedup_against_brute_force(spark):
     rng = np.random.default_rng(3)
     texts = {}
