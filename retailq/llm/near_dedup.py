@@ -6,7 +6,7 @@ pigeonhole principle some chunk of such a pair has at most one differing value (
 left out once, some key of that chunk is the same in both. Pairs further apart are found as well where a chunk allows it; at
 s = 0.85 no chunk does with a probability of about 1e-6.
 
-Sets that share a key are not paired with each other. Every key's sets are first compared with its smallest id; what that
+Sets that share a key are not paired with each other. Every key's sets are first compared with that of its smallest doc_id; what that
 links becomes a component. Only keys that still hold two components or more are then searched whole, in square cells of
 bounded size, for pairs across components. There a longer signature (512 values of 8 bits) tells which pairs can reach the
 similarity: those within five deviations of its estimate (a miss has a probability below 1e-6) are confirmed on the whole
@@ -104,7 +104,7 @@ def first_slot(differ: np.ndarray, chunks: int) -> np.ndarray:
 
 
 def _keys(classes: DataFrame, settings: Settings) -> DataFrame:
-    """key, slot (its place among a signature's keys), id, n: one row for each key of each class."""
+    """key, slot (its place among a signature's keys), id, n, doc: one row for each key of each class."""
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for begin in range(0, whole.num_rows, 4096):
@@ -112,18 +112,19 @@ def _keys(classes: DataFrame, settings: Settings) -> DataFrame:
                 values = np.frombuffer(b"".join(batch.column("signature").to_pylist()), np.uint16).reshape(-1, settings.values)
                 keys = chunk_keys(values, settings.chunks)
                 slots = np.tile(np.arange(keys.shape[1], dtype=np.int32), len(keys))
-                again = [np.repeat(batch.column(c).to_numpy(), keys.shape[1]) for c in ("id", "n")]
+                again = [np.repeat(batch.column(c).to_numpy(), keys.shape[1]) for c in ("id", "n", "doc")]
                 yield pa.RecordBatch.from_arrays([pa.array(keys.reshape(-1)), pa.array(slots), *map(pa.array, again)],
-                                                 names=["key", "slot", "id", "n"])
+                                                 names=["key", "slot", "id", "n", "doc"])
 
-    return classes.select("id", "n", "signature").mapInArrow(emit, "key long, slot int, id long, n long")
+    return classes.select("id", "n", "doc", "signature").mapInArrow(emit, "key long, slot int, id long, n long, doc long")
 
 
 def _shared_keys(classes: DataFrame, settings: Settings) -> DataFrame:
-    """The keys that several ids have: key, slot, id, n, and the key's smallest id as a with its n_a."""
+    """The keys that several ids have: key, slot, id, n, and as a with its n_a the key's id of the smallest doc_id: the text
+    that came first, which most of its later copies are nearest to, so copies that share many keys share one centre."""
     keys = _keys(classes, settings)
-    centres = stored(keys.groupBy("key").agg(F.min(F.struct("id", "n")).alias("least"), F.max("id").alias("greatest")).where(
-        F.col("least.id") < F.col("greatest")).select("key", F.col("least.id").alias("a"), F.col("least.n").alias("n_a")), "key-centres")
+    centres = stored(keys.groupBy("key").agg(F.min(F.struct("doc", "id", "n")).alias("least"), F.min("id").alias("low"), F.max("id").alias("high")).where(
+        F.col("low") < F.col("high")).select("key", F.col("least.id").alias("a"), F.col("least.n").alias("n_a")), "key-centres")
     return keys.join(centres, "key").select("key", "slot", "id", "n", "a", "n_a")
 
 
