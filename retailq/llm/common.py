@@ -72,13 +72,23 @@ def byte_slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 8 <
 def sampled_ids(rows: DataFrame, group: str, most: int | Column) -> DataFrame:
     """doc_id and group of up to ``most`` rows of each group: those with the smallest hash of doc_id.
 
-    Each group is first thinned, by its counted size, to about four times that many rows, so that ranking a large group
-    takes no task more rows than a small one. There are few groups (languages, classes): one row each is broadcast.
+    Each group is first thinned, by its counted size, to about four times that many rows. A histogram of their hashes then
+    tells below which place all rows belong to the sample, and only the rows of the one part that holds the last place are
+    ranked. So no task orders a group's rows, and there are few groups (languages, classes): PARTS rows each are broadcast.
     """
     most = F.lit(most) if isinstance(most, int) else most
     place = F.shiftrightunsigned(F.xxhash64("doc_id"), 1)
     sizes = rows.groupBy(group).agg(F.count(F.lit(1)).alias("group_rows")).select(
         group, (most * 4.0 / F.col("group_rows") * float(2 ** 63)).alias("bound"))
     thin = rows.select("doc_id", group).join(F.broadcast(sizes), group).withColumn("place", place).where(F.col("place") < F.col("bound"))
-    rank = F.row_number().over(Window.partitionBy(group).orderBy("place", "doc_id"))
-    return thin.withColumn("rank", rank).where(F.col("rank") <= most).select("doc_id", group)
+    thin = thin.select("doc_id", group, "place", F.floor(F.col("place") / F.least("bound", F.lit(float(2 ** 63))) * PARTS).alias("part"))
+    counts = thin.groupBy(group, "part").agg(F.count(F.lit(1)).alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.partitionBy(group).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    found = counts.withColumn("room", most - before).where(F.col("room") > 0).select(group, "part", "room", (F.col("n") <= F.col("room")).alias("whole"))
+    met = thin.join(F.broadcast(found), [group, "part"])
+    rank = F.row_number().over(Window.partitionBy(group, "part").orderBy("place", "doc_id"))
+    last = met.where(~F.col("whole")).withColumn("rank", rank).where(F.col("rank") <= F.col("room"))
+    return met.where("whole").select("doc_id", group).unionByName(last.select("doc_id", group))
+
+
+PARTS = 256

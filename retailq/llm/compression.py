@@ -1,17 +1,8 @@
 """Zstandard compressors over dictionaries, made for comparing lengths: no header fields, one level."""
 from __future__ import annotations
 
-import re
-
 import zstandard
 
-# What ``common.letters_only`` does in Spark, for texts that are already in Python.
-_OTHERS = re.compile(r"[\W\d_]+")
-
-
-def plain_letters(text: str | None) -> str:
-    return _OTHERS.sub(" ", (text or "").lower()).strip()
-
 
 def compressor(content: bytes, level: int, min_match: int = 0) -> zstandard.ZstdCompressor:
     """A compressor whose history begins with the raw content."""

@@ -1,4 +1,8 @@
-"""Language identification by compression: the language whose raw-content dictionary encodes the text shortest."""
+"""Language identification by compression: the language whose raw-content dictionary encodes the text shortest.
+
+A language's dictionary holds every sampled text of it: each gives the same number of bytes, as word-aligned pieces spread over
+the whole text, and texts stand in the order of a hash. So no text, however long or early in any order, crowds out others.
+"""
 from __future__ import annotations
 
 import pickle
@@ -18,8 +22,9 @@ UNKNOWN = "und"
 @dataclass(frozen=True)
 class Settings:
     docs_per_language: int = 600      # bound of the training sample, per language
-    chars_per_doc: int = 1024         # and of each sampled document
-    dictionary_bytes: int = 110_000   # most raw content of a language
+    held_out_docs: int = 300          # further rows, per language, whose margins tell what a narrow one is
+    dictionary_bytes: int = 110_000   # raw content of a language, shared equally by its sampled texts
+    piece: int = 48                   # bytes of a piece, about
     level: int = 9
     window: int = 512                 # bytes encoded at a time, so that the dictionary decides and not the text itself
     close: float = 0.02               # margins below this are judged again, with a stronger level and short windows
@@ -63,27 +68,81 @@ class LanguageModel:
         return ranked[0][1], 1.0 - ranked[0][0] / ranked[1][0] if len(ranked) > 1 else 1.0
 
 
+def pieces(letters: str, share: int, size: int) -> bytes:
+    """``share`` bytes of the text, about: all of it, or whole words at evenly spread places, as many pieces as fit."""
+    data = letters.encode()
+    if len(data) <= share:
+        return data
+    count = max(1, share // (size + 1))
+    out = []
+    for i in range(count):
+        at = (2 * i + 1) * (len(data) - size) // (2 * count)
+        begin = data.rfind(b" ", 0, at + 1) + 1  # back to the word's begin
+        end = data.find(b" ", begin + size)
+        out.append(data[begin:end if 0 <= end <= begin + 2 * size else begin + size])
+    return b" ".join(out)
+
+
 def fit(docs: DataFrame, learnable: Column | None = None, settings: Settings = Settings()) -> LanguageModel:
     """Dictionaries from a bounded sample: up to ``docs_per_language`` rows of each language, by a hash of doc_id.
 
-    Rows with NULL lang, text or doc_id teach nothing. The sample is picked without its texts, then met with the
-    table again through a broadcast of that bound.
+    Rows with NULL lang, text or doc_id teach nothing, nor do letterless texts. The sample is picked without its texts, then
+    met with the table again through a broadcast of that bound; whole texts stay on the executors, which cut the pieces.
+    Texts that are equal in letters teach once.
     """
     s = settings
-    rows = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull())
+    rows = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").isNotNull())
     rows = rows.where(learnable) if learnable is not None else rows
-    picked = sampled_ids(rows, "lang", s.docs_per_language)
-    sample = docs.select("doc_id", "text", "lang").join(F.broadcast(picked), ["doc_id", "lang"], "left_semi").where(
-        F.col("text").isNotNull()).select(
-        "lang", F.substring(letters_only(F.substring("text", 1, 2 * s.chars_per_doc)), 1, s.chars_per_doc).alias("letters"))
-    texts: dict[str, dict[bytes, None]] = {}
-    for lang, letters in sorted(sample.collect()):
-        texts.setdefault(lang, {})[letters.encode()] = None
-    contents = {}
-    for lang, distinct in texts.items():
-        data = b" ".join(t for t in distinct if t)
-        contents[lang] = data[:s.dictionary_bytes]
-    return LanguageModel({k: v for k, v in contents.items() if v}, s)
+    return train(_sampled(docs, sampled_ids(rows, "lang", s.docs_per_language)), s)
+
+
+def _sampled(docs: DataFrame, picked: DataFrame) -> DataFrame:
+    return docs.select("doc_id", "text", "lang").join(F.broadcast(picked), ["doc_id", "lang"], "left_semi").where(
+        F.col("text").isNotNull()).select("doc_id", "lang", letters_only(F.col("text")).alias("letters")).where(F.col("letters") != "")
+
+
+def train(sample: DataFrame, settings: Settings = Settings()) -> LanguageModel:
+    """The model of rows (lang, letters), in any order."""
+    s = settings
+    distinct = sample.groupBy("lang", F.sha2("letters", 256).alias("digest")).agg(F.first("letters").alias("letters"))
+    counts = {r["lang"]: r["rows"] for r in distinct.groupBy("lang").agg(F.count(F.lit(1)).alias("rows")).collect()}  # a row a language
+    shares = {lang: max(1, s.dictionary_bytes // rows) for lang, rows in counts.items()}
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in byte_slices(batches, "letters"):
+            found = [pieces(t, shares[lang], s.piece) for lang, t in zip(batch.column("lang").to_pylist(), batch.column("letters").to_pylist())]
+            yield pa.RecordBatch.from_arrays([batch.column("lang"), batch.column("digest"), pa.array(found, pa.binary())], names=["lang", "digest", "content"])
+
+    rows = distinct.mapInArrow(cut, "lang string, digest string, content binary").collect()  # dictionary_bytes a language, about
+    contents: dict[str, list[bytes]] = {}
+    for row in sorted(rows):  # by digest: an order that says nothing about the text
+        contents.setdefault(row["lang"], []).append(bytes(row["content"]))
+    return LanguageModel({lang: b" ".join(parts) for lang, parts in contents.items()}, s)
+
+
+def narrow_margin(docs: DataFrame, quantile: float = 0.005, settings: Settings = Settings()) -> tuple[LanguageModel, float]:
+    """A model, and the margin below which it should reject: the ``quantile`` of the margins that rows of known language have
+    which did not teach it. So about that share of ordinary texts goes, mostly the shortest, and with them most texts that are
+    half in one language and half in another.
+    """
+    s = settings
+    rows = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").isNotNull())
+    sample = _sampled(docs, sampled_ids(rows, "lang", s.docs_per_language + s.held_out_docs))
+    every = s.docs_per_language + s.held_out_docs
+    judged = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(every)) < s.held_out_docs
+    model = train(sample.where(~judged), s)
+    shared = docs.sparkSession.sparkContext.broadcast(pickle.dumps(model))
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = pickle.loads(shared.value)
+        for batch in byte_slices(batches, "letters"):
+            found = [own.predict(t) for t in batch.column("letters").to_pylist()]
+            right = [name == lang for (name, _), lang in zip(found, batch.column("lang").to_pylist())]
+            yield pa.RecordBatch.from_arrays([pa.array([m for _, m in found]), pa.array(right)], names=["margin", "right"])
+
+    margins = sample.where(judged).mapInArrow(judge, "margin double, right boolean").where("right")
+    found = margins.agg(F.percentile("margin", F.lit(quantile))).first()[0]  # a bounded sample's margins
+    return model, found or 0.0
 
 
 def identify(docs: DataFrame, model: LanguageModel, columns: list[str]) -> DataFrame:

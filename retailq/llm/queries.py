@@ -108,7 +108,8 @@ SQL: dict[str, str] = {
                      AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
         pairs AS (SELECT q.vec_id AS query_id, c.vec_id, sqrt(list_reduce(list_transform(
                           list_zip(q.e, c.e), lambda z: (z[1] - z[2]) * (z[1] - z[2])), lambda a, b: a + b)) AS score
-                  FROM v q JOIN v c ON c.vec_id <> q.vec_id AND len(c.e) = len(q.e) WHERE q.vec_id % 100 = 0),
+                  FROM (SELECT vec_id, min(e) AS e FROM v WHERE vec_id % 100 = 0 GROUP BY vec_id) q
+                  JOIN v c ON c.vec_id <> q.vec_id AND len(c.e) = len(q.e)),
         ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS rank FROM pairs)
         SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM ranked WHERE rank <= 10""",
     "op10_decontamination": f"""

@@ -126,20 +126,23 @@ def _matrix(column: pa.Array, dim: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
 
 
-def build_trees(vectors: DataFrame, rows_per_shard: int) -> DataFrame:
-    """Written table of trees: every usable vector is in one, by a hash of id and vector. Equal rows count once."""
+def build_trees(vectors: DataFrame, rows_per_shard: int, most_copies: int) -> DataFrame:
+    """Written table of trees: every usable row is in one, by a hash of id, vector and copy. Equal rows are counted first; as
+    no answer is longer than ``most_copies``, further copies of a row could stand in none."""
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
-    rows = rows.where(F.col("vec_id").isNotNull() & usable(F.col("embedding")))
+    rows = rows.where(F.col("vec_id").isNotNull() & usable(F.col("embedding"))).groupBy("vec_id", "embedding").agg(
+        F.least(F.count(F.lit(1)), F.lit(most_copies)).cast("int").alias("copies"))
+    rows = stored(rows.select("vec_id", "embedding", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy")), "vectors")
     shards = max(1, -(-rows.count() // rows_per_shard))
     dealt = rows.select("vec_id", "embedding", F.size("embedding").alias("dim"),
-                        F.pmod(F.xxhash64("vec_id", "embedding"), F.lit(shards)).cast("int").alias("shard"))
+                        F.pmod(F.xxhash64("vec_id", "embedding", "copy"), F.lit(shards)).cast("int").alias("shard"))
 
     def build(group: pa.Table) -> pa.Table:
         dim = group.column("dim")[0].as_py()
         ids = group.column("vec_id").combine_chunks().to_numpy()
         data = _matrix(group.column("embedding").combine_chunks(), dim)
-        both = np.unique(np.c_[ids.astype(np.int64).view(np.float64), data].view(np.int64), axis=0)
-        tree = Tree.build(np.ascontiguousarray(both[:, 0]), np.ascontiguousarray(both[:, 1:]).view(np.float64))
+        order = np.lexsort((*data.T[::-1], ids))  # one order whatever the rows' order was
+        tree = Tree.build(np.ascontiguousarray(ids[order]), np.ascontiguousarray(data[order]))
         return pa.table({
             "dim": pa.array([dim], pa.int32()), "shard": group.column("shard")[:1],
             "ids": pa.array([tree.ids.tobytes()], pa.binary()), "vectors": pa.array([tree.vectors.tobytes()], pa.binary()),
@@ -153,10 +156,10 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int, factor: float = 1.0,
     """The k nearest of ``vectors`` for each query: query_id, rank (from 1), vec_id, score; ties to the smaller vec_id.
 
     Vectors that are NULL, zero or hold NULL or non-finite components take no part, nor do NULL ids; vectors of another
-    dimension are no candidates. Rows with a query's id count as its own. A query id that is repeated asks once, with
-    its smallest vector. Queries go through every shard in blocks; each block keeps k candidates of a shard.
+    dimension are no candidates. Equal rows are each a candidate. Rows with a query's id count as its own. A query id that
+    is repeated asks once, with its smallest vector (component by component). Other columns are never read. Queries go through every shard in blocks; each block keeps k candidates of a shard.
     """
-    trees = build_trees(vectors, rows_per_shard)
+    trees = build_trees(vectors, rows_per_shard, k)
     asked = queries.select(F.col("vec_id").cast("long").alias("query_id"), F.col("embedding").cast("array<double>").alias("embedding"))
     asked = asked.where(F.col("query_id").isNotNull() & usable(F.col("embedding"))).groupBy("query_id").agg(
         F.min("embedding").alias("embedding"))

@@ -239,6 +239,35 @@ def test_sharding(spark, docs, empty):
     assert share[0] > 650 and share[1] < 1050
 
 
+def test_sampled_ids_are_the_smallest_hashes(spark):
+    from retailq.llm.common import sampled_ids
+    rows = spark.createDataFrame([(i, "a" if i % 3 else "b") for i in range(9000)] + [(i, "c") for i in range(5)], "doc_id long, g string").repartition(4)
+    placed = rows.select("doc_id", "g", F.shiftrightunsigned(F.xxhash64("doc_id"), 1).alias("p")).collect()
+    for most in (1, 7, 300):
+        got = {(r.g, r.doc_id) for r in sampled_ids(rows, "g", most).collect()}
+        assert got == {(g, r.doc_id) for g in "abc" for r in sorted((r for r in placed if r.g == g), key=lambda r: r.p)[:most]}
+
+
+def test_language_pieces_and_margin(spark):
+    text = " ".join(f"word{i}" for i in range(2000))
+    cut = language_id.pieces(text, 500, 48)
+    assert 300 < len(cut) < 900 and all(w in text.split() for w in cut.decode().split())
+    at = [text.index(w) for w in cut.decode().split()]
+    assert min(at) < len(text) / 8 and max(at) > len(text) * 7 / 8  # spread over the whole text
+    assert language_id.pieces("short one", 500, 48) == b"short one"
+    rng = np.random.default_rng(4)
+    vocab = {lang: ["".join(rng.choice(list(letters), 7)) for _ in range(120)] for lang, letters in (
+        ("aa", "abcdefgh"), ("bb", "ijklmnop"), ("cc", "qrstuvwx"))}
+    some = lambda lang, n: " ".join(rng.choice(vocab[lang], n))
+    rows = [(i, some(lang, 60), lang) for i, lang in enumerate(["aa", "bb", "cc"] * 200)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    model, margin = language_id.narrow_margin(frame, settings=language_id.Settings(docs_per_language=60, held_out_docs=40))
+    assert 0 < margin < 0.5
+    mixed = [(i, some(a, 30) + " " + some(b, 30), None) for i, (a, b) in enumerate([("aa", "bb"), ("bb", "cc"), ("aa", "cc")] * 10)]
+    kept = lambda r: language_id.keep_identified(spark.createDataFrame(r, "doc_id long, text string, lang string"), model, margin).count()
+    assert kept(mixed) <= 3 and kept(rows) >= 0.98 * len(rows)
+
+
 def test_language_id(spark, docs, empty):
     rng = np.random.default_rng(5)
     stems = {"aa": ["kala", "suomi", "talo", "vesi"], "bb": ["strom", "haupt", "licht", "zeit"]}
