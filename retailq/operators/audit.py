@@ -374,11 +374,6 @@ def field_dictionary(registry: DataFrame, profiles: DataFrame) -> DataFrame:
         "table", "name", "logical_type", "meaning", "domain", "missing", "distinct_nonmissing")
 
 
-def undeclared_columns(landing: dict[str, DataFrame], declared: frozenset) -> list[tuple[str, str]]:
-    """Landing columns missing from the registry (schema-only check, no data read)."""
-    return [(t, c) for t, df in landing.items() for c in df.columns if c not in declared and c != "_corrupt"]
-
-
 def audit_crosscheck(L: dict[str, DataFrame]) -> DataFrame:
     """Independent recount: missingness by a second formulation and delivered money two ways, as
     (check, actual, expected, passed) rows."""

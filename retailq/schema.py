@@ -2,7 +2,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
 
 # The 45 declared landing fields as (name, logical type / unit, meaning, domain note).
 FIELDS = [
@@ -57,16 +56,3 @@ FIELD_NAMES = frozenset(f[0] for f in FIELDS)
 
 def field_registry(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(FIELDS, "name string, logical_type string, meaning string, domain string")
-
-
-FACT_ORDER = T.StructType([
-    T.StructField("order_id", T.StringType(), False), T.StructField("customer_id", T.StringType()),
-    T.StructField("purchase_at", T.TimestampNTZType()), T.StructField("purchase_date", T.DateType()),
-    T.StructField("status", T.StringType()), T.StructField("carrier_at", T.TimestampNTZType()),
-    T.StructField("delivered_at", T.TimestampNTZType()), T.StructField("estimated_at", T.TimestampNTZType()),
-    T.StructField("revenue_cents", T.LongType()), T.StructField("freight_cents", T.LongType()),
-    T.StructField("item_count", T.IntegerType()), T.StructField("payment_cents", T.LongType()),
-    T.StructField("payment_count", T.IntegerType()), T.StructField("review_score", T.IntegerType()),
-    T.StructField("review_count", T.IntegerType()), T.StructField("delivery_seconds", T.LongType()),
-    T.StructField("is_late", T.IntegerType()), T.StructField("quality_flags", T.ArrayType(T.StringType())),
-])
