@@ -98,7 +98,7 @@ def read_csv_strings(spark: SparkSession, path: str, required: list[str] | None
 def rectangular_violations(df: DataFrame, table: str) -> DataFrame:
     """One row: rows whose field count differs from the header. The width of the data columns stands in the condition,
     so that a frame straight from the reader is parsed whole (the reader refuses a scan of the corrupt column alone)."""
-    data_cols = [c for c in df.columns if c != CORRUPT]
+    data_cols = [c for c in df.columns if c not in (CORRUPT, RECORD)]
     width = F.length(F.concat_ws("\u0001", *[F.col(c) for c in data_cols]))
     return df.agg(F.count_if(F.col(CORRUPT).isNotNull() & (width >= 0)).alias("n")).select(
         F.lit("rectangular").alias("constraint"), F.lit(table).alias("table"), F.lit("*").alias("column"), "n",
