@@ -28,9 +28,15 @@ def literal_row(df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, df.schema)
 
 
-def materialize(scope: Scope) -> None:
-    """Fill both cached grains with ONE job (orders reads the cached items), before concurrent readers start."""
-    scope.orders.count()
+def materialize(scope: Scope) -> int:
+    """Fill both cached grains with ONE job (orders reads the cached items), before concurrent readers start; the orders."""
+    return scope.orders.count()
+
+
+def _without_rows(scope: Scope) -> Scope:
+    """The same scope as local relations without rows: plans over it fold away, so an empty request runs no scans."""
+    empty = lambda df: df.sparkSession.createDataFrame([], df.schema)
+    return Scope(scope.params, empty(scope.items), empty(scope.orders))
 
 
 def _window(scope: Scope, params: ScopeParams) -> Scope:
@@ -44,8 +50,8 @@ def dashboard_sections(star: dict[str, DataFrame], params: ScopeParams, coverage
     ps, pe, label = params.comparison()
     coverage_row = literal_row(coverage_row)
     wide = build_scope(star, params.with_dates(min(ps, params.start), params.end)).persist()
-    materialize(wide)
-    cur, prev = _window(wide, params), _window(wide, params.with_dates(ps, pe))
+    read = wide if materialize(wide) else _without_rows(wide)
+    cur, prev = _window(read, params), _window(read, params.with_dates(ps, pe))
     current = dash.kpis(cur).withColumn("period", F.lit("current"))
     previous = dash.kpis(prev).withColumn("period", F.lit("previous")) \
         .crossJoin(F.broadcast(comparable_flag(coverage_row, params))).filter("comparable").drop("comparable")

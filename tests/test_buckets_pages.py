@@ -85,3 +85,15 @@ def test_pages_at_any_depth(spark, monkeypatch, kind):
     assert dashboard.order_list(scope, 61, 10).collect() == []
     plan = dashboard.order_list(scope, 60, 10)._jdf.queryExecution().executedPlan().toString()
     assert "TakeOrderedAndProject(limit=10" in plan and "offset" not in plan.lower()
+
+
+def test_empty_request_answers_every_section(spark):
+    from retailq.plans.analyses import dashboard as request
+    star, cov = warehouse_star(spark), coverage(spark)
+    got = request(star, ScopeParams("2018-07-01", "2018-07-31", state="XX"), cov)
+    assert (got["kpis"][0].order_count, got["kpis"][0].revenue_cents, got["kpis"][0].average_order_value_cents) == (0, 0, None)
+    assert got["previous"][0].order_count == 0 and len(got["trend"]) == 31 and all(r.revenue_cents == 0 for r in got["trend"])
+    assert [len(got[s]) for s in ("categories", "regions", "products", "low_volume_products")] == [0, 0, 0, 0]
+    assert got["fulfilment"][0].eligible_orders == 0 and len(got["fulfilment_groups"]) == 3 and [r.order_count for r in got["scores"]] == [0] * 5
+    full = request(star, ScopeParams("2018-07-01", "2018-07-31"), cov)
+    assert full.keys() == got.keys() and full["kpis"][0].revenue_cents == 45001
