@@ -295,3 +295,57 @@ def test_damage_in_spark_is_the_rule(spark):
     for r in df.collect():
         h = zlib.crc32(f"{r.doc_id}:{r.run}".encode())
         assert r.w == (r.run[:h % len(r.run)] + r.run[h % len(r.run) + 1:] if h % 31 == 0 else r.run)
+
+
+# ---- earlier operators ------------------------------------------------------------------------------------------
+
+def test_shard_draws_recomputed(spark):
+    """Region, rack and shard of every key from its draws, computed again in Python."""
+    import math
+
+    import xxhash
+
+    from retailq.llm import sharding
+    tree = tuple(sharding.Shard(s.region, s.rack, s.shard, 1.0 + s.shard % 3) for s in sharding.uniform_tree(3, 2, 4))
+
+    def pick(key, weights):
+        draw = lambda name: -math.log(((xxhash.xxh64_intdigest(f"{key}|{name}".encode(), seed=42) >> 11) + 0.5) * 2.0 ** -53) / weights[name]
+        return min(sorted(weights), key=lambda name: (draw(name), name))
+
+    def place(key):
+        below = lambda prefix: [s for s in tree if prefix(s)]
+        region = pick(key, {r: sum(s.weight for s in below(lambda s: s.region == r)) for r in {s.region for s in tree}})
+        rack = pick(key, {k: sum(s.weight for s in below(lambda s: s.rack == k)) for k in {s.rack for s in tree if s.region == region}})
+        leaf = pick(key, {f"{rack}/shard{s.shard}": s.weight for s in tree if s.rack == rack})
+        return int(leaf.rsplit("shard", 1)[1])
+
+    keys = [str(i) for i in range(300)] + ["null", "", "é", "a b"]
+    got = sharding.place(spark.createDataFrame([(k,) for k in keys], "key string"), "key", tree, "shard").collect()
+    assert {r.key: r.shard for r in got} == {k: place(k) for k in keys}
+
+
+def test_equal_vectors_are_each_a_candidate(spark):
+    import math
+
+    from retailq.llm import vector_search
+    rows = ([(0, [1.0, 0.0]), (0, [0.0, 2.0]), (1, [1.0, 0.1]), (3, [1.0, 0.1]), (4, None), (5, [0.0, 0.0]), (None, [1.0, 1.0]), (7, [float("nan"), 1.0])]
+            + [(2, [1.0, 0.2])] * 4 + [(100, [5.0, 5.0])] * 2)
+    df = spark.createDataFrame([(*r, 1, 2, 0.5, 9) for r in rows], "vec_id long, embedding array<double>, shard int, dim int, score double, rank int").repartition(3)
+    ok = [(i, v) for i, v in rows if i is not None and v and all(map(math.isfinite, v)) and any(v)]
+    want = []
+    for q in (0, 100):
+        own = min(v for i, v in ok if i == q)
+        near = sorted((math.dist(own, v), i) for i, v in ok if i != q)[:6]
+        want += [(q, rank, i, d) for rank, (d, i) in enumerate(near, 1)]
+    for per_shard in (2, 4096):
+        got = vector_search.nearest(df, df.where(F.col("vec_id") % 100 == 0), k=6, rows_per_shard=per_shard).collect()
+        assert sorted((r.query_id, r.rank, r.vec_id, round(r.score, 12)) for r in got) == [(a, b, c, round(d, 12)) for a, b, c, d in want]
+
+
+def test_language_held_out(spark):
+    from retailq.llm import queries
+    sf = "/root/testdata/sf0.01"
+    langs = {r.doc_id: r.lang for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang").collect()}
+    held = [r for r in queries.op8_language_id(spark, sf).collect() if r.held_out and langs[r.doc_id]]
+    right = sum(r.lang_pred == langs[r.doc_id] for r in held)
+    assert len(held) > 200 and right >= 0.98 * len(held)
