@@ -6,11 +6,11 @@ the whole text, and texts stand in the order of a hash. So no text, however long
 from __future__ import annotations
 
 import pickle
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import byte_slices, letters_only, sampled_ids
@@ -148,23 +148,31 @@ def narrow_margin(docs: DataFrame, quantile: float = 0.005, settings: Settings =
 def identify(docs: DataFrame, model: LanguageModel, columns: list[str]) -> DataFrame:
     """The named columns with lang_pred and score (the margin, 0 to 1). Whole texts; NULL or letterless: 'und', 0.
 
-    Each row is judged by itself, so repeated rows and extra columns are no case of their own.
+    Each row is judged by itself, so repeated rows and extra columns are no case of their own. Only the letters go to the
+    Python workers; the named columns, often whole texts, stay where they are.
     """
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(pickle.dumps(model))
-    # The rows' own columns travel as one struct, so that none can clash with the three that are added.
+    # The rows' own columns stand in one struct, so that none can clash with those that are added.
     framed = docs.select(F.struct(*[F.col(c) for c in columns]).alias("row"), letters_only(F.col("text")).alias("letters"))
-    schema = framed.select("row", F.lit("").alias("lang_pred"), F.lit(0.0).alias("score")).schema
+    told = framed.select("row", _judge(docs.sparkSession, [model])("letters", F.lit(0)).alias("told"))
+    return told.select("row.*", "told.lang_pred", "told.score")
 
-    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _judge(spark: SparkSession, models: list[LanguageModel]) -> Callable[..., Column]:
+    """A function of letters and a model's number: struct of lang_pred and score.
+
+    It counts as nondeterministic, so that a filter over its result does not make Spark judge each row twice.
+    """
+    shared = spark.sparkContext.broadcast(pickle.dumps(models))
+
+    @F.arrow_udf("lang_pred string, score double")
+    def judge(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         own = pickle.loads(shared.value)
-        for batch in byte_slices(batches, "letters"):
-            found = [own.predict(t) for t in batch.column("letters").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("row"), pa.array([f[0] for f in found], pa.string()),
-                 pa.array([f[1] for f in found], pa.float64())], names=["row", "lang_pred", "score"])
+        for letters, numbers in batches:
+            found = [own[n].predict(t.as_py()) for t, n in zip(letters, numbers.to_pylist())]
+            yield pa.StructArray.from_arrays(
+                [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())], names=["lang_pred", "score"])
 
-    return framed.mapInArrow(judge, schema).select("row.*", "lang_pred", "score")
+    return judge.asNondeterministic()
 
 
 def keep_identified(docs: DataFrame, model: LanguageModel, min_margin: float) -> DataFrame:
