@@ -1,7 +1,8 @@
 """Language identification by compression: the language whose raw-content dictionary encodes the text shortest.
 
-A language's dictionary holds every sampled text of it: each gives the same number of bytes, as word-aligned pieces spread over
-the whole text, and texts stand in the order of a hash. So no text, however long or early in any order, crowds out others.
+``fit`` learns from a sample. A language's dictionary holds every sampled text of it: each gives the same number of bytes, as
+word-aligned pieces spread over the whole text, and texts stand in the order of a hash. So no text, however long or early in any
+order, crowds out others. ``narrow_margin`` learns from all texts: its dictionaries hold the words that most texts have.
 """
 from __future__ import annotations
 
@@ -10,10 +11,10 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import byte_slices, letters_only, sampled_ids
+from .common import byte_slices, letters_only, sampled_ids, stored
 from .compression import compressor
 
 UNKNOWN = "und"
@@ -21,9 +22,9 @@ UNKNOWN = "und"
 
 @dataclass(frozen=True)
 class Settings:
-    docs_per_language: int = 600      # bound of the training sample, per language
-    held_out_docs: int = 300          # further rows, per language, whose margins tell what a narrow one is
-    dictionary_bytes: int = 110_000   # raw content of a language, shared equally by its sampled texts
+    docs_per_language: int = 600      # bound of fit's training sample, per language
+    held_out_docs: int = 300          # without effect: narrow_margin learns from all rows and judges all
+    dictionary_bytes: int = 110_000   # raw content of a language
     piece: int = 48                   # bytes of a piece, about
     level: int = 9
     window: int = 512                 # bytes encoded at a time, so that the dictionary decides and not the text itself
@@ -121,28 +122,83 @@ def train(sample: DataFrame, settings: Settings = Settings()) -> LanguageModel:
 
 
 def narrow_margin(docs: DataFrame, quantile: float = 0.005, settings: Settings = Settings()) -> tuple[LanguageModel, float]:
-    """A model, and the margin below which it should reject: the ``quantile`` of the margins that rows of known language have
-    which did not teach it. So about that share of ordinary texts goes, mostly the shortest, and with them most texts that are
+    """A model of all rows of known language, and the margin below which it should reject: a ``quantile`` of their margins at
+    most lies below it. So about that share of ordinary texts goes, mostly the shortest, and with them most texts that are
     half in one language and half in another.
+
+    Nothing is sampled. Dictionaries hold the words that are in most texts, counted over all of them. For the margins the
+    texts are halved by a hash of their letters, and each row is judged by a model of the other half. Rows with NULL lang or
+    text teach nothing and do not count, nor do letterless texts; nor do rows whose language is told wrongly.
     """
-    s = settings
-    rows = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").isNotNull())
-    sample = _sampled(docs, sampled_ids(rows, "lang", s.docs_per_language + s.held_out_docs))
-    every = s.docs_per_language + s.held_out_docs
-    judged = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(every)) < s.held_out_docs
-    model = train(sample.where(~judged), s)
-    shared = docs.sparkSession.sparkContext.broadcast(pickle.dumps(model))
+    known = docs.where(F.col("lang").isNotNull() & F.col("text").rlike(r"[\p{L}\p{M}]")).select(
+        "lang", letters_only(F.col("text")).alias("letters"))
+    first, second, whole = counted_models(stored(_word_counts(known), "language-words"), settings)
+    told = known.select("lang", _judge(docs.sparkSession, [second, first])("letters", _half()).alias("told"))
+    right = told.where(F.col("told.lang_pred") == F.col("lang")).select("told.score")
+    if len(whole.contents) > 1:  # a half with one language only has nothing to compare, and tells it with a margin of 1
+        right = right.where("score < 1")
+    margins = stored(right, "language-margins")
+    return whole, _lowest(margins, quantile)
+
+
+def _half() -> Column:
+    """0 or 1, the half that a text belongs to; equal texts share it."""
+    return F.pmod(F.xxhash64("letters"), F.lit(2)).cast("int")
 
-    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = pickle.loads(shared.value)
-        for batch in byte_slices(batches, "letters"):
-            found = [own.predict(t) for t in batch.column("letters").to_pylist()]
-            right = [name == lang for (name, _), lang in zip(found, batch.column("lang").to_pylist())]
-            yield pa.RecordBatch.from_arrays([pa.array([m for _, m in found]), pa.array(right)], names=["margin", "right"])
 
-    margins = sample.where(judged).mapInArrow(judge, "margin double, right boolean").where("right")
-    found = margins.agg(F.percentile("margin", F.lit(quantile))).first()[0]  # a bounded sample's margins
-    return model, found or 0.0
+def _word_counts(known: DataFrame) -> DataFrame:
+    """lang, word, first, second: the number of texts with the word, of each half. Texts that are equal in letters count once.
+
+    A run of letters without a space is words of up to 24 letters, so scripts that set no spaces give bounded words too.
+    """
+    texts = known.groupBy("lang", F.sha2("letters", 256).alias("digest")).agg(F.first("letters").alias("letters"))
+    words = F.array_distinct(F.regexp_extract_all("letters", F.lit("[^ ]{1,24}"), F.lit(0)))
+    return texts.select("lang", _half().alias("half"), F.explode(words).alias("word")).groupBy("lang", "word").agg(
+        F.count(F.when(F.col("half") == 0, 1)).alias("first"), F.count(F.when(F.col("half") == 1, 1)).alias("second"))
+
+
+def counted_models(counts: DataFrame, settings: Settings = Settings()) -> list[LanguageModel]:
+    """Models of the first half, of the second and of all texts, from rows of ``_word_counts``.
+
+    A dictionary is filled from the most common words down. Words stand on levels, eight for each doubling of the number of
+    texts; of the one level that does not fit as a whole, a hash of the word says which get the room that is left. So no task
+    orders words: there are some hundred levels at most, and ``dictionary_bytes`` a language, about, reach the driver.
+    """
+    each = counts.select("lang", "word", F.posexplode(F.array("first", "second", F.col("first") + F.col("second"))).alias("model", "n"))
+    each = each.where("n > 0").select("*", F.floor(F.log2("n") * 8).alias("level"), F.xxhash64("word").alias("hash"))
+    levels = each.groupBy("model", "lang", "level").agg(F.sum(F.octet_length("word") + 1).alias("bytes"))
+    above = Window.partitionBy("model", "lang").orderBy(F.desc("level")).rowsBetween(Window.unboundedPreceding, -1)
+    room = settings.dictionary_bytes - F.coalesce(F.sum("bytes").over(above), F.lit(0))
+    levels = levels.select("model", "lang", "level", F.least(room / F.col("bytes"), F.lit(1.0)).alias("share")).where("share > 0")
+    chosen = each.join(F.broadcast(levels), ["model", "lang", "level"]).where(
+        F.shiftrightunsigned("hash", 1) <= F.col("share") * float(2 ** 63))
+    words = F.transform(F.sort_array(F.collect_list(F.struct("n", "hash", "word"))), lambda w: w["word"])
+    contents: list[dict[str, bytes]] = [{}, {}, {}]
+    for row in chosen.groupBy("model", "lang").agg(F.array_join(words, " ").alias("content")).collect():  # a row a language and model
+        contents[row["model"]][row["lang"]] = row["content"].encode()
+    return [LanguageModel(found, settings) for found in contents]
+
+
+def _lowest(margins: DataFrame, share: float) -> float:
+    """The largest margin (0 to 1) with ``share`` of all rows at most below it; without rows 0.
+
+    Found by counting rows in steps of 2 ** -12, then in ever smaller ones inside the step that holds it, down to 2 ** -36.
+    """
+    place = F.floor(F.col("score") * float(2 ** 36))
+    inside, below, found = margins, -1, 0
+    for bits in (24, 12, 0):
+        step = F.shiftright(place, bits)
+        counts = sorted(map(tuple, inside.groupBy(step).agg(F.count(F.lit(1))).collect()))  # 4,097 rows at most
+        if not counts:
+            return 0.0
+        if below < 0:
+            below = int(share * sum(n for _, n in counts))
+        for found, n in counts:
+            if below < n:
+                break
+            below -= n
+        inside = inside.where(step == found)
+    return found / 2 ** 36
 
 
 def identify(docs: DataFrame, model: LanguageModel, columns: list[str]) -> DataFrame:
