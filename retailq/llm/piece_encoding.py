@@ -316,7 +316,7 @@ def encode_documents(docs: DataFrame, model_path: str) -> DataFrame:
     """
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = open_model(model_path)
-        for batch in byte_slices(batches, "text", 4 << 20):
+        for batch in byte_slices(batches, "text", 1 << 20):
             flat, counts = model.encode(batch.column("text"))
             ends = np.cumsum(counts)
             data = memoryview(np.ascontiguousarray(flat, "<u4")).cast("B")
